@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -49,7 +50,7 @@ def month_histogram(df: DataFrame, day: str) -> DataFrame:
     return df.groupBy(F.month(day).alias("mes")).agg(F.count("*").alias("filas"))
 
 
-def weight_shares(df: DataFrame, key: str, group: str, weights: Mapping[int, float]) -> DataFrame:
+def weight_shares(df: DataFrame, key: str, group: str, weights: Mapping[int, Decimal]) -> DataFrame:
     """Weight of each row: its group's weight split evenly over the group, normalised to one.
 
     Groups are counted first; a group's share does not need its rows together.
@@ -62,9 +63,8 @@ def weight_shares(df: DataFrame, key: str, group: str, weights: Mapping[int, flo
         .withColumn("_peso", F.try_element_at(F.create_map(*entries), F.col(group)))
     )
     total = sizes.agg(F.sum("_peso").alias("s")).scalar()
-    per_row = sizes.select(
-        group, F.col("_n").alias("articulos"), (F.col("_peso") / F.col("_n") / total).alias("peso")
-    )
+    share = F.col("_peso").cast("double") / F.col("_n") / total.cast("double")
+    per_row = sizes.select(group, F.col("_n").alias("articulos"), share.alias("peso"))
     return df.select(key, group).join(per_row, group, "left")
 
 

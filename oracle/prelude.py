@@ -9,8 +9,8 @@ SPLIT = "DATE '2000-12-31'"
 
 
 def dec_round(expr: str, digits: int) -> str:
-    """Half-up rounding of a double: ten decimals first, so that ties are ties."""
-    return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,10)), {digits}) AS DOUBLE)"
+    """Half-up rounding of a double as it is written in decimal, so that ties are ties."""
+    return f"CAST(ROUND(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
 
 
 _COUNTRY = "CASE n_regionkey WHEN 0 THEN 'CO' WHEN 1 THEN 'MX' WHEN 2 THEN 'CL' WHEN 3 THEN 'PE' WHEN 4 THEN 'EC' END"
@@ -279,6 +279,20 @@ CTES["calendario"] = """
 SELECT CAST(dia AS DATE) AS fecha FROM (
   SELECT unnest(generate_series(min(fec_trans), max(fec_trans), INTERVAL 1 DAY)) AS dia FROM fact_ventas) g"""
 
+CTES["dia_pais"] = """
+SELECT fec_trans, id_pais, CAST(sum(vr_venta_neto) AS DOUBLE) AS neto FROM ventas_enr GROUP BY fec_trans, id_pais"""
+
+CTES["semanas"] = """
+SELECT id_pais, lunes, CAST(isoyear(lunes) AS INTEGER) AS anio_iso, CAST(weekofyear(lunes) AS INTEGER) AS semana,
+       CAST(sum(vr_venta_neto) AS DOUBLE) AS ventas_netas
+FROM (SELECT id_pais, vr_venta_neto, CAST(date_trunc('week', fec_trans) AS DATE) AS lunes FROM ventas_enr) s
+GROUP BY id_pais, lunes"""
+
+CTES["pesos"] = """
+SELECT art_id, id_categ_n1, CAST(CASE id_categ_n1 WHEN 1 THEN 0.40 WHEN 2 THEN 0.22 WHEN 3 THEN 0.18 WHEN 4 THEN 0.05
+       WHEN 5 THEN 0.08 WHEN 6 THEN 0.07 END AS DECIMAL(3,2)) AS w
+FROM mstr_articulos WHERE activo"""
+
 
 def with_ctes(query: str) -> str:
     """Put the CTEs a query needs, in definition order, in front of it."""
