@@ -75,9 +75,19 @@ def upsert(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     return untouched.select(*target.columns).unionByName(changes)
 
 
-def check_upsert_keys(changes: DataFrame, key: str) -> None:
-    """Fail when a key is null or repeated, as a keyed merge would."""
-    bad = changes.groupBy(key).agg(F.count("*").alias("n")).where(F.col(key).isNull() | (F.col("n") > 1))
-    found = bad.limit(1).collect()
-    if found:
-        raise ValueError(f"cannot upsert: {key}={found[0][key]!r} occurs {found[0]['n']} time(s) in the changes")
+def check_upsert_keys(changes: DataFrame, key: str) -> tuple | None:
+    """Smallest and largest key of the changes; None without rows.
+
+    Fails when a key is null or repeated, as a keyed merge would. Keys are
+    counted where they are before they move, and one row comes back.
+    """
+    per_key = changes.groupBy(key).agg(F.count("*").alias("n"))
+    found = per_key.agg(
+        F.min(key).alias("lo"),
+        F.max(key).alias("hi"),
+        F.count_if(F.col("n") > 1).alias("repeated"),
+        F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("n"))), F.lit(0)).alias("null_keys"),
+    ).first()
+    if found["repeated"] or found["null_keys"]:
+        raise ValueError(f"cannot upsert: {found['repeated']} repeated and {found['null_keys']} null value(s) of {key}")
+    return None if found["lo"] is None else (found["lo"], found["hi"])

@@ -10,9 +10,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from granero.catalog import TableSpec
-from granero.operators.ingest import check_upsert_keys
+from granero.operators.ingest import check_upsert_keys, upsert
 from granero.operators.references import union_all
-from granero.session import stage
 
 
 @dataclass(frozen=True)
@@ -33,9 +32,12 @@ def _fs_path(spark: SparkSession, path: str):
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Does the path hold a table, that is a folder with something in it?"""
+    """Does the path hold data files or partition folders (not just job markers)?"""
     fs, p = _fs_path(spark, path)
-    return bool(fs.exists(p)) and len(fs.listStatus(p)) > 0
+    if not fs.exists(p):
+        return False
+    names = [entry.getPath().getName() for entry in fs.listStatus(p)]
+    return any("=" in name or not name.startswith(("_", ".")) for name in names)
 
 
 def read_table(
@@ -45,83 +47,66 @@ def read_table(
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
-def _spread_for(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Bring the rows of an output partition together before writing.
-
-    Rebalancing splits a partition that is too large for one task and merges
-    small ones, so a hot date costs more files and not one endless task.
-    """
-    return df.hint("rebalance", *partition_by) if partition_by else df
-
-
-def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> DataFrame:
-    """Write a table anew, its schema included, and return it as read back.
+def replace_table(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), gather: bool = False, fmt: str = "parquet"
+) -> None:
+    """Write a table anew, its schema included.
 
     The new files go next to the old ones and take their place when the write
-    has succeeded; a failed run leaves the old table as it was.
+    has succeeded; a failed run leaves the old table as it was. With ``gather``
+    the rows of an output partition are brought together first: rebalancing
+    merges small partitions and splits one that is too large for a task, so a
+    hot date costs more files and not one endless task.
     """
     spark = df.sparkSession
     fresh = f"{path.rstrip('/')}__new_{uuid.uuid4().hex}"
-    _spread_for(df, partition_by).write.format(fmt).partitionBy(*partition_by).save(fresh)
+    rows = df.hint("rebalance", *partition_by) if gather and partition_by else df
+    rows.write.format(fmt).partitionBy(*partition_by).save(fresh)
     fs, new = _fs_path(spark, fresh)
     _, old = _fs_path(spark, path)
     fs.delete(old, True)
     fs.mkdirs(old.getParent())
     if not fs.rename(new, old):
         raise OSError(f"could not move {fresh} to {path}")
-    return read_table(spark, path, fmt)
+    spark.catalog.refreshByPath(path)
 
 
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
-    _spread_for(df, partition_by).write.format(fmt).mode("append").partitionBy(*partition_by).save(path)
-
-
-def _partition_condition(rows: Sequence, partition_by: Sequence[str]):
-    """Rows of the listed partitions, as literals so that the scan skips the others."""
-    any_of = F.lit(False)
-    for row in rows:
-        this = F.lit(True)
-        for col in partition_by:
-            this = this & F.col(col).eqNullSafe(F.lit(row[col]))
-        any_of = any_of | this
-    return any_of
+    df.write.format(fmt).mode("append").partitionBy(*partition_by).save(path)
 
 
 def upsert_table(changes: DataFrame, path: str, key: str, partition_by: Sequence[str], fmt: str = "parquet") -> str:
-    """Keyed upsert into a partitioned table; returns ``created``, ``appended`` or ``rewritten``.
+    """Keyed upsert into a file table; returns ``created``, ``appended``, ``rewritten`` or ``unchanged``.
 
-    New keys are appended. Only when keys are already there are partitions
-    rewritten, and only those that hold one of them (or that the changes go
-    to). An updated row moves to the partition of its change, so partitions
-    left without rows are removed at the end. Running the same changes again
-    gives the same table.
+    New keys are appended. Where a key is already there, only the files that
+    hold such keys are read again: their other rows and the changes are
+    appended as new files, then the old files are removed. Nothing is removed
+    before its replacement is complete, so a run that breaks off loses no row,
+    and running the same changes again gives the same table.
     """
     spark = changes.sparkSession
-    check_upsert_keys(changes, key)
+    bounds = check_upsert_keys(changes, key)
+    if bounds is None:
+        return "unchanged"
     if not table_exists(spark, path):
         append_table(changes, path, partition_by, fmt)
         return "created"
 
     target = read_table(spark, path, fmt)
-    keys = changes.select(key)
-    # Partition values only: one row per ingest day.
-    hit = target.select(key, *partition_by).join(keys, key, "left_semi").select(*partition_by).distinct().collect()
-    if not hit:
+    # The key range of the changes lets the scan skip files by their statistics.
+    candidates = target.where(F.col(key).between(*bounds)).select(key, F.col("_metadata.file_path").alias("_file"))
+    found = candidates.join(changes.select(key), key, "left_semi").select("_file").distinct()
+    files = [row["_file"] for row in found.collect()]  # file names, as in a listing
+    if not files:
         append_table(changes, path, partition_by, fmt)
+        spark.catalog.refreshByPath(path)
         return "appended"
 
-    going_to = changes.select(*partition_by).distinct().collect()
-    affected = target.where(_partition_condition(hit + going_to, partition_by))
-    merged = affected.join(keys, key, "left_anti").select(*target.columns).unionByName(changes)
-    staged = stage(merged, "upsert")
-    filled = {tuple(r) for r in staged.select(*partition_by).distinct().collect()}
-    _spread_for(staged, partition_by).write.format(fmt).mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(*partition_by).save(path)
-    for row in hit:
-        if tuple(row) not in filled:
-            fs, folder = _fs_path(spark, "/".join([path, *[f"{c}={row[c]}" for c in partition_by]]))
-            fs.delete(folder, True)
+    hit = spark.read.format(fmt).schema(target.schema).option("basePath", path).load(files)
+    append_table(upsert(hit, changes.select(*target.columns), key), path, partition_by, fmt)
+    for name in files:
+        fs, old = _fs_path(spark, name)
+        fs.delete(old, False)
     spark.catalog.refreshByPath(path)
     return "rewritten"
 
