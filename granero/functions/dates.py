@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Spanish names, January first and Sunday first.
@@ -16,12 +14,12 @@ DAY_NAMES = ("domingo", "lunes", "martes", "miercoles", "jueves", "viernes", "sa
 
 
 def latest_date(df: DataFrame, col: str) -> Column:
-    """Latest date of a table as a scalar subquery (nothing comes to the driver)."""
-    return df.agg(F.max(col).alias("latest")).scalar()
-
+    """Latest date of a table, as a literal.
 
-def date_or_latest(as_of: dt.date | None, df: DataFrame, col: str) -> Column:
-    return F.lit(as_of) if as_of is not None else latest_date(df, col)
+    One value is fetched, once. As a literal it prunes the partitions and row
+    groups of every later scan, which a value known only at run time may not.
+    """
+    return F.lit(df.agg(F.max(col)).first()[0]).cast("date")
 
 
 def within_trailing(col: str, ref: Column, days: int) -> Column:

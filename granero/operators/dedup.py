@@ -26,12 +26,14 @@ def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column | st
     return df.withColumn("_orden", F.row_number().over(ranking)).where("_orden = 1").drop("_orden")
 
 
-def deduplicate(df: DataFrame, spec: TableSpec) -> DataFrame:
+def deduplicate(df: DataFrame, spec: TableSpec, keyed: bool = False) -> DataFrame:
     """Exact duplicates removed and, where declared, repeated business keys.
 
     Copies of a row share its business key, so the second step alone covers
     both and costs one shuffle instead of two. The smallest primary key stays.
+    With ``keyed`` the table comes out of a keyed load: its primary key is
+    unique, no two rows can be equal, and the exact step is left out.
     """
     if spec.business_key:
         return first_per_key(df, spec.business_key, [F.col(spec.key).asc_nulls_first()])
-    return drop_exact(df)
+    return df if keyed else drop_exact(df)

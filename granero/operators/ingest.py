@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from granero.catalog import TableSpec
 
@@ -40,9 +40,14 @@ def watermark(loaded: DataFrame, col: str, as_of: dt.date | None = None) -> Data
     return loaded.agg(F.max(day).alias("watermark"))
 
 
-def after(source: DataFrame, col: str, mark: Column) -> DataFrame:
-    """Rows dated strictly after the watermark; all rows while it is null."""
-    return source.where((F.col(col) > mark) | mark.isNull())
+def _mark(loaded: DataFrame, spec: TableSpec, as_of: dt.date | None) -> dt.date | None:
+    """The watermark as a value, so that the filter on the source is pushed into its scan."""
+    return watermark(loaded, spec.watermark, as_of).first()["watermark"]
+
+
+def after(source: DataFrame, col: str, mark: dt.date | None) -> DataFrame:
+    """Rows dated strictly after the watermark; all rows while there is none."""
+    return source if mark is None else source.where(F.col(col) > F.lit(mark))
 
 
 def increment(
@@ -55,12 +60,12 @@ def increment(
     """What a run has to load: everything, or what is newer than the loaded rows."""
     if not incremental or loaded is None or spec.watermark is None:
         return source
-    return after(source, spec.watermark, watermark(loaded, spec.watermark, as_of).scalar())
+    return after(source, spec.watermark, _mark(loaded, spec, as_of))
 
 
 def late(source: DataFrame, loaded: DataFrame, spec: TableSpec, as_of: dt.date | None = None) -> DataFrame:
     """Rows an incremental run skips for good: not after the watermark and not loaded."""
-    mark = watermark(loaded, spec.watermark, as_of).scalar()
+    mark = F.lit(_mark(loaded, spec, as_of)).cast("date")
     return source.where(F.col(spec.watermark) <= mark).join(loaded.select(spec.key), spec.key, "left_anti")
 
 

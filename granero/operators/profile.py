@@ -42,8 +42,8 @@ def numeric_summary(df: DataFrame, col: str) -> DataFrame:
         F.min(c).cast("double").alias("minimo"),
         F.max(c).cast("double").alias("maximo"),
     )
-    quartile = {q: quartiles.select(q).scalar() for q in quartiles.columns}
-    return base.select(F.lit(col).alias("columna"), "*", *[v.alias(q) for q, v in quartile.items()])
+    found = quartiles.select(F.struct("*").alias("q")).scalar()
+    return base.select(F.lit(col).alias("columna"), "*", *[found.getField(q).alias(q) for q in quartiles.columns])
 
 
 def month_histogram(df: DataFrame, day: str) -> DataFrame:

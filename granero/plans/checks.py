@@ -10,8 +10,8 @@ from granero.operators.references import orphan_count, union_all
 from granero.operators.volume import run_volumes
 
 
-def _result(measured: DataFrame, name: str, description: str, value: Column, ok: Column) -> DataFrame:
-    return measured.select(
+def _result(name: str, description: str, value: Column, ok: Column) -> Column:
+    return F.struct(
         F.lit(name).alias("check"),
         F.lit(description).alias("descripcion"),
         value.alias("valor_obtenido"),
@@ -19,19 +19,21 @@ def _result(measured: DataFrame, name: str, description: str, value: Column, ok:
     )
 
 
-def _none_expected(measured: DataFrame, name: str, description: str, count: str, noun: str) -> DataFrame:
+def _none_expected(name: str, description: str, count: str, noun: str) -> Column:
     value = F.concat_ws(" ", F.col(count).cast("string"), F.lit(noun))
-    return _result(measured, name, description, value, F.col(count) == 0)
+    return _result(name, description, value, F.col(count) == 0)
+
+
+def _results(measured: DataFrame, *results: Column) -> DataFrame:
+    """Result rows out of one row of figures, so that a table is read once for all its checks."""
+    return measured.select(F.inline(F.array(*results)))
 
 
 def unique_key(df: DataFrame, table: str, key: str) -> DataFrame:
     measured = df.agg(F.count("*").alias("n"), F.count_distinct(key).alias("d"))
-    return _result(
-        measured,
-        f"pk_unica_{table}",
-        f"{key} sin duplicados",
-        F.format_string(f"%d filas / %d {key} distintos", "n", "d"),
-        F.col("n") == F.col("d"),
+    text = F.format_string(f"%d filas / %d {key} distintos", "n", "d")
+    return _results(
+        measured, _result(f"pk_unica_{table}", f"{key} sin duplicados", text, F.col("n") == F.col("d"))
     )
 
 
@@ -49,30 +51,26 @@ def dq_checks(
             unique_key(products, "dim_productos", "art_id"),
             unique_key(stores, "dim_tiendas", "id_tienda"),
             unique_key(customers, "dim_clientes", "id_miembro"),
-            _none_expected(
-                lines, "no_nulos_fact_ventas", "vr_venta_neto, art_id e id_tienda no nulos", "nulos", "nulos"
+            _results(
+                lines,
+                _none_expected(
+                    "no_nulos_fact_ventas", "vr_venta_neto, art_id e id_tienda no nulos", "nulos", "nulos"
+                ),
+                _none_expected("rango_vr_venta_neto", "vr_venta_neto > 0", "no_positivos", "no positivos"),
             ),
-            _none_expected(
+            _results(
                 orphan_count(sales, "art_id", products, "art_id"),
-                "ri_ventas_productos",
-                "fact_ventas.art_id existe en dim_productos",
-                "huerfanos",
-                "huerfanos",
+                _none_expected(
+                    "ri_ventas_productos", "fact_ventas.art_id existe en dim_productos", "huerfanos", "huerfanos"
+                ),
             ),
-            _none_expected(lines, "rango_vr_venta_neto", "vr_venta_neto > 0", "no_positivos", "no positivos"),
-            _none_expected(
+            _results(
                 rfm.agg(F.count_if(out_of_range).alias("fuera")),
-                "rango_scores_rfm",
-                "R, F y M entre 1 y 5",
-                "fuera",
-                "fuera de rango",
+                _none_expected("rango_scores_rfm", "R, F y M entre 1 y 5", "fuera", "fuera de rango"),
             ),
-            _none_expected(
+            _results(
                 inventory.agg(F.count_if(F.col("cobertura_dias") < 0).alias("negativas")),
-                "rango_cobertura",
-                "cobertura_dias >= 0 (o nula)",
-                "negativas",
-                "negativas",
+                _none_expected("rango_cobertura", "cobertura_dias >= 0 (o nula)", "negativas", "negativas"),
             ),
         ]
     )

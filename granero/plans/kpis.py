@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from granero.functions.columns import as_double, average, percent
 from granero.operators.ranking import top_n
@@ -68,9 +70,11 @@ def agg_rfm_segments(rfm: DataFrame) -> DataFrame:
     )
 
 
-def top_products(star: Star, n: int = 10) -> DataFrame:
-    """Best selling articles of each category by net sales; the smaller id wins a tie."""
+def top_products(star: Star, n: int = 10, categories: Sequence[str] | None = None) -> DataFrame:
+    """Best selling articles of each (or each listed) category by net sales; the smaller id wins a tie."""
     sold = measures_by(star, ["art_id", "categoria_n1"], ["ventas_netas", "unidades"])
+    if categories is not None:
+        sold = sold.where(F.col("categoria_n1").isin(*categories))
     ranked = top_n(sold, ["categoria_n1"], [F.desc("ventas_netas"), F.asc("art_id")], n)
     return ranked.orderBy("categoria_n1", "rank")
 
@@ -104,7 +108,7 @@ def weekly_sales_iso(star: Star) -> DataFrame:
     return _with_change(named, F.col("ventas_semana_anterior")).orderBy("id_pais", "anio_iso", "semana")
 
 
-def _with_change(weekly: DataFrame, before) -> DataFrame:
+def _with_change(weekly: DataFrame, before: Column) -> DataFrame:
     now, prev = F.col("ventas_netas"), F.col("ventas_semana_anterior")
     return weekly.withColumn("ventas_semana_anterior", before).withColumn(
         "variacion_pct", F.round(F.try_divide(F.lit(100.0) * (now - prev), prev), 2)

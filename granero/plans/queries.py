@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections import Counter
 from collections.abc import Callable
 from decimal import Decimal
 
@@ -203,14 +204,20 @@ def fk_null_ok(spark, sf_dir):
 
 @query
 def fk_matrix(spark, sf_dir):
+    edges = reference_edges()
+    uses = Counter(spec.name for child, _, parent in edges for spec in (child, parent))
+    tables = {}
+    for name, spec in TABLES.items():
+        rows = retail.source(spark, sf_dir, name).select(spec.key, *[r.column for r in spec.references])
+        tables[name] = stage(rows, name) if uses[name] > 1 else rows
     return union_all(
-        references.orphan_count(
-            retail.source(spark, sf_dir, child.name), ref.column, retail.source(spark, sf_dir, parent.name), parent.key
-        ).select(
-            F.lit(child.name).alias("hija"), F.lit(ref.column).alias("columna"), F.lit(parent.name).alias("padre"),
+        references.orphan_count(tables[child.name], ref.column, tables[parent.name], parent.key).select(
+            F.lit(child.name).alias("hija"),
+            F.lit(ref.column).alias("columna"),
+            F.lit(parent.name).alias("padre"),
             "huerfanos",
         )
-        for child, ref, parent in reference_edges()
+        for child, ref, parent in edges
     )
 
 

@@ -10,6 +10,7 @@ import datetime as dt
 import time
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -22,6 +23,7 @@ from granero.operators.volume import volume_alert
 from granero.plans import checks, gold, kpis
 from granero.plans.measures import Star
 from granero.plans.silver import cleaned
+from granero.session import together
 from granero.sources.tables import Layers, append_table, read_table, replace_table, table_exists, upsert_table
 
 _STATE = "_estado"
@@ -99,7 +101,9 @@ def ingest_table(
 
 def ingest_all(spark: SparkSession, layers: Layers, sources: Mapping[str, Callable[[], DataFrame]], run: Run) -> None:
     mode = "incremental" if run.incremental else "full"
-    results = [ingest_table(spark, layers, TABLES[name], sources[name], run) for name in TABLES]
+    results = together(
+        *[partial(ingest_table, spark, layers, spec, sources[name], run) for name, spec in TABLES.items()]
+    )
     ts = dt.datetime.fromisoformat(run.ts)
     log = spark.createDataFrame(
         [(r["tabla"], r["registros"], r["segundos"], run.batch_id, ts, mode) for r in results], _LOG_SCHEMA
@@ -110,13 +114,20 @@ def ingest_all(spark: SparkSession, layers: Layers, sources: Mapping[str, Callab
 def clean_all(spark: SparkSession, layers: Layers, run: Run) -> None:
     """Parents before children; each child is checked against the parent as written."""
     stamp_ts = F.lit(run.ts).cast("timestamp")
-    for spec in TABLES.values():
+
+    def clean(spec: TableSpec) -> None:
         parents = {ref.parent: read_silver(spark, layers, TABLES[ref.parent]) for ref in spec.references}
-        tagged = cleaned(read_bronze(spark, layers, spec), spec, run.as_of, parents)
+        tagged = cleaned(read_bronze(spark, layers, spec), spec, run.as_of, parents, keyed=True)
         state = F.when(F.col(REASON).isNull(), _VALID).otherwise(_REJECTED)
         marked = tagged.withColumns({"_ts_silver": stamp_ts, _STATE: state})
         replace_table(marked, layers.path("silver", spec.name), [_STATE], fmt=layers.fmt)
 
+    done: set[str] = set()
+    while len(done) < len(TABLES):
+        ready = [s for s in TABLES.values() if s.name not in done and {r.parent for r in s.references} <= done]
+        together(*[partial(clean, spec) for spec in ready])
+        done |= {spec.name for spec in ready}
+
     marked = {name: _read_marked(spark, layers, spec) for name, spec in TABLES.items()}
     errors = union_all(rejected(marked[name].where(F.col(_STATE) == _REJECTED), spec) for name, spec in TABLES.items())
     # Written on every run, so that a run without rejects leaves an empty table.
@@ -138,21 +149,24 @@ def model_all(spark: SparkSession, layers: Layers, run: Run) -> None:
 
     sales = save(gold.fact_sales(clean("trans_ventas")), "fact_ventas")
     ref = latest_date(sales, "fec_trans")
-    products = save(gold.dim_products(clean("mstr_articulos"), clean("mstr_proveedores")), "dim_productos")
-    stores = save(gold.dim_stores(clean("mstr_tiendas")), "dim_tiendas")
-    save(gold.dim_customers(clean("crm_miembros"), ref), "dim_clientes")
-    save(gold.calendar(sales), "dim_calendario")
-    save(gold.fact_inventory(clean("inv_stock_diario"), sales, ref), "fact_inventario")
-    returns = save(gold.fact_returns(clean("post_devoluciones"), sales), "fact_devoluciones")
-    rfm = save(gold.fact_rfm(sales, ref), "fact_rfm_clientes")
-
+    products, stores, returns, rfm, *_ = together(
+        lambda: save(gold.dim_products(clean("mstr_articulos"), clean("mstr_proveedores")), "dim_productos"),
+        lambda: save(gold.dim_stores(clean("mstr_tiendas")), "dim_tiendas"),
+        lambda: save(gold.fact_returns(clean("post_devoluciones"), sales), "fact_devoluciones"),
+        lambda: save(gold.fact_rfm(sales, ref), "fact_rfm_clientes"),
+        lambda: save(gold.dim_customers(clean("crm_miembros"), ref), "dim_clientes"),
+        lambda: save(gold.fact_inventory(clean("inv_stock_diario"), sales, ref), "fact_inventario"),
+        lambda: save(gold.calendar(sales), "dim_calendario"),
+    )
     star = Star(sales, {"id_tienda": stores, "art_id": products})
-    save(kpis.agg_daily_sales(star), "agg_ventas_diarias")
-    save(kpis.return_rate(star, returns), "agg_tasa_devolucion")
-    save(kpis.agg_rfm_segments(rfm), "agg_segmentos_rfm")
-    save(kpis.kpi_country_channel(star), "kpi_ventas_pais_canal")
-    save(kpis.top_products(star), "kpi_top_productos")
-    save(kpis.weekly_sales(star), "kpi_ventas_semanales")
+    together(
+        lambda: save(kpis.agg_daily_sales(star), "agg_ventas_diarias"),
+        lambda: save(kpis.return_rate(star, returns), "agg_tasa_devolucion"),
+        lambda: save(kpis.agg_rfm_segments(rfm), "agg_segmentos_rfm"),
+        lambda: save(kpis.kpi_country_channel(star), "kpi_ventas_pais_canal"),
+        lambda: save(kpis.top_products(star), "kpi_top_productos"),
+        lambda: save(kpis.weekly_sales(star), "kpi_ventas_semanales"),
+    )
 
 
 def check_all(spark: SparkSession, layers: Layers, run: Run) -> DataFrame:

@@ -11,7 +11,7 @@ from granero.catalog import TableSpec
 from granero.functions.columns import masked
 from granero.operators.dedup import deduplicate
 from granero.operators.ingest import drop_audit
-from granero.operators.quarantine import tag, valid
+from granero.operators.quarantine import tag
 
 
 def cleaned(
@@ -20,16 +20,14 @@ def cleaned(
     as_of: dt.date,
     parents: Mapping[str, DataFrame],
     report_nulls: bool = True,
+    keyed: bool = False,
 ) -> DataFrame:
     """Rows of a raw table without duplicates, masked, with ``motivo`` on the rejected ones.
 
     Valid and rejected rows come out of the same pass; ``parents`` are the
     cleaned parent tables, so a rejected parent rejects its children too.
+    ``keyed``: the raw table was written by the keyed load.
     """
-    unique = deduplicate(drop_audit(raw), spec)
+    unique = deduplicate(drop_audit(raw), spec, keyed)
     tagged = tag(unique, spec, as_of, parents, report_nulls)
     return tagged.withColumns({c: masked(c) for c in spec.masked}) if spec.masked else tagged
-
-
-def silver(raw: DataFrame, spec: TableSpec, as_of: dt.date, parents: Mapping[str, DataFrame]) -> DataFrame:
-    return valid(cleaned(raw, spec, as_of, parents))

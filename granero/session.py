@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,6 +43,16 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+def together(*writes: Callable[[], object]) -> list:
+    """Run independent table writes at the same time and wait for all of them.
+
+    Small tables then use the cores a large one leaves idle; Spark decides what
+    runs where. The first failure is raised.
+    """
+    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+        return [done.result() for done in [pool.submit(write) for write in writes]]
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder: survives lost executors."""
     context = df.sparkSession.sparkContext
@@ -54,7 +66,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
     For frames that several branches of one job read: each branch then scans
     only the columns and row groups it needs instead of recomputing the lineage.
+    The files lie under the application's id and can go when it has ended.
     """
-    path = os.path.join(shared_dir(df.sparkSession), "stage", f"{name}-{uuid.uuid4().hex}")
+    app = df.sparkSession.sparkContext.applicationId
+    path = os.path.join(shared_dir(df.sparkSession), "stage", app, f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from granero.catalog import SALES
-from granero.operators import references
+from granero.functions.dates import latest_date
+from granero.operators import ingest, references
 from granero.operators.dedup import deduplicate
 from granero.plans import gold, kpis
 from granero.plans.queries import QUERIES
@@ -37,9 +38,14 @@ def test_only_needed_columns_and_days_are_read(facts):
 
 
 def test_reference_date_reaches_the_scan(facts):
-    text = plan(gold.rfm_base(facts, facts.agg(F.max("fec_trans")).scalar()))
-    assert "Subquery" in text and "SinglePartition" in text  # only in the one-row subquery
-    assert "Window" not in text
+    text = plan(gold.rfm_base(facts, latest_date(facts, "fec_trans")))
+    assert re.search(r"PushedFilters: \[.*GreaterThan\(fec_trans,\d{4}-", text)
+    assert "Subquery" not in text and "Window" not in text
+
+
+def test_watermark_reaches_the_scan(spark, facts):
+    text = plan(ingest.increment(facts, facts.where("fec_trans < '2000-01-01'"), SALES))
+    assert re.search(r"PushedFilters: \[.*GreaterThan\(fec_trans,1999-12-", text)
 
 
 @pytest.mark.parametrize("name", ["rfm", "agg_rfm_segments"])
