@@ -477,9 +477,12 @@ def category_share(spark, sf_dir):
 
 @query
 def snapshot_spine(spark, sf_dir):
-    """The stocked pairs on each of the last thirty days of sales."""
+    """The stocked pairs on each of the last thirty days of sales, counted per store and day."""
     lake = Lake(spark, sf_dir)
-    return gold.snapshot_spine(retail.stock(spark, sf_dir), F.date_sub(lake.ref, 29), lake.ref)
+    spine = gold.snapshot_spine(retail.stock(spark, sf_dir), F.date_sub(lake.ref, 29), lake.ref)
+    return spine.groupBy("id_tienda", "fec_snapshot").agg(
+        F.count("*").alias("pares"), F.count_distinct("art_id").alias("articulos"), F.sum("art_id").alias("suma_art_id")
+    )
 
 
 # ------------------------------------------------------------ measures

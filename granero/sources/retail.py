@@ -246,7 +246,6 @@ def stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = (
         _raw(spark, sf_dir, "lineitem")
         .select(F.col("l_partkey").alias("a"), F.col("l_suppkey").alias("t"))
-        .where(a % 10 == 0)
         .distinct()
     )
     categories = _raw(spark, sf_dir, "part").select(F.col("p_partkey").alias("a"), _category().alias("n1"))

@@ -113,7 +113,7 @@ SELECT (a * 100000 + t) * 100 + d AS id_snapshot, a AS art_id, t AS id_tienda,
             AS INTEGER) AS stock_minimo_config,
        CAST(3 * CASE n1 WHEN 1 THEN 10 WHEN 2 THEN 8 WHEN 3 THEN 10 WHEN 4 THEN 3 WHEN 5 THEN 5 WHEN 6 THEN 8 END
             AS INTEGER) AS stock_maximo_config
-FROM (SELECT DISTINCT l_partkey AS a, l_suppkey AS t FROM lineitem WHERE l_partkey % 10 = 0) pares
+FROM (SELECT DISTINCT l_partkey AS a, l_suppkey AS t FROM lineitem) pares
 JOIN (SELECT p_partkey, {_CATEG} AS n1 FROM part) categ ON p_partkey = a
 CROSS JOIN (SELECT range AS d FROM range(30)) dias"""
 

@@ -395,8 +395,11 @@ SELECT art_id, id_categ_n1, count(*) OVER (PARTITION BY id_categ_n1) AS articulo
              / (SELECT CAST(sum(w) AS DOUBLE) FROM (SELECT DISTINCT id_categ_n1, w FROM pesos) t), 12) AS peso
 FROM (SELECT art_id, id_categ_n1, CAST(w AS DOUBLE) AS peso FROM pesos) p""",
     "snapshot_spine": """
-SELECT DISTINCT art_id, id_tienda, CAST(ref - CAST(n AS INTEGER) AS DATE) AS fec_snapshot
-FROM inv_stock_diario CROSS JOIN fecha_ref CROSS JOIN (SELECT range AS n FROM range(30)) d""",
+SELECT id_tienda, fec_snapshot, count(*) AS pares, count(DISTINCT art_id) AS articulos,
+       CAST(sum(art_id) AS BIGINT) AS suma_art_id
+FROM (SELECT DISTINCT art_id, id_tienda, CAST(ref - CAST(n AS INTEGER) AS DATE) AS fec_snapshot
+      FROM inv_stock_diario CROSS JOIN fecha_ref CROSS JOIN (SELECT range AS n FROM range(30)) d) s
+GROUP BY id_tienda, fec_snapshot""",
     "measures_by_country": """
 SELECT id_pais, CAST(sum(vr_venta_neto) AS DOUBLE) AS ventas_netas, CAST(sum(vr_venta_bruto) AS DOUBLE) AS venta_bruta,
        CAST(sum(descuento_aplicado) AS DOUBLE) AS descuento_total,

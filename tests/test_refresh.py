@@ -14,7 +14,7 @@ from tests.conftest import rows
 
 GOLD_ROWS = {
     "dim_productos": 200, "dim_tiendas": 10, "dim_clientes": 150, "dim_calendario": 2405, "fact_ventas": 5979,
-    "fact_inventario": 188, "fact_devoluciones": 1960, "fact_rfm_clientes": 60, "agg_ventas_diarias": 5846,
+    "fact_inventario": 1905, "fact_devoluciones": 1960, "fact_rfm_clientes": 60, "agg_ventas_diarias": 5846,
     "agg_tasa_devolucion": 24, "kpi_ventas_pais_canal": 20, "kpi_top_productos": 60, "kpi_ventas_semanales": 1499,
     "_resultados_dq": 8,
 }
