@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from granero.session import cut_lineage
+from granero.session import stage
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
@@ -41,12 +41,13 @@ def number_rows(df: DataFrame, order: Sequence[str]) -> DataFrame:
 
     ``order`` has to end in a unique column. Rows are range partitioned and
     sorted where they are, so no task sees the whole table and equal leading
-    values are split by the unique column. The sorted rows are checkpointed
-    before they are read twice: range bounds are sampled, and a second
-    evaluation might draw other ones.
+    values are split by the unique column. The sorted rows are written before
+    they are read twice: range bounds are sampled, and a second evaluation might
+    draw other ones.
     """
-    ranged = cut_lineage(
-        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id())
+    ranged = stage(
+        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id()),
+        "ranged",
     )
     located = ranged.select(
         *df.columns,
@@ -86,7 +87,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Mapping[str, float]) -> Data
     range partition and shifted by what lies before it.
     """
     counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_v")).agg(F.count("*").alias("_n"))
-    ranged = cut_lineage(counts.repartitionByRange("_v").withColumn("_parte", F.spark_partition_id()))
+    ranged = stage(counts.repartitionByRange("_v").withColumn("_parte", F.spark_partition_id()), "ranged")
     starts = F.broadcast(_starts(ranged.groupBy("_parte").agg(F.sum("_n").alias("_n")), "_parte", "_n"))
     running = F.sum("_n").over(Window.partitionBy("_parte").orderBy("_v"))
     cumulative = ranged.withColumn("_hasta", running).join(starts, "_parte")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Collection
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,15 +22,15 @@ from granero.sources import retail
 class Lake:
     """Builds each table on demand and remembers its plan, not its rows.
 
-    A job that reads the cleaned sales several times asks for
-    ``staged_sales=True``: they are then written once in the shared folder, as
-    the layered refresh does, and every reader scans the columns it needs.
+    A job that reads a cleaned table several times names it in ``staged``: it is
+    then written once in the shared folder, as the layered refresh does, and
+    every reader scans the columns it needs.
     """
 
     def __init__(
-        self, spark: SparkSession, sf_dir: str, as_of: dt.date = retail.AS_OF, staged_sales: bool = False
+        self, spark: SparkSession, sf_dir: str, staged: Collection[str] = (), as_of: dt.date = retail.AS_OF
     ) -> None:
-        self.spark, self.sf_dir, self.as_of, self.staged_sales = spark, sf_dir, as_of, staged_sales
+        self.spark, self.sf_dir, self.as_of, self.staged = spark, sf_dir, as_of, staged
         self._tagged: dict[str, DataFrame] = {}
 
     def source(self, table: str) -> DataFrame:
@@ -40,7 +41,7 @@ class Lake:
             spec = TABLES[table]
             parents = {ref.parent: self.silver(ref.parent) for ref in spec.references}
             frame = cleaned(self.source(table), spec, self.as_of, parents)
-            if self.staged_sales and table == "trans_ventas":
+            if table in self.staged:
                 frame = stage(frame, table)
             self._tagged[table] = frame
         return self._tagged[table]

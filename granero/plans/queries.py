@@ -238,18 +238,18 @@ def silver_suppliers(spark, sf_dir):
 
 @query
 def error_table(spark, sf_dir):
-    return Lake(spark, sf_dir, staged_sales=True).errors()
+    return Lake(spark, sf_dir, staged=["trans_ventas"]).errors()
 
 
 @query
 def error_summary_(spark, sf_dir):
-    return error_summary(Lake(spark, sf_dir, staged_sales=True).errors()).orderBy("tabla_origen", "motivo")
+    return error_summary(Lake(spark, sf_dir, staged=["trans_ventas"]).errors()).orderBy("tabla_origen", "motivo")
 
 
 
 @query
 def quality_report(spark, sf_dir):
-    return Lake(spark, sf_dir, staged_sales=True).quality()
+    return Lake(spark, sf_dir, staged=["trans_ventas"]).quality()
 
 
 # ------------------------------------------------------------ lookups and dimensions
@@ -303,7 +303,7 @@ def fact_sales(spark, sf_dir):
 
 @query
 def trailing_consumption(spark, sf_dir):
-    lake = Lake(spark, sf_dir, staged_sales=True)
+    lake = Lake(spark, sf_dir, staged=["trans_ventas"])
     return gold.trailing_consumption(lake.sales, lake.ref)
 
 
@@ -314,28 +314,28 @@ def latest_snapshot(spark, sf_dir):
 
 @query
 def fact_inventory(spark, sf_dir):
-    return Lake(spark, sf_dir, staged_sales=True).inventory
+    return Lake(spark, sf_dir, staged=["trans_ventas"]).inventory
 
 
 @query
 def stockout_count(spark, sf_dir):
-    return gold.stockout_count(Lake(spark, sf_dir, staged_sales=True).inventory)
+    return gold.stockout_count(Lake(spark, sf_dir, staged=["trans_ventas"]).inventory)
 
 
 @query
 def fact_returns(spark, sf_dir):
-    return expose(Lake(spark, sf_dir, staged_sales=True).returns)
+    return expose(Lake(spark, sf_dir, staged=["trans_ventas"]).returns)
 
 
 @query
 def active_members(spark, sf_dir):
-    lake = Lake(spark, sf_dir, staged_sales=True)
+    lake = Lake(spark, sf_dir, staged=["trans_ventas"])
     return gold.active_members(lake.sales, lake.ref)
 
 
 @query
 def rfm(spark, sf_dir):
-    return expose(Lake(spark, sf_dir, staged_sales=True).rfm)
+    return expose(Lake(spark, sf_dir, staged=["trans_ventas"]).rfm)
 
 
 # ------------------------------------------------------------ aggregates and KPIs
@@ -348,7 +348,7 @@ def sales_enriched(spark, sf_dir):
 @query
 def star_sales(spark, sf_dir):
     """All four dimensions at once; sales of unknown customers stay, with a null gender."""
-    lake = Lake(spark, sf_dir, staged_sales=True)
+    lake = Lake(spark, sf_dir, staged=["trans_ventas"])
     by = ["anio", "zona_distribucion", "categoria_n1", "genero_std"]
     return measures.measures_by(lake.full_star, by, ["ventas_netas", "unidades", "transacciones"], coarse=False)
 
@@ -360,19 +360,19 @@ def agg_daily_sales(spark, sf_dir):
 
 @query
 def return_rate(spark, sf_dir):
-    lake = Lake(spark, sf_dir, staged_sales=True)
+    lake = Lake(spark, sf_dir, staged=["trans_ventas"])
     return kpis.return_rate(lake.star, lake.silver("post_devoluciones"))
 
 
 @query
 def return_ratio_overall(spark, sf_dir):
-    lake = Lake(spark, sf_dir, staged_sales=True)
+    lake = Lake(spark, sf_dir, staged=["trans_ventas"])
     return kpis.return_ratio_overall(lake.silver("trans_ventas"), lake.silver("post_devoluciones"))
 
 
 @query
 def agg_rfm_segments(spark, sf_dir):
-    return kpis.agg_rfm_segments(Lake(spark, sf_dir, staged_sales=True).rfm)
+    return kpis.agg_rfm_segments(Lake(spark, sf_dir, staged=["trans_ventas"]).rfm)
 
 
 @query
@@ -402,7 +402,7 @@ def _dq(lake: Lake) -> DataFrame:
 
 @query
 def dq_checks(spark, sf_dir):
-    return _dq(Lake(spark, sf_dir, staged_sales=True))
+    return _dq(Lake(spark, sf_dir, staged=["trans_ventas"]))
 
 
 @query
@@ -418,7 +418,7 @@ def volume_alert_(spark, sf_dir):
 
 @query
 def run_report(spark, sf_dir):
-    lake = Lake(spark, sf_dir, staged_sales=True)
+    lake = Lake(spark, sf_dir, staged=["trans_ventas", "inv_stock_diario"])
     log = retail.run_log(spark, sf_dir)
     return checks.run_report(log, lake.quality(), _dq(lake), volume_alert(log))
 
@@ -512,7 +512,7 @@ def same_day_last_week(spark, sf_dir):
 
 @query
 def daily_trend(spark, sf_dir):
-    lake = Lake(spark, sf_dir, staged_sales=True)
+    lake = Lake(spark, sf_dir, staged=["trans_ventas"])
     return measures.daily_trend(lake.star, lake.calendar)
 
 

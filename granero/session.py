@@ -53,14 +53,6 @@ def together(*writes: Callable[[], object]) -> list:
         return [done.result() for done in [pool.submit(write) for write in writes]]
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder: survives lost executors."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
-
-
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a frame once as Parquet in the shared folder and read it back.
 

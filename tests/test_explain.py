@@ -15,9 +15,7 @@ from granero.plans.refresh import _audited
 from granero.session import shared_dir, stage
 from granero.sources import retail
 
-
-def plan(df, mode="formatted"):
-    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
+from tests.conftest import plan
 
 
 @pytest.fixture(scope="module")
@@ -55,16 +53,6 @@ def test_quintiles_use_no_single_partition_window_over_members(spark, small, nam
         assert "ntile" not in line and "_parte" in line  # only over one row per range partition
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_product_joins_and_no_python(spark, small, name):
-    if name in ("error_table", "error_summary", "quality_report", "run_report", "dq_checks"):
-        pytest.skip("covered by their parts")
-    text = plan(QUERIES[name](spark, small), "simple")
-    assert "CartesianProduct" not in text
-    assert "BroadcastNestedLoopJoin" not in text
-    assert "Python" not in text and "Pandas" not in text
-
-
 def test_coarse_measures_meet_the_dimension_after_summing(spark, facts, small):
     star = kpis.Star(facts, {"id_tienda": gold.dim_stores(retail.stores(spark, small))})
     text = plan(kpis.measures_by(star, ["id_pais"], ["ventas_netas"]), "simple")
