@@ -36,11 +36,7 @@ def shared_dir(spark: SparkSession) -> str:
     folder under the warehouse chosen instead.
     """
     named = spark.conf.get("spark.checkpoint.dir", "")
-    if not named:
-        warehouse = spark.conf.get("spark.sql.warehouse.dir")
-        named = os.path.join(warehouse, "_scratch")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    return named or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_scratch")
 
 
 def together(*writes: Callable[[], object]) -> list:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from granero.catalog import MEMBERS, STORES, SUPPLIERS
 from granero.operators import ingest
 from granero.operators.ingest import INGEST_PARTITIONS, stamp
+from granero.session import together
 from granero.sources import retail
 from granero.sources.tables import (
     Layers, append_table, describe, export, load_files, preview, read_table, replace_table, row_counts, table_exists,
@@ -126,6 +127,12 @@ def test_replace_append_and_partitions(spark, tmp_path):
     assert read_table(spark, path).where(F.col("d") == day(0)).count() == 300
 
 
+def test_together_runs_all_and_raises_the_failure():
+    assert together(lambda: 1, lambda: 2) == [1, 2]
+    with pytest.raises(ZeroDivisionError):
+        together(lambda: 1, lambda: 1 // 0)
+
+
 def test_export(spark, tmp_path):
     df = spark.range(30).select("id", F.lit("ñ").alias("t"))
     paths = export(df, "x", str(tmp_path), ["csv", "parquet", "json"], sample_rows=5, order=["id"])
