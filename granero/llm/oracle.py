@@ -63,4 +63,36 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
-ORACLE = {"op1_chat_formatting": OP1, "op6_line_dedup": OP6, "op9_topk_search": OP9}
+_FOLD = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+#: Contamination of a table ``source`` with doc_id and text: report(doc_id, n_words, n_hit, ids).
+CONTAMINATION = f"""
+item_words AS (SELECT item_id, {_ALNUM.format(_FOLD.format("text"))} AS w FROM benchmark WHERE text IS NOT NULL),
+item_windows AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[s + 1 : s + least(len(w), 13)], ' ') AS t
+  FROM (SELECT item_id, w, unnest(range(0, len(w) - least(len(w), 13) + 1)) AS s FROM item_words WHERE len(w) > 0)
+),
+doc_words AS (SELECT doc_id, {_ALNUM.format(_FOLD.format("coalesce(text, '')"))} AS w FROM {{source}}),
+doc_windows AS (
+  SELECT doc_id, n, s, array_to_string(w[s + 1 : s + n], ' ') AS t
+  FROM (SELECT doc_id, w, n, unnest(range(0, len(w) - n + 1)) AS s
+        FROM doc_words, (SELECT DISTINCT n FROM item_windows) WHERE len(w) >= n)
+),
+hits AS (SELECT d.doc_id, d.s, d.n, i.item_id FROM doc_windows d JOIN item_windows i ON d.n = i.n AND d.t = i.t),
+hit_words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hits) GROUP BY doc_id),
+hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM hits WHERE item_id IS NOT NULL) GROUP BY doc_id
+),
+report AS (
+  SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n_hit, 0)::BIGINT AS n_hit,
+         coalesce(i.n_items, 0)::BIGINT AS n_items, sha256(coalesce(i.ids, '')) AS items_sha256,
+         coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(d.w) AS contaminated
+  FROM doc_words d LEFT JOIN hit_words h ON d.doc_id = h.doc_id LEFT JOIN hit_items i ON d.doc_id = i.doc_id
+)
+"""
+
+OP7 = "WITH " + CONTAMINATION.format(source="documents") + "SELECT * FROM report"
+
+ORACLE = {"op7_benchmark_decontamination": OP7, "op1_chat_formatting": OP1, "op6_line_dedup": OP6, "op9_topk_search": OP9}
