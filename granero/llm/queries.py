@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granero.llm import chat, decontaminate, linededup, packing, topk
+from granero.llm import chat, decontaminate, jaccard, linededup, packing, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,11 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", "n_shingles", "component_id")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return linededup.dedup_lines(documents).select("doc_id", "text", "n_lines", "n_removed")
@@ -63,5 +68,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f for f in (op1_chat_formatting, op6_line_dedup, op7_benchmark_decontamination, op9_topk_search, op10_packing)
+    f.__name__: f for f in (op1_chat_formatting, op2_ngram_jaccard_join, op6_line_dedup, op7_benchmark_decontamination, op9_topk_search, op10_packing)
 }
