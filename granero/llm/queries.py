@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granero.llm import chat, decontaminate, jaccard, linededup, packing, topk
+from granero.llm import chat, decontaminate, jaccard, langid, linededup, packing, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,34 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "n_shingles", "component_id")
 
 
+def _held_out(folds: int, fold: int):
+    return F.crc32(F.col("doc_id").cast("string")) % folds == fold
+
+
+def toxicity_model(spark: SparkSession, documents: DataFrame, sf_dir: str) -> toxicity.Model:
+    labels = table(spark, sf_dir, "labels").where(~_held_out(5, 0))
+    return toxicity.fit(documents, labels.select("doc_id", F.col("toxic").alias("label")))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    scored = toxicity.score(documents, toxicity_model(spark, documents, sf_dir))
+    return scored.select(
+        "doc_id",
+        F.coalesce(_held_out(5, 0), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "evidence",
+    )
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = langid.fit(documents.where(~_held_out(3, 1)).select("text", "lang"))
+    predicted = langid.predict(documents, model)
+    return predicted.select("doc_id", F.coalesce(_held_out(3, 1), F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return linededup.dedup_lines(documents).select("doc_id", "text", "n_lines", "n_removed")
@@ -68,5 +96,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f for f in (op1_chat_formatting, op2_ngram_jaccard_join, op6_line_dedup, op7_benchmark_decontamination, op9_topk_search, op10_packing)
+    f.__name__: f for f in (op1_chat_formatting, op2_ngram_jaccard_join, op3_toxicity, op4_language_id, op6_line_dedup, op7_benchmark_decontamination, op9_topk_search, op10_packing)
 }

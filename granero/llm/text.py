@@ -70,12 +70,13 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Words:
-    """Words of a run of documents: byte spans, 64-bit hashes, first word of each document."""
+    """Words of a run of documents: byte spans, 64-bit hashes, first word of each document, hashes of their first bytes."""
 
     starts: np.ndarray
     ends: np.ndarray
     hashes: np.ndarray
     first: np.ndarray  # one entry more than there are documents
+    stems: np.ndarray | None = None
 
     def grams(self, k: int) -> np.ndarray:
         """Hash of the k words from each position; positions whose k words cross a document's end are garbage."""
@@ -89,9 +90,13 @@ class Words:
         return mix(out + _U(k))
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> Words:
-    """Words of the documents ``data[offsets[i]:offsets[i + 1]]``; A-Z count as a-z in the hashes."""
-    starts, ends, hashes = [], [], []
+def words_of(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, stems_of: tuple[int, ...] = ()) -> Words:
+    """Words of the documents ``data[offsets[i]:offsets[i + 1]]``; A-Z count as a-z in the hashes.
+
+    ``stems_of`` lists lengths: the first so many bytes of each word are hashed
+    too, in one column per length.
+    """
+    starts, ends, hashes, stems = [], [], [], []
     low, end = int(offsets[0]), int(offsets[-1])
     while low < end:
         high = min(low + SLICE, end)
@@ -120,6 +125,9 @@ def words_of(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> Words
         prefix[0] = 0
         np.cumsum(_FOLDED_VALUE[block] * up[: len(block)], dtype=np.uint64, out=prefix[1:])
         hashes.append(mix((prefix[e] - prefix[s]) * down[s]))
+        cuts = [np.minimum(e, s + size) for size in stems_of]
+        if cuts:
+            stems.append(np.stack([mix((prefix[c] - prefix[s]) * down[s] + _U(0x5851F42D4C957F2D)) for c in cuts], 1))
         starts.append(s + low)
         ends.append(e + low)
         low = high
@@ -129,6 +137,7 @@ def words_of(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> Words
         np.concatenate(ends) if ends else np.zeros(0, np.int64),
         np.concatenate(hashes) if hashes else np.zeros(0, np.uint64),
         np.searchsorted(joined, offsets),
+        np.concatenate(stems) if stems else np.zeros((0, len(stems_of)), np.uint64),
     )
 
 
