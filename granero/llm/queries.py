@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granero.llm import chat, decontaminate, jaccard, langid, linededup, packing, topk, toxicity
+from granero.llm import chat, decontaminate, jaccard, langid, linededup, packing, topk, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,6 +85,11 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.read_archives(archives, payloads=False).drop("url")
+
+
 def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0))
@@ -96,5 +101,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f for f in (op1_chat_formatting, op2_ngram_jaccard_join, op3_toxicity, op4_language_id, op6_line_dedup, op7_benchmark_decontamination, op9_topk_search, op10_packing)
+    f.__name__: f for f in (op1_chat_formatting, op2_ngram_jaccard_join, op3_toxicity, op4_language_id, op6_line_dedup, op7_benchmark_decontamination, op8_warc, op9_topk_search, op10_packing)
 }
