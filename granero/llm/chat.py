@@ -74,14 +74,15 @@ def root_to_leaf_paths(messages: DataFrame, branches: int | None = None) -> Data
             F.col("tree").alias("_t"), F.col("node").alias("_n"), F.col("up").alias("_up"),
             F.col("score").alias("_score"), F.col("length").alias("_length"),
         )
-        doubled = here.join(above, same_tree & (F.col("up") == F.col("_n")), "left").select(
+        # Nodes whose path has reached its root are finished and not joined again.
+        doubled = here.where("up IS NOT NULL").join(above, same_tree & (F.col("up") == F.col("_n"))).select(
             "tree",
             "node",
             F.col("_up").alias("up"),
-            (F.col("score") + F.coalesce("_score", F.lit(0.0))).alias("score"),
-            (F.col("length") + F.coalesce("_length", F.lit(0))).alias("length"),
+            (F.col("score") + F.col("_score")).alias("score"),
+            (F.col("length") + F.col("_length")).alias("length"),
         )
-        jumps.append(stage(doubled, "links"))
+        jumps.append(stage(doubled.unionByName(here.where("up IS NULL")), "links"))
     rooted = jumps[-1].where("up IS NULL")
     parents = links.where("up IS NOT NULL").select(F.col("tree").alias("_t"), F.col("up").alias("_n")).distinct()
     leaves = rooted.join(parents, same_tree & (F.col("node") == F.col("_n")), "left_anti")
