@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granero.llm import chat, decontaminate, jaccard, langid, linededup, packing, topk, toxicity, warc
+from granero.llm import chat, decontaminate, jaccard, langid, linededup, packing, pii, topk, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +68,17 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", F.coalesce(_held_out(3, 1), F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in pii.KINDS]
+    base = F.sha2(pii.listed(F.col("base")), 256)
+    return found.select("doc_id", *counts, base.alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return linededup.dedup_lines(documents).select("doc_id", "text", "n_lines", "n_removed")
@@ -101,5 +112,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f for f in (op1_chat_formatting, op2_ngram_jaccard_join, op3_toxicity, op4_language_id, op6_line_dedup, op7_benchmark_decontamination, op8_warc, op9_topk_search, op10_packing)
+    f.__name__: f for f in (op1_chat_formatting, op2_ngram_jaccard_join, op3_toxicity, op4_language_id, op5_pii, op6_line_dedup, op7_benchmark_decontamination, op8_warc, op9_topk_search, op10_packing)
 }
