@@ -4,13 +4,14 @@
 that differ by at most r. Classes (texts with equal shingle sets) that can link
 share a shingle among the first quarter of their sets in a common order; every
 shingle shared there makes a region. Its members with the smallest hashes are its
-pivots, one in the first round and four times as many in each further one. A
+pivots, a few in the first round and eight times as many in each further one. A
 class is replicated to all regions whose pivot it shares a leading shingle with,
-the only ones that can hold partners, and its nearest pivot is its home.
-Distances to pivots are exact. A region whose members are all connected is
-done; the others are joined again around further pivots, where the window of
-the triangle inequality around the first pivot leaves pairs out. The rounds end
-when no region has members left that were not pivots: every pair was then
+the only ones that can hold partners; the first pivot is the region's centre.
+Pairs that share too few leading shingles to link are left out, the distances of
+all others are computed from whole sets. A region whose members are all
+connected is done; the others are joined again around further pivots, where the
+window of the triangle inequality around the centre leaves pairs out. The rounds
+end when no region has members left that were not pivots: every pair was then
 compared, was connected already, or cannot link.
 """
 
@@ -32,7 +33,8 @@ SHINGLE = 5
 COUNTERS = 1 << 20  # of the frequency sketch; its size is fixed
 PARTS = 64
 FILTER_BITS = 1 << 26  # of the filter that picks the sets to compare: 8 MB at every size
-ENTRY = np.dtype([("shingle", "<u8"), ("class", "<i8"), ("n", "<u4"), ("at", "<u4")])
+ENTRY = np.dtype([("shingle", "<u8"), ("class", "<i8")])
+FIRST_PIVOTS, MORE = 4, 8
 PARTITION_BYTES = 32 << 20
 
 
@@ -150,7 +152,7 @@ def _entries(documents: DataFrame, levels: np.ndarray, k: int, buckets: int) ->
                     shingles = shingles[np.argsort(late, kind="stable")]
                 entries = np.empty(prefix_length(n), ENTRY)
                 entries["shingle"] = shingles[: len(entries)]
-                entries["class"], entries["n"], entries["at"] = name, n, np.arange(len(entries))
+                entries["class"] = name
                 held.append(entries)
                 size += len(entries)
                 if size >= 1 << 20:
@@ -163,7 +165,7 @@ def _entries(documents: DataFrame, levels: np.ndarray, k: int, buckets: int) ->
 
 
 def _postings(entries: DataFrame, partitions: int) -> DataFrame:
-    """shingle, class, n, at, rank, home: members of the regions; rank orders them, home is the first pivot."""
+    """shingle, class, rank, home: members of the regions; rank orders them, home is the first pivot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.frombuffer(blob.as_py(), ENTRY) for batch in batches for blob in batch.column(0)]
@@ -191,28 +193,38 @@ def _postings(entries: DataFrame, partitions: int) -> DataFrame:
             part = rows[low : low + 100_000]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(part["shingle"].view(np.int64)), pa.array(part["class"]), pa.array(part["n"].astype(np.int64)),
-                    pa.array(part["at"].astype(np.int64)), pa.array(rank[low : low + 100_000]), pa.array(home[low : low + 100_000]),
+                    pa.array(np.ascontiguousarray(part["shingle"]).view(np.int64)), pa.array(np.ascontiguousarray(part["class"])),
+                    pa.array(rank[low : low + 100_000]), pa.array(home[low : low + 100_000]),
                 ],
-                names=["shingle", "class", "n", "at", "rank", "home"],
-            )
+                names=["shingle", "class", "rank", "home"],
+            )
 
     dealt = entries.repartition(partitions, "bucket").select("entries")
-    return dealt.mapInArrow(run, "shingle long, class long, n long, at long, rank long, home long")
+    return dealt.mapInArrow(run, "shingle long, class long, rank long, home long")
+
+
+def _row_key():
+    return F.xxhash64("doc_id", "text_hash")
 
 
 def _sets_of(documents: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """class, shingles for the classes in ``wanted``, and a few more that the filter lets through."""
-    bit = F.pmod(F.col("class"), F.lit(FILTER_BITS))
-    bitmap = wanted.select("class").distinct().select(F.floor(bit / 32768).alias("bucket"), (bit % 32768).alias("bit"))
+    """class, shingles of the documents named in ``wanted`` (doc_id, text_hash), and of a few more that the filter lets through.
+
+    The filter is a bitmap of fixed size over the rows' hashes: the more rows
+    are wanted, the more others pass it, which costs but changes nothing.
+    """
+    bit = F.pmod("row_key", F.lit(FILTER_BITS))
+    bits = wanted.select(_row_key().alias("row_key")).select(F.floor(bit / 32768).alias("bucket"), (bit % 32768).alias("bit"))
     filled = np.zeros((FILTER_BITS // 32768, 4096), np.uint8)
-    for bucket, bits in bitmap.groupBy("bucket").agg(F.bitmap_construct_agg("bit")).collect():  # FILTER_BITS at most
-        filled[bucket] = np.frombuffer(bits, np.uint8)
+    for bucket, part in bits.groupBy("bucket").agg(F.bitmap_construct_agg("bit")).collect():  # FILTER_BITS at most
+        filled[bucket] = np.frombuffer(part, np.uint8)
     shared = documents.sparkSession.sparkContext.broadcast(filled.ravel())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, seen = shared.value, set()
+        bitmap, seen = shared.value, set()
         for batch in batches:
+            at = batch.column(0).to_numpy() % FILTER_BITS
+            batch = batch.filter(pa.array((bitmap[at >> 3] >> (at & 7) & 1).astype(bool)))
             names, sets, size = [], [], 0
 
             def made(names, sets):
@@ -221,12 +233,8 @@ def _sets_of(documents: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                     names=["class", "shingles"],
                 )
 
-            for _, shingles in shingle_sets(batch.column(0), k):
-                if not len(shingles):
-                    continue
-                name = class_of(shingles)
-                at = name % FILTER_BITS
-                if name in seen or not bits[at >> 3] >> (at & 7) & 1:
+            for _, shingles in shingle_sets(batch.column(1), k):
+                if not len(shingles) or (name := class_of(shingles)) in seen:
                     continue
                 seen.add(name)
                 names.append(name)
@@ -238,14 +246,24 @@ def _sets_of(documents: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             if names:
                 yield made(names, sets)
 
-    found = documents.select("text").mapInArrow(run, "class long, shingles array<long>")
-    return found.join(wanted.select("class").distinct(), "class", "left_semi").dropDuplicates(["class"])
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    return rows.select(_row_key().alias("row_key"), "text").mapInArrow(run, "class long, shingles array<long>")
 
 
-def _possible(n: Column, at: Column, m: Column, bt: Column) -> Column:
-    """Sets of n and m shingles whose first common one stands at ``at`` and ``bt`` may reach 75 % of their union."""
-    needed = F.ceil((n + m) * F.lit(3) / F.lit(7))
-    return (4 * F.least(n, m) >= 3 * F.greatest(n, m)) & (F.least(n - at, m - bt) >= needed)
+def _needed(n: Column, m: Column) -> Column:
+    """Common shingles that sets of n and m need to link."""
+    return F.ceil((n + m) * F.lit(3) / F.lit(7))
+
+
+def _may_link(n: Column, m: Column, common: Column) -> Column:
+    """Whether sets of n and m with so many common leading shingles can link.
+
+    Of the two last leading shingles take the earlier one: whatever both sets
+    have up to it is leading in both and was counted, and behind it the set that
+    it belongs to has all but its leading shingles.
+    """
+    behind = F.greatest(F.ceil(n * 0.75), F.ceil(m * 0.75)) - 1
+    return (4 * F.least(n, m) >= 3 * F.greatest(n, m)) & (common + behind >= _needed(n, m))
 
 
 def jaccard_links(documents: DataFrame, k: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
@@ -262,60 +280,63 @@ def jaccard_links(documents: DataFrame, k: int = SHINGLE) -> tuple[DataFrame, Da
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // 4 * ENTRY.itemsize // PARTITION_BYTES))
     entries = _entries(documents, _levels(told), k, 8 * partitions)
     postings = stage(_postings(entries, partitions), "postings")
-    links, roots, distances = None, None, None
-    sets = None
-    low, pivots = 0, 1
-    live = postings
+    leading = postings.groupBy("class").agg(F.collect_set("shingle").alias("leading"))
+    one = classes.where("class IS NOT NULL").groupBy("class").agg(F.min(F.struct("doc_id", "text_hash", "n")).alias("row"))
+    members = stage(leading.join(one, "class").select("class", "leading", "row.*"), "members")
+
+    links = spark.createDataFrame([], "a long, b long, common long")
+    roots = distances = sets = None
+    low, pivots = 0, FIRST_PIVOTS
+    live = postings.withColumn("root", F.col("class")).withColumn("distance", F.lit(None).cast("double"))
     while True:
         if roots is not None:
-            known = live.drop("root").join(roots.withColumnRenamed("node", "class"), "class", "left")
-            live = known.withColumn("root", F.coalesce("root", "class"))
+            live = live.drop("root").join(roots.withColumnRenamed("node", "class"), "class", "left")
+            live = live.withColumn("root", F.coalesce("root", "class"))
+            # Regions that are connected throughout, or have no member left that was not a pivot, are done.
             mixed = live.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.max("rank").alias("most"))
-            mixed = mixed.where((F.col("x") != F.col("y")) & (F.col("most") > low)).select("shingle")
-            live = live.join(mixed, "shingle")
-        else:
-            live = live.withColumn("root", F.col("class")).withColumn("distance", F.lit(None).cast("double"))
-        if low == 1:  # distances to the first pivots are known now
+            live = live.join(mixed.where((F.col("x") != F.col("y")) & (F.col("most") > low)).select("shingle"), "shingle")
+        if distances is not None:
             live = live.drop("distance").join(distances, ["home", "class"], "left")
-        live = stage(live.select("shingle", "class", "n", "at", "rank", "home", "root", "distance"), "regions")
+            distances = None
+        live = stage(live.select("shingle", "class", "rank", "home", "root", "distance"), "regions")
         if live.where(F.col("rank") > low).limit(1).count() == 0:
             break
         p = live.where((F.col("rank") >= low) & (F.col("rank") < low + pivots)).alias("p")
         y = live.alias("y")
-        near = F.coalesce(F.abs(F.col("p.distance") - F.col("y.distance")) <= 0.25 + 1e-9, F.lit(True))
+        window = F.coalesce(F.abs(F.col("p.distance") - F.col("y.distance")) <= 0.25 + 1e-9, F.lit(True))
         met = p.join(
             y,
             (F.col("p.shingle") == F.col("y.shingle"))
             & (F.col("y.rank") > F.col("p.rank"))
             & (F.col("p.root") != F.col("y.root"))
-            & near
-            & _possible(F.col("p.n"), F.col("p.at"), F.col("y.n"), F.col("y.at")),
-        ).select(
-            F.col("p.class").alias("a"), F.col("y.class").alias("b"), F.col("p.n").alias("na"), F.col("y.n").alias("nb")
-        )
-        met = stage(met.distinct(), "pairs")
+            & window,
+        ).select(F.col("p.class").alias("a"), F.col("y.class").alias("b"))
+        left = members.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("leading").alias("la"))
+        right = members.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("leading").alias("lb"))
+        near = _may_link(F.col("na"), F.col("nb"), F.size(F.array_intersect("la", "lb")))
+        met = stage(met.distinct().join(left, "a").join(right, "b").where(near).select("a", "b", "na", "nb"), "pairs")
         if met.limit(1).count():
-            wanted = met.select(F.col("a").alias("class")).union(met.select(F.col("b").alias("class")))
-            sets = stage(_sets_of(documents, wanted, k), "sets")
+            wanted = met.select(F.col("a").alias("class")).union(met.select(F.col("b").alias("class"))).distinct()
+            if sets is not None:
+                wanted = wanted.join(sets.select("class"), "class", "left_anti")
+            wanted = stage(wanted.join(members, "class").select("doc_id", "text_hash"), "wanted")
+            if wanted.limit(1).count():
+                more = stage(_sets_of(documents, wanted, k), "sets")
+                sets = more if sets is None else sets.unionByName(more)
             left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("sa"))
             right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("sb"))
-            compared = (
-                met.join(right, "b")
-                .join(left, "a")
-                .select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).cast("long").alias("common"))
-            )
-            compared = stage(compared, "compared")
+            common = F.size(F.array_intersect("sa", "sb")).cast("long")
+            compared = met.join(left, "a").join(right, "b").select("a", "b", "na", "nb", common.alias("common"))
+            compared = stage(compared.distinct(), "compared")
             union = F.col("na") + F.col("nb") - F.col("common")
             if low == 0:
-                distances = compared.select(F.col("a").alias("home"), F.col("b").alias("class"), (1 - F.col("common") / union).alias("distance"))
+                distances = compared.select(
+                    F.col("a").alias("home"), F.col("b").alias("class"), (1 - F.col("common") / union).alias("distance")
+                )
             new = compared.where(100 * F.col("common") >= 75 * union).select("a", "b", "common")
-            links = new if links is None else links.unionByName(new)
+            links = links.unionByName(new)
             roots = stage(components(links), "roots")
-        elif low == 0:
-            break
-        low, pivots = low + pivots, pivots * 4
-    if links is None:
-        links = spark.createDataFrame([], "a long, b long, common long")
+        low, pivots = low + pivots, pivots * MORE
     return classes, links
 
 

@@ -16,6 +16,7 @@ and runs are entered at their first character or behind the match before.
 from __future__ import annotations
 
 import math
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,11 +75,12 @@ def _valid(kind: str, found: Column) -> Column:
     return F.lit(True)
 
 
-def _matches(text: Column, pattern: str, possible: Column) -> Column:
-    """array of (start, end, found, before, after): matches from left to right, in code points.
+def _matches(text: Column, pattern: str, possible: Column, keep) -> Column:
+    """array of (start, end, found, before, after): matches that ``keep`` accepts, from left to right, in code points.
 
     ``split`` and ``regexp_extract_all`` walk the same matches; the lengths of
-    the pieces between them give the positions.
+    the pieces between them give the positions. Only accepted matches are
+    gathered, so a text of many short numbers stays cheap.
     """
     found = F.when(possible, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
     pieces = F.when(F.size(found) > 0, F.split(text, pattern)).otherwise(F.array().cast("array<string>"))
@@ -94,7 +96,8 @@ def _matches(text: Column, pattern: str, possible: Column) -> Column:
             start.cast("long").alias("start"), end.cast("long").alias("end"), z["found"].alias("found"),
             F.right(z["piece"], F.lit(CONTEXT)).alias("before"), F.left(z["next"], F.lit(1)).alias("after"),
         )
-        return F.struct(end.cast("long").alias("at"), F.concat(acc["spans"], F.array(one)).alias("spans"))
+        spans = F.when(keep(z["found"]), F.concat(acc["spans"], F.array(one))).otherwise(acc["spans"])
+        return F.struct(end.cast("long").alias("at"), spans.alias("spans"))
 
     state = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(kind).alias("spans"))
     folded = F.aggregate(zipped, state, step, lambda acc: acc["spans"])
@@ -155,13 +158,14 @@ def spans_of(documents: DataFrame) -> DataFrame:
     rows = rows.select(
         "doc_id",
         "text_hash",
-        *[_matches(F.col("text"), BASE[k], possible[k]).alias(f"base_{k}") for k in KINDS],
-        *[_matches(F.col("text"), CANDIDATES[k], proposed[k]).alias(f"more_{k}") for k in KINDS],
+        *[_matches(F.col("text"), BASE[k], possible[k], partial(_valid, k)).alias(f"base_{k}") for k in KINDS],
+        *[_matches(F.col("text"), CANDIDATES[k], proposed[k], lambda found: F.lit(True)).alias(f"more_{k}") for k in KINDS],
     )
 
     def checked(kind):
-        kept = F.filter(F.col(f"base_{kind}"), lambda m: _valid(kind, m["found"]))
-        return F.transform(kept, lambda m: F.struct(F.lit(kind).alias("kind"), m["start"].alias("start"), m["end"].alias("end")))
+        return F.transform(
+            f"base_{kind}", lambda m: F.struct(F.lit(kind).alias("kind"), m["start"].alias("start"), m["end"].alias("end"))
+        )
 
     rows = rows.select("doc_id", "text_hash", F.concat(*[checked(k) for k in KINDS]).alias("base"), *[f"more_{k}" for k in KINDS])
 
