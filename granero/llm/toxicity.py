@@ -27,14 +27,13 @@ from pyspark.sql import functions as F
 from granero.llm import text as tx
 from granero.session import stage
 
-EXAMPLES = 2000  # of each label
-VOCABULARY = 4096
+EXAMPLES = 1500  # of each label
+VOCABULARY = 2048
 NEIGHBOURS = 15
 BLOCK = 32
 STEMS = (4, 5, 6, 7)
 REST = 1.0  # squared weight of a word outside the vocabulary
 LEAST = 4  # examples that hold a term
-TERMS_OF_EXAMPLE = 20_000  # distinct terms read from one example, the smallest hashes
 
 
 @dataclass
@@ -59,8 +58,8 @@ def _term_counts(data, offsets) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(terms), np.concatenate([owner, *(owner[keep] for keep in longer)]), np.diff(words.first)
 
 
-def _sampled(examples: DataFrame, size: int) -> list:
-    """Up to ``size`` labelled rows of each label, smallest hash of the id first, with their distinct terms and counts."""
+def _with_terms(examples: DataFrame) -> DataFrame:
+    """doc_id, label, n_words, terms, counts: the distinct terms of (doc_id, label, text) rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -71,8 +70,8 @@ def _sampled(examples: DataFrame, size: int) -> list:
                 lists, counts = [], []
                 for row in range(high - low):
                     found, times = np.unique(terms[order[cuts[row] : cuts[row + 1]]], return_counts=True)
-                    lists.append(found[:TERMS_OF_EXAMPLE].view(np.int64))
-                    counts.append(times[:TERMS_OF_EXAMPLE])
+                    lists.append(found.view(np.int64))
+                    counts.append(times)
                 part = batch.slice(low, high - low)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -82,7 +81,20 @@ def _sampled(examples: DataFrame, size: int) -> list:
                     names=["doc_id", "label", "n_words", "terms", "counts"],
                 )
 
-    return examples.mapInArrow(run, "doc_id long, label int, n_words long, terms array<long>, counts array<long>").collect()
+    return examples.mapInArrow(run, "doc_id long, label int, n_words long, terms array<long>, counts array<long>")
+
+
+def _vocabulary(examples: DataFrame, n1: int, n0: int, size: int) -> np.ndarray:
+    """Sorted hashes of up to ``size`` terms that most set label 1 apart (chi-square over rows of equal labels)."""
+    held = examples.select("label", F.explode("terms").alias("term")).groupBy("term").agg(
+        F.sum("label").alias("held1"), F.sum(1 - F.col("label")).alias("held0")
+    )
+    p1, p0 = F.col("held1") / n1, F.col("held0") / n0
+    spread = (F.col("held1") + F.col("held0")) / (n1 + n0)
+    strength = (p1 - p0) * (p1 - p0) / F.greatest(spread * (1 - spread), F.lit(1e-9))
+    usable = (F.col("held1") + F.col("held0") >= LEAST) & (p1 > 2 * p0) & (strength > 10.83 * (1 / n1 + 1 / n0))  # 0.1 % level
+    best = held.where(usable).orderBy(strength.desc(), "term").limit(size)
+    return np.sort(np.array([r["term"] for r in best.select("term").collect()], np.int64).view(np.uint64))
 
 
 def _document_counts(documents: DataFrame, terms: np.ndarray) -> tuple[np.ndarray, int]:
@@ -193,38 +205,35 @@ def fit(documents: DataFrame, labelled: DataFrame, size: int = EXAMPLES, vocabul
         labels.where("label = 1").orderBy(by_hash, "doc_id").limit(size)
     )
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(picked, "doc_id")
-    rows = _sampled(texts.select("doc_id", "label", F.coalesce("text", F.lit("")).alias("text")), size)
-    rows.sort(key=lambda r: (r["label"], r["doc_id"]))
-    toxic = np.array([r["label"] for r in rows], np.int64)
-    if not len(rows) or toxic.min() == toxic.max():
+    examples = stage(_with_terms(texts.select("doc_id", "label", "text")), "examples")
+    seen = {int(r[0]): r[1] for r in examples.groupBy("label").count().collect()}
+    if len(seen) < 2:
         return empty
-    all_terms = np.concatenate([np.array(r["terms"], np.int64) for r in rows]).view(np.uint64)
-    of_toxic = np.repeat(toxic, [len(r["terms"]) for r in rows])
-    terms, inverse = np.unique(all_terms, return_inverse=True)
-    n1, n0 = int(toxic.sum()), int((1 - toxic).sum())
-    held1 = np.bincount(inverse, of_toxic, len(terms))
-    held0 = np.bincount(inverse, minlength=len(terms)) - held1
-    p1, p0 = held1 / n1, held0 / n0
-    spread = (p1 * n1 + p0 * n0) / (n1 + n0)
-    strength = (p1 - p0) ** 2 / np.maximum(spread * (1 - spread), 1e-9)  # chi-square over rows of equal labels
-    usable = np.flatnonzero((held1 + held0 >= LEAST) & (p1 > 2 * p0) & (strength > 10.83 * (1 / n1 + 1 / n0)))  # 0.1 % level
-    chosen = np.sort(usable[np.lexsort((terms[usable], -strength[usable]))[:vocabulary]])
-    if not len(chosen):
+    n1, n0 = seen[1], seen[0]
+    terms = _vocabulary(examples, n1, n0, vocabulary)
+    if not len(terms):
         return empty
-    terms = terms[chosen]
+    spark = documents.sparkSession
+    known = spark.createDataFrame([(int(t),) for t in terms.view(np.int64)], "terms long")
+    key = ["doc_id", "label", "n_words"]
+    pairs = examples.select(*key, F.inline(F.arrays_zip("terms", "counts"))).join(known, "terms")
+    found = {tuple(r[:3]): r["held"] for r in pairs.groupBy(*key).agg(F.collect_list(F.struct("terms", "counts")).alias("held")).collect()}
+    rows = [tuple(r) for r in examples.select(*key).distinct().collect()]  # 2 size rows, with terms of the vocabulary
+    rows.sort(key=lambda r: (r[1], r[0], r[2]))
+    toxic = np.array([label for _, label, _ in rows], np.int64)
+    n1, n0 = int(toxic.sum()), int((1 - toxic).sum())
     held, n = _document_counts(documents, terms)
     idf = np.log((1 + n) / (1 + held)) + 1
     weights = np.zeros((len(terms), len(rows)), np.float32)
     for i, r in enumerate(rows):
-        own = np.array(r["terms"], np.int64).view(np.uint64)
-        place = np.minimum(np.searchsorted(terms, own), len(terms) - 1)
-        hit = terms[place] == own
-        weights[place[hit], i] = (1 + np.log(np.array(r["counts"], float)[hit])) * idf[place[hit]]
+        own = found.get(r, [])
+        place = np.searchsorted(terms, np.array([h["terms"] for h in own], np.int64).view(np.uint64))
+        weights[place, i] = (1 + np.log(np.array([h["counts"] for h in own], float))) * idf[place]
     # Neighbours in the index share terms: sort by the heaviest term, so that block maxima are tight.
     order = np.lexsort((np.arange(len(rows)), weights.argmax(axis=0), -toxic))
     weights, toxic = weights[:, order], toxic[order]
-    ids = np.array([rows[i]["doc_id"] for i in order], np.int64)
-    n_words = np.array([rows[i]["n_words"] for i in order], float)
+    ids = np.array([rows[i][0] for i in order], np.int64)
+    n_words = np.array([rows[i][2] for i in order], float)
     weights /= np.maximum(np.sqrt((weights**2).sum(axis=0) + REST * n_words), 1e-9).astype(np.float32)
     maxima = np.maximum.reduceat(weights, np.arange(0, len(ids), BLOCK), axis=1)
     counts_for = np.where(toxic == 1, totals[1] / n1, totals[0] / n0)
