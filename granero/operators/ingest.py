@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from granero.catalog import TableSpec
 
 INGEST_PARTITIONS = ["_anio_ingesta", "_mes_ingesta", "_dia_ingesta"]
 AUDIT_COLUMNS = ["_ts_ingesta", "_sistema_fuente", "_batch_id", *INGEST_PARTITIONS]
+#: Which row of a key is valid: that of the latest run.
+NEWEST = ("_ts_ingesta", "_batch_id")
 
 
 def stamp(df: DataFrame, run_ts: str | dt.datetime, system: str, batch_id: str) -> DataFrame:
@@ -66,7 +69,8 @@ def increment(
 def late(source: DataFrame, loaded: DataFrame, spec: TableSpec, as_of: dt.date | None = None) -> DataFrame:
     """Rows an incremental run skips for good: not after the watermark and not loaded."""
     mark = F.lit(_mark(loaded, spec, as_of)).cast("date")
-    return source.where(F.col(spec.watermark) <= mark).join(loaded.select(spec.key), spec.key, "left_anti")
+    known = source.where(F.col(spec.key).isNotNull())
+    return known.where(F.col(spec.watermark) <= mark).join(loaded.select(spec.key), spec.key, "left_anti")
 
 
 def upsert(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
@@ -80,6 +84,20 @@ def upsert(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     return untouched.select(*target.columns).unionByName(changes)
 
 
+def newest(rows: DataFrame, key: str, by: Sequence[str] = NEWEST) -> DataFrame:
+    """Of a table made of batches the valid rows: per key those with the largest ``by``.
+
+    Rows of a key that tie all stay, so copies within a batch are still there to
+    be counted. Rows without a key replace nothing but an equal row of an
+    earlier batch. Each task keeps only its first rows per key before the
+    shuffle, so a hot key moves little.
+    """
+    audit = set(AUDIT_COLUMNS)
+    same = F.when(F.col(key).isNull(), F.xxhash64(*[c for c in rows.columns if c not in audit]))
+    ranking = Window.partitionBy(key, same).orderBy(*[F.col(c).desc_nulls_last() for c in by])
+    return rows.withColumn("_orden", F.rank().over(ranking)).where("_orden = 1").drop("_orden")
+
+
 def check_upsert_keys(changes: DataFrame, key: str) -> tuple | None:
     """Smallest and largest key of the changes; None without rows.
 

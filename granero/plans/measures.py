@@ -39,18 +39,24 @@ MEASURES = {
 }
 
 
+def is_unique(rows: DataFrame, key: str) -> bool:
+    """Does every row have a key of its own? One pass over a written table."""
+    repeated = rows.groupBy(key).count().where((F.col("count") > 1) | F.col(key).isNull())
+    return repeated.limit(1).count() == 0
+
+
 @dataclass(frozen=True)
 class Star:
     """Sales and their dimensions, each under the sales column that refers to it.
 
-    ``unique_lines`` states that ``id_trans`` is the key of the sales, which the
-    keyed load guarantees; counting distinct ids is then counting rows and needs
-    no shuffle of the ids. Without it ids are counted exactly as distinct.
+    Transactions are counted as distinct ids. ``unique_lines`` states that
+    ``id_trans`` was found to be unique in these sales (:func:`is_unique`);
+    counting distinct ids is then counting rows and needs no shuffle of the ids.
     """
 
     sales: DataFrame
     dims: Mapping[str, DataFrame]
-    unique_lines: bool = True
+    unique_lines: bool = False
 
     def lookups(self, by: Sequence[str]) -> list[tuple[str, DataFrame]]:
         """Dimensions, cut to what is needed, that own attributes in ``by``."""
@@ -81,13 +87,14 @@ def parts_by(star: Star, by: Sequence[str], parts: Sequence[str], coarse: bool =
     With ``coarse`` the sales are first summed per dimension key, then the keys
     are looked up and summed again: the lookup meets one row per key instead of
     one per sale, however large or skewed the dimension is. Without it (results
-    nearly as fine as the sales) attributes are looked up first and there is one
-    aggregation.
+    nearly as fine as the sales) and for distinct ids, which cannot be summed,
+    attributes are looked up first and there is one aggregation.
     """
     lookups = star.lookups(by)
-    if not lookups or not coarse or not star.unique_lines:
+    distinct = "_transacciones" in parts and not star.unique_lines
+    if not lookups or not coarse or distinct:
         aggs = {p: _PARTS[p]() for p in parts}
-        if not star.unique_lines and "_transacciones" in aggs:
+        if distinct:
             aggs["_transacciones"] = F.count_distinct("id_trans")
         return star.enriched(by).groupBy(*by).agg(*[a.alias(p) for p, a in aggs.items()])
     own = [c for c in by if c in star.sales.columns]

@@ -6,10 +6,12 @@ import datetime as dt
 from collections import Counter
 from collections.abc import Callable
 from decimal import Decimal
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from granero.catalog import SALES, TABLES, reference_edges
+from granero.catalog import RETURNS, SALES, TABLES, reference_edges
 from granero.functions.columns import expose, lookup
 from granero.operators import ingest, profile, quarantine, references
 from granero.operators.dedup import deduplicate, drop_exact
@@ -19,9 +21,9 @@ from granero.operators.references import union_all
 from granero.operators.volume import run_volumes, volume_alert
 from granero.plans import checks, gold, kpis, measures
 from granero.plans.lake import Lake
-from granero.session import stage
+from granero.session import scratch_path, stage
 from granero.sources import retail
-from granero.sources.tables import preview, row_counts
+from granero.sources.tables import preview, put_batch, read_table, row_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -85,18 +87,37 @@ def bronze_audit(spark, sf_dir):
     return _published(ingest.stamp(retail.sales(spark, sf_dir), retail.RUN_TS, "retail", "lote-1"))
 
 
+def _stored(spark: SparkSession, *batches: tuple[str, DataFrame]) -> DataFrame:
+    """A table after its batches were written, partitioned, one after the other."""
+    path = scratch_path(spark, "bronze")
+    for batch_id, rows in batches:
+        put_batch(rows, path, batch_id, ingest.INGEST_PARTITIONS)
+    return read_table(spark, path, schema=batches[0][1].schema)
+
+
 @query
 def bronze_partition_counts(spark, sf_dir):
-    sales = stage(retail.sales(spark, sf_dir), "ventas")
-    bronze = ingest.upsert(_loaded(sales), _changes(sales), SALES.key)
+    """Rows per partition of the stored table after two runs."""
+    sales = retail.sales(spark, sf_dir)
+    bronze = ingest.newest(_stored(spark, ("lote-1", _loaded(sales)), ("lote-2", _changes(sales))), SALES.key)
     return bronze.groupBy(*ingest.INGEST_PARTITIONS, "_batch_id").agg(F.count("*").alias("filas"))
 
 
+@query
+def bronze_one_partition(spark, sf_dir):
+    """What the second run brought in, read back from its partition alone."""
+    sales = retail.sales(spark, sf_dir)
+    bronze = _stored(spark, ("lote-1", _loaded(sales)), ("lote-2", _changes(sales)))
+    day = dict(zip(ingest.INGEST_PARTITIONS, (2002, 1, 2), strict=True))
+    found = bronze.where(reduce(and_, [F.col(c) == v for c, v in day.items()]))
+    return found.groupBy("canal_venta").agg(F.count("*").alias("filas"))
+
+
 def _watermarks(spark, sf_dir, as_of) -> DataFrame:
     def one(spec):
         rows = retail.source(spark, sf_dir, spec.name)
         if spec.watermark is None:
-            return rows.limit(1).select(F.lit(spec.name).alias("tabla"), F.lit(None).cast("date").alias("watermark"))
+            return rows.agg(F.lit(None).cast("date").alias("watermark")).select(F.lit(spec.name).alias("tabla"), "watermark")
         mark = ingest.watermark(rows, spec.watermark, as_of)
         return mark.select(F.lit(spec.name).alias("tabla"), "watermark")
 
@@ -139,8 +160,39 @@ def incremental_ingest(spark, sf_dir):
 
 @query
 def merge_upsert(spark, sf_dir):
-    sales = stage(retail.sales(spark, sf_dir), "ventas")
-    return _published(ingest.upsert(_loaded(sales), _changes(sales), SALES.key))
+    """Two runs written to a stored table; corrected rows replace the first ones."""
+    sales = retail.sales(spark, sf_dir)
+    bronze = _stored(spark, ("lote-1", _loaded(sales)), ("lote-2", _changes(sales)))
+    return _published(ingest.newest(bronze, SALES.key))
+
+
+@query
+def merge_repeated(spark, sf_dir):
+    """The second run written twice, as after a failure: the same table."""
+    sales = retail.sales(spark, sf_dir)
+    changes = _changes(sales)
+    stored = _stored(spark, ("lote-1", _loaded(sales)), ("lote-2", changes), ("lote-2", changes))
+    bronze = ingest.newest(stored, SALES.key)
+    return bronze.groupBy("_batch_id", "tipo_pago").agg(F.count("*").alias("filas"), F.count_distinct("id_trans").alias("claves"))
+
+
+@query
+def transactions_by_order(spark, sf_dir):
+    """Measures over sales whose transaction id repeats: all lines of an order are one transaction."""
+    lake = Lake(spark, sf_dir)
+    orders = lake.sales.withColumn("id_trans", F.floor(F.col("id_trans") / 1_000_000).cast("bigint"))
+    return measures.measures_by(measures.Star(orders, lake.star.dims), ["canal_venta"], ["transacciones", "unidades", "ticket_promedio"])
+
+
+@query
+def quality_bad_keys(spark, sf_dir):
+    """Returns with missing keys and exact copies: rejected and counted, not a stop."""
+    good = retail.returns(spark, sf_dir)
+    n = F.col("id_devolucion")
+    lost = good.where(n % 11 == 0).withColumn("id_devolucion", F.lit(None).cast("bigint"))
+    raw = good.where(n % 11 != 0).unionByName(lost).unionByName(good.where(n % 7 == 3).where(n % 11 != 0))
+    rows = drop_exact(raw)
+    return quarantine.quality_row("post_devoluciones", raw, quarantine.tag(rows, RETURNS, retail.AS_OF))
 
 
 @query

@@ -1,14 +1,15 @@
 """One run over all layers: ingest, clean, model, aggregate, check.
 
 Every layer reads the tables the layer before it has written, so no stage
-recomputes another and a failed run is simply started again.
+recomputes another. A run that broke off is started again with the same batch id:
+what it stored is replaced, not added to.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import time
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import partial
 
@@ -16,21 +17,22 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from granero.catalog import TABLES, TableSpec
 from granero.functions.dates import latest_date
-from granero.operators.ingest import INGEST_PARTITIONS, increment, stamp
+from granero.operators.ingest import INGEST_PARTITIONS, increment, late, newest, stamp
 from granero.operators.quarantine import REASON, quality_row, rejected
 from granero.operators.references import union_all
 from granero.operators.volume import volume_alert
 from granero.plans import checks, gold, kpis
-from granero.plans.measures import Star
+from granero.plans.measures import Star, is_unique
 from granero.plans.silver import cleaned
 from granero.session import together
-from granero.sources.tables import Layers, append_table, read_table, replace_table, table_exists, upsert_table
+from granero.sources.tables import Layers, live_paths, put_batch, read_table, replace_table
 
 _STATE = "_estado"
 _VALID, _REJECTED = "valido", "rechazado"
 _LOG_SCHEMA = (
     "tabla string, registros bigint, segundos double, batch_id string, ts_ejecucion timestamp, modo string"
 )
+_LATE_SCHEMA = "tabla string, tardias bigint, batch_id string"
 
 
 @dataclass(frozen=True)
@@ -57,8 +59,10 @@ def _audited(spec: TableSpec) -> T.StructType:
     return T.StructType(spec.schema.fields + [T.StructField(n, t, True) for n, t in extra])
 
 
-def read_bronze(spark: SparkSession, layers: Layers, spec: TableSpec) -> DataFrame:
-    return read_table(spark, layers.path("bronze", spec.name), layers.fmt, _audited(spec))
+def read_bronze(spark: SparkSession, layers: Layers, spec: TableSpec, without: Sequence[str] = ()) -> DataFrame:
+    """The valid rows of all batches but those in ``without``: per key those of the latest run."""
+    stored = read_table(spark, layers.path("bronze", spec.name), layers.fmt, _audited(spec), without)
+    return newest(stored, spec.key)
 
 
 def _read_marked(spark: SparkSession, layers: Layers, spec: TableSpec) -> DataFrame:
@@ -79,27 +83,33 @@ def read_gold(spark: SparkSession, layers: Layers, table: str) -> DataFrame:
 def ingest_table(
     spark: SparkSession, layers: Layers, spec: TableSpec, source: Callable[[], DataFrame], run: Run
 ) -> dict:
-    """Load one table and say how much was loaded."""
+    """Load one table and say how much was loaded.
+
+    Rows are stored as they come: missing and repeated keys are for the
+    cleaning to count and reject. What counts as loaded before leaves this
+    run's own batch out, so a run that is repeated loads the same rows again.
+    """
     started = time.monotonic()
     path = layers.path("bronze", spec.name)
-    loaded = read_bronze(spark, layers, spec) if table_exists(spark, path) else None
+    before = live_paths(spark, path, [run.batch_id])
+    loaded = read_bronze(spark, layers, spec, [run.batch_id]) if before else None
     cap = run.as_of if run.watermark_cap else None
     rows = increment(source(), loaded, spec, run.incremental, cap)
     batch = stamp(rows.select(*spec.column_names), run.ts, run.system, run.batch_id)
-    upsert_table(batch, path, spec.key, INGEST_PARTITIONS, layers.fmt)
-    written = 0
-    if table_exists(spark, path):
-        day = F.lit(run.ts).cast("timestamp")
-        today = (
-            (F.col("_anio_ingesta") == F.year(day))
-            & (F.col("_mes_ingesta") == F.month(day))
-            & (F.col("_dia_ingesta") == F.dayofmonth(day))
-        )
-        written = read_bronze(spark, layers, spec).where(today & (F.col("_batch_id") == run.batch_id)).count()
-    return {"tabla": spec.name, "registros": written, "segundos": round(time.monotonic() - started, 1)}
+    written = put_batch(batch, path, run.batch_id, INGEST_PARTITIONS, layers.fmt).count()
+    skipped = 0
+    if run.incremental and loaded is not None and spec.watermark is not None:
+        skipped = late(source(), loaded, spec, cap).count()
+    return {
+        "tabla": spec.name,
+        "registros": written,
+        "segundos": round(time.monotonic() - started, 1),
+        "tardias": skipped,
+    }
 
 
 def ingest_all(spark: SparkSession, layers: Layers, sources: Mapping[str, Callable[[], DataFrame]], run: Run) -> None:
+    """Load all tables; the log and the count of rows that came too late replace those of an earlier try of the run."""
     mode = "incremental" if run.incremental else "full"
     results = together(
         *[partial(ingest_table, spark, layers, spec, sources[name], run) for name, spec in TABLES.items()]
@@ -108,7 +118,9 @@ def ingest_all(spark: SparkSession, layers: Layers, sources: Mapping[str, Callab
     log = spark.createDataFrame(
         [(r["tabla"], r["registros"], r["segundos"], run.batch_id, ts, mode) for r in results], _LOG_SCHEMA
     )
-    append_table(log, layers.path("bronze", "_log_ingesta"), fmt=layers.fmt)
+    put_batch(log, layers.path("bronze", "_log_ingesta"), run.batch_id, fmt=layers.fmt)
+    skipped = spark.createDataFrame([(r["tabla"], r["tardias"], run.batch_id) for r in results], _LATE_SCHEMA)
+    put_batch(skipped, layers.path("bronze", "_filas_tardias"), run.batch_id, fmt=layers.fmt)
 
 
 def clean_all(spark: SparkSession, layers: Layers, run: Run) -> None:
@@ -117,7 +129,7 @@ def clean_all(spark: SparkSession, layers: Layers, run: Run) -> None:
 
     def clean(spec: TableSpec) -> None:
         parents = {ref.parent: read_silver(spark, layers, TABLES[ref.parent]) for ref in spec.references}
-        tagged = cleaned(read_bronze(spark, layers, spec), spec, run.as_of, parents, keyed=True)
+        tagged = cleaned(read_bronze(spark, layers, spec), spec, run.as_of, parents)
         state = F.when(F.col(REASON).isNull(), _VALID).otherwise(_REJECTED)
         marked = tagged.withColumns({"_ts_silver": stamp_ts, _STATE: state})
         replace_table(marked, layers.path("silver", spec.name), [_STATE], fmt=layers.fmt)
@@ -158,7 +170,7 @@ def model_all(spark: SparkSession, layers: Layers, run: Run) -> None:
         lambda: save(gold.fact_inventory(clean("inv_stock_diario"), sales, ref), "fact_inventario"),
         lambda: save(gold.calendar(sales), "dim_calendario"),
     )
-    star = Star(sales, {"id_tienda": stores, "art_id": products})
+    star = Star(sales, {"id_tienda": stores, "art_id": products}, unique_lines=is_unique(sales, "id_trans"))
     together(
         lambda: save(kpis.agg_daily_sales(star), "agg_ventas_diarias"),
         lambda: save(kpis.return_rate(star, returns), "agg_tasa_devolucion"),
@@ -187,7 +199,7 @@ def check_all(spark: SparkSession, layers: Layers, run: Run) -> DataFrame:
     replace_table(results.withColumn("_ts", stamp_ts), layers.path("gold", "_resultados_dq"), fmt=layers.fmt)
     log = read_table(spark, layers.path("bronze", "_log_ingesta"), layers.fmt)
     alert = volume_alert(log)
-    append_table(alert.withColumn("_ts", stamp_ts), layers.path("bronze", "_alertas_volumen"), fmt=layers.fmt)
+    put_batch(alert.withColumn("_ts", stamp_ts), layers.path("bronze", "_alertas_volumen"), run.batch_id, fmt=layers.fmt)
     quality = read_table(spark, layers.path("silver", "_reporte_calidad"), layers.fmt)
     return checks.run_report(log, quality, model("_resultados_dq"), alert)
 

@@ -30,13 +30,19 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
+    """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where ``spark.checkpoint.dir`` is unset (a laptop or a test run) is a
-    folder under the warehouse chosen instead.
+    Where that is unset a folder under the warehouse stands in, but only with a
+    local master: on a cluster every machine would write to its own disk and a
+    later read would miss rows without an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", "")
-    return named or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_scratch")
+    if named:
+        return named
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
+    return os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_scratch")
 
 
 def together(*writes: Callable[[], object]) -> list:
@@ -54,9 +60,20 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
     For frames that several branches of one job read: each branch then scans
     only the columns and row groups it needs instead of recomputing the lineage.
-    The files lie under the application's id and can go when it has ended.
+    The files lie under the application's id and go when the driver ends.
     """
-    app = df.sparkSession.sparkContext.applicationId
-    path = os.path.join(shared_dir(df.sparkSession), "stage", app, f"{name}-{uuid.uuid4().hex}")
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder; the driver's JVM deletes what lies there when it ends."""
+    folder = os.path.join(shared_dir(spark), "stage", spark.sparkContext.applicationId)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(folder)
+    files = hadoop_path.getFileSystem(conf)
+    files.mkdirs(hadoop_path)  # only what exists can be marked
+    files.deleteOnExit(hadoop_path)
+    return os.path.join(folder, f"{name}-{uuid.uuid4().hex}")

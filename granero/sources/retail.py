@@ -166,13 +166,15 @@ def _sale_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         numbered.join(orders, "l_orderkey")
         .withColumns(
             {
-                "id_trans": F.col("l_orderkey") * 1000 + F.col("rn"),
+                "id_trans": F.col("l_orderkey") * 1_000_000 + F.col("rn"),
+                "_n": F.col("l_orderkey") * 1000 + F.col("rn"),  # decides defects; need not be unique
                 "qty_vendida": F.col("l_quantity").cast("int"),
                 "precio_unitario_venta": F.col("l_extendedprice").cast("decimal(12,2)"),
             }
         )
         .select(
             "id_trans",
+            "_n",
             _unless(F.col("l_orderkey") % 10 < 3, F.col("o_custkey")).alias("id_miembro"),
             F.col("l_suppkey").alias("id_tienda"),
             part.alias("art_id"),
@@ -218,15 +220,11 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     A repeated line comes out of ``explode`` on its original, so the raw tables
     are read once.
     """
-    ids = F.when(F.col("id_trans") % 997 == 0, F.array("id_trans", F.col("id_trans") + 10**12)).otherwise(
-        F.array("id_trans")
-    )
-    lines = (
-        _sale_lines(spark, sf_dir)
-        .select(F.explode(ids).alias("_id"), *[c for c in _SALE_COLUMNS if c != "id_trans"])
-        .withColumnRenamed("_id", "id_trans")
-    )
-    n = F.col("id_trans")
+    own = F.struct("id_trans", "_n")
+    again = F.struct((F.col("id_trans") + 10**18).alias("id_trans"), (F.col("_n") + 10**12).alias("_n"))
+    ids = F.when(F.col("_n") % 997 == 0, F.array(own, again)).otherwise(F.array(own))
+    lines = _sale_lines(spark, sf_dir).select(F.inline(ids), *[c for c in _SALE_COLUMNS if c != "id_trans"])
+    n = F.col("_n")
     return lines.withColumns(
         {
             "art_id": F.when(n % 1019 == 11, F.lit(99999999)).otherwise(F.col("art_id")).cast("bigint"),
@@ -254,7 +252,7 @@ def stock(spark: SparkSession, sf_dir: str) -> DataFrame:
         pairs.join(categories, "a")
         .select("a", "t", "n1", F.explode(F.sequence(F.lit(0), F.lit(29))).alias("d"))
         .select(
-            ((a * 100000 + t) * 100 + d).alias("id_snapshot"),
+            ((a * 1_000_000 + t) * 64 + d).alias("id_snapshot"),
             a.alias("art_id"),
             t.alias("id_tienda"),
             F.date_add(F.lit(dt.date(2001, 7, 2)), d).alias("fec_snapshot"),
@@ -268,7 +266,7 @@ def stock(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def returns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n, order = F.col("id_trans"), F.col("_pedido")
+    n, order = F.col("_n"), F.col("_pedido")
     state = (
         F.when(order % 10 < 4, "PROCESADA").when(order % 10 < 6, "APROBADA").when(order % 10 < 9, "REEMBOLSADA")
     ).otherwise("RECHAZADA")
@@ -280,8 +278,8 @@ def returns(spark: SparkSession, sf_dir: str) -> DataFrame:
         _sale_lines(spark, sf_dir)
         .where(F.col("_marca") == "R")
         .select(
-            n.alias("id_devolucion"),
-            n.alias("id_trans_origen"),
+            F.col("id_trans").alias("id_devolucion"),
+            F.col("id_trans").alias("id_trans_origen"),
             "art_id",
             "id_tienda",
             F.date_add(F.col("fec_trans"), (1 + n % 30).cast("int")).alias("fec_devolucion"),

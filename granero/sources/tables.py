@@ -1,16 +1,18 @@
-"""Tables by layer and path: read, replace, append, upsert, export, describe."""
+"""Tables by layer and path: read, replace, append, store batches, export, describe."""
 
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from granero.catalog import TableSpec
-from granero.operators.ingest import check_upsert_keys, upsert
+from granero.operators.ingest import check_upsert_keys
 from granero.operators.references import union_all
 
 
@@ -31,84 +33,110 @@ def _fs_path(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(conf), hadoop_path
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """Does the path hold data files or partition folders (not just job markers)?"""
+# Folders are named like partitions, so that Spark reads several of them as one table.
+_VERSION = re.compile(r"__version=(\d{10})-[0-9a-f]{32}")
+_BATCH = "__lote="
+_DONE = "_SUCCESS"
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs_path(spark, path)
-    if not fs.exists(p):
-        return False
-    names = [entry.getPath().getName() for entry in fs.listStatus(p)]
-    return any("=" in name or not name.startswith(("_", ".")) for name in names)
+    return sorted(entry.getPath().getName() for entry in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Finished versions of a table, oldest first: those whose write has put its mark, the last thing it does."""
+    found = [name for name in _names(spark, path) if _VERSION.fullmatch(name)]
+    return [f"{path}/{name}" for name in found if _DONE in _names(spark, f"{path}/{name}")]
+
+
+def live_paths(spark: SparkSession, path: str, without: Sequence[str] = ()) -> list[str]:
+    """Folders whose files are the table: its newest version, the newest version of each batch, or the path itself.
+
+    ``without`` leaves out batches by id.
+    """
+    path = path.rstrip("/")
+    names = _names(spark, path)
+    batches = [name for name in names if name.startswith(_BATCH)]
+    if batches:
+        hidden = {_batch_folder(batch) for batch in without}
+        found = [_versions(spark, f"{path}/{name}") for name in batches if name not in hidden]
+        return [versions[-1] for versions in found if versions]
+    if any(_VERSION.fullmatch(name) for name in names):
+        return _versions(spark, path)[-1:]
+    return [path] if any("=" in name or not name.startswith(("_", ".")) for name in names) else []
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Does the path hold a table: a finished version or batch, data files or partition folders?"""
+    return bool(live_paths(spark, path))
 
 
 def read_table(
-    spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    schema: T.StructType | None = None,
+    without: Sequence[str] = (),
 ) -> DataFrame:
-    reader = spark.read.format(fmt)
-    return (reader.schema(schema) if schema is not None else reader).load(path)
+    """The rows of a table as it is now; later writes do not change a frame that was read before."""
+    paths = live_paths(spark, path, without)
+    if not paths and schema is not None and _names(spark, path):
+        return spark.createDataFrame([], schema)
+    reader = spark.read.format(fmt).option("basePath", path)
+    rows = (reader.schema(schema) if schema is not None else reader).load(paths or path)
+    return rows.drop(_BATCH[:-1], "__version")
 
 
 def replace_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), gather: bool = False, fmt: str = "parquet"
 ) -> None:
-    """Write a table anew, its schema included.
-
-    The new files go next to the old ones and take their place when the write
-    has succeeded; a failed run leaves the old table as it was. With ``gather``
-    the rows of an output partition are brought together first: rebalancing
-    merges small partitions and splits one that is too large for a task, so a
-    hot date costs more files and not one endless task.
+    """Write a table anew, its schema included, as a new version beside the old one.
+
+    A version counts from the moment Spark marks its write as complete, so a run
+    that breaks off at any point leaves either the old table or the new one, and
+    running it again gives the new one. Nothing is moved or copied. The
+    version before stays for readers that still hold it; older ones go.
+    With ``gather`` the rows of an output partition are brought together first:
+    rebalancing merges small partitions and splits one that is too large for a
+    task, so a hot date costs more files and not one endless task.
     """
-    spark = df.sparkSession
-    fresh = f"{path.rstrip('/')}__new_{uuid.uuid4().hex}"
+    spark, path = df.sparkSession, path.rstrip("/")
+    numbers = [int(m[1]) for m in map(_VERSION.fullmatch, _names(spark, path)) if m]
+    fresh = f"{path}/__version={max(numbers, default=0) + 1:010d}-{uuid.uuid4().hex}"
     rows = df.hint("rebalance", *partition_by) if gather and partition_by else df
     rows.write.format(fmt).partitionBy(*partition_by).save(fresh)
-    fs, new = _fs_path(spark, fresh)
-    _, old = _fs_path(spark, path)
-    fs.delete(old, True)
-    fs.mkdirs(old.getParent())
-    if not fs.rename(new, old):
-        raise OSError(f"could not move {fresh} to {path}")
-    spark.catalog.refreshByPath(path)
+    fs, mark = _fs_path(spark, f"{fresh}/{_DONE}")
+    if not fs.exists(mark):  # marks can be switched off
+        fs.create(mark).close()
+    kept = _versions(spark, path)[-2:]
+    for name in _names(spark, path):
+        if _VERSION.fullmatch(name) and f"{path}/{name}" < kept[0]:
+            fs, old = _fs_path(spark, f"{path}/{name}")
+            fs.delete(old, True)
 
 
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("append").partitionBy(*partition_by).save(path)
 
 
-def upsert_table(changes: DataFrame, path: str, key: str, partition_by: Sequence[str], fmt: str = "parquet") -> str:
-    """Keyed upsert into a file table; returns ``created``, ``appended``, ``rewritten`` or ``unchanged``.
+def _batch_folder(batch_id: str) -> str:
+    return _BATCH + quote(batch_id, safe="")
+
+
+def put_batch(
+    df: DataFrame, path: str, batch_id: str, partition_by: Sequence[str] = (), fmt: str = "parquet"
+) -> DataFrame:
+    """Store the rows of one run in a table made of batches; returns them as stored.
 
-    New keys are appended. Where a key is already there, only the files that
-    hold such keys are read again: their other rows and the changes are
-    appended as new files, then the old files are removed. Nothing is removed
-    before its replacement is complete, so a run that breaks off loses no row,
-    and running the same changes again gives the same table.
+    A batch that is written again takes the place of what it wrote before, so a
+    run can be repeated. A batch that broke off does not count. The table is
+    neither read nor rewritten: which row of a key is valid is decided by its
+    readers (:func:`granero.operators.ingest.newest`).
     """
-    spark = changes.sparkSession
-    bounds = check_upsert_keys(changes, key)
-    if bounds is None:
-        return "unchanged"
-    if not table_exists(spark, path):
-        append_table(changes, path, partition_by, fmt)
-        return "created"
-
-    target = read_table(spark, path, fmt)
-    # The key range of the changes lets the scan skip files by their statistics.
-    candidates = target.where(F.col(key).between(*bounds)).select(key, F.col("_metadata.file_path").alias("_file"))
-    found = candidates.join(changes.select(key), key, "left_semi").select("_file").distinct()
-    files = [row["_file"] for row in found.collect()]  # file names, as in a listing
-    if not files:
-        append_table(changes, path, partition_by, fmt)
-        spark.catalog.refreshByPath(path)
-        return "appended"
-
-    hit = spark.read.format(fmt).schema(target.schema).option("basePath", path).load(files)
-    append_table(upsert(hit, changes.select(*target.columns), key), path, partition_by, fmt)
-    for name in files:
-        fs, old = _fs_path(spark, name)
-        fs.delete(old, False)
-    spark.catalog.refreshByPath(path)
-    return "rewritten"
+    folder = f"{path.rstrip('/')}/{_batch_folder(batch_id)}"
+    replace_table(df, folder, partition_by, fmt=fmt)
+    return read_table(df.sparkSession, folder, fmt, df.schema)
 
 
 def merge_into_catalog(changes: DataFrame, table: str, key: str) -> None:

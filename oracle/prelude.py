@@ -73,7 +73,7 @@ SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_pa
 FROM lineitem"""
 
 CTES["ventas_base"] = """
-SELECT l_orderkey * 1000 + rn AS id_trans,
+SELECT l_orderkey * 1000000 + rn AS id_trans, l_orderkey * 1000 + rn AS n,
        CASE WHEN l_orderkey % 10 < 3 THEN NULL ELSE o_custkey END AS id_miembro,
        l_suppkey AS id_tienda, l_partkey AS art_id, CAST(o_orderdate AS DATE) AS fec_trans,
        lpad(CAST(8 + rn % 12 AS VARCHAR), 2, '0') || ':00:00' AS hra_trans,
@@ -91,20 +91,20 @@ FROM ventas_num JOIN orders ON l_orderkey = o_orderkey"""
 CTES["ventas_rep"] = """
 SELECT * FROM ventas_base
 UNION ALL
-SELECT * REPLACE (id_trans + 1000000000000 AS id_trans) FROM ventas_base WHERE id_trans % 997 = 0"""
+SELECT * REPLACE (id_trans + 1000000000000000000 AS id_trans, n + 1000000000000 AS n) FROM ventas_base WHERE n % 997 = 0"""
 
 CTES["trans_ventas"] = """
 SELECT id_trans, id_miembro, id_tienda,
-       CAST(CASE WHEN id_trans % 1019 = 11 THEN 99999999 ELSE art_id END AS BIGINT) AS art_id,
-       CASE WHEN id_trans % 1013 = 7 THEN CAST(DATE '2027-01-01' + CAST(id_trans % 365 AS INTEGER) AS DATE)
+       CAST(CASE WHEN n % 1019 = 11 THEN 99999999 ELSE art_id END AS BIGINT) AS art_id,
+       CASE WHEN n % 1013 = 7 THEN CAST(DATE '2027-01-01' + CAST(n % 365 AS INTEGER) AS DATE)
             ELSE fec_trans END AS fec_trans, hra_trans, qty_vendida,
-       CAST(CASE WHEN id_trans % 1009 = 5 THEN -precio_unitario_venta ELSE precio_unitario_venta END
+       CAST(CASE WHEN n % 1009 = 5 THEN -precio_unitario_venta ELSE precio_unitario_venta END
             AS DECIMAL(12,2)) AS precio_unitario_venta,
        descuento_aplicado, tipo_pago, canal_venta
 FROM ventas_rep"""
 
 CTES["inv_stock_diario"] = f"""
-SELECT (a * 100000 + t) * 100 + d AS id_snapshot, a AS art_id, t AS id_tienda,
+SELECT (a * 1000000 + t) * 64 + d AS id_snapshot, a AS art_id, t AS id_tienda,
        CAST(DATE '2001-07-02' + CAST(d AS INTEGER) AS DATE) AS fec_snapshot,
        CAST((a * 31 + t * 17 + d * 7) % 31 AS INTEGER) AS stock_fisico,
        CASE WHEN (a + d) % 20 = 4 THEN NULL ELSE CAST((a + d) % 10 AS INTEGER) END AS stock_transito,
@@ -119,14 +119,14 @@ CROSS JOIN (SELECT range AS d FROM range(30)) dias"""
 
 CTES["post_devoluciones"] = """
 SELECT id_trans AS id_devolucion, id_trans AS id_trans_origen, art_id, id_tienda,
-       CAST(fec_trans + CAST(1 + id_trans % 30 AS INTEGER) AS DATE) AS fec_devolucion,
-       CAST(CASE WHEN id_trans % 10 < 8 THEN 1 ELSE qty_vendida END AS INTEGER) AS qty_devuelta,
+       CAST(fec_trans + CAST(1 + n % 30 AS INTEGER) AS DATE) AS fec_devolucion,
+       CAST(CASE WHEN n % 10 < 8 THEN 1 ELSE qty_vendida END AS INTEGER) AS qty_devuelta,
        CASE l_linenumber WHEN 1 THEN 'DEFECTUOSO' WHEN 2 THEN 'NO_DESEADO' WHEN 3 THEN 'TALLA'
             WHEN 4 THEN 'INCOMPLETO' WHEN 5 THEN 'NO_CORRESPONDE' WHEN 6 THEN 'VENCIDO' ELSE 'OTRO' END AS motivo_cod,
-       CASE WHEN id_trans % 10 < 8 THEN canal_venta ELSE 'WEB' END AS canal_devolucion,
+       CASE WHEN n % 10 < 8 THEN canal_venta ELSE 'WEB' END AS canal_devolucion,
        CASE WHEN l_orderkey % 10 < 4 THEN 'PROCESADA' WHEN l_orderkey % 10 < 6 THEN 'APROBADA'
             WHEN l_orderkey % 10 < 9 THEN 'REEMBOLSADA' ELSE 'RECHAZADA' END AS estado_devolucion,
-       CASE WHEN id_trans % 20 = 0 THEN NULL
+       CASE WHEN n % 20 = 0 THEN NULL
             ELSE CAST(precio_unitario_venta * CAST(qty_vendida AS DECIMAL(10,0)) *
                  CAST(CASE WHEN l_orderkey % 10 < 4 THEN 0.90 WHEN l_orderkey % 10 < 6 THEN 0.95
                            WHEN l_orderkey % 10 < 9 THEN 1.00 ELSE 0.00 END AS DECIMAL(3,2)) AS DECIMAL(12,2))

@@ -241,7 +241,24 @@ SELECT {_SALE_ROW}, {_RUN1} FROM trans_ventas WHERE fec_trans <= {SPLIT}
 UNION ALL
 SELECT {_SALE_ROW}, {_RUN2} FROM trans_ventas
 WHERE fec_trans > (SELECT max(fec_trans) FROM trans_ventas WHERE fec_trans <= {SPLIT})""",
+    "bronze_one_partition": f"""
+SELECT canal_venta, count(*) AS filas FROM ({_MERGED}) m WHERE _dia_ingesta = 2 GROUP BY canal_venta""",
     "merge_upsert": _MERGED,
+    "merge_repeated": f"""
+SELECT _batch_id, tipo_pago, count(*) AS filas, count(DISTINCT id_trans) AS claves FROM ({_MERGED}) m
+GROUP BY _batch_id, tipo_pago""",
+    "transactions_by_order": """
+SELECT canal_venta, count(DISTINCT id_trans // 1000000) AS transacciones, CAST(sum(qty_vendida) AS BIGINT) AS unidades,
+       CAST(sum(vr_venta_neto) AS DOUBLE) / CAST(count(DISTINCT id_trans // 1000000) AS DOUBLE) AS ticket_promedio
+FROM fact_ventas GROUP BY canal_venta""",
+    "quality_bad_keys": f"""
+SELECT 'post_devoluciones' AS tabla, entrada, entrada - salida - rechazados AS duplicados, rechazados, salida,
+       {dec_round("100.0 * CAST(salida AS DOUBLE) / CAST(entrada AS DOUBLE)", 2)} AS pct_conformes
+FROM (SELECT count(*) + count(*) FILTER (WHERE id_devolucion % 7 = 3 AND id_devolucion % 11 <> 0) AS entrada,
+             count(*) FILTER (WHERE id_devolucion % 11 <> 0) AS salida,
+             (SELECT count(*) FROM (SELECT DISTINCT * EXCLUDE (id_devolucion) FROM post_devoluciones
+                                    WHERE id_devolucion % 11 = 0) x) AS rechazados
+      FROM post_devoluciones) q""",
     "merge_idempotent": f"""
 SELECT pasadas, count(*) AS filas, count(DISTINCT id_trans) AS claves,
        count(*) FILTER (WHERE tipo_pago = 'TRANSFER') AS corregidas, CAST(sum(qty_vendida) AS BIGINT) AS unidades

@@ -109,9 +109,44 @@ def test_net_sales_agree_everywhere(spark, lake):
 
 def test_running_again_changes_nothing(spark, lake):
     layers, run, landed, *_ = lake
-    before = {t: rows(read_gold(spark, layers, t)) for t in ("fact_ventas", "fact_rfm_clientes", "kpi_ventas_semanales")}
+    tables = ("fact_ventas", "fact_rfm_clientes", "kpi_ventas_semanales")
+    before = {t: rows(read_gold(spark, layers, t)) for t in tables}
     bronze = read_bronze(spark, layers, SALES).count()
+    log = rows(read_table(spark, layers.path("bronze", "_log_ingesta")), "tabla", "batch_id", "registros")
+    alerts = rows(read_table(spark, layers.path("bronze", "_alertas_volumen")))
     refresh(spark, layers, landed, run)
     assert read_bronze(spark, layers, SALES).count() == bronze
     assert read_silver(spark, layers, RETURNS).count() == 1960
     assert {t: rows(read_gold(spark, layers, t)) for t in before} == before
+    assert rows(read_table(spark, layers.path("bronze", "_log_ingesta")), "tabla", "batch_id", "registros") == log
+    assert rows(read_table(spark, layers.path("bronze", "_alertas_volumen"))) == alerts
+
+
+def test_bad_keys_and_an_empty_source_do_not_stop_a_run(spark, small, lake, tmp_path):
+    """Missing keys are rejected, copies counted, a table without rows stays readable; late rows are reported."""
+    _, _, landed, *_ = lake
+    layers = Layers(str(tmp_path / "lake"))
+    suppliers = landed["mstr_proveedores"]()
+    lost = suppliers.limit(2).withColumn("id_proveedor", F.lit(None).cast("bigint"))
+    sources = {
+        **landed,
+        "mstr_proveedores": lambda: suppliers.unionByName(lost).unionByName(suppliers.where("id_proveedor <= 3")),
+        "post_devoluciones": lambda: landed["post_devoluciones"]().limit(0),
+    }
+    refresh(spark, layers, sources, Run(retail.AS_OF, "2002-01-01 02:00:00", "lote-1", "retail"))
+    report = {r["tabla"]: r for r in read_table(spark, layers.path("silver", "_reporte_calidad")).collect()}
+    n = suppliers.count()
+    got = report["mstr_proveedores"]
+    assert (got["entrada"], got["duplicados"], got["rechazados"], got["salida"]) == (n + 5, 3, 2, n)
+    errors = read_table(spark, layers.path("silver", "_errores")).where("motivo = 'pk_nula'")
+    assert rows(errors, "tabla_origen", "id_registro") == [("mstr_proveedores", None)] * 2
+    assert read_gold(spark, layers, "fact_devoluciones").count() == 0
+
+    late = {**sources, "post_devoluciones": landed["post_devoluciones"]}
+    gone = landed["trans_ventas"]().where("canal_venta <> 'APP'")
+    first = Layers(str(tmp_path / "late"))
+    refresh(spark, first, {**late, "trans_ventas": lambda: gone}, Run(retail.AS_OF, "2002-01-01 02:00:00", "lote-1", "retail"))
+    refresh(spark, first, late, Run(retail.AS_OF, "2002-01-02 02:00:00", "lote-2", "retail"))
+    skipped = read_table(spark, first.path("bronze", "_filas_tardias")).where("batch_id = 'lote-2' AND tabla = 'trans_ventas'")
+    expected = landed["trans_ventas"]().where("canal_venta = 'APP'").count()
+    assert 0.9 * expected <= skipped.first()["tardias"] <= expected
