@@ -103,7 +103,11 @@ def _classes(documents: DataFrame, k: int) -> DataFrame:
 
 
 def _levels(rows: DataFrame) -> np.ndarray:
-    """For each counter how many doublings it lies above eight times the mean; frequent shingles get a late place."""
+    """For each counter how many doublings it lies above what chance puts there; frequent shingles get a late place.
+
+    A counter holds the shingles of its hash range, on average ``mean``
+    occurrences, give or take the root of that.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[int, np.ndarray] = {}
@@ -121,7 +125,8 @@ def _levels(rows: DataFrame) -> np.ndarray:
     for part, blob in summed.collect():  # PARTS rows of a fixed size
         load[part] = np.frombuffer(blob, np.uint64)
     load = load.ravel()
-    return np.clip(np.floor(np.log2(np.maximum(load / (load.mean() + 1), 1e-9))) - 2, 0, 60).astype(np.uint8)
+    surplus = (load - load.mean()) / (4 * np.sqrt(load.mean()) + 4)
+    return np.clip(np.floor(np.log2(np.maximum(surplus, 0.5))) + 1, 0, 60).astype(np.uint8)
 
 
 def _entries(documents: DataFrame, levels: np.ndarray, k: int, buckets: int) -> DataFrame:
@@ -256,14 +261,14 @@ def _needed(n: Column, m: Column) -> Column:
 
 
 def _may_link(n: Column, m: Column, common: Column) -> Column:
-    """Whether sets of n and m with so many common leading shingles can link.
+    """Whether sets of n and m, three quarters of each other at least, with so many common leading shingles can link.
 
     Of the two last leading shingles take the earlier one: whatever both sets
     have up to it is leading in both and was counted, and behind it the set that
     it belongs to has all but its leading shingles.
     """
     behind = F.greatest(F.ceil(n * 0.75), F.ceil(m * 0.75)) - 1
-    return (4 * F.least(n, m) >= 3 * F.greatest(n, m)) & (common + behind >= _needed(n, m))
+    return common + behind >= _needed(n, m)
 
 
 def jaccard_links(documents: DataFrame, k: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
@@ -287,7 +292,8 @@ def jaccard_links(documents: DataFrame, k: int = SHINGLE) -> tuple[DataFrame, Da
     links = spark.createDataFrame([], "a long, b long, common long")
     roots = distances = sets = None
     low, pivots = 0, FIRST_PIVOTS
-    live = postings.withColumn("root", F.col("class")).withColumn("distance", F.lit(None).cast("double"))
+    live = postings.join(members.select("class", "n"), "class")
+    live = live.withColumn("root", F.col("class")).withColumn("distance", F.lit(None).cast("double"))
     while True:
         if roots is not None:
             live = live.drop("root").join(roots.withColumnRenamed("node", "class"), "class", "left")
@@ -298,7 +304,7 @@ def jaccard_links(documents: DataFrame, k: int = SHINGLE) -> tuple[DataFrame, Da
         if distances is not None:
             live = live.drop("distance").join(distances, ["home", "class"], "left")
             distances = None
-        live = stage(live.select("shingle", "class", "rank", "home", "root", "distance"), "regions")
+        live = stage(live.select("shingle", "class", "n", "rank", "home", "root", "distance"), "regions")
         if live.where(F.col("rank") > low).limit(1).count() == 0:
             break
         p = live.where((F.col("rank") >= low) & (F.col("rank") < low + pivots)).alias("p")
@@ -309,6 +315,7 @@ def jaccard_links(documents: DataFrame, k: int = SHINGLE) -> tuple[DataFrame, Da
             (F.col("p.shingle") == F.col("y.shingle"))
             & (F.col("y.rank") > F.col("p.rank"))
             & (F.col("p.root") != F.col("y.root"))
+            & (4 * F.least("p.n", "y.n") >= 3 * F.greatest("p.n", "y.n"))
             & window,
         ).select(F.col("p.class").alias("a"), F.col("y.class").alias("b"))
         left = members.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("leading").alias("la"))
