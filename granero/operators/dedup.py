@@ -14,15 +14,20 @@ def drop_exact(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
+def first_per_key(
+    df: DataFrame, key: Sequence[str], order: Sequence[Column | str], unique: bool = False
+) -> DataFrame:
     """The first row of each key in the given order.
 
     Rows that tie on ``order`` are told apart by a hash of the whole row, so the
-    choice does not depend on how the data is laid out. Spark limits every key
+    choice does not depend on how the data is laid out. ``unique`` states that
+    nothing ties, or that rows that tie are alike to the reader; the hash, and
+    with it the reading of all columns, is then left out. Spark limits every key
     to its best row within each task before the shuffle, so a key that holds a
     large part of the table sends one row per task.
     """
-    ranking = Window.partitionBy(*key).orderBy(*order, F.xxhash64(*df.columns))
+    ties = [] if unique else [F.xxhash64(*df.columns)]
+    ranking = Window.partitionBy(*key).orderBy(*order, *ties)
     return df.withColumn("_orden", F.row_number().over(ranking)).where("_orden = 1").drop("_orden")
 
 
@@ -35,5 +40,5 @@ def deduplicate(df: DataFrame, spec: TableSpec, keyed: bool = False) -> DataFram
     unique, no two rows can be equal, and the exact step is left out.
     """
     if spec.business_key:
-        return first_per_key(df, spec.business_key, [F.col(spec.key).asc_nulls_first()])
+        return first_per_key(df, spec.business_key, [F.col(spec.key).asc_nulls_first()], unique=keyed)
     return df if keyed else drop_exact(df)

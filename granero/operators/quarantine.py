@@ -44,7 +44,8 @@ def tag(
     flags: list[str] = []
     for ref in spec.references if parents is not None else ():
         flag = f"_ok_{ref.column}"
-        df = with_match_flag(df, ref.column, parents[ref.parent], TABLES[ref.parent].key, flag)
+        spread = spec.key if ref.null_ok else None
+        df = with_match_flag(df, ref.column, parents[ref.parent], TABLES[ref.parent].key, flag, spread)
         failed = ~F.col(flag)
         if ref.null_ok:
             failed = failed & F.col(ref.column).isNotNull()

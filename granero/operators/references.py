@@ -22,25 +22,24 @@ def left_lookup(fact: DataFrame, dim: DataFrame, key: str, spread_nulls_by: str
     probe = fact.withColumn("_clave", F.coalesce(F.col(key).cast("bigint"), scattered))
     build = dim.withColumn("_clave_dim", F.col(key).cast("bigint")).drop(key)
     matches = (F.col("_clave") == F.col("_clave_dim")) & F.col(key).isNotNull()
-    return probe.join(build, matches, "left").drop("_clave", "_clave_dim")
+    return probe.join(build, matches, "left").select(*fact.columns, *[c for c in dim.columns if c != key])
 
 
 def _keys(parent: DataFrame, key: str, name: str) -> DataFrame:
     return parent.select(F.col(key).alias(name)).where(F.col(name).isNotNull()).distinct()
 
 
-def with_match_flag(child: DataFrame, fk: str, parent: DataFrame, key: str, flag: str) -> DataFrame:
+def with_match_flag(
+    child: DataFrame, fk: str, parent: DataFrame, key: str, flag: str, spread_nulls_by: str | None = None
+) -> DataFrame:
     """Add ``flag``: does the foreign key exist in the parent? A null key does not.
 
     A left join rather than a semi plus an anti join: one pass yields both sides
-    of the split, and a hot foreign key can be split between tasks.
+    of the split, and a hot foreign key can be split between tasks. With
+    ``spread_nulls_by`` null keys are scattered as in :func:`left_lookup`.
     """
-    keys = _keys(parent, key, "_pk").withColumn("_hit", F.lit(True))
-    return (
-        child.join(keys, F.col(fk) == F.col("_pk"), "left")
-        .withColumn(flag, F.coalesce("_hit", F.lit(False)))
-        .drop("_pk", "_hit")
-    )
+    keys = _keys(parent, key, fk).withColumn("_hit", F.lit(True))
+    return left_lookup(child, keys, fk, spread_nulls_by).withColumn(flag, F.coalesce("_hit", F.lit(False))).drop("_hit")
 
 
 def orphans(child: DataFrame, fk: str, parent: DataFrame, key: str) -> DataFrame:
@@ -53,9 +52,11 @@ def resolved(child: DataFrame, fk: str, parent: DataFrame, key: str) -> DataFram
     return child.join(_keys(parent, key, "_pk"), F.col(fk) == F.col("_pk"), "left_semi")
 
 
-def resolved_or_null(child: DataFrame, fk: str, parent: DataFrame, key: str) -> DataFrame:
+def resolved_or_null(
+    child: DataFrame, fk: str, parent: DataFrame, key: str, spread_nulls_by: str | None = None
+) -> DataFrame:
     """As :func:`resolved`, but a null foreign key passes as well (one pass, no re-union)."""
-    flagged = with_match_flag(child, fk, parent, key, "_ok")
+    flagged = with_match_flag(child, fk, parent, key, "_ok", spread_nulls_by)
     return flagged.where(F.col("_ok") | F.col(fk).isNull()).drop("_ok")
 
 

@@ -153,7 +153,8 @@ def trailing_consumption(sales: DataFrame, ref: Column, days: int = CONSUMPTION_
 
 
 def latest_snapshot(stock: DataFrame) -> DataFrame:
-    return first_per_key(stock, ["art_id", "id_tienda"], [F.desc("fec_snapshot"), F.desc("id_snapshot")])
+    newest = [F.desc("fec_snapshot"), F.desc("id_snapshot")]
+    return first_per_key(stock, ["art_id", "id_tienda"], newest, unique=True)
 
 
 def fact_inventory(stock: DataFrame, sales: DataFrame, ref: Column) -> DataFrame:
@@ -222,14 +223,15 @@ def rfm_base(sales: DataFrame, ref: Column) -> DataFrame:
     return totals.select("id_miembro", F.date_diff(ref, "_ultima").alias("recencia_dias"), "frecuencia", "monetario")
 
 
-def rfm_label() -> Column:
+def rfm_label(champion: int = 4, loyal: int = 3, recent: int = 4, at_risk: int = 2) -> Column:
+    """The first rule that holds; a missing score satisfies none."""
     r, f, m = F.col("R"), F.col("F"), F.col("M")
     return first_match(
         [
-            ((F.least(r, f, m) >= 4), "Champions"),
-            ((F.least(r, f) >= 3), "Leales"),
-            ((r >= 4), "Recientes"),
-            ((r <= 2), "En riesgo"),
+            ((r >= champion) & (f >= champion) & (m >= champion), "Champions"),
+            ((r >= loyal) & (f >= loyal), "Leales"),
+            (r >= recent, "Recientes"),
+            (r <= at_risk, "En riesgo"),
         ],
         "Ocasionales",
     )

@@ -24,22 +24,42 @@ class Lake:
 
     A job that reads a cleaned table several times names it in ``staged``: it is
     then written once in the shared folder, as the layered refresh does, and
-    every reader scans the columns it needs.
+    every reader scans the columns it needs. A report over all tables names in
+    ``landed`` the sources it would otherwise derive again to count them; the
+    keys of parents are then written once too, for all their children.
     """
 
     def __init__(
-        self, spark: SparkSession, sf_dir: str, staged: Collection[str] = (), as_of: dt.date = retail.AS_OF
+        self,
+        spark: SparkSession,
+        sf_dir: str,
+        staged: Collection[str] = (),
+        as_of: dt.date = retail.AS_OF,
+        landed: Collection[str] = (),
     ) -> None:
-        self.spark, self.sf_dir, self.as_of, self.staged = spark, sf_dir, as_of, staged
+        self.spark, self.sf_dir, self.as_of, self.staged, self.landed = spark, sf_dir, as_of, staged, landed
+        self._sources: dict[str, DataFrame] = {}
         self._tagged: dict[str, DataFrame] = {}
+        self._parents: dict[str, DataFrame] = {}
 
     def source(self, table: str) -> DataFrame:
-        return retail.source(self.spark, self.sf_dir, table)
+        if table not in self._sources:
+            rows = retail.source(self.spark, self.sf_dir, table)
+            self._sources[table] = stage(rows, f"{table}-origen") if table in self.landed else rows
+        return self._sources[table]
+
+    def parent(self, table: str) -> DataFrame:
+        """What a foreign key is checked against."""
+        if not self.landed or table in self.staged:
+            return self.silver(table)
+        if table not in self._parents:
+            self._parents[table] = stage(self.silver(table).select(TABLES[table].key), f"{table}-claves")
+        return self._parents[table]
 
     def tagged(self, table: str) -> DataFrame:
         if table not in self._tagged:
             spec = TABLES[table]
-            parents = {ref.parent: self.silver(ref.parent) for ref in spec.references}
+            parents = {ref.parent: self.parent(ref.parent) for ref in spec.references}
             frame = cleaned(self.source(table), spec, self.as_of, parents)
             if table in self.staged:
                 frame = stage(frame, table)

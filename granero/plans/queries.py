@@ -23,7 +23,7 @@ from granero.plans import checks, gold, kpis, measures
 from granero.plans.lake import Lake
 from granero.session import scratch_path, stage
 from granero.sources import retail
-from granero.sources.tables import preview, put_batch, read_table, row_counts
+from granero.sources.tables import export, preview, put_batch, read_table, row_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -176,6 +176,29 @@ def merge_repeated(spark, sf_dir):
     return bronze.groupBy("_batch_id", "tipo_pago").agg(F.count("*").alias("filas"), F.count_distinct("id_trans").alias("claves"))
 
 
+@query
+def full_reload(spark, sf_dir):
+    """A second run that loads everything again: all rows are those of the second run."""
+    sales = retail.sales(spark, sf_dir)
+    loaded = _loaded(sales)
+    again = _next_run(ingest.increment(sales, loaded, SALES, incremental=False))
+    bronze = ingest.newest(_stored(spark, ("lote-1", loaded), ("lote-2", again)), SALES.key)
+    return bronze.groupBy("_batch_id", "canal_venta").agg(F.count("*").alias("filas"))
+
+
+@query
+def export_formats(spark, sf_dir):
+    """The stores written as csv, parquet and JSON lines, and read back."""
+    stores = retail.stores(spark, sf_dir)
+    paths = export(stores, "tiendas", scratch_path(spark, "export"), ["csv", "parquet", "json"])
+    read = {
+        "csv": spark.read.schema(stores.schema).csv(paths["csv"], header=True),
+        "json": spark.read.schema(stores.schema).json(paths["json"]),
+        "parquet": spark.read.parquet(paths["parquet"]),
+    }
+    return union_all(rows.select(F.lit(fmt).alias("formato"), "id_tienda", "id_pais", "tipo_tienda") for fmt, rows in read.items())
+
+
 @query
 def transactions_by_order(spark, sf_dir):
     """Measures over sales whose transaction id repeats: all lines of an order are one transaction."""
@@ -251,7 +274,7 @@ def fk_null_ok(spark, sf_dir):
     """Sales of active members, and anonymous sales."""
     active = retail.members(spark, sf_dir).where("activo")
     sales = retail.sales(spark, sf_dir)
-    return references.resolved_or_null(sales, "id_miembro", active, "id_miembro").select("id_trans", "id_miembro")
+    return references.resolved_or_null(sales, "id_miembro", active, "id_miembro", "id_trans").select("id_trans", "id_miembro")
 
 
 @query
@@ -288,20 +311,23 @@ def silver_suppliers(spark, sf_dir):
     return expose(Lake(spark, sf_dir).silver("mstr_proveedores"))
 
 
+_LANDED = ["trans_ventas", "inv_stock_diario"]  # sources that are dear to derive
+
+
 @query
 def error_table(spark, sf_dir):
-    return Lake(spark, sf_dir, staged=["trans_ventas"]).errors()
+    return Lake(spark, sf_dir, staged=["trans_ventas"], landed=_LANDED[:1]).errors()
 
 
 @query
 def error_summary_(spark, sf_dir):
-    return error_summary(Lake(spark, sf_dir, staged=["trans_ventas"]).errors()).orderBy("tabla_origen", "motivo")
+    return error_summary(Lake(spark, sf_dir, staged=["trans_ventas"], landed=_LANDED[:1]).errors()).orderBy("tabla_origen", "motivo")
 
 
 
 @query
 def quality_report(spark, sf_dir):
-    return Lake(spark, sf_dir, staged=["trans_ventas"]).quality()
+    return Lake(spark, sf_dir, staged=["trans_ventas"], landed=_LANDED).quality()
 
 
 # ------------------------------------------------------------ lookups and dimensions
@@ -437,6 +463,12 @@ def top_n_products(spark, sf_dir):
     return kpis.top_products(Lake(spark, sf_dir).star)
 
 
+@query
+def top_n_slice(spark, sf_dir):
+    """The best three articles of two categories."""
+    return kpis.top_products(Lake(spark, sf_dir).star, 3, ["Hogar y limpieza", "Electronica y tecnologia"])
+
+
 @query
 def kpi_weekly(spark, sf_dir):
     return kpis.weekly_sales(Lake(spark, sf_dir).star)
@@ -470,7 +502,7 @@ def volume_alert_(spark, sf_dir):
 
 @query
 def run_report(spark, sf_dir):
-    lake = Lake(spark, sf_dir, staged=["trans_ventas", "inv_stock_diario"])
+    lake = Lake(spark, sf_dir, staged=["trans_ventas", "inv_stock_diario"], landed=_LANDED)
     log = retail.run_log(spark, sf_dir)
     return checks.run_report(log, lake.quality(), _dq(lake), volume_alert(log))
 
@@ -531,7 +563,7 @@ def category_share(spark, sf_dir):
 def snapshot_spine(spark, sf_dir):
     """The stocked pairs on each of the last thirty days of sales, counted per store and day."""
     lake = Lake(spark, sf_dir)
-    spine = gold.snapshot_spine(retail.stock(spark, sf_dir), F.date_sub(lake.ref, 29), lake.ref)
+    spine = gold.snapshot_spine(retail.stock_pairs(spark, sf_dir), F.date_sub(lake.ref, 29), lake.ref)
     return spine.groupBy("id_tienda", "fec_snapshot").agg(
         F.count("*").alias("pares"), F.count_distinct("art_id").alias("articulos"), F.sum("art_id").alias("suma_art_id")
     )

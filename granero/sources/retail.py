@@ -238,18 +238,28 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(*_SALE_COLUMNS)
 
 
-def stock(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Thirty daily snapshots per (article, store) pair that was ever sold."""
-    a, t, d = F.col("a"), F.col("t"), F.col("d")
+def _stocked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """a, t, n1: every (article, store) pair that was ever sold, and the article's category."""
     pairs = (
         _raw(spark, sf_dir, "lineitem")
         .select(F.col("l_partkey").alias("a"), F.col("l_suppkey").alias("t"))
         .distinct()
     )
     categories = _raw(spark, sf_dir, "part").select(F.col("p_partkey").alias("a"), _category().alias("n1"))
+    return pairs.join(categories, "a")
+
+
+def stock_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The (article, store) pairs that have snapshots."""
+    return _stocked(spark, sf_dir).select(F.col("a").alias("art_id"), F.col("t").alias("id_tienda"))
+
+
+def stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thirty daily snapshots per (article, store) pair that was ever sold."""
+    a, t, d = F.col("a"), F.col("t"), F.col("d")
     minimum = _pick(F.col("n1") - 1, _MIN_STOCK_BY_CATEGORY)
     return (
-        pairs.join(categories, "a")
+        _stocked(spark, sf_dir)
         .select("a", "t", "n1", F.explode(F.sequence(F.lit(0), F.lit(29))).alias("d"))
         .select(
             ((a * 1_000_000 + t) * 64 + d).alias("id_snapshot"),

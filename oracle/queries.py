@@ -247,6 +247,10 @@ SELECT canal_venta, count(*) AS filas FROM ({_MERGED}) m WHERE _dia_ingesta = 2
     "merge_repeated": f"""
 SELECT _batch_id, tipo_pago, count(*) AS filas, count(DISTINCT id_trans) AS claves FROM ({_MERGED}) m
 GROUP BY _batch_id, tipo_pago""",
+    "full_reload": "SELECT 'lote-2' AS _batch_id, canal_venta, count(*) AS filas FROM trans_ventas GROUP BY canal_venta",
+    "export_formats": "\nUNION ALL ".join(
+        f"SELECT '{fmt}' AS formato, id_tienda, id_pais, tipo_tienda FROM mstr_tiendas" for fmt in ("csv", "json", "parquet")
+    ),
     "transactions_by_order": """
 SELECT canal_venta, count(DISTINCT id_trans // 1000000) AS transacciones, CAST(sum(qty_vendida) AS BIGINT) AS unidades,
        CAST(sum(vr_venta_neto) AS DOUBLE) / CAST(count(DISTINCT id_trans // 1000000) AS DOUBLE) AS ticket_promedio
@@ -368,6 +372,13 @@ SELECT art_id, categoria_n1, ventas_netas, unidades, CAST(rn AS INTEGER) AS rank
     SELECT art_id, categoria_n1, CAST(sum(vr_venta_neto) AS DOUBLE) AS ventas_netas,
            CAST(sum(qty_vendida) AS BIGINT) AS unidades FROM ventas_enr GROUP BY art_id, categoria_n1) s) r
 WHERE rn <= 10""",
+    "top_n_slice": """
+SELECT art_id, categoria_n1, ventas_netas, unidades, CAST(rn AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY categoria_n1 ORDER BY ventas_netas DESC, art_id) AS rn FROM (
+    SELECT art_id, categoria_n1, CAST(sum(vr_venta_neto) AS DOUBLE) AS ventas_netas,
+           CAST(sum(qty_vendida) AS BIGINT) AS unidades FROM ventas_enr
+    WHERE categoria_n1 IN ('Hogar y limpieza', 'Electronica y tecnologia') GROUP BY art_id, categoria_n1) s) r
+WHERE rn <= 3""",
     "kpi_weekly": f"""
 SELECT *, {_WEEK_CHANGE} AS variacion_pct FROM (
   SELECT id_pais, anio, semana, ventas_netas,
