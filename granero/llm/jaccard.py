@@ -3,10 +3,10 @@
 1 - J is a metric, so a pair within radius r lies at distances from any pivot
 that differ by at most r. Classes (texts with equal shingle sets) that can link
 share a shingle among the first quarter of their sets in a common order; every
-shingle shared there makes a region. Its members with the smallest hashes are its
-pivots, a few in the first round and eight times as many in each further one. A
-class is replicated to all regions whose pivot it shares a leading shingle with,
-the only ones that can hold partners; the first pivot is the region's centre.
+shingle shared there makes a region. Its pivot is the member that shares most of
+its leading shingles with others, further rounds take more of them. A class is
+replicated to all regions whose pivot it shares a leading shingle with, the only
+ones that can hold partners; the first pivot is the region's centre.
 Pairs that share too few leading shingles to link are left out, the distances of
 all others are computed from whole sets. A region whose members are all
 connected is done; the others are joined again around further pivots, where the
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from granero.llm import text as tx
@@ -34,7 +34,7 @@ COUNTERS = 1 << 20  # of the frequency sketch; its size is fixed
 PARTS = 64
 FILTER_BITS = 1 << 26  # of the filter that picks the sets to compare: 8 MB at every size
 ENTRY = np.dtype([("shingle", "<u8"), ("class", "<i8")])
-FIRST_PIVOTS, MORE = 4, 8
+MORE = 8  # pivots of the second round, and times as many in each further one
 PARTITION_BYTES = 32 << 20
 
 
@@ -170,7 +170,7 @@ def _entries(documents: DataFrame, levels: np.ndarray, k: int, buckets: int) ->
 
 
 def _postings(entries: DataFrame, partitions: int) -> DataFrame:
-    """shingle, class, rank, home: members of the regions; rank orders them, home is the first pivot."""
+    """shingle, class: the members of the regions, shingles that two classes at least have among their leading ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.frombuffer(blob.as_py(), ENTRY) for batch in batches for blob in batch.column(0)]
@@ -182,7 +182,7 @@ def _postings(entries: DataFrame, partitions: int) -> DataFrame:
         same = np.zeros(len(rows) + 1, bool)
         same[1:-1] = rows["shingle"][1:] == rows["shingle"][:-1]
         rows = rows[same[:-1] | same[1:]]
-        rows = rows[np.lexsort((tx.mix(rows["class"].view(np.uint64)), rows["shingle"]))]
+        rows = rows[np.lexsort((rows["class"], rows["shingle"]))]
         if not len(rows):
             return
         fresh = np.ones(len(rows), bool)
@@ -190,22 +190,16 @@ def _postings(entries: DataFrame, partitions: int) -> DataFrame:
         rows = rows[fresh]
         first = np.flatnonzero(np.concatenate([[True], rows["shingle"][1:] != rows["shingle"][:-1]]))
         sizes = np.diff(np.append(first, len(rows)))
-        rank = np.arange(len(rows)) - np.repeat(first, sizes)
-        home = np.repeat(rows["class"][first], sizes)
-        shared = np.repeat(sizes > 1, sizes)
-        rows, rank, home = rows[shared], rank[shared], home[shared]
+        rows = rows[np.repeat(sizes > 1, sizes)]
         for low in range(0, len(rows), 100_000):
             part = rows[low : low + 100_000]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.ascontiguousarray(part["shingle"]).view(np.int64)), pa.array(np.ascontiguousarray(part["class"])),
-                    pa.array(rank[low : low + 100_000]), pa.array(home[low : low + 100_000]),
-                ],
-                names=["shingle", "class", "rank", "home"],
-            )
+                [pa.array(np.ascontiguousarray(part["shingle"]).view(np.int64)), pa.array(np.ascontiguousarray(part["class"]))],
+                names=["shingle", "class"],
+            )
 
     dealt = entries.repartition(partitions, "bucket").select("entries")
-    return dealt.mapInArrow(run, "shingle long, class long, rank long, home long")
+    return dealt.mapInArrow(run, "shingle long, class long")
 
 
 def _row_key():
@@ -271,6 +265,67 @@ def _may_link(n: Column, m: Column, common: Column) -> Column:
     return common + behind >= _needed(n, m)
 
 
+SIGNATURE = ["bits0", "bits1", "bits2", "bits3"]
+
+
+def _of_word(leading: Column, word: int) -> Column:
+    return F.filter(leading, lambda x: x.bitwiseAND(F.lit(3)) == word)
+
+
+def _most_common(p: str, y: str) -> Column:
+    """No less than the leading shingles that two classes share: common bits, and what may hide behind one bit."""
+    bits = sum(F.bit_count(F.col(f"{p}.{c}").bitwiseAND(F.col(f"{y}.{c}"))) for c in SIGNATURE)
+    return bits + F.least(f"{p}.slack", f"{y}.slack")
+
+
+def _signature(leading: Column) -> list[Column]:
+    """A bit for each leading shingle, in four words."""
+    words = []
+    for i, name in enumerate(SIGNATURE):
+        bits = F.aggregate(
+            _of_word(leading, i),
+            F.lit(0).cast("long"),
+            lambda acc, x: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(x, 2).bitwiseAND(F.lit(63)))),
+        )
+        words.append(bits.alias(name))
+    return words
+
+
+class _Comparison:
+    """Whole sets of the classes that were compared so far, and the distances of pairs."""
+
+    def __init__(self, documents: DataFrame, members: DataFrame, k: int):
+        self.documents, self.members, self.k, self.sets = documents, members, k, None
+
+    def __call__(self, met: DataFrame) -> DataFrame | None:
+        """a, b, common, distance, linked for those of the pairs (a, b) that may link; None if none may."""
+        left = self.members.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("leading").alias("la"))
+        right = self.members.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("leading").alias("lb"))
+        near = _may_link(F.col("na"), F.col("nb"), F.size(F.array_intersect("la", "lb")))
+        met = stage(met.distinct().join(left, "a").join(right, "b").where(near).select("a", "b", "na", "nb"), "pairs")
+        if not met.limit(1).count():
+            return None
+        wanted = met.select(F.col("a").alias("class")).union(met.select(F.col("b").alias("class"))).distinct()
+        if self.sets is not None:
+            wanted = wanted.join(self.sets.select("class"), "class", "left_anti")
+        wanted = stage(wanted.join(self.members, "class").select("doc_id", "text_hash"), "wanted")
+        if wanted.limit(1).count():
+            more = stage(_sets_of(self.documents, wanted, self.k), "sets")
+            self.sets = more if self.sets is None else self.sets.unionByName(more)
+        left = self.sets.select(F.col("class").alias("a"), F.col("shingles").alias("sa"))
+        right = self.sets.select(F.col("class").alias("b"), F.col("shingles").alias("sb"))
+        common = F.size(F.array_intersect("sa", "sb")).cast("long")
+        both = met.join(left, "a").join(right, "b").select("a", "b", (F.col("na") + F.col("nb")).alias("n"), common.alias("common"))
+        union = F.col("n") - F.col("common")
+        linked = (100 * F.col("common") >= 75 * union).alias("linked")
+        distance = (1 - F.col("common") / union).alias("distance")
+        return stage(both.distinct().select("a", "b", "common", distance, linked), "compared")
+
+
+def _sizes_fit(n: Column, m: Column) -> Column:
+    return 4 * F.least(n, m) >= 3 * F.greatest(n, m)
+
+
 def jaccard_links(documents: DataFrame, k: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
     """Classes of the documents, and links between classes that connect whatever is within 25 % distance.
 
@@ -285,65 +340,64 @@ def jaccard_links(documents: DataFrame, k: int = SHINGLE) -> tuple[DataFrame, Da
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // 4 * ENTRY.itemsize // PARTITION_BYTES))
     entries = _entries(documents, _levels(told), k, 8 * partitions)
     postings = stage(_postings(entries, partitions), "postings")
-    leading = postings.groupBy("class").agg(F.collect_set("shingle").alias("leading"))
+    # For the filter of pairs half of a shingle's bits do: a chance agreement only lets a pair through.
+    leading = postings.groupBy("class").agg(F.collect_set(F.shiftright("shingle", 32).cast("int")).alias("leading"))
     one = classes.where("class IS NOT NULL").groupBy("class").agg(F.min(F.struct("doc_id", "text_hash", "n")).alias("row"))
-    members = stage(leading.join(one, "class").select("class", "leading", "row.*"), "members")
-
+    signed = leading.join(one, "class").select("class", "leading", "row.*", *_signature(F.col("leading")))
+    members = stage(signed.withColumn("slack", F.size("leading") - sum(F.bit_count(c) for c in SIGNATURE)), "members")
+    # Whoever shares most of its leading shingles lies in the middle of its copies: the better pivot.
+    merit = F.size("leading") / (F.col("n") - F.ceil(F.col("n") * 0.75) + 1)
+    ranked = members.select("class", F.col("n").cast("int").alias("n"), (-1000 * F.least(merit, F.lit(1.0))).cast("int").alias("merit"))
+    compare = _Comparison(documents, members, k)
+
+    # First round: one pivot for each region, its centre.
+    placed = stage(postings.join(ranked, "class"), "placed")
+    centre = placed.groupBy("shingle").agg(
+        F.min(F.struct("merit", F.xxhash64("class").alias("by"), "class", "n")).alias("c"), F.count(F.lit(1)).alias("size")
+    )
+    around = placed.join(centre.select("shingle", F.col("c.class").alias("home"), F.col("c.n").alias("home_n"), "size"), "shingle")
+    around = around.where(F.col("class") != F.col("home"))
+    met = around.where(_sizes_fit(F.col("n"), F.col("home_n"))).select(F.col("home").alias("a"), F.col("class").alias("b"))
+    compared = compare(met)
     links = spark.createDataFrame([], "a long, b long, common long")
-    roots = distances = sets = None
-    low, pivots = 0, FIRST_PIVOTS
-    live = postings.join(members.select("class", "n"), "class")
-    live = live.withColumn("root", F.col("class")).withColumn("distance", F.lit(None).cast("double"))
+    if compared is None:
+        return classes, links
+    links = compared.where("linked").select("a", "b", "common")
+    roots = stage(components(links), "roots")
+    known = compared.select(F.col("a").alias("home"), F.col("b").alias("class"), "distance")
+    live = around.where("size > 2").select("shingle", "class", "n", "merit", "home").join(known, ["home", "class"], "left")
+
+    # Further rounds, for regions whose other members are not connected yet.
+    pivots = MORE
     while True:
-        if roots is not None:
-            live = live.drop("root").join(roots.withColumnRenamed("node", "class"), "class", "left")
-            live = live.withColumn("root", F.coalesce("root", "class"))
-            # Regions that are connected throughout, or have no member left that was not a pivot, are done.
-            mixed = live.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.max("rank").alias("most"))
-            live = live.join(mixed.where((F.col("x") != F.col("y")) & (F.col("most") > low)).select("shingle"), "shingle")
-        if distances is not None:
-            live = live.drop("distance").join(distances, ["home", "class"], "left")
-            distances = None
-        live = stage(live.select("shingle", "class", "n", "rank", "home", "root", "distance"), "regions")
-        if live.where(F.col("rank") > low).limit(1).count() == 0:
+        rooted = live.drop("root").join(roots.withColumnRenamed("node", "class"), "class", "left")
+        rooted = stage(rooted.withColumn("root", F.coalesce("root", "class")), "rooted")
+        groups = rooted.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("size"))
+        largest = groups.groupBy("shingle").agg(F.max(F.struct("size", "root")).alias("top"), F.count(F.lit(1)).alias("n_groups"))
+        largest = largest.where("n_groups > 1").select("shingle", F.col("top.root").alias("top"))
+        # Pivots come from the smaller groups first: every open pair has a member there.
+        order = Window.partitionBy("shingle").orderBy((F.col("root") == F.col("top")).cast("int"), "merit", F.xxhash64("class"), "class")
+        live = rooted.join(largest, "shingle").withColumn("nth", F.row_number().over(order)).drop("top")
+        live = stage(live.join(members.select("class", "slack", *SIGNATURE), "class"), "regions")
+        if not live.limit(1).count():
             break
-        p = live.where((F.col("rank") >= low) & (F.col("rank") < low + pivots)).alias("p")
-        y = live.alias("y")
+        p, y = live.where(F.col("nth") <= pivots).alias("p"), live.alias("y")
         window = F.coalesce(F.abs(F.col("p.distance") - F.col("y.distance")) <= 0.25 + 1e-9, F.lit(True))
         met = p.join(
             y,
             (F.col("p.shingle") == F.col("y.shingle"))
-            & (F.col("y.rank") > F.col("p.rank"))
+            & (F.col("y.nth") > F.col("p.nth"))
             & (F.col("p.root") != F.col("y.root"))
-            & (4 * F.least("p.n", "y.n") >= 3 * F.greatest("p.n", "y.n"))
-            & window,
-        ).select(F.col("p.class").alias("a"), F.col("y.class").alias("b"))
-        left = members.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("leading").alias("la"))
-        right = members.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("leading").alias("lb"))
-        near = _may_link(F.col("na"), F.col("nb"), F.size(F.array_intersect("la", "lb")))
-        met = stage(met.distinct().join(left, "a").join(right, "b").where(near).select("a", "b", "na", "nb"), "pairs")
-        if met.limit(1).count():
-            wanted = met.select(F.col("a").alias("class")).union(met.select(F.col("b").alias("class"))).distinct()
-            if sets is not None:
-                wanted = wanted.join(sets.select("class"), "class", "left_anti")
-            wanted = stage(wanted.join(members, "class").select("doc_id", "text_hash"), "wanted")
-            if wanted.limit(1).count():
-                more = stage(_sets_of(documents, wanted, k), "sets")
-                sets = more if sets is None else sets.unionByName(more)
-            left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("sa"))
-            right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("sb"))
-            common = F.size(F.array_intersect("sa", "sb")).cast("long")
-            compared = met.join(left, "a").join(right, "b").select("a", "b", "na", "nb", common.alias("common"))
-            compared = stage(compared.distinct(), "compared")
-            union = F.col("na") + F.col("nb") - F.col("common")
-            if low == 0:
-                distances = compared.select(
-                    F.col("a").alias("home"), F.col("b").alias("class"), (1 - F.col("common") / union).alias("distance")
-                )
-            new = compared.where(100 * F.col("common") >= 75 * union).select("a", "b", "common")
-            links = links.unionByName(new)
+            & _sizes_fit(F.col("p.n"), F.col("y.n"))
+            & window
+            & _may_link(F.col("p.n"), F.col("y.n"), _most_common(p="p", y="y")),
+        ).select(F.least("p.class", "y.class").alias("a"), F.greatest("p.class", "y.class").alias("b"))
+        compared = compare(met)
+        if compared is not None:
+            links = links.unionByName(compared.where("linked").select("a", "b", "common"))
             roots = stage(components(links), "roots")
-        low, pivots = low + pivots, pivots * MORE
+        live = live.where(F.col("nth") > pivots).drop("nth", "slack", *SIGNATURE)
+        pivots *= MORE
     return classes, links
 
 
