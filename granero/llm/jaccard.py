@@ -299,9 +299,13 @@ class _Comparison:
 
     def __call__(self, met: DataFrame) -> DataFrame | None:
         """a, b, common, distance, linked for those of the pairs (a, b) that may link; None if none may."""
-        left = self.members.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("leading").alias("la"))
-        right = self.members.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("leading").alias("lb"))
-        near = _may_link(F.col("na"), F.col("nb"), F.size(F.array_intersect("la", "lb")))
+        def side(name):
+            columns = {"class": name, "n": f"n{name}", "leading": f"leading_{name}", "lost": f"lost_{name}"}
+            return self.members.select(*[F.col(c).alias(new) for c, new in columns.items()])
+
+        left, right = side("a"), side("b")
+        shared = F.size(F.array_intersect("leading_a", "leading_b")) + F.least("lost_a", "lost_b")
+        near = (shared > 0) & _may_link(F.col("na"), F.col("nb"), shared)
         met = stage(met.distinct().join(left, "a").join(right, "b").where(near).select("a", "b", "na", "nb"), "pairs")
         if not met.limit(1).count():
             return None
@@ -340,13 +344,16 @@ def jaccard_links(documents: DataFrame, k: int = SHINGLE) -> tuple[DataFrame, Da
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // 4 * ENTRY.itemsize // PARTITION_BYTES))
     entries = _entries(documents, _levels(told), k, 8 * partitions)
     postings = stage(_postings(entries, partitions), "postings")
-    # For the filter of pairs half of a shingle's bits do: a chance agreement only lets a pair through.
-    leading = postings.groupBy("class").agg(F.collect_set(F.shiftright("shingle", 32).cast("int")).alias("leading"))
+    # For the filter of pairs half of a shingle's bits do: a chance agreement only lets a pair through, and where
+    # two shingles of a class agree, the bound on what it can share counts the one that was lost.
+    half = F.shiftright("shingle", 32).cast("int")
+    leading = postings.groupBy("class").agg(F.collect_set(half).alias("leading"), F.count(F.lit(1)).alias("n_leading"))
     one = classes.where("class IS NOT NULL").groupBy("class").agg(F.min(F.struct("doc_id", "text_hash", "n")).alias("row"))
-    signed = leading.join(one, "class").select("class", "leading", "row.*", *_signature(F.col("leading")))
-    members = stage(signed.withColumn("slack", F.size("leading") - sum(F.bit_count(c) for c in SIGNATURE)), "members")
+    signed = leading.join(one, "class").select("class", "leading", "n_leading", "row.*", *_signature(F.col("leading")))
+    members = signed.withColumn("slack", F.col("n_leading") - sum(F.bit_count(c) for c in SIGNATURE))
+    members = stage(members.withColumn("lost", F.col("n_leading") - F.size("leading")), "members")
     # Whoever shares most of its leading shingles lies in the middle of its copies: the better pivot.
-    merit = F.size("leading") / (F.col("n") - F.ceil(F.col("n") * 0.75) + 1)
+    merit = F.col("n_leading") / (F.col("n") - F.ceil(F.col("n") * 0.75) + 1)
     ranked = members.select("class", F.col("n").cast("int").alias("n"), (-1000 * F.least(merit, F.lit(1.0))).cast("int").alias("merit"))
     compare = _Comparison(documents, members, k)
 
@@ -365,19 +372,20 @@ def jaccard_links(documents: DataFrame, k: int = SHINGLE) -> tuple[DataFrame, Da
     links = compared.where("linked").select("a", "b", "common")
     roots = stage(components(links), "roots")
     known = compared.select(F.col("a").alias("home"), F.col("b").alias("class"), "distance")
-    live = around.where("size > 2").select("shingle", "class", "n", "merit", "home").join(known, ["home", "class"], "left")
+    # Regions with one centre are one from here on; those of two members are done.
+    live = around.where("size > 2").select("home", "class", "n", "merit").distinct().join(known, ["home", "class"], "left")
 
     # Further rounds, for regions whose other members are not connected yet.
     pivots = MORE
     while True:
         rooted = live.drop("root").join(roots.withColumnRenamed("node", "class"), "class", "left")
         rooted = stage(rooted.withColumn("root", F.coalesce("root", "class")), "rooted")
-        groups = rooted.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("size"))
-        largest = groups.groupBy("shingle").agg(F.max(F.struct("size", "root")).alias("top"), F.count(F.lit(1)).alias("n_groups"))
-        largest = largest.where("n_groups > 1").select("shingle", F.col("top.root").alias("top"))
+        groups = rooted.groupBy("home", "root").agg(F.count(F.lit(1)).alias("size"))
+        largest = groups.groupBy("home").agg(F.max(F.struct("size", "root")).alias("top"), F.count(F.lit(1)).alias("n_groups"))
+        largest = largest.where("n_groups > 1").select("home", F.col("top.root").alias("top"))
         # Pivots come from the smaller groups first: every open pair has a member there.
-        order = Window.partitionBy("shingle").orderBy((F.col("root") == F.col("top")).cast("int"), "merit", F.xxhash64("class"), "class")
-        live = rooted.join(largest, "shingle").withColumn("nth", F.row_number().over(order)).drop("top")
+        order = Window.partitionBy("home").orderBy((F.col("root") == F.col("top")).cast("int"), "merit", F.xxhash64("class"), "class")
+        live = rooted.join(largest, "home").withColumn("nth", F.row_number().over(order)).drop("top")
         live = stage(live.join(members.select("class", "slack", *SIGNATURE), "class"), "regions")
         if not live.limit(1).count():
             break
@@ -385,11 +393,12 @@ def jaccard_links(documents: DataFrame, k: int = SHINGLE) -> tuple[DataFrame, Da
         window = F.coalesce(F.abs(F.col("p.distance") - F.col("y.distance")) <= 0.25 + 1e-9, F.lit(True))
         met = p.join(
             y,
-            (F.col("p.shingle") == F.col("y.shingle"))
+            (F.col("p.home") == F.col("y.home"))
             & (F.col("y.nth") > F.col("p.nth"))
             & (F.col("p.root") != F.col("y.root"))
             & _sizes_fit(F.col("p.n"), F.col("y.n"))
             & window
+            & (_most_common(p="p", y="y") > 0)
             & _may_link(F.col("p.n"), F.col("y.n"), _most_common(p="p", y="y")),
         ).select(F.least("p.class", "y.class").alias("a"), F.greatest("p.class", "y.class").alias("b"))
         compared = compare(met)

@@ -55,17 +55,17 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(steps, dtype=np.uint64)
 
 
-_tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_tables: list[tuple[np.ndarray, np.ndarray]] = []
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = max(1 << 16, 1 << int(n).bit_length())
-    if size not in _tables:
-        made = (_powers(_BASE, size), _powers(pow(_BASE, -1, 2**64), size))
-        if size > 4 * SLICE:
-            return made
-        _tables[size] = made
-    return _tables[size]
+    """Powers of the base and of its inverse, ``n`` at least; one pair of tables serves all blocks of usual size."""
+    usual = SLICE + (1 << 13)
+    if n > usual:
+        return _powers(_BASE, n), _powers(pow(_BASE, -1, 2**64), n)
+    if not _tables or len(_tables[0][0]) < usual:
+        _tables[:] = [(_powers(_BASE, usual), _powers(pow(_BASE, -1, 2**64), usual))]
+    return _tables[0]
 
 
 @dataclass

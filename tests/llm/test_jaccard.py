@@ -58,6 +58,17 @@ def test_groups_equal_brute_force(docs, seed):
     assert result(docs(rows)) == brute(rows)
 
 
+def test_a_large_group_around_the_limit(docs):
+    """Copies of one text that link to it or just not, and hardly to each other, beside many exact copies."""
+    rnd = random.Random(7)
+    base = [f"w{i}" for i in range(120)]
+    texts = [edited(base, rnd.choice([0.01, 0.02, 0.025, 0.03, 0.035]), rnd) for _ in range(220)] + [base] * 60
+    texts += [edited(texts[0], 0.02, rnd) for _ in range(20)]
+    rnd.shuffle(texts)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    assert result(docs(rows)) == brute(rows)
+
+
 def test_odd_rows(odd):
     rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
     assert result(odd) == brute(rows)
