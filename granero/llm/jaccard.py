@@ -367,11 +367,11 @@ def jaccard_links(documents: DataFrame, k: int = SHINGLE) -> tuple[DataFrame, Da
     met = around.where(_sizes_fit(F.col("n"), F.col("home_n"))).select(F.col("home").alias("a"), F.col("class").alias("b"))
     compared = compare(met)
     links = spark.createDataFrame([], "a long, b long, common long")
-    if compared is None:
-        return classes, links
-    links = compared.where("linked").select("a", "b", "common")
+    known = spark.createDataFrame([], "home long, class long, distance double")
+    if compared is not None:
+        links = compared.where("linked").select("a", "b", "common")
+        known = compared.select(F.col("a").alias("home"), F.col("b").alias("class"), "distance")
     roots = stage(components(links), "roots")
-    known = compared.select(F.col("a").alias("home"), F.col("b").alias("class"), "distance")
     # Regions with one centre are one from here on; those of two members are done.
     live = around.where("size > 2").select("home", "class", "n", "merit").distinct().join(known, ["home", "class"], "left")
 

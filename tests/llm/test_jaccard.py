@@ -69,6 +69,15 @@ def test_a_large_group_around_the_limit(docs):
     assert result(docs(rows)) == brute(rows)
 
 
+def test_links_beside_a_centre_that_links_to_nothing(docs):
+    """A text that shares most of its few leading shingles is the centre; the others link without it."""
+    shared = [f"s{i}" for i in range(12)]
+    long = [f"l{i}" for i in range(60)]
+    texts = [shared, long + shared + ["x"], long + shared + ["y"], long[:30] + shared, ["q", *shared, "r", "t"]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    assert result(docs(rows)) == brute(rows)
+
+
 def test_odd_rows(odd):
     rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
     assert result(odd) == brute(rows)
