@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from granero.session import shared_dir, stage
+from granero.session import scratch_path, stage
 
 MAGIC = b"\x1f\x8b\x08"
 RANGE = 16 << 20
@@ -116,13 +116,13 @@ def records_of(pages: DataFrame, least: int = 0) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, folder: str | None = None, least: int = 0, date: str = DATE) -> DataFrame:
-    """path, bytes, n_records of the archives written below ``folder`` (default: the shared folder), one per task.
+    """path, bytes, n_records of the archives written below ``folder`` (default: a scratch folder), one per task.
 
     ``pages`` has page_id, url and html. The archives of a task carry its attempt
     in their name and only those of finished tasks are listed, so a lost
     executor leaves files that nobody reads.
     """
-    folder = folder or f"{shared_dir(pages.sparkSession)}/warc-{uuid.uuid4().hex}"
+    folder = folder or scratch_path(pages.sparkSession, "warc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
