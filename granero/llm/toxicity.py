@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from granero.llm import text as tx
 from granero.session import stage
 
-EXAMPLES = 1500  # of each label
-VOCABULARY = 2048
+EXAMPLES = 2000  # of each label
+VOCABULARY = 4096
 NEIGHBOURS = 15
 BLOCK = 32
 STEMS = (4, 5, 6, 7)

@@ -75,3 +75,11 @@ def test_odd_rows_and_missing_labels(spark, case, odd):
     one = toxicity.fit(frame, table.where("label = 1"))
     assert {r["score"] for r in toxicity.score(odd, one).collect()} == {1.0}
     assert toxicity.score(odd, toxicity.fit(frame.limit(0), table)).count() == odd.count()
+
+
+def test_bounds_of_the_examples_are_not_cut(spark, docs):
+    rows = [(i, f"plain{i % 50} text{i % 31} body{i % 7}" + (" vileness grunk" if i < 40 else "")) for i in range(1840)]
+    labels = spark.createDataFrame([(i, int(i < 40)) for i, _ in rows], "doc_id long, label int")
+    model = toxicity.fit(docs(rows), labels)
+    assert (len(model.ids), int(model.toxic.sum())) == (1840, 40)
+    assert (toxicity.EXAMPLES, toxicity.VOCABULARY) == (2000, 4096)
