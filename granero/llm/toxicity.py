@@ -1,17 +1,18 @@
 """Toxicity by the nearest labelled examples.
 
-Terms are words and their beginnings of four to seven bytes. From a bounded, labelled
-sample the terms that tell the labels apart best make the vocabulary; how many
-documents hold each of them is counted over the whole table. Examples and
-documents are TF-IDF vectors over it; all other words of a text are coordinates
-it shares with no example, so they only lengthen its vector. For every document the ``NEIGHBOURS``
+Terms are words and their beginnings of four to seven bytes. Examples are a
+bounded, labelled sample; all their terms are indexed, and how many documents
+hold each of them is counted over the whole table. Examples and documents are
+whole TF-IDF vectors; a word that stands in no example adds to the norm of its
+document as a term of one document. For every document the ``NEIGHBOURS``
 examples of highest cosine are found exactly: a term's postings lie in blocks of
 examples with the largest weight per block, the blocks of a document are visited
 by falling sum of query weight times block maximum, and the search ends when
-that bound falls below the similarity already reached. Neighbours vote with their
-similarity, weighted by how many labelled rows an example stands for; votes
-become probabilities by a logistic curve fitted to the examples' own
-leave-one-out votes.
+that bound falls below the similarity already reached. A second search of the
+same kind counts only the terms that tell the labels apart best, in the same
+vectors. Neighbours of each search vote with their similarity, weighted by how
+many labelled rows an example stands for; the votes of both become probabilities
+by a logistic curve fitted to the examples' own leave-one-out votes.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,20 +30,46 @@ from granero.llm import text as tx
 from granero.session import stage
 
 EXAMPLES = 2000  # of each label
-VOCABULARY = 4096
+VOCABULARY = 4096  # of the terms that tell the labels apart
 NEIGHBOURS = 15
 BLOCK = 32
+DENSE = 2048  # terms with the most postings, multiplied as a dense matrix for some documents at a time
+TOGETHER = 256
 STEMS = (4, 5, 6, 7)
-REST = 1.0  # squared weight of a word outside the vocabulary
 LEAST = 4  # examples that hold a term
 
 
 @dataclass
-class Model:
+class Postings:
+    """A sparse matrix by rows: entries first[i]:first[i + 1] are those of row i, by rising column."""
+
+    first: np.ndarray
+    column: np.ndarray
+    value: np.ndarray
+    shape: tuple[int, int]
+
+    def __getitem__(self, rows: np.ndarray) -> np.ndarray:
+        """The given rows, dense."""
+        at, owner = tx.ragged(self.first[rows], self.first[rows + 1])
+        out = np.zeros((len(rows), self.shape[1]), np.float32)
+        out[owner, self.column[at]] = self.value[at]
+        return out
+
+
+@dataclass
+class Index:
+    weights: Postings  # terms x examples
+    maxima: Postings  # terms x blocks
+    begin: np.ndarray  # postings begin[i]:begin[i + 1] of the weights are entry i of the maxima
+
+
+@dataclass
+class Model(Index):
     terms: np.ndarray  # sorted hashes
     idf: np.ndarray
-    weights: np.ndarray  # terms x examples, unit columns
-    maxima: np.ndarray  # terms x blocks
+    unseen: float  # idf of a term of no example
+    common: np.ndarray  # numbers of the DENSE terms
+    telling: Index  # the same vectors, with nothing but terms that tell the labels apart
     toxic: np.ndarray
     counts_for: np.ndarray  # labelled rows an example stands for
     ids: np.ndarray
@@ -49,6 +77,18 @@ class Model:
     base: float
 
 
+def _index(term: np.ndarray, example: np.ndarray, value: np.ndarray, n_terms: int, n_examples: int) -> Index:
+    order = np.lexsort((example, term))
+    term, example, value = term[order], example[order].astype(np.int32), value[order].astype(np.float32)
+    rows = np.arange(n_terms + 1)
+    weights = Postings(np.searchsorted(term, rows), example, value, (n_terms, n_examples))
+    block = example // BLOCK
+    begin = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])][: len(term)])
+    most = np.maximum.reduceat(value, begin) if len(begin) else value
+    maxima = Postings(np.searchsorted(term[begin], rows), block[begin], most, (n_terms, -(-n_examples // BLOCK)))
+    return Index(weights, maxima, np.append(begin, len(term)))
+
+
 def _term_counts(data, offsets) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Term hashes of a run of documents, the document of each, and the words of each document."""
     words = tx.words_of(data, offsets, tx.ALPHANUMERIC, STEMS)
@@ -98,63 +138,83 @@ def _vocabulary(examples: DataFrame, n1: int, n0: int, size: int) -> np.ndarray:
 
 
 def _document_counts(documents: DataFrame, terms: np.ndarray) -> tuple[np.ndarray, int]:
-    """How many documents hold each term of the vocabulary, over all documents, and how many documents there are."""
+    """How many documents hold each of ``terms``, over all documents, and how many documents there are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, rows = np.zeros(len(terms), np.int64), 0
         for batch in batches:
             rows += batch.num_rows
             for _, _, data, offsets in tx.slices(batch.column(0)):
-                at, _, _, _ = _looked_up(data, offsets, terms)
+                at = _looked_up(data, offsets, terms)[0]
                 total += np.bincount(at, minlength=len(terms))
-        yield pa.RecordBatch.from_arrays([pa.array([rows]), pa.array([total], pa.list_(pa.int64()))], names=["rows", "held"])
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(held, -1)), pa.array(np.append(total[held], rows))], names=["at", "held"])
 
-    partial = documents.select("text").mapInArrow(run, "rows long, held array<long>")
-    summed = partial.select("rows", F.posexplode("held").alias("at", "held")).groupBy("at").agg(
-        F.sum("held").alias("held"), F.sum("rows").alias("rows")
-    )
-    held, rows = np.zeros(len(terms), np.int64), 0
-    for at, count, n in summed.collect():  # one row per term of the vocabulary
-        held[at], rows = count, n
-    return held, rows
+    partial = documents.select("text").mapInArrow(run, "at long, held long")
+    summed = partial.groupBy("at").agg(F.sum("held").alias("held")).toArrow()  # a row for each term of the examples
+    at, counts = summed["at"].to_numpy(), summed["held"].to_numpy()
+    held = np.zeros(len(terms) + 1, np.int64)
+    held[at] = counts  # documents are counted at -1
+    return held[:-1], int(held[-1])
 
 
 def _looked_up(data, offsets, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (term, document) of a run of documents, sorted by document, how often each occurs, and words per document."""
-    found, owner, n_words = _term_counts(data, offsets)
+    """Distinct (term, document) of a run of documents, sorted by document, how often each occurs, and per document
+    the sum of squared term frequencies (1 + log) of its other terms."""
+    found, owner, _ = _term_counts(data, offsets)
     place = np.minimum(np.searchsorted(terms, found), len(terms) - 1)
     hit = terms[place] == found
     key, times = np.unique(owner[hit] * len(terms) + place[hit], return_counts=True)
-    return key % len(terms), key // len(terms), times, n_words
-
-
-def nearest(model: Model, at: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray, int]:
+    found, owner = found[~hit], owner[~hit]
+    order = np.lexsort((found, owner))
+    found, owner = found[order], owner[order]
+    fresh = np.flatnonzero(np.r_[True, (found[1:] != found[:-1]) | (owner[1:] != owner[:-1])][: len(found)])
+    often = np.diff(np.append(fresh, len(found)))
+    rest = np.bincount(owner[fresh], (1 + np.log(often)) ** 2, len(offsets) - 1)
+    return key % len(terms), key // len(terms), times, rest
+
+
+def nearest(
+    index: Index, at: np.ndarray, weights: np.ndarray, k: int, without: int = -1, known: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, int]:
     """Examples of highest cosine (ties: first example), their similarities, and how many blocks were scored.
 
     ``at`` and ``weights`` are the terms of one document that stand in the
-    vocabulary. Examples without a common term are no neighbours.
+    index; ``known`` has what further terms add for each example. Examples
+    without a common term are no neighbours.
     """
-    bounds = weights @ model.maxima[at]
+    n_blocks, n = index.maxima.shape[1], index.weights.shape[1]
+    entry, owner = tx.ragged(index.maxima.first[at], index.maxima.first[at + 1])
+    block = index.maxima.column[entry]
+    bounds = np.bincount(block, weights[owner] * index.maxima.value[entry], n_blocks)
+    if known is not None:
+        bounds = bounds + np.maximum.reduceat(known, np.arange(0, n, BLOCK))
     order = np.argsort(-bounds, kind="stable")
-    best, similarity, scored = np.zeros(0, np.int64), np.zeros(0, np.float32), 0
-    reached = 0.0
-    n = model.weights.shape[1]
-    for first in range(0, len(order), 4):
-        blocks = [b for b in order[first : first + 4].tolist() if bounds[b] > 0 and bounds[b] >= reached - 1e-6]
-        if not blocks:
+    rank = np.empty(n_blocks, np.int64)
+    rank[order] = np.arange(n_blocks)
+    turn = rank[block]
+    best, similarity, scored = np.zeros(0, np.int64), np.zeros(0), 0
+    reached, first, step = 0.0, 0, 8
+    while first < n_blocks:
+        visited = order[first : first + step]
+        visited = visited[(bounds[visited] > 0) & (bounds[visited] >= reached - 1e-5)]  # bounds fall
+        if not len(visited):
             break
-        scored += len(blocks)
-        for b in blocks:
-            low, high = b * BLOCK, min((b + 1) * BLOCK, n)
-            values = weights @ model.weights[at, low:high]
-            best = np.concatenate([best, np.arange(low, high)])
-            similarity = np.concatenate([similarity, values])
-        usable = (similarity > 0) & (best != without)
-        best, similarity = best[usable], similarity[usable]
+        scored += len(visited)
+        chosen = np.flatnonzero((turn >= first) & (turn < first + len(visited)))
+        posting, of = tx.ragged(index.begin[entry[chosen]], index.begin[entry[chosen] + 1])
+        values = np.bincount(index.weights.column[posting], weights[owner[chosen[of]]] * index.weights.value[posting], n)
+        found = (visited[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+        found = found[(found < n) & (found != without)]
+        values = values[found] if known is None else values[found] + known[found]
+        values = np.round(values, 6)  # equal examples are equal, however their sums were made
+        found, values = found[values > 0], values[values > 0]
+        best, similarity = np.concatenate([best, found]), np.concatenate([similarity, values])
         keep = np.lexsort((best, -similarity))[:k]
         best, similarity = best[keep], similarity[keep]
         if len(best) == k:
             reached = float(similarity[-1])
+        first, step = first + step, step * 2
     return best, similarity, scored
 
 
@@ -169,6 +229,34 @@ def _votes(model: Model, best: np.ndarray, similarity: np.ndarray) -> np.ndarray
     return np.array([1.0, share, odds, share * float(np.log(100 * similarity.mean() + 1))])
 
 
+def _neighbours(
+    model: Model, owner: np.ndarray, at: np.ndarray, weights: np.ndarray, leave_out: bool = False
+) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Documents of sorted ``owner`` with their votes, their neighbours by telling terms, then by whole vectors, each once, and
+    the similarities. With ``leave_out`` the documents are the examples, which are not their own neighbours."""
+    place = np.full(len(model.terms), -1)
+    place[model.common] = np.arange(len(model.common))
+    dense, place = model.weights[model.common], place[at]
+    rows, starts = np.unique(owner, return_index=True)
+    ends = np.append(starts, len(owner))[1:]
+    for low in range(0, len(rows), TOGETHER):
+        some = rows[low : low + TOGETHER]
+        part = slice(starts[low], ends[low + len(some) - 1])
+        hit = place[part] >= 0
+        query = np.zeros((len(some), len(dense)), np.float32)
+        query[np.searchsorted(some, owner[part][hit]), place[part][hit]] = weights[part][hit]
+        known = query @ dense
+        for i, row in enumerate(some.tolist()):
+            own = slice(starts[low + i], ends[low + i])
+            rare = place[own] < 0
+            without = row if leave_out else -1
+            told, share, _ = nearest(model.telling, at[own], weights[own], NEIGHBOURS, without)
+            whole, similarity, _ = nearest(model, at[own][rare], weights[own][rare], NEIGHBOURS, without, known[i])
+            votes = np.concatenate([_votes(model, told, share), _votes(model, whole, similarity)[1:]])
+            other = ~np.isin(whole, told)
+            yield row, votes, np.concatenate([told, whole[other]]), np.concatenate([share, similarity[other]])
+
+
 def _curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Logistic regression with a little shrinkage, by Newton steps."""
     beta = np.zeros(x.shape[1])
@@ -189,7 +277,7 @@ def fit(documents: DataFrame, labelled: DataFrame, size: int = EXAMPLES, vocabul
     """A model from ``labelled`` (doc_id, label 0/1) and the texts of ``documents`` (doc_id, text).
 
     Null ids and labels are passed over; an id with both labels counts as 1.
-    ``size`` bounds the examples of each label, ``vocabulary`` the terms. With
+    ``size`` bounds the examples of each label, ``vocabulary`` the telling terms. With
     no rows of one label every score is the share of label 1.
     """
     labels = labelled.where("doc_id IS NOT NULL AND label IN (0, 1)").groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
@@ -197,7 +285,9 @@ def fit(documents: DataFrame, labelled: DataFrame, size: int = EXAMPLES, vocabul
     totals = {int(r[0]): r[1] for r in labels.groupBy("label").count().collect()}
     n_rows = sum(totals.values())
     base = totals.get(1, 0) / n_rows if n_rows else 0.0
-    empty = Model(*[np.zeros(0)] * 8, base)
+    no_index = _index(*[np.zeros(0, np.int64)] * 3, 0, 0)
+    none = np.zeros(0, np.int64)
+    empty = Model(no_index.weights, no_index.maxima, no_index.begin, none.view(np.uint64), none, 0.0, none, no_index, none, none, none, none, base)
     if len(totals) < 2:
         return empty
     by_hash = F.xxhash64("doc_id")
@@ -210,40 +300,39 @@ def fit(documents: DataFrame, labelled: DataFrame, size: int = EXAMPLES, vocabul
     if len(seen) < 2:
         return empty
     n1, n0 = seen[1], seen[0]
-    terms = _vocabulary(examples, n1, n0, vocabulary)
-    if not len(terms):
-        return empty
-    spark = documents.sparkSession
-    known = spark.createDataFrame([(int(t),) for t in terms.view(np.int64)], "terms long")
-    key = ["doc_id", "label", "n_words"]
-    pairs = examples.select(*key, F.inline(F.arrays_zip("terms", "counts"))).join(known, "terms")
-    found = {tuple(r[:3]): r["held"] for r in pairs.groupBy(*key).agg(F.collect_list(F.struct("terms", "counts")).alias("held")).collect()}
-    rows = [tuple(r) for r in examples.select(*key).distinct().collect()]  # 2 size rows, with terms of the vocabulary
-    rows.sort(key=lambda r: (r[1], r[0], r[2]))
-    toxic = np.array([label for _, label, _ in rows], np.int64)
+    telling = _vocabulary(examples, n1, n0, vocabulary)
+    rows = examples.dropDuplicates().toArrow().combine_chunks().sort_by([("label", "ascending"), ("doc_id", "ascending"), ("n_words", "ascending")])
+    toxic = rows["label"].to_numpy().astype(np.int64)
     n1, n0 = int(toxic.sum()), int((1 - toxic).sum())
+    sizes = pc.list_value_length(rows["terms"]).to_numpy()
+    found = pc.list_flatten(rows["terms"]).to_numpy().view(np.uint64)
+    if not len(found):
+        return empty
+    terms, term = np.unique(found, return_inverse=True)
+    example = np.repeat(np.arange(len(toxic)), sizes)
     held, n = _document_counts(documents, terms)
     idf = np.log((1 + n) / (1 + held)) + 1
-    weights = np.zeros((len(terms), len(rows)), np.float32)
-    for i, r in enumerate(rows):
-        own = found.get(r, [])
-        place = np.searchsorted(terms, np.array([h["terms"] for h in own], np.int64).view(np.uint64))
-        weights[place, i] = (1 + np.log(np.array([h["counts"] for h in own], float))) * idf[place]
+    weights = (1 + np.log(pc.list_flatten(rows["counts"]).to_numpy())) * idf[term]
+    weights /= np.sqrt(np.bincount(example, weights**2, len(toxic)))[example]
     # Neighbours in the index share terms: sort by the heaviest term, so that block maxima are tight.
-    order = np.lexsort((np.arange(len(rows)), weights.argmax(axis=0), -toxic))
-    weights, toxic = weights[:, order], toxic[order]
-    ids = np.array([rows[i][0] for i in order], np.int64)
-    n_words = np.array([rows[i][2] for i in order], float)
-    weights /= np.maximum(np.sqrt((weights**2).sum(axis=0) + REST * n_words), 1e-9).astype(np.float32)
-    maxima = np.maximum.reduceat(weights, np.arange(0, len(ids), BLOCK), axis=1)
+    by_weight = np.lexsort((-weights, example))
+    heaviest = np.zeros(len(toxic), np.int64)
+    heaviest[sizes > 0] = term[by_weight[(np.cumsum(sizes) - sizes)[sizes > 0]]]
+    order = np.lexsort((np.arange(len(toxic)), heaviest, -toxic))
+    example = np.argsort(order)[example]
+    toxic, ids = toxic[order], rows["doc_id"].to_numpy()[order]
+    whole = _index(term, example, weights, len(terms), len(ids))
+    marks = np.isin(terms, telling)[term]
+    part = _index(term[marks], example[marks], weights[marks], len(terms), len(ids))
     counts_for = np.where(toxic == 1, totals[1] / n1, totals[0] / n0)
-    model = Model(terms, idf, weights, maxima, toxic, counts_for, ids, np.zeros(4), base)
-    x = []
-    for i in range(len(ids)):
-        at = np.flatnonzero(weights[:, i])
-        best, similarity, _ = nearest(model, at, weights[at, i], NEIGHBOURS, without=i)
-        x.append(_votes(model, best, similarity))
-    model.curve = _curve(np.array(x), toxic.astype(float), counts_for)
+    unseen = float(np.log((1 + n) / 2) + 1)
+    common = np.sort(np.argsort(-np.diff(whole.weights.first), kind="stable")[:DENSE])
+    model = Model(whole.weights, whole.maxima, whole.begin, terms, idf, unseen, common, part, toxic, counts_for, ids, np.zeros(7), base)
+    by_example = np.argsort(example, kind="stable")
+    x = np.tile([1.0, 0, 0, 0, 0, 0, 0], (len(ids), 1))  # an example without a term has no votes
+    for row, votes, _, _ in _neighbours(model, example[by_example], term[by_example], weights[by_example], leave_out=True):
+        x[row] = votes
+    model.curve = _curve(x, toxic.astype(float), counts_for)
     return model
 
 
@@ -255,26 +344,26 @@ def _score_batch(model: Model, column: pa.Array) -> tuple[np.ndarray, list, list
         return scores, evidence, similarities
     scores[:] = 1 / (1 + np.exp(-model.curve[0]))
     for low, high, data, offsets in tx.slices(column):
-        at, owner, times, n_words = _looked_up(data, offsets, model.terms)
+        at, owner, times, rest = _looked_up(data, offsets, model.terms)
         weights = (1 + np.log(times)) * model.idf[at]
-        cuts = np.searchsorted(owner, np.arange(high - low + 1))
-        for row in np.flatnonzero(np.diff(cuts)).tolist():
-            part = slice(cuts[row], cuts[row + 1])
-            own = weights[part] / np.sqrt((weights[part] ** 2).sum() + REST * n_words[row])
-            best, similarity, _ = nearest(model, at[part], own.astype(np.float32), NEIGHBOURS)
-            scores[low + row] = 1 / (1 + np.exp(-np.clip(model.curve @ _votes(model, best, similarity), -30, 30)))
+        norms = np.sqrt(np.bincount(owner, weights**2, high - low) + rest * model.unseen**2)
+        weights /= norms[owner]
+        for row, votes, best, values in _neighbours(model, owner, at, weights):
+            scores[low + row] = 1 / (1 + np.exp(-np.clip(model.curve @ votes, -30, 30)))
             evidence[low + row] = model.ids[best].tolist()
-            similarities[low + row] = similarity.tolist()
+            similarities[low + row] = values.tolist()
     return scores, evidence, similarities
 
 
 def score(documents: DataFrame, model: Model) -> DataFrame:
     """doc_id, score, evidence (doc_id and similarity of the neighbours): one row per row of ``documents``.
 
-    Only the text is read. A null or empty text, or one without a term of the
-    vocabulary, has no neighbours and the score the curve gives to no votes.
+    Evidence lists the neighbours by telling terms (similarity: what these terms
+    add to the cosine), then the other neighbours by whole vectors. Only the text
+    is read. A null or empty text, or one without a term of the examples, has no
+    neighbours and the score the curve gives to no votes.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(model)  # at most VOCABULARY x 2 EXAMPLES weights
+    shared = documents.sparkSession.sparkContext.broadcast(model)  # the terms of at most 2 EXAMPLES documents
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64())]))

@@ -83,3 +83,18 @@ def test_bounds_of_the_examples_are_not_cut(spark, docs):
     model = toxicity.fit(docs(rows), labels)
     assert (len(model.ids), int(model.toxic.sum())) == (1840, 40)
     assert (toxicity.EXAMPLES, toxicity.VOCABULARY) == (2000, 4096)
+
+
+def test_whole_vectors_find_copies_without_telling_terms(spark, docs):
+    rnd = random.Random(5)
+    rows = [(i, " ".join(f"plain{rnd.randrange(300)}" for _ in range(20)) + (" vileness grunk" if i < 30 else "")) for i in range(300)]
+    rows += [(900, "quiet marks of nothing known"), (901, "some other harmless line here")]
+    frame = docs(rows)
+    model = toxicity.fit(frame, spark.createDataFrame([(i, int(i < 30 or i == 900)) for i, _ in rows], "doc_id long, label int"))
+    copies = docs([(i + 10_000, t) for i, t in rows])
+    got = {r["doc_id"] - 10_000: {e["doc_id"]: e["similarity"] for e in r["evidence"]} for r in toxicity.score(copies, model).collect()}
+    for i in (100, 250, 900, 901):  # without a term that tells the labels apart
+        assert abs(got[i][i] - 1) < 1e-5
+    beyond = toxicity.score(docs([(1, "quiet marks of nothing known"), (2, "quiet marks of nothing known zzz")]), model).collect()
+    near = {r["doc_id"]: r["evidence"][0]["similarity"] for r in beyond}
+    assert near[2] < near[1]  # a word of no example lengthens the vector
