@@ -72,3 +72,11 @@ def test_records_are_gzip_members():
     assert warc.parsed(raw)["refers_to"] == 3 and warc.parsed(raw)["payload_bytes"] == 2
     with pytest.raises(ValueError):
         warc.parsed(gzip.decompress(warc.record(7, None, sha(b"hi"), 2, b"ho", None, 1)))
+
+
+def test_long_urls_are_read_back(spark):
+    urls = ["data:text/html," + "a" * 100_000, "http://a.example/" + "ü" * 25_000]
+    frame = spark.createDataFrame([(1, urls[0], "one"), (2, urls[1], "two"), (3, "u", "one")], "page_id long, url string, html string")
+    got = {r["page_id"]: r for r in warc.read_archives(warc.write_archives(frame)).collect()}
+    assert set(got) == {1, 2, 3} and got[1]["url"] == urls[0] and got[2]["url"] == urls[1].replace("ü", "%C3%BC")
+    assert got[3]["refers_to"] == 1 and bytes(got[1]["payload"]) == b"one"
