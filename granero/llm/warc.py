@@ -154,9 +154,9 @@ class _Source:
     def __init__(self, file):
         self.file, self.at, self.held = file, 0, b""
 
-    def chunk(self, place: int) -> bytes:
-        """Some bytes from ``place`` on; empty at the end of the file."""
-        if not self.at <= place < self.at + len(self.held):
+    def chunk(self, place: int, least: int = 1) -> bytes:
+        """Some bytes from ``place`` on, ``least`` of them unless the file ends before; empty at its end."""
+        if not self.at <= place <= self.at + len(self.held) - least:
             self.file.seek(place)
             self.at, self.held = place, self.file.read(CHUNK)
         return self.held[place - self.at :]
@@ -190,7 +190,7 @@ def records_in(file, size: int, low: int, high: int) -> Iterator[bytes]:
     """Decoded records that start in bytes [low, high) of an archive of ``size`` bytes."""
     source, place = _Source(file), low
     while place < min(high, size):
-        data = source.chunk(place)
+        data = source.chunk(place, len(MAGIC))
         if not data:
             return
         if data.startswith(MAGIC):
@@ -202,7 +202,7 @@ def records_in(file, size: int, low: int, high: int) -> Iterator[bytes]:
             place += 1
             continue
         at = data.find(MAGIC)
-        # A magic number may lie across two chunks: keep the last two bytes for the next look.
+        # A magic number may lie across two chunks: the last two bytes are fetched again with the next ones.
         place += at if at >= 0 else max(1, len(data) - 2)
 
 

@@ -80,3 +80,12 @@ def test_long_urls_are_read_back(spark):
     got = {r["page_id"]: r for r in warc.read_archives(warc.write_archives(frame)).collect()}
     assert set(got) == {1, 2, 3} and got[1]["url"] == urls[0] and got[2]["url"] == urls[1].replace("ü", "%C3%BC")
     assert got[3]["refers_to"] == 1 and bytes(got[1]["payload"]) == b"one"
+
+
+def test_magic_number_across_two_chunks(monkeypatch):
+    first = warc.record(0, "u", sha(b"x"), 1, random.Random(1).randbytes(300), None, 1)
+    data = first + warc.record(1, "u", sha(b"two"), 3, b"two", None, 1)
+    for size in range(3, len(data)):
+        monkeypatch.setattr(warc, "CHUNK", size)
+        found = [warc.parsed(r)["page_id"] for r in warc.records_in(io.BytesIO(data), len(data), 1, len(data))]
+        assert found == [1], size
