@@ -330,13 +330,8 @@ def _sizes_fit(n: Column, m: Column) -> Column:
     return 4 * F.least(n, m) >= 3 * F.greatest(n, m)
 
 
-def jaccard_links(documents: DataFrame, k: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
-    """Classes of the documents, and links between classes that connect whatever is within 25 % distance.
-
-    The first frame has doc_id, text_hash, n, class (null for an empty set). The
-    second has a, b, common: pairs of classes with 100 * common >= 75 * union.
-    Pairs whose classes were connected before they met are not listed.
-    """
+def _prepared(documents: DataFrame, k: int) -> tuple[DataFrame, DataFrame, DataFrame, _Comparison]:
+    """Classes of the documents, postings of their leading shingles, a row per class that has some, and the comparison."""
     spark = documents.sparkSession
     told = stage(_classes(documents, k), "classes")
     classes = told.where("part IS NULL").select("doc_id", "text_hash", "n", "class")
@@ -352,10 +347,51 @@ def jaccard_links(documents: DataFrame, k: int = SHINGLE) -> tuple[DataFrame, Da
     signed = leading.join(one, "class").select("class", "leading", "n_leading", "row.*", *_signature(F.col("leading")))
     members = signed.withColumn("slack", F.col("n_leading") - sum(F.bit_count(c) for c in SIGNATURE))
     members = stage(members.withColumn("lost", F.col("n_leading") - F.size("leading")), "members")
+    return classes, postings, members, _Comparison(documents, members, k)
+
+
+def all_links(documents: DataFrame, k: int = SHINGLE) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Classes of the documents, all links between different classes, and how many links each class has.
+
+    The first frame is that of ``jaccard_links``. The second has a, b, common:
+    every pair a < b of classes with 100 * common >= 75 * union, connected or
+    not; such a pair shares a leading shingle. The third has class and n_links,
+    0 where there are none. As many rows as there are links: a group of n
+    classes that are all alike has n * (n - 1) / 2.
+    """
+    classes, postings, members, compare = _prepared(documents, k)
+    placed = postings.join(members.select("class", "n", "slack", *SIGNATURE), "class")
+    p, y = placed.alias("p"), placed.alias("y")
+    met = p.join(
+        y,
+        (F.col("p.shingle") == F.col("y.shingle"))
+        & (F.col("p.class") < F.col("y.class"))
+        & _sizes_fit(F.col("p.n"), F.col("y.n"))
+        & _may_link(F.col("p.n"), F.col("y.n"), _most_common(p="p", y="y")),
+    ).select(F.col("p.class").alias("a"), F.col("y.class").alias("b"))
+    compared = compare(met)
+    links = documents.sparkSession.createDataFrame([], "a long, b long, common long")
+    if compared is not None:
+        links = compared.where("linked").select("a", "b", "common")
+    ends = links.select(F.col("a").alias("class")).unionAll(links.select(F.col("b").alias("class")))
+    counts = ends.groupBy("class").agg(F.count(F.lit(1)).alias("n_links"))
+    every = classes.where("class IS NOT NULL").select("class").distinct().join(counts, "class", "left")
+    return classes, links, every.select("class", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def jaccard_links(documents: DataFrame, k: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
+    """Classes of the documents, and links between classes that connect whatever is within 25 % distance.
+
+    The first frame has doc_id, text_hash, n, class (null for an empty set). The
+    second has a, b, common: pairs of classes with 100 * common >= 75 * union.
+    Pairs whose classes were connected before they met are not listed; ``all_links``
+    has every pair.
+    """
+    spark = documents.sparkSession
+    classes, postings, members, compare = _prepared(documents, k)
     # Whoever shares most of its leading shingles lies in the middle of its copies: the better pivot.
     merit = F.col("n_leading") / (F.col("n") - F.ceil(F.col("n") * 0.75) + 1)
     ranked = members.select("class", F.col("n").cast("int").alias("n"), (-1000 * F.least(merit, F.lit(1.0))).cast("int").alias("merit"))
-    compare = _Comparison(documents, members, k)
 
     # First round: one pivot for each region, its centre.
     placed = stage(postings.join(ranked, "class"), "placed")

@@ -99,3 +99,21 @@ def test_components_of_chains_and_stars(spark):
     expected = {i: 0 for i in range(61)} | {100 + i: 100 for i in range(30)} | {300: 300, 301: 300}
     assert {r["node"]: r["root"] for r in got} == expected and len(got) == len(expected)
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_all_links_of_a_group_are_listed(docs):
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join([*words[:190 - i], *(f"own{i}x{j}" for j in range(4))])) for i in range(8)]
+    rows += [(20, " ".join(words[:190] + [f"own0x{j}" for j in range(4)])), (21, "nothing like the others at all here"), (22, None)]
+    sets = {}
+    for i, text in rows:
+        found = (text or "").split()
+        sets[i] = {tuple(found[p : p + jaccard.SHINGLE]) for p in range(max(len(found) - jaccard.SHINGLE, 0) + 1)}
+    wanted = {(i, j) for i in range(8) for j in range(i) if 4 * len(sets[i] & sets[j]) >= 3 * len(sets[i] | sets[j])}
+    assert len(wanted) == 8 * 7 / 2
+    classes, links, counts = jaccard.all_links(docs(rows))
+    of = {r["class"]: r["doc_id"] for r in classes.where("class IS NOT NULL AND doc_id <> 20").collect()}
+    found = [tuple(sorted((of[r["a"]], of[r["b"]]), reverse=True)) for r in links.collect()]
+    assert sorted(found) == sorted(wanted)
+    assert {of[r["class"]]: r["n_links"] for r in counts.collect()} == {**dict.fromkeys(range(8), 7), 21: 0}
+    assert jaccard.jaccard_links(docs(rows))[1].count() < len(wanted)  # connects them with fewer
