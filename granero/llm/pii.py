@@ -148,7 +148,7 @@ def spans_of(documents: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     has_digit = text.rlike("[0-9]")
     has_at = F.contains(text, F.lit("@"))
-    spelled = F.contains(text, F.lit("at)")) | F.contains(text, F.lit("at]")) | F.contains(text, F.lit(" dot "))
+    spelled = text.rlike(r"at\s?[\])]") | F.contains(text, F.lit(" dot "))
     rows = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), text.alias("text"),
         has_digit.alias("has_digit"), has_at.alias("has_at"), spelled.alias("spelled"),
@@ -184,6 +184,17 @@ def spans_of(documents: DataFrame) -> DataFrame:
     return rows.select("doc_id", "text_hash", "base", F.concat(*[described(k) for k in KINDS]).alias("candidates"))
 
 
+def _passes() -> Column:
+    """Whether a candidate fulfils what its kind is checked for; without a base span to meet it may be data in a form of its own."""
+    checks = {
+        "email": (F.col("n_labels") > 0) & (F.col("cue") == 1 + KINDS.index("email")),
+        "ip": F.col("octets") == 1,
+        "card": F.col("n_digits").between(16, 19) & (F.col("luhn") == 1),
+        "phone": F.col("n_digits").between(8, 15) & (F.col("cue") == 1 + KINDS.index("phone")),
+    }
+    return F.coalesce(*[F.when(F.col("kind_no") == KINDS.index(kind), check) for kind, check in checks.items()], F.lit(False))
+
+
 def _leaf(g: float, h: float) -> float:
     return -RATE * g / (h + SHRINK)
 
@@ -276,13 +287,16 @@ def find(documents: DataFrame, precision: float = PRECISION) -> DataFrame:
     Positions are code points, ends exclusive. Null and empty texts have no
     spans. One row per row of ``documents`` (doc_id, text); equal texts get
     equal spans, other columns are ignored. A candidate that meets a base span
-    is not added. With no base span at all nothing is learned or added.
+    is not added. Of the others those that pass the check of their kind are no
+    examples of anything; the rest are the negatives. With no base span at all
+    nothing is learned or added.
     """
     found = stage(spans_of(documents), "spans")
     names = list(FEATURES)
     each = found.select((F.pmod("text_hash", F.lit(5)) == 0).alias("aside"), F.explode("candidates").alias("c")).select(
         "aside", F.col("c.near").alias("near"), *[F.col(f"c.{name}").alias(name) for name in names]
     )
+    each = each.where(F.col("near") | ~_passes())
     table = each.groupBy("aside", *names).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("near").cast("long")).alias("positive"))
     table = stage(table, "features")
     start, trees = boost(table.where("NOT aside"))

@@ -93,3 +93,14 @@ def test_odd_rows_empty_table_and_plan(odd):
     assert pii.find(odd.limit(0)).count() == 0
     for unwanted in ("Python", "Arrow", "Pandas"):
         assert unwanted not in plan(pii.spans_of(odd), "simple")
+
+
+def test_forms_of_their_own_are_added(docs):
+    rows = [(i, f"pay by card 4111 1111 1111 1111 or 5500-0055-5555-5559, case {i}, order 1234 5678 9012 {1000 + i}") for i in range(60)]
+    rows += [(100 + i, f"pay by card 4111.1111.1111.1111 now, case {i}") for i in range(60)]
+    rows += [(200, "reach me: joe [ at ] site.org thanks")]
+    got = {r["doc_id"]: r for r in pii.find(docs(rows)).collect()}
+    assert all([tuple(s) for s in got[100 + i]["spans"]] == [("card", 12, 31)] for i in range(60))
+    assert all(got[i]["spans"] == got[i]["base"] for i in range(60))  # numbers that fail the check stay out
+    candidates = pii.spans_of(docs(rows[-1:])).first()["candidates"]
+    assert [(c["kind"], c["start"], c["end"]) for c in candidates] == [("email", 10, 29)]
