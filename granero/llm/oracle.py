@@ -120,4 +120,73 @@ grouped AS (
 
 OP2 = "WITH RECURSIVE " + NEAR_DUPLICATES.format(source="documents") + "SELECT * FROM grouped"
 
-ORACLE = {"op2_ngram_jaccard_join": OP2, "op7_benchmark_decontamination": OP7, "op1_chat_formatting": OP1, "op6_line_dedup": OP6, "op9_topk_search": OP9}
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII text; needs the table ``crc``."""
+    return (
+        f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)),"
+        " lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT)"
+    )
+
+
+_CRC_TABLE = """
+crc_steps(n, c, k) AS (
+  SELECT n, n, 0 FROM range(256) r(n) UNION ALL
+  SELECT n, CASE WHEN c & 1 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END, k + 1 FROM crc_steps WHERE k < 8
+),
+crc AS (SELECT list(c ORDER BY n) AS t FROM crc_steps WHERE k = 8)
+"""
+
+
+def _leaf(n_chars: str) -> str:
+    shown = [
+        f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", n_chars, "text")
+    ]
+    return f"sha256({' || '.join(shown)})"
+
+
+_PARENTS = "list_transform(range(0, len(h), 2), lambda i: sha256(h[i + 1] || coalesce(h[i + 2], '')))"
+
+OP12 = f"""
+WITH RECURSIVE {_CRC_TABLE},
+leaves AS (
+  SELECT doc_id, lang, {_leaf("n_chars")} AS leaf,
+         CASE WHEN coalesce({_crc32("doc_id::VARCHAR")} % 7 = 0, FALSE) THEN {_leaf("(n_chars + 1)")} ELSE {_leaf("n_chars")} END AS shown,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i
+  FROM documents, crc
+),
+levels(lang, k, h) AS (
+  SELECT lang, 0, list(leaf ORDER BY i) FROM leaves GROUP BY lang UNION ALL
+  SELECT lang, k + 1, {_PARENTS} FROM levels WHERE len(h) > 1
+),
+subroots AS (
+  SELECT lang, h[1] AS subroot, k AS height, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS r FROM levels WHERE len(h) = 1
+),
+tops(k, h) AS (
+  SELECT 0, list(subroot ORDER BY r) FROM subroots UNION ALL SELECT k + 1, {_PARENTS} FROM tops WHERE len(h) > 1
+),
+siblings AS (
+  SELECT l.doc_id, l.leaf, l.i, l.lang, 0 AS part, v.k, (l.i >> v.k) & 1 AS is_right, v.h[xor(l.i >> v.k, 1) + 1] AS s
+  FROM leaves l JOIN levels v ON l.lang IS NOT DISTINCT FROM v.lang AND len(v.h) > 1
+  UNION ALL
+  SELECT l.doc_id, l.leaf, l.i, l.lang, 1, v.k, (b.r >> v.k) & 1, v.h[xor(b.r >> v.k, 1) + 1]
+  FROM leaves l JOIN subroots b ON l.lang IS NOT DISTINCT FROM b.lang JOIN tops v ON len(v.h) > 1
+),
+proofs AS (
+  SELECT i, lang, list({{'r': is_right, 's': s}} ORDER BY part, k) AS p, coalesce(string_agg(s, '' ORDER BY part, k), '') AS told
+  FROM siblings GROUP BY i, lang
+),
+folded(i, lang, p, z, d) AS (
+  SELECT l.i, l.lang, coalesce(p.p, []), 1, l.shown FROM leaves l LEFT JOIN proofs p ON l.i = p.i AND l.lang IS NOT DISTINCT FROM p.lang
+  UNION ALL
+  SELECT i, lang, p, z + 1,
+         sha256(CASE WHEN p[z].s IS NULL THEN d WHEN p[z].r = 1 THEN p[z].s || d ELSE d || p[z].s END)
+  FROM folded WHERE z <= len(p)
+)
+SELECT l.doc_id, l.leaf, b.subroot, (SELECT h[1] FROM tops WHERE len(h) = 1) AS root, sha256(coalesce(p.told, '')) AS proof_sha256,
+       f.d AS folded_root, f.d = (SELECT h[1] FROM tops WHERE len(h) = 1) AS verified
+FROM leaves l JOIN subroots b ON l.lang IS NOT DISTINCT FROM b.lang
+LEFT JOIN proofs p ON p.i = l.i AND p.lang IS NOT DISTINCT FROM l.lang
+JOIN folded f ON f.i = l.i AND f.lang IS NOT DISTINCT FROM l.lang AND f.z = len(f.p) + 1
+"""
+
+ORACLE = {"op12_merkle_manifest": OP12, "op2_ngram_jaccard_join": OP2, "op7_benchmark_decontamination": OP7, "op1_chat_formatting": OP1, "op6_line_dedup": OP6, "op9_topk_search": OP9}

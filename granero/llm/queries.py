@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granero.llm import chat, decontaminate, jaccard, langid, linededup, packing, pii, topk, toxicity, warc
+from granero.llm import chat, decontaminate, jaccard, langid, linededup, merkle, packing, pii, topk, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -111,6 +111,26 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.drop("curve_key")
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    shown = F.when(tampered, merkle.leaf(n_chars=F.try_add("n_chars", F.lit(1))))
+    proved = merkle.manifest(table(spark, sf_dir, "documents"), shown)
+    return proved.drop("lang")
+
+
 QUERIES = {
-    f.__name__: f for f in (op1_chat_formatting, op2_ngram_jaccard_join, op3_toxicity, op4_language_id, op5_pii, op6_line_dedup, op7_benchmark_decontamination, op8_warc, op9_topk_search, op10_packing)
+    f.__name__: f
+    for f in (
+        op1_chat_formatting,
+        op2_ngram_jaccard_join,
+        op3_toxicity,
+        op4_language_id,
+        op5_pii,
+        op6_line_dedup,
+        op7_benchmark_decontamination,
+        op8_warc,
+        op9_topk_search,
+        op10_packing,
+        op12_merkle_manifest,
+    )
 }
