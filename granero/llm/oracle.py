@@ -189,4 +189,89 @@ LEFT JOIN proofs p ON p.i = l.i AND p.lang IS NOT DISTINCT FROM l.lang
 JOIN folded f ON f.i = l.i AND f.lang IS NOT DISTINCT FROM l.lang AND f.z = len(f.p) + 1
 """
 
-ORACLE = {"op12_merkle_manifest": OP12, "op2_ngram_jaccard_join": OP2, "op7_benchmark_decontamination": OP7, "op1_chat_formatting": OP1, "op6_line_dedup": OP6, "op9_topk_search": OP9}
+def _least(*options: str) -> str:
+    return f"list_min(list_filter([{', '.join(options)}], lambda o: o.c IS NOT NULL))"
+
+
+def _step(cost: str, edit: str, rest: str) -> str:
+    return f"{{'c': {cost} + {rest}.c, 'a': '{edit}' || {rest}.a}}"
+
+
+def _edits(state: int, needed: int) -> str:
+    """Cheapest way to deal with one row in a state, without insertions in front of it."""
+    kept = {1: "CASE i WHEN 's' THEN 2 WHEN 'u' THEN 3 END", 3: "CASE i WHEN 'a' THEN 4 END"}.get(state, "CASE i WHEN 'u' THEN 3 END")
+    stays = "CASE WHEN gone THEN NULL ELSE short END"
+    return _least(_step("3", "D", f"v[{state}]"), _step(stays, "K", f"v[{kept}]"), _step(f"2 + {stays}", "R", f"v[{needed}]"))
+
+
+_STATES = {1: 3, 2: 3, 3: 4, 4: 3}  # start, system, user, assistant: what each needs next
+_BASE = ", ".join(_edits(state, needed) for state, needed in _STATES.items())
+_INSERTED = ", ".join(
+    _least(f"b[{state}]", _step("2", "I", f"b[{needed}]"), _step("4", "II", f"b[{_STATES[needed]}]")) for state, needed in _STATES.items()
+)
+_NEEDED = "CASE state WHEN 3 THEN 4 ELSE 3 END"
+_MADE = "CASE state WHEN 3 THEN 'assistant' ELSE 'user' END"
+
+OP13 = f"""
+WITH RECURSIVE {_CRC_TABLE},
+kinds AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS k
+  FROM conversations, crc
+),
+damaged AS (
+  SELECT conv_id, turn, CASE k WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE k WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM kinds WHERE k <> 0
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS p FROM damaged
+),
+faults AS (
+  SELECT *, left(role, 1) AS i, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 AS again,
+         NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS ends_short,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY p) || left(role, 1) AS step
+  FROM placed
+),
+signs AS (
+  SELECT conv_id, p, role, text, turn, i, step, blank, again AND NOT blank AS duplicate,
+         ends_short AND NOT again AND NOT blank AS truncated, blank OR again AS gone,
+         CASE WHEN ends_short AND NOT again AND NOT blank THEN 1 ELSE 0 END AS short
+  FROM faults
+),
+counts AS (
+  SELECT conv_id, max(p) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank) AS blank,
+         count_if(duplicate) AS duplicate, count_if(truncated) AS truncated, count_if(step NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM signs GROUP BY conv_id
+),
+dp(conv_id, p, v) AS (
+  SELECT conv_id, n + 1, [{{'c': 0, 'a': ''}}, {{'c': 4, 'a': 'II'}}, {{'c': 2, 'a': 'I'}}, {{'c': 0, 'a': ''}}] FROM counts
+  UNION ALL
+  SELECT conv_id, p, [{_INSERTED}] FROM (
+    SELECT d.conv_id, s.p, [{_BASE}] AS b FROM dp d JOIN signs s ON s.conv_id IS NOT DISTINCT FROM d.conv_id AND s.p = d.p - 1
+  )
+),
+found AS (SELECT conv_id, v[1].c AS cost, v[1].a AS audit FROM dp WHERE p = 1),
+walk(conv_id, audit, z, p, state, line) AS (
+  SELECT conv_id, audit, 0, 0, 1, NULL::VARCHAR FROM found
+  UNION ALL
+  SELECT conv_id, audit, z, p, CASE WHEN e = 'D' THEN state WHEN e = 'K' AND i = 's' THEN 2 ELSE {_NEEDED} END,
+         CASE e WHEN 'D' THEN NULL WHEN 'K' THEN role || ':' || text WHEN 'R' THEN {_MADE} || ':' || text ELSE {_MADE} || ':' END
+  FROM (
+    SELECT w.conv_id, w.audit, w.z + 1 AS z, w.p + (w.audit[w.z + 1] <> 'I')::INT AS p, w.state, w.audit[w.z + 1] AS e, s.role, s.text, s.i
+    FROM walk w LEFT JOIN signs s ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.p = w.p + 1 WHERE w.z < length(w.audit)
+  )
+),
+lines AS (SELECT conv_id, string_agg(line, chr(10) ORDER BY z) AS told FROM walk GROUP BY conv_id)
+SELECT e.conv_id, coalesce(c.gaps, 0)::BIGINT AS gaps, coalesce(c.blank, 0)::BIGINT AS blank, coalesce(c.duplicate, 0)::BIGINT AS duplicate,
+       coalesce(c.truncated, 0)::BIGINT AS truncated, coalesce(c.illegal, 0)::BIGINT AS illegal, coalesce(f.cost, 0)::BIGINT AS cost,
+       coalesce(f.audit, '') AS audit, sha256(coalesce(l.told, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) e
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+LEFT JOIN found f ON f.conv_id IS NOT DISTINCT FROM e.conv_id
+LEFT JOIN lines l ON l.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+ORACLE = {"op13_conversation_repair": OP13, "op12_merkle_manifest": OP12, "op2_ngram_jaccard_join": OP2, "op7_benchmark_decontamination": OP7, "op1_chat_formatting": OP1, "op6_line_dedup": OP6, "op9_topk_search": OP9}

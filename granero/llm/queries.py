@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granero.llm import chat, decontaminate, jaccard, langid, linededup, merkle, packing, pii, topk, toxicity, warc
+from granero.llm import chat, decontaminate, jaccard, langid, linededup, merkle, packing, pii, repair, topk, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -118,6 +118,21 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proved.drop("lang")
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = table(spark, sf_dir, "conversations")
+    found = repair.repair(repair.damaged(stored)).withColumnRenamed("conv_id", "_conv")
+    every = stored.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    told = every.join(found, F.col("conv_id").eqNullSafe(F.col("_conv")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    empty = F.sha2(F.lit("").cast("binary"), 256)
+    return told.select(
+        "conv_id",
+        *counts,
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", empty).alias("repaired_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -132,5 +147,6 @@ QUERIES = {
         op9_topk_search,
         op10_packing,
         op12_merkle_manifest,
+        op13_conversation_repair,
     )
 }
