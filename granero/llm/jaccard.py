@@ -206,7 +206,7 @@ def _row_key():
     return F.xxhash64("doc_id", "text_hash")
 
 
-def _sets_of(documents: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+def sets_of(documents: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """class, shingles of the documents named in ``wanted`` (doc_id, text_hash), and of a few more that the filter lets through.
 
     The filter is a bitmap of fixed size over the rows' hashes: the more rows
@@ -314,7 +314,7 @@ class _Comparison:
             wanted = wanted.join(self.sets.select("class"), "class", "left_anti")
         wanted = stage(wanted.join(self.members, "class").select("doc_id", "text_hash"), "wanted")
         if wanted.limit(1).count():
-            more = stage(_sets_of(self.documents, wanted, self.k), "sets")
+            more = stage(sets_of(self.documents, wanted, self.k), "sets")
             self.sets = more if self.sets is None else self.sets.unionByName(more)
         left = self.sets.select(F.col("class").alias("a"), F.col("shingles").alias("sa"))
         right = self.sets.select(F.col("class").alias("b"), F.col("shingles").alias("sb"))

@@ -95,19 +95,20 @@ report AS (
 
 OP7 = "WITH " + CONTAMINATION.format(source="documents") + "SELECT * FROM report"
 
-#: Groups of a table ``source`` with doc_id and text by shingles: grouped(doc_id, n_shingles, component_id).
+#: Groups of a table ``source`` with doc_id and text by shingles of ``k`` words and a least similarity ``percent``:
+#: grouped(doc_id, n_shingles, component_id).
 NEAR_DUPLICATES = f"""
 blank_words AS (
   SELECT doc_id, regexp_extract_all({_FOLD.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM {{source}}
 ),
 shingles AS (
-  SELECT DISTINCT doc_id, array_to_string(w[s + 1 : s + 5], ' ') AS g
-  FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - 5, 0) + 1)) AS s FROM blank_words WHERE len(w) > 0)
+  SELECT DISTINCT doc_id, array_to_string(w[s + 1 : s + {{k}}], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - {{k}}, 0) + 1)) AS s FROM blank_words WHERE len(w) > 0)
 ),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
 links AS (
-  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= {{percent}} * (x.n + y.n - c)
 ),
 reach(doc_id, root) AS (
   SELECT doc_id, doc_id FROM sizes UNION SELECT l.b, r.root FROM reach r JOIN links l ON r.doc_id = l.a
@@ -118,7 +119,9 @@ grouped AS (
 )
 """
 
-OP2 = "WITH RECURSIVE " + NEAR_DUPLICATES.format(source="documents") + "SELECT * FROM grouped"
+OP2 = "WITH RECURSIVE " + NEAR_DUPLICATES.format(source="documents", k=5, percent=75) + "SELECT * FROM grouped"
+OP11 = "WITH RECURSIVE " + NEAR_DUPLICATES.format(source="documents", k=4, percent=80)
+OP11 += "SELECT *, doc_id IS NOT DISTINCT FROM component_id AS kept FROM grouped"
 
 def _crc32(text: str) -> str:
     """CRC-32 of an ASCII text; needs the table ``crc``."""
@@ -274,4 +277,4 @@ LEFT JOIN found f ON f.conv_id IS NOT DISTINCT FROM e.conv_id
 LEFT JOIN lines l ON l.conv_id IS NOT DISTINCT FROM e.conv_id
 """
 
-ORACLE = {"op13_conversation_repair": OP13, "op12_merkle_manifest": OP12, "op2_ngram_jaccard_join": OP2, "op7_benchmark_decontamination": OP7, "op1_chat_formatting": OP1, "op6_line_dedup": OP6, "op9_topk_search": OP9}
+ORACLE = {"op11_minhash_near_dedup": OP11, "op13_conversation_repair": OP13, "op12_merkle_manifest": OP12, "op2_ngram_jaccard_join": OP2, "op7_benchmark_decontamination": OP7, "op1_chat_formatting": OP1, "op6_line_dedup": OP6, "op9_topk_search": OP9}

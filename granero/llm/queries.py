@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granero.llm import chat, decontaminate, jaccard, langid, linededup, merkle, packing, pii, repair, topk, toxicity, warc
+from granero.llm import chat, chosenpath, decontaminate, jaccard, langid, linededup, merkle, packing, pii, repair, topk, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -111,6 +111,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.drop("curve_key")
 
 
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosenpath.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
     shown = F.when(tampered, merkle.leaf(n_chars=F.try_add("n_chars", F.lit(1))))
@@ -146,6 +150,7 @@ QUERIES = {
         op8_warc,
         op9_topk_search,
         op10_packing,
+        op11_minhash_near_dedup,
         op12_merkle_manifest,
         op13_conversation_repair,
     )
