@@ -55,6 +55,13 @@ class TableSpec:
     rules: tuple[Rule, ...] = ()
     references: tuple[Reference, ...] = ()
     masked: tuple[str, ...] = ()
+    #: Date column by whose months the cleaned table is stored, so that a run cleans only the months it touches.
+    #: Rows that are compared with each other (a business key) have to lie in one month.
+    sliced_by: str | None = None
+
+    def __post_init__(self) -> None:
+        if self.sliced_by and self.business_key and self.sliced_by not in self.business_key:
+            raise ValueError(f"{self.name}: rows with one business key could lie in several months")
 
     @property
     def column_names(self) -> list[str]:
@@ -160,6 +167,7 @@ SALES = TableSpec(
     name="trans_ventas",
     key="id_trans",
     watermark="fec_trans",
+    sliced_by="fec_trans",
     columns=(
         Column("id_trans", _ID),
         Column("id_miembro", _ID, nullable=True),
@@ -185,6 +193,7 @@ STOCK = TableSpec(
     name="inv_stock_diario",
     key="id_snapshot",
     watermark="fec_snapshot",
+    sliced_by="fec_snapshot",
     columns=(
         Column("id_snapshot", _ID),
         Column("art_id", _ID),
@@ -203,6 +212,7 @@ RETURNS = TableSpec(
     name="post_devoluciones",
     key="id_devolucion",
     watermark="fec_devolucion",
+    sliced_by="fec_devolucion",
     columns=(
         Column("id_devolucion", _ID),
         Column("id_trans_origen", _ID),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Spanish names, January first and Sunday first.
@@ -11,6 +14,7 @@ MONTH_NAMES = (
 )
 DAY_NAMES = ("domingo", "lunes", "martes", "miercoles", "jueves", "viernes", "sabado")
 # End of fixed values.
+NO_DATE = dt.date(1900, 1, 1)
 
 
 def latest_date(df: DataFrame, col: str) -> Column:
@@ -27,6 +31,21 @@ def within_trailing(col: str, ref: Column, days: int) -> Column:
     return F.col(col) > F.date_sub(ref, days)
 
 
+def month_of(col: str) -> Column:
+    """First day of the month of a date, by which tables are stored in slices; rows without a date share one."""
+    return F.coalesce(F.trunc(col, "MM"), F.lit(NO_DATE)).cast("date")
+
+
+def in_months(col: str, months: Sequence[dt.date]) -> Column:
+    """True for dates of the given slices; also names the span, which prunes row groups of files that are sorted by date."""
+    dated = sorted(m for m in months if m != NO_DATE)
+    found = F.col(col).isNull() if NO_DATE in months else F.lit(False)
+    if dated:
+        span = (F.col(col) >= F.lit(dated[0])) & (F.col(col) <= F.last_day(F.lit(dated[-1])))
+        found = found | (span & F.trunc(col, "MM").isin(*dated))
+    return found
+
+
 def _name(names: tuple[str, ...], one_based: Column) -> Column:
     return F.get(F.array(*[F.lit(n) for n in names]), one_based - 1)
 

@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from granero.catalog import TableSpec
 
 
-def drop_exact(df: DataFrame) -> DataFrame:
-    """One copy of each row; copies are combined before the shuffle."""
-    return df.dropDuplicates()
+def drop_exact(df: DataFrame, copies: str | None = None) -> DataFrame:
+    """One copy of each row; copies are combined before the shuffle. ``copies`` names a column for how many there were."""
+    return df.dropDuplicates() if copies is None else df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(copies))
 
 
 def first_per_key(
@@ -31,14 +31,32 @@ def first_per_key(
     return df.withColumn("_orden", F.row_number().over(ranking)).where("_orden = 1").drop("_orden")
 
 
-def deduplicate(df: DataFrame, spec: TableSpec, keyed: bool = False) -> DataFrame:
+def first_and_count(df: DataFrame, key: Sequence[str], order: Sequence[str], copies: str) -> DataFrame:
+    """The row that :func:`first_per_key` keeps (smallest ``order``, nulls first), and how many rows its key has.
+
+    A minimum and a count, so a key that holds a large part of the table sends
+    one row per task here too.
+    """
+    rest = [c for c in df.columns if c not in key and c not in order]
+    whole = F.struct(*order, F.xxhash64(*df.columns).alias("_mezcla"), *rest)
+    best = df.groupBy(*key).agg(F.min(whole).alias("_fila"), F.count(F.lit(1)).alias(copies))
+    return best.select(*[F.col(c) if c in key else F.col(f"_fila.{c}") for c in df.columns], copies)
+
+
+def deduplicate(df: DataFrame, spec: TableSpec, keyed: bool = False, copies: str | None = None) -> DataFrame:
     """Exact duplicates removed and, where declared, repeated business keys.
 
     Copies of a row share its business key, so the second step alone covers
     both and costs one shuffle instead of two. The smallest primary key stays.
     With ``keyed`` the table comes out of a keyed load: its primary key is
-    unique, no two rows can be equal, and the exact step is left out.
+    unique, no two rows can be equal, and the exact step is left out. ``copies``
+    names a column that says how many rows each kept row stands for, so that
+    nobody has to count the input again.
     """
     if spec.business_key:
+        if copies is not None:
+            return first_and_count(df, spec.business_key, [spec.key], copies)
         return first_per_key(df, spec.business_key, [F.col(spec.key).asc_nulls_first()], unique=keyed)
-    return df if keyed else drop_exact(df)
+    if keyed:
+        return df if copies is None else df.withColumn(copies, F.lit(1).cast("bigint"))
+    return drop_exact(df, copies)

@@ -85,17 +85,24 @@ def quality_row(table: str, rows_in: DataFrame, tagged: DataFrame) -> DataFrame:
     subqueries.
     """
     total = rows_in.agg(F.count("*").alias("n")).scalar()
+    return _quality_line(table, outcome(tagged).withColumn("entrada", total))
+
+
+def quality_counted(table: str, tagged: DataFrame, copies: str) -> DataFrame:
+    """The same line from tagged rows that say how many raw rows they stand for: the raw table is not read for it."""
+    came_in = F.coalesce(F.sum(copies), F.lit(0)).cast("bigint").alias("entrada")
+    bad = F.col(REASON).isNotNull()
+    return _quality_line(table, tagged.agg(came_in, F.count_if(bad).alias("rechazados"), F.count_if(~bad).alias("salida")))
+
+
+def _quality_line(table: str, counts: DataFrame) -> DataFrame:
     kept, out = F.col("salida"), F.col("rechazados")
     share = F.bround(F.try_divide(F.lit(100.0) * kept.cast("double"), F.col("entrada").cast("double")), 2)
-    return (
-        outcome(tagged)
-        .withColumn("entrada", total)
-        .select(
-            F.lit(table).alias("tabla"),
-            "entrada",
-            (F.col("entrada") - kept - out).alias("duplicados"),
-            "rechazados",
-            "salida",
-            F.coalesce(share, F.lit(0.0)).alias("pct_conformes"),
-        )
+    return counts.select(
+        F.lit(table).alias("tabla"),
+        "entrada",
+        (F.col("entrada") - kept - out).alias("duplicados"),
+        "rechazados",
+        "salida",
+        F.coalesce(share, F.lit(0.0)).alias("pct_conformes"),
     )

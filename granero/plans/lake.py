@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from granero.catalog import TABLES
 from granero.functions.dates import latest_date
-from granero.operators.quarantine import quality_row, rejected, valid
+from granero.operators.quarantine import quality_counted, quality_row, rejected, valid
 from granero.operators.references import union_all
 from granero.plans import gold
 from granero.plans.measures import Star
@@ -18,6 +18,8 @@ from granero.plans.silver import cleaned
 from granero.session import stage
 from granero.sources import retail
 
+COPIES = "_copias"
+
 
 class Lake:
     """Builds each table on demand and remembers its plan, not its rows.
@@ -36,8 +38,10 @@ class Lake:
         staged: Collection[str] = (),
         as_of: dt.date = retail.AS_OF,
         landed: Collection[str] = (),
+        counted: bool = False,
     ) -> None:
         self.spark, self.sf_dir, self.as_of, self.staged, self.landed = spark, sf_dir, as_of, staged, landed
+        self.copies = COPIES if counted else None
         self._sources: dict[str, DataFrame] = {}
         self._tagged: dict[str, DataFrame] = {}
         self._parents: dict[str, DataFrame] = {}
@@ -50,17 +54,20 @@ class Lake:
 
     def parent(self, table: str) -> DataFrame:
         """What a foreign key is checked against."""
-        if not self.landed or table in self.staged:
+        if not (self.landed or self.copies) or table in self.staged:
             return self.silver(table)
         if table not in self._parents:
             self._parents[table] = stage(self.silver(table).select(TABLES[table].key), f"{table}-claves")
         return self._parents[table]
 
     def tagged(self, table: str) -> DataFrame:
+        return self._marked(table).drop(COPIES)
+
+    def _marked(self, table: str) -> DataFrame:
         if table not in self._tagged:
             spec = TABLES[table]
             parents = {ref.parent: self.parent(ref.parent) for ref in spec.references}
-            frame = cleaned(self.source(table), spec, self.as_of, parents)
+            frame = cleaned(self.source(table), spec, self.as_of, parents, copies=self.copies)
             if table in self.staged:
                 frame = stage(frame, table)
             self._tagged[table] = frame
@@ -73,6 +80,8 @@ class Lake:
         return union_all(rejected(self.tagged(name), spec) for name, spec in TABLES.items())
 
     def quality(self) -> DataFrame:
+        if self.copies:
+            return union_all(quality_counted(name, self._marked(name), self.copies) for name in TABLES)
         return union_all(quality_row(name, self.source(name), self.tagged(name)) for name in TABLES)
 
     @cached_property

@@ -311,23 +311,20 @@ def silver_suppliers(spark, sf_dir):
     return expose(Lake(spark, sf_dir).silver("mstr_proveedores"))
 
 
-_LANDED = ["trans_ventas", "inv_stock_diario"]  # sources that are dear to derive
-
-
 @query
 def error_table(spark, sf_dir):
-    return Lake(spark, sf_dir, staged=["trans_ventas"], landed=_LANDED[:1]).errors()
+    return Lake(spark, sf_dir, staged=["trans_ventas"], landed=["trans_ventas"]).errors()
 
 
 @query
 def error_summary_(spark, sf_dir):
-    return error_summary(Lake(spark, sf_dir, staged=["trans_ventas"], landed=_LANDED[:1]).errors()).orderBy("tabla_origen", "motivo")
+    return error_summary(Lake(spark, sf_dir, staged=["trans_ventas"], landed=["trans_ventas"]).errors()).orderBy("tabla_origen", "motivo")
 
 
 
 @query
 def quality_report(spark, sf_dir):
-    return Lake(spark, sf_dir, staged=["trans_ventas"], landed=_LANDED).quality()
+    return Lake(spark, sf_dir, staged=["trans_ventas"], counted=True).quality()
 
 
 # ------------------------------------------------------------ lookups and dimensions
@@ -502,7 +499,7 @@ def volume_alert_(spark, sf_dir):
 
 @query
 def run_report(spark, sf_dir):
-    lake = Lake(spark, sf_dir, staged=["trans_ventas", "inv_stock_diario"], landed=_LANDED)
+    lake = Lake(spark, sf_dir, staged=["trans_ventas", "inv_stock_diario"], counted=True)
     log = retail.run_log(spark, sf_dir)
     return checks.run_report(log, lake.quality(), _dq(lake), volume_alert(log))
 

@@ -2,7 +2,8 @@
 
 Every layer reads the tables the layer before it has written, so no stage
 recomputes another. A run that broke off is started again with the same batch id:
-what it stored is replaced, not added to.
+what it stored is replaced, not added to. A run on top of finished ones takes in
+what is new: batches, the months they touch, and what refers to rows that changed.
 """
 
 from __future__ import annotations
@@ -13,19 +14,31 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from granero.catalog import TABLES, TableSpec
-from granero.functions.dates import latest_date
-from granero.operators.ingest import INGEST_PARTITIONS, increment, late, newest, stamp
-from granero.operators.quarantine import REASON, quality_row, rejected
+from granero.functions.dates import in_months, latest_date, month_of
+from granero.operators.ingest import INGEST_PARTITIONS, after, day_prints, late_by_day, mark_of, stamp
+from granero.operators.quarantine import REASON, quality_counted, rejected
 from granero.operators.references import union_all
 from granero.operators.volume import volume_alert
 from granero.plans import checks, gold, kpis
 from granero.plans.measures import Star, is_unique
 from granero.plans.silver import cleaned
-from granero.session import together
-from granero.sources.tables import Layers, live_paths, put_batch, read_table, replace_table
+from granero.session import stage, together
+from granero.sources.tables import (
+    Layers,
+    batch_folder,
+    live_batches,
+    live_paths,
+    overwrite_slices,
+    put_batch,
+    read_newest,
+    read_table,
+    replace_table,
+    settle,
+    table_exists,
+)
 
 _STATE = "_estado"
 _VALID, _REJECTED = "valido", "rechazado"
@@ -33,6 +46,10 @@ _LOG_SCHEMA = (
     "tabla string, registros bigint, segundos double, batch_id string, ts_ejecucion timestamp, modo string"
 )
 _LATE_SCHEMA = "tabla string, tardias bigint, batch_id string"
+_NOTE_SCHEMA = "batch_id string, ts timestamp, as_of date, estado string"
+_PRINT_SCHEMA = "dia date, filas bigint, suma_a bigint, suma_b bigint"
+COPIES = "_copias"
+SLICE = "_mes"
 
 
 @dataclass(frozen=True)
@@ -51,6 +68,7 @@ class Run:
     incremental: bool = True
     watermark_cap: bool = True
     partitions: Mapping[str, list[str]] = field(default_factory=dict)
+    settle_after: int = 8
 
 
 def _audited(spec: TableSpec) -> T.StructType:
@@ -59,27 +77,51 @@ def _audited(spec: TableSpec) -> T.StructType:
     return T.StructType(spec.schema.fields + [T.StructField(n, t, True) for n, t in extra])
 
 
-def read_bronze(spark: SparkSession, layers: Layers, spec: TableSpec, without: Sequence[str] = ()) -> DataFrame:
-    """The valid rows of all batches but those in ``without``: per key those of the latest run."""
-    stored = read_table(spark, layers.path("bronze", spec.name), layers.fmt, _audited(spec), without)
-    return newest(stored, spec.key)
+def read_bronze(
+    spark: SparkSession, layers: Layers, spec: TableSpec, without: Sequence[str] = (), only: Sequence[str] | None = None
+) -> DataFrame:
+    """The valid rows of all batches but those in ``without``, or of the batches in ``only``: per key those of the latest run."""
+    path = layers.path("bronze", spec.name)
+    return read_newest(spark, path, spec.key, _audited(spec), fmt=layers.fmt, without=without, only=only)
 
 
 def _read_marked(spark: SparkSession, layers: Layers, spec: TableSpec) -> DataFrame:
-    extra = [(REASON, T.StringType()), ("_ts_silver", T.TimestampType()), (_STATE, T.StringType())]
+    extra = [(REASON, T.StringType()), ("_ts_silver", T.TimestampType()), (COPIES, T.LongType()), (_STATE, T.StringType())]
+    if spec.sliced_by:
+        extra.append((SLICE, T.DateType()))
     schema = T.StructType(spec.schema.fields + [T.StructField(n, t, True) for n, t in extra])
     return read_table(spark, layers.path("silver", spec.name), layers.fmt, schema)
 
 
 def read_silver(spark: SparkSession, layers: Layers, spec: TableSpec) -> DataFrame:
-    """Valid rows of a cleaned table; the rejected ones lie in another partition."""
-    return _read_marked(spark, layers, spec).where(F.col(_STATE) == _VALID).drop(_STATE, REASON)
+    """Valid rows of a cleaned table."""
+    return _read_marked(spark, layers, spec).where(F.col(_STATE) == _VALID).drop(_STATE, REASON, COPIES, SLICE)
 
 
 def read_gold(spark: SparkSession, layers: Layers, table: str) -> DataFrame:
     return read_table(spark, layers.path("gold", table), layers.fmt)
 
 
+def read_sales(spark: SparkSession, layers: Layers, since: Column | None = None) -> DataFrame:
+    """The sales facts, or those after a day: the months before it are not opened."""
+    sales = read_gold(spark, layers, "fact_ventas")
+    if SLICE not in sales.columns:
+        return sales if since is None else sales.where(F.col("fec_trans") > since)
+    if since is not None:
+        sales = sales.where((F.col(SLICE) >= F.trunc(since, "MM")) & (F.col("fec_trans") > since))
+    return sales.drop(SLICE)
+
+
+def _prints(spark: SparkSession, layers: Layers, spec: TableSpec, loaded: DataFrame, run: Run) -> DataFrame:
+    """What was loaded per day, as the runs before have written it down; counted anew where they have not."""
+    path = layers.path("bronze", f"_huellas/{spec.name}")
+    noted = {n for n in live_batches(spark, path, [run.batch_id])[1]} if table_exists(spark, path) else set()
+    stored = {n for n in live_batches(spark, layers.path("bronze", spec.name))[1]} - {batch_folder(run.batch_id)}
+    if noted and stored <= noted:
+        return read_table(spark, path, layers.fmt, _PRINT_SCHEMA, without=[run.batch_id])
+    return day_prints(loaded, spec)
+
+
 def ingest_table(
     spark: SparkSession, layers: Layers, spec: TableSpec, source: Callable[[], DataFrame], run: Run
 ) -> dict:
@@ -88,23 +130,36 @@ def ingest_table(
     Rows are stored as they come: missing and repeated keys are for the
     cleaning to count and reject. What counts as loaded before leaves this
     run's own batch out, so a run that is repeated loads the same rows again.
+    The watermark and the days to search for late rows come from what earlier
+    runs have noted per day, not from the table. Every ``run.settle_after``
+    batches the older ones become the settled base of the table.
     """
     started = time.monotonic()
     path = layers.path("bronze", spec.name)
     before = live_paths(spark, path, [run.batch_id])
     loaded = read_bronze(spark, layers, spec, [run.batch_id]) if before else None
     cap = run.as_of if run.watermark_cap else None
-    rows = increment(source(), loaded, spec, run.incremental, cap)
-    batch = stamp(rows.select(*spec.column_names), run.ts, run.system, run.batch_id)
-    written = put_batch(batch, path, run.batch_id, INGEST_PARTITIONS, layers.fmt).count()
-    skipped = 0
+    arrived, mark, prints = source(), None, None
     if run.incremental and loaded is not None and spec.watermark is not None:
-        skipped = late(source(), loaded, spec, cap).count()
+        prints = _prints(spark, layers, spec, loaded, run)
+        mark = mark_of(prints, cap)
+    rows = after(arrived, spec.watermark, mark)
+    counted = Observation()
+    batch = stamp(rows.select(*spec.column_names), run.ts, run.system, run.batch_id)
+    batch = batch.observe(counted, F.count(F.lit(1)).alias("n"))
+    stored = put_batch(batch, path, run.batch_id, INGEST_PARTITIONS, layers.fmt)
+    if spec.watermark is not None:
+        put_batch(day_prints(stored, spec), layers.path("bronze", f"_huellas/{spec.name}"), run.batch_id, fmt=layers.fmt)
+    skipped = late_by_day(arrived, loaded, prints, spec, mark) if mark is not None else None
+    _, batches = live_batches(spark, path)
+    if len(batches) > run.settle_after:
+        order = [spec.watermark] if spec.watermark else []
+        settle(spark, path, spec.key, _audited(spec), [run.batch_id], order, fmt=layers.fmt)
     return {
         "tabla": spec.name,
-        "registros": written,
+        "registros": counted.get["n"],
         "segundos": round(time.monotonic() - started, 1),
-        "tardias": skipped,
+        "tardias": 0 if skipped is None else skipped.count(),
     }
 
 
@@ -123,31 +178,135 @@ def ingest_all(spark: SparkSession, layers: Layers, sources: Mapping[str, Callab
     put_batch(skipped, layers.path("bronze", "_filas_tardias"), run.batch_id, fmt=layers.fmt)
 
 
-def clean_all(spark: SparkSession, layers: Layers, run: Run) -> None:
-    """Parents before children; each child is checked against the parent as written."""
+@dataclass(frozen=True)
+class Progress:
+    """What a layer has to take in: everything (``batches`` is None), or these batches on top of what it has.
+
+    ``as_of`` is the date of the run that wrote what it has.
+    """
+
+    batches: list[str] | None
+    as_of: dt.date | None = None
+
+
+def _begin(spark: SparkSession, layers: Layers, layer: str, run: Run) -> Progress:
+    """Note that a run writes a layer, and find out what is new to it.
+
+    After a run that broke off, and when a run is repeated that had finished, it is everything.
+    """
+    path = layers.path(layer, "_corridas")
+    noted = read_table(spark, path, layers.fmt, _NOTE_SCHEMA).collect() if table_exists(spark, path) else []  # a row per run
+    _note(spark, layers, layer, run, "iniciada")
+    finished = [r for r in noted if r["estado"] == "terminada"]
+    if not finished or len(finished) < len(noted) or run.batch_id in {r["batch_id"] for r in noted} or not run.incremental:
+        return Progress(None)
+    log = read_table(spark, layers.path("bronze", "_log_ingesta"), layers.fmt)
+    loaded = {r["batch_id"] for r in log.select("batch_id").distinct().collect()}
+    last = max(finished, key=lambda r: r["ts"])
+    return Progress(sorted((loaded | {run.batch_id}) - {r["batch_id"] for r in finished}), last["as_of"])
+
+
+def _note(spark: SparkSession, layers: Layers, layer: str, run: Run, state: str) -> None:
+    row = [(run.batch_id, dt.datetime.fromisoformat(run.ts), run.as_of, state)]
+    put_batch(spark.createDataFrame(row, _NOTE_SCHEMA), layers.path(layer, "_corridas"), run.batch_id, fmt=layers.fmt)
+
+
+def _touched(
+    spark: SparkSession, layers: Layers, spec: TableSpec, run: Run, done: Progress, changed: Mapping[str, DataFrame]
+) -> list[dt.date]:
+    """Months of a sliced table that have to be cleaned again.
+
+    Those of new rows, and those where the rows of the same keys stood before;
+    those of rows whose parent came, went or changed state; and those of rows
+    that a rule judges otherwise on the new run date. Of the table its keys,
+    references and dates are read, none of it moves.
+    """
+    fresh = read_bronze(spark, layers, spec, only=done.batches)
+    marked = _read_marked(spark, layers, spec)
+    keys = fresh.select(spec.key).distinct()
+    found = [fresh.select(month_of(spec.sliced_by).alias(SLICE)), marked.join(keys, spec.key, "left_semi").select(SLICE)]
+    for ref in spec.references:
+        if ref.parent in changed:
+            parents = changed[ref.parent].select(F.col(TABLES[ref.parent].key).alias(ref.column))
+            found.append(marked.join(parents, ref.column, "left_semi").select(SLICE))
+    if done.as_of != run.as_of:
+        for rule in [r for r in spec.rules if "{as_of}" in r.reject]:
+            was, is_now = (F.expr(rule.reject.format(as_of=f"DATE '{d.isoformat()}'")) for d in (done.as_of, run.as_of))
+            found.append(marked.where(~was.eqNullSafe(is_now)).select(SLICE))
+    return sorted(r[SLICE] for r in union_all(f.distinct() for f in found).distinct().collect())  # a row per month
+
+
+def _clean(
+    spark: SparkSession, layers: Layers, spec: TableSpec, run: Run, done: Progress, changed: dict[str, DataFrame]
+) -> list[dt.date] | None:
+    """Clean a table, or what changed of it; returns the months that were written (None: all of it).
+
+    Of a table that others refer to, the keys that became valid or ceased to be are left in ``changed``.
+    """
+    path = layers.path("silver", spec.name)
+    months = None
+    parents = {ref.parent: read_silver(spark, layers, TABLES[ref.parent]) for ref in spec.references}
+    raw = read_bronze(spark, layers, spec)
+    if done.batches is not None and spec.sliced_by:
+        months = _touched(spark, layers, spec, run, done, changed)
+        if not months:
+            return []
+        raw = raw.where(in_months(spec.sliced_by, months))
+    tagged = cleaned(raw, spec, run.as_of, parents, copies=COPIES)
+    state = F.when(F.col(REASON).isNull(), _VALID).otherwise(_REJECTED)
+    marked = tagged.withColumns({"_ts_silver": F.lit(run.ts).cast("timestamp"), _STATE: state})
+    has_children = any(ref.parent == spec.name for child in TABLES.values() for ref in child.references)
+    before = None
+    if done.batches is not None and has_children:
+        before = _read_marked(spark, layers, spec)
+        before = before if months is None else before.where(F.col(SLICE).isin(*months))
+        before = before.where(F.col(_STATE) == _VALID).select(spec.key)
+        if months is not None:
+            before = stage(before, f"{spec.name}-antes")  # its files are about to go
+    if spec.sliced_by:
+        marked = marked.withColumn(SLICE, month_of(spec.sliced_by))
+        if months is not None:
+            marked = stage(marked, f"{spec.name}-meses")
+        overwrite_slices(marked, path, SLICE, months, layers.fmt)
+    else:
+        replace_table(marked, path, [_STATE], fmt=layers.fmt)
+    if before is not None:
+        now = _read_marked(spark, layers, spec).where(F.col(_STATE) == _VALID)
+        now = (now if months is None else now.where(F.col(SLICE).isin(*months))).select(spec.key)
+        sides = before.distinct().withColumn("_lado", F.lit(-1)).unionByName(now.distinct().withColumn("_lado", F.lit(1)))
+        other = stage(sides.groupBy(spec.key).agg(F.sum("_lado").alias("_lado")).where("_lado <> 0").select(spec.key), "cambios")
+        if other.limit(1).count():
+            changed[spec.name] = other
+    return months
+
+
+def clean_all(spark: SparkSession, layers: Layers, run: Run) -> dict[str, list[dt.date] | None]:
+    """Parents before children; each child is checked against the parent as written.
+
+    A run on top of earlier ones cleans what its batches touch: the months of
+    their rows, and the months of rows whose parents changed state, along the
+    references. Returns per table the months that were written, None for all.
+    """
     stamp_ts = F.lit(run.ts).cast("timestamp")
+    progress = _begin(spark, layers, "silver", run)
+    written: dict[str, list[dt.date] | None] = {}
+    changed: dict[str, DataFrame] = {}
 
     def clean(spec: TableSpec) -> None:
-        parents = {ref.parent: read_silver(spark, layers, TABLES[ref.parent]) for ref in spec.references}
-        tagged = cleaned(read_bronze(spark, layers, spec), spec, run.as_of, parents)
-        state = F.when(F.col(REASON).isNull(), _VALID).otherwise(_REJECTED)
-        marked = tagged.withColumns({"_ts_silver": stamp_ts, _STATE: state})
-        replace_table(marked, layers.path("silver", spec.name), [_STATE], fmt=layers.fmt)
-
-    done: set[str] = set()
-    while len(done) < len(TABLES):
-        ready = [s for s in TABLES.values() if s.name not in done and {r.parent for r in s.references} <= done]
+        written[spec.name] = _clean(spark, layers, spec, run, progress, changed)
+
+    while len(written) < len(TABLES):
+        ready = [s for s in TABLES.values() if s.name not in written and {r.parent for r in s.references} <= set(written)]
         together(*[partial(clean, spec) for spec in ready])
-        done |= {spec.name for spec in ready}
 
     marked = {name: _read_marked(spark, layers, spec) for name, spec in TABLES.items()}
     errors = union_all(rejected(marked[name].where(F.col(_STATE) == _REJECTED), spec) for name, spec in TABLES.items())
     # Written on every run, so that a run without rejects leaves an empty table.
     replace_table(errors.withColumn("_ts_error", stamp_ts), layers.path("silver", "_errores"), fmt=layers.fmt)
-    report = union_all(
-        quality_row(name, read_bronze(spark, layers, spec), marked[name]) for name, spec in TABLES.items()
-    )
+    report = union_all(quality_counted(name, marked[name], COPIES) for name in TABLES)
     replace_table(report.withColumn("_ts_reporte", stamp_ts), layers.path("silver", "_reporte_calidad"), fmt=layers.fmt)
+    _note(spark, layers, "silver", run, "terminada")
+    return written
 
 
 def model_all(spark: SparkSession, layers: Layers, run: Run) -> None:

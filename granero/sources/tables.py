@@ -12,7 +12,7 @@ from urllib.parse import quote
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from granero.catalog import TableSpec
-from granero.operators.ingest import check_upsert_keys
+from granero.operators.ingest import NEWEST, check_upsert_keys, newest
 from granero.operators.references import union_all
 
 
@@ -36,6 +36,8 @@ def _fs_path(spark: SparkSession, path: str):
 # Folders are named like partitions, so that Spark reads several of them as one table.
 _VERSION = re.compile(r"__version=(\d{10})-[0-9a-f]{32}")
 _BATCH = "__lote="
+_BASE = "__lote=+base"  # no batch id is quoted like this
+_MEMBERS = "_lotes"
 _DONE = "_SUCCESS"
 
 
@@ -50,18 +52,36 @@ def _versions(spark: SparkSession, path: str) -> list[str]:
     return [f"{path}/{name}" for name in found if _DONE in _names(spark, f"{path}/{name}")]
 
 
+def _base(spark: SparkSession, path: str, names: Sequence[str]) -> tuple[str | None, set[str]]:
+    """The settled rows of a table made of batches, and the folders of the batches that they stand for."""
+    versions = _versions(spark, f"{path}/{_BASE}") if _BASE in names else []
+    return (versions[-1], set(_names(spark, f"{versions[-1]}/{_MEMBERS}"))) if versions else (None, set())
+
+
+def live_batches(spark: SparkSession, path: str, without: Sequence[str] = ()) -> tuple[str | None, dict[str, str]]:
+    """The settled rows of a table made of batches, and the newest version of each batch beyond them, by folder name."""
+    path = path.rstrip("/")
+    names = _names(spark, path)
+    base, members = _base(spark, path, names)
+    hidden = {batch_folder(batch) for batch in without}
+    if lost := hidden & members:
+        raise ValueError(f"{sorted(lost)[0]} of {path} is settled and cannot be told apart any more")
+    folders = [n for n in names if n.startswith(_BATCH) and n != _BASE and n not in members and n not in hidden]
+    found = {name: _versions(spark, f"{path}/{name}") for name in folders}
+    return base, {name: versions[-1] for name, versions in found.items() if versions}
+
+
 def live_paths(spark: SparkSession, path: str, without: Sequence[str] = ()) -> list[str]:
-    """Folders whose files are the table: its newest version, the newest version of each batch, or the path itself.
+    """Folders whose files are the table: its newest version, its settled rows and the newest version of each batch
+    beyond them, or the path itself.
 
     ``without`` leaves out batches by id.
     """
     path = path.rstrip("/")
     names = _names(spark, path)
-    batches = [name for name in names if name.startswith(_BATCH)]
-    if batches:
-        hidden = {_batch_folder(batch) for batch in without}
-        found = [_versions(spark, f"{path}/{name}") for name in batches if name not in hidden]
-        return [versions[-1] for versions in found if versions]
+    if any(name.startswith(_BATCH) for name in names):
+        base, batches = live_batches(spark, path, without)
+        return [*([base] if base else []), *batches.values()]
     if any(_VERSION.fullmatch(name) for name in names):
         return _versions(spark, path)[-1:]
     return [path] if any("=" in name or not name.startswith(("_", ".")) for name in names) else []
@@ -76,20 +96,87 @@ def read_table(
     spark: SparkSession,
     path: str,
     fmt: str = "parquet",
-    schema: T.StructType | None = None,
+    schema: T.StructType | str | None = None,
     without: Sequence[str] = (),
 ) -> DataFrame:
     """The rows of a table as it is now; later writes do not change a frame that was read before."""
     paths = live_paths(spark, path, without)
     if not paths and schema is not None and _names(spark, path):
         return spark.createDataFrame([], schema)
+    return _load(spark, path, paths or [path], fmt, schema)
+
+
+def _load(spark: SparkSession, path: str, paths: Sequence[str], fmt: str, schema: T.StructType | str | None) -> DataFrame:
     reader = spark.read.format(fmt).option("basePath", path)
-    rows = (reader.schema(schema) if schema is not None else reader).load(paths or path)
+    rows = (reader.schema(schema) if schema is not None else reader).load(list(paths))
     return rows.drop(_BATCH[:-1], "__version")
 
 
+def read_newest(
+    spark: SparkSession,
+    path: str,
+    key: str,
+    schema: T.StructType,
+    by: Sequence[str] = NEWEST,
+    fmt: str = "parquet",
+    without: Sequence[str] = (),
+    only: Sequence[str] | None = None,
+) -> DataFrame:
+    """The valid rows of a table made of batches: settled rows stay where they are, batches beyond them are ranked.
+
+    ``only`` reads nothing but these batches.
+    """
+    path = path.rstrip("/")
+    base, batches = live_batches(spark, path, without)
+    if only is not None:
+        base, batches = None, {n: p for n, p in batches.items() if n in {batch_folder(b) for b in only}}
+    empty = spark.createDataFrame([], schema)
+    later = _load(spark, path, list(batches.values()), fmt, schema) if batches else empty
+    if base is None:
+        return newest(later, key, by)
+    settled = _load(spark, path, [base], fmt, schema)
+    return newest(later, key, by, settled) if batches else settled
+
+
+def settle(
+    spark: SparkSession,
+    path: str,
+    key: str,
+    schema: T.StructType,
+    keep: Sequence[str] = (),
+    order: Sequence[str] = (),
+    by: Sequence[str] = NEWEST,
+    fmt: str = "parquet",
+) -> None:
+    """Bring all batches but ``keep`` down to their valid rows and store these as the base of the table.
+
+    Batches that are settled are read no more and cannot be written again; their
+    folders go with the next settling, as a reader may still hold them. The base
+    counts from its mark on, like any version, and names its batches from the
+    start: a run that breaks off leaves the table as it was. ``order`` sorts the
+    rows over all files, so that a filter on it reads few of them.
+    """
+    path = path.rstrip("/")
+    old, gone = _base(spark, path, _names(spark, path))
+    _, batches = live_batches(spark, path, keep)
+    if not batches:
+        return
+    rows = read_newest(spark, path, key, schema, by, fmt, keep)
+    if order:
+        rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    replace_table(rows, f"{path}/{_BASE}", fmt=fmt, members=[*gone, *batches])
+    for name in gone:
+        fs, folder = _fs_path(spark, f"{path}/{name}")
+        fs.delete(folder, True)
+
+
 def replace_table(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), gather: bool = False, fmt: str = "parquet"
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    gather: bool = False,
+    fmt: str = "parquet",
+    members: Sequence[str] = (),
 ) -> None:
     """Write a table anew, its schema included, as a new version beside the old one.
 
@@ -105,7 +192,10 @@ def replace_table(
     numbers = [int(m[1]) for m in map(_VERSION.fullmatch, _names(spark, path)) if m]
     fresh = f"{path}/__version={max(numbers, default=0) + 1:010d}-{uuid.uuid4().hex}"
     rows = df.hint("rebalance", *partition_by) if gather and partition_by else df
-    rows.write.format(fmt).partitionBy(*partition_by).save(fresh)
+    for name in members:  # batches that this version stands for
+        fs, folder = _fs_path(spark, f"{fresh}/{_MEMBERS}/{name}")
+        fs.mkdirs(folder)
+    rows.write.format(fmt).mode("append").partitionBy(*partition_by).save(fresh)
     fs, mark = _fs_path(spark, f"{fresh}/{_DONE}")
     if not fs.exists(mark):  # marks can be switched off
         fs.create(mark).close()
@@ -116,11 +206,28 @@ def replace_table(
             fs.delete(old, True)
 
 
+def overwrite_slices(df: DataFrame, path: str, by: str, slices: Sequence | None = None, fmt: str = "parquet") -> None:
+    """Write the partitions in ``slices`` anew and leave the files of all others alone; without ``slices`` the whole table.
+
+    ``df`` holds all rows of these partitions and must not read ``path``. One
+    that has no rows any more is removed. A run that breaks off between two
+    partitions is repeated by its caller; one writer per table.
+    """
+    mode = "static" if slices is None else "dynamic"
+    rows = df.hint("rebalance", by)
+    rows.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(by).save(path)
+    if slices is not None:
+        filled = {r[0] for r in df.select(by).distinct().collect()}  # at most one row per slice
+        for lost in set(slices) - filled:
+            fs, folder = _fs_path(df.sparkSession, f"{path.rstrip('/')}/{by}={lost}")
+            fs.delete(folder, True)
+
+
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("append").partitionBy(*partition_by).save(path)
 
 
-def _batch_folder(batch_id: str) -> str:
+def batch_folder(batch_id: str) -> str:
     return _BATCH + quote(batch_id, safe="")
 
 
@@ -134,7 +241,10 @@ def put_batch(
     neither read nor rewritten: which row of a key is valid is decided by its
     readers (:func:`granero.operators.ingest.newest`).
     """
-    folder = f"{path.rstrip('/')}/{_batch_folder(batch_id)}"
+    path = path.rstrip("/")
+    if batch_folder(batch_id) in _base(df.sparkSession, path, _names(df.sparkSession, path))[1]:
+        raise ValueError(f"batch {batch_id} of {path} is settled and cannot be written again")
+    folder = f"{path}/{batch_folder(batch_id)}"
     replace_table(df, folder, partition_by, fmt=fmt)
     return read_table(df.sparkSession, folder, fmt, df.schema)
 
