@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Collection
+from collections.abc import Collection, Mapping
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from granero.catalog import TABLES
 from granero.functions.dates import latest_date
-from granero.operators.quarantine import quality_counted, quality_row, rejected, valid
+from granero.operators.quarantine import REASON, quality_counted, quality_row, rejected, valid
 from granero.operators.references import union_all
 from granero.plans import gold
 from granero.plans.measures import Star
@@ -26,7 +26,8 @@ class Lake:
 
     A job that reads a cleaned table several times names it in ``staged``: it is
     then written once in the shared folder, as the layered refresh does, and
-    every reader scans the columns it needs. A report over all tables names in
+    every reader scans the columns it needs. Given as table -> columns, no more
+    than these (and the key) is written; the others read as null. A report over all tables names in
     ``landed`` the sources it would otherwise derive again to count them; the
     keys of parents are then written once too, for all their children.
     """
@@ -35,7 +36,7 @@ class Lake:
         self,
         spark: SparkSession,
         sf_dir: str,
-        staged: Collection[str] = (),
+        staged: Collection[str] | Mapping[str, Collection[str]] = (),
         as_of: dt.date = retail.AS_OF,
         landed: Collection[str] = (),
         counted: bool = False,
@@ -69,10 +70,17 @@ class Lake:
             parents = {ref.parent: self.parent(ref.parent) for ref in spec.references}
             frame = cleaned(self.source(table), spec, self.as_of, parents, copies=self.copies)
             if table in self.staged:
-                frame = stage(frame, table)
+                frame = self._stage(frame, table)
             self._tagged[table] = frame
         return self._tagged[table]
 
+    def _stage(self, frame: DataFrame, table: str) -> DataFrame:
+        if not isinstance(self.staged, Mapping):
+            return stage(frame, table)
+        kept = {*self.staged[table], TABLES[table].key, REASON, COPIES}
+        narrow = stage(frame.select(*[c for c in frame.columns if c in kept]), table)
+        return narrow.select(*[F.col(f.name) if f.name in kept else F.lit(None).cast(f.dataType).alias(f.name) for f in frame.schema])
+
     def silver(self, table: str) -> DataFrame:
         return valid(self.tagged(table))
 

@@ -3,27 +3,44 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections import Counter
 from collections.abc import Callable
 from decimal import Decimal
-from functools import reduce
+from functools import partial, reduce
 from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from granero.catalog import RETURNS, SALES, TABLES, reference_edges
+from granero.catalog import ARTICLES, RETURNS, SALES, STORES, TABLES, reference_edges
 from granero.functions.columns import expose, lookup
+from granero.functions.dates import in_months, month_of
 from granero.operators import ingest, profile, quarantine, references
 from granero.operators.dedup import deduplicate, drop_exact
 from granero.operators.quarantine import error_summary
 from granero.operators.ranking import group_mode
 from granero.operators.references import union_all
 from granero.operators.volume import run_volumes, volume_alert
-from granero.plans import checks, gold, kpis, measures
+from granero.plans import checks, gold, kpis, measures, refresh
 from granero.plans.lake import Lake
 from granero.session import scratch_path, stage
 from granero.sources import retail
-from granero.sources.tables import export, preview, put_batch, read_table, row_counts
+from granero.sources.tables import (
+    Layers,
+    append_table,
+    describe,
+    export,
+    load_files,
+    overwrite_slices,
+    preview,
+    put_batch,
+    read_newest,
+    read_reconciled,
+    read_table,
+    row_counts,
+    save_bucketed,
+    settle,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -153,9 +170,16 @@ def late_rows(spark, sf_dir):
 
 @query
 def incremental_ingest(spark, sf_dir):
+    """What is newer than the first batch stored as a second one, on top of the settled first."""
     sales = stage(retail.sales(spark, sf_dir), "ventas")
     loaded = _loaded(sales)
-    return _published(ingest.upsert(loaded, _next_run(ingest.increment(sales, loaded, SALES)), SALES.key))
+    mark = ingest.mark_of(ingest.day_prints(loaded, SALES))
+    fresh = _next_run(ingest.after(sales, SALES.watermark, mark))
+    path = scratch_path(spark, "bronze")
+    put_batch(loaded, path, "lote-1", ingest.INGEST_PARTITIONS)
+    put_batch(fresh, path, "lote-2", ingest.INGEST_PARTITIONS)
+    settle(spark, path, SALES.key, loaded.schema, ["lote-2"], [SALES.watermark])
+    return _published(read_newest(spark, path, SALES.key, loaded.schema))
 
 
 @query
@@ -220,11 +244,13 @@ def quality_bad_keys(spark, sf_dir):
 
 @query
 def merge_idempotent(spark, sf_dir):
-    """The same changes applied once and twice."""
+    """The same changes applied once and twice: as a second and as a third batch."""
     sales = stage(retail.sales(spark, sf_dir), "ventas")
     changes = _changes(sales)
-    once = ingest.upsert(_loaded(sales), changes, SALES.key)
-    twice = ingest.upsert(once, changes, SALES.key)
+    batches = [("lote-1", _loaded(sales)), ("lote-2", changes)]
+    once = ingest.newest(_stored(spark, *batches), SALES.key)
+    again = changes.withColumns({"_batch_id": F.lit("lote-3"), "_ts_ingesta": F.lit("2002-01-03 02:00:00").cast("timestamp")})
+    twice = ingest.newest(_stored(spark, *batches, ("lote-3", again)), SALES.key)
 
     def totals(df, times):
         return df.agg(
@@ -371,6 +397,12 @@ def dim_calendar(spark, sf_dir):
 
 
 # ------------------------------------------------------------ facts
+#: What the plans below read of the sales; nothing else is written when these are staged.
+_UNITS = {"trans_ventas": ["art_id", "fec_trans", "qty_vendida"]}
+_VALUES = {"trans_ventas": ["id_miembro", "fec_trans", "qty_vendida", "precio_unitario_venta", "descuento_aplicado"]}
+_PRICES = {"trans_ventas": ["precio_unitario_venta"]}
+
+
 @query
 def fact_sales(spark, sf_dir):
     return expose(Lake(spark, sf_dir).sales)
@@ -378,7 +410,7 @@ def fact_sales(spark, sf_dir):
 
 @query
 def trailing_consumption(spark, sf_dir):
-    lake = Lake(spark, sf_dir, staged=["trans_ventas"])
+    lake = Lake(spark, sf_dir, staged=_UNITS)
     return gold.trailing_consumption(lake.sales, lake.ref)
 
 
@@ -389,28 +421,28 @@ def latest_snapshot(spark, sf_dir):
 
 @query
 def fact_inventory(spark, sf_dir):
-    return Lake(spark, sf_dir, staged=["trans_ventas"]).inventory
+    return Lake(spark, sf_dir, staged=_UNITS).inventory
 
 
 @query
 def stockout_count(spark, sf_dir):
-    return gold.stockout_count(Lake(spark, sf_dir, staged=["trans_ventas"]).inventory)
+    return gold.stockout_count(Lake(spark, sf_dir, staged=_UNITS).inventory)
 
 
 @query
 def fact_returns(spark, sf_dir):
-    return expose(Lake(spark, sf_dir, staged=["trans_ventas"]).returns)
+    return expose(Lake(spark, sf_dir, staged=_PRICES).returns)
 
 
 @query
 def active_members(spark, sf_dir):
-    lake = Lake(spark, sf_dir, staged=["trans_ventas"])
+    lake = Lake(spark, sf_dir, staged=_VALUES)
     return gold.active_members(lake.sales, lake.ref)
 
 
 @query
 def rfm(spark, sf_dir):
-    return expose(Lake(spark, sf_dir, staged=["trans_ventas"]).rfm)
+    return expose(Lake(spark, sf_dir, staged=_VALUES).rfm)
 
 
 # ------------------------------------------------------------ aggregates and KPIs
@@ -447,7 +479,7 @@ def return_ratio_overall(spark, sf_dir):
 
 @query
 def agg_rfm_segments(spark, sf_dir):
-    return kpis.agg_rfm_segments(Lake(spark, sf_dir, staged=["trans_ventas"]).rfm)
+    return kpis.agg_rfm_segments(Lake(spark, sf_dir, staged=_VALUES).rfm)
 
 
 @query
@@ -608,3 +640,131 @@ def sales_sliced(spark, sf_dir):
         categories=["Alimentos y bebidas", "Hogar y limpieza", "Ropa y calzado basico"],
     )
     return expose(rows.select("id_trans", "fec_trans", "id_pais", "canal_venta", "categoria_n1", "vr_venta_neto"))
+
+
+# ------------------------------------------------------------ runs on top of runs, coarser grains, stored layouts
+@query
+def late_rows_by_day(spark, sf_dir):
+    """The late rows, found in the days whose keys are not those that were loaded."""
+    sales = stage(retail.sales(spark, sf_dir), "ventas")
+    loaded = _loaded(sales).where(F.col("canal_venta") != "APP")
+    prints = ingest.day_prints(loaded, SALES)
+    skipped = ingest.late_by_day(sales, loaded, prints, SALES, ingest.mark_of(prints, retail.AS_OF))
+    return skipped.groupBy("canal_venta").agg(
+        F.count("*").alias("filas_tardias"), F.min("fec_trans").alias("desde"), F.max("fec_trans").alias("hasta")
+    )
+
+
+@query
+def silver_incremental(spark, sf_dir):
+    """All tables after a first run up to the split date and a second one that cleans what it touches, by outcome."""
+    layers = Layers(scratch_path(spark, "lake"))
+    landed = {name: stage(retail.source(spark, sf_dir, name), name) for name in TABLES}
+    early = {**landed, "trans_ventas": retail.first_batch(landed["trans_ventas"])}
+    for n, (tables, as_of) in enumerate([(early, retail.SPLIT), (landed, retail.AS_OF)], 1):
+        run = refresh.Run(as_of, f"2002-01-0{n} 02:00:00", f"lote-{n}", "retail")
+        refresh.ingest_all(spark, layers, {name: partial(lambda t: t, rows) for name, rows in tables.items()}, run)
+        refresh.clean_all(spark, layers, run)
+    errors = read_table(spark, layers.path("silver", "_errores"))
+    kept = union_all(
+        refresh.read_silver(spark, layers, spec).select(
+            F.lit(name).alias("tabla_origen"), F.col(spec.key).cast("string").alias("id_registro"), F.lit("valido").alias("motivo")
+        )
+        for name, spec in TABLES.items()
+    )
+    each = kept.unionByName(errors.drop("_ts_error"))
+    key = F.col("id_registro").cast("decimal(20,0)")
+    return each.groupBy("tabla_origen", "motivo").agg(F.count("*").alias("registros"), F.sum(key).cast("string").alias("suma_claves"))
+
+
+@query
+def aggregates_by_month(spark, sf_dir):
+    """The daily aggregate of the first batch, brought up to date by writing the months that the second one touches."""
+    lake = Lake(spark, sf_dir, staged=["trans_ventas"])
+    path = scratch_path(spark, "agg")
+
+    def monthly(star):
+        return kpis.agg_daily_sales(star).withColumn("_mes", month_of("fec_trans"))
+
+    overwrite_slices(monthly(lake.star.where(F.col("fec_trans") <= F.lit(retail.SPLIT))), path, "_mes")
+    later = lake.sales.where(F.col("fec_trans") > F.lit(retail.SPLIT)).select(month_of("fec_trans").alias("_mes")).distinct()
+    months = sorted(r["_mes"] for r in later.collect())  # a row per month
+    overwrite_slices(monthly(lake.star.where(in_months("fec_trans", months))), path, "_mes", months)
+    return read_table(spark, path).drop("_mes")
+
+
+@query
+def matrix_subtotals(spark, sf_dir):
+    """Country, channel and category with subtotals per country and channel, per country, and the total."""
+    names = ["ventas_netas", "unidades", "transacciones", "ticket_promedio", "tasa_descuento"]
+    sets = [["id_pais", "canal_venta", "categoria_n1"], ["id_pais", "canal_venta"], ["id_pais"], []]
+    return measures.measures_by_sets(Lake(spark, sf_dir).star, sets, names)
+
+
+@query
+def transactions_sketched(spark, sf_dir):
+    """Sketches per day, store and channel, merged by country and channel, next to the exact counts of transactions.
+
+    Transactions are orders here, so that lines of several stores share one.
+    """
+    lake = Lake(spark, sf_dir, staged=["trans_ventas"])
+    orders = lake.sales.withColumn("id_trans", F.floor(F.col("id_trans") / 1_000_000).cast("bigint"))
+    star = measures.Star(orders, lake.star.dims)
+    by = ["id_pais", "canal_venta"]
+    parts = stage(measures.sketched_parts(star, ["fec_trans", "id_tienda", *by], ["_unidades"]), "partes")
+    merged = measures.merged_sketches(parts, by, ["_unidades"]).withColumnRenamed("_unidades", "unidades")
+    exact = measures.measures_by(star, by, ["transacciones"])
+    off = F.abs(F.col("transacciones_aprox") - F.col("transacciones")) / F.col("transacciones")
+    return exact.join(merged, by).select(*by, "unidades", "transacciones", (off <= measures.SKETCH_ERROR).alias("dentro_del_margen"))
+
+
+@query
+def returns_to_bucketed_sales(spark, sf_dir):
+    """Returns with the price of their sale, the sales being stored by buckets of their id."""
+    lake = Lake(spark, sf_dir, staged=_PRICES)
+    prices = lake.sales.select("id_trans", "precio_unitario_venta")
+    name = f"precios_{uuid.uuid4().hex}"
+    sales = save_bucketed(prices, name, scratch_path(spark, "precios"), "id_trans", 16)
+    return expose(gold.fact_returns(lake.silver("post_devoluciones"), sales))
+
+
+@query
+def schema_generations(spark, sf_dir):
+    """Stores loaded three times: without their size, with it, and with a wider city and without a name."""
+    stores = retail.stores(spark, sf_dir)
+    n = F.col("id_tienda")
+    generations = {
+        "lote-1": stores.drop("metros_cuadrados"),
+        "lote-2": stores.where(n % 2 == 0),
+        "lote-3": stores.where(n % 3 == 0).drop("nom_tienda").withColumn("id_ciudad", F.col("id_ciudad").cast("bigint")),
+    }
+    path = scratch_path(spark, "tiendas")
+    for i, (batch, rows) in enumerate(generations.items(), 1):
+        put_batch(ingest.stamp(rows, f"2002-01-0{i} 02:00:00", "retail", batch), path, batch)
+    valid = ingest.newest(read_reconciled(spark, path, list(generations)), "id_tienda")
+    return valid.select("id_tienda", "nom_tienda", "id_ciudad", "id_pais", "metros_cuadrados", "_batch_id")
+
+
+@query
+def load_metadata(spark, sf_dir):
+    """Files of two tables registered as managed tables, with what was loaded and the types that the catalog has."""
+    folder, database = scratch_path(spark, "origen"), f"carga_{uuid.uuid4().hex}"
+    specs = [STORES, ARTICLES]
+    for spec in specs:
+        retail.source(spark, sf_dir, spec.name).write.parquet(f"{folder}/{spec.name}.parquet")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, database)}'")
+    loaded = load_files(spark, specs, folder, retail.RUN_TS, database).select("tabla", "filas_cargadas", "fecha_carga")
+    columns = describe(spark, database).groupBy("tabla").agg(
+        F.count("*").alias("columnas"), F.array_join(F.array_sort(F.collect_list(F.concat_ws(" ", "columna", "tipo"))), ", ").alias("tipos")
+    )
+    stamped = F.date_format("fecha_carga", "yyyy-MM-dd HH:mm:ss").alias("fecha_carga")
+    return loaded.join(columns, "tabla").select("tabla", "filas_cargadas", stamped, "columnas", "tipos")
+
+
+@query
+def append_runs(spark, sf_dir):
+    """The run log appended in two goes, and read as one table."""
+    log, path = retail.run_log(spark, sf_dir), scratch_path(spark, "log")
+    append_table(log.where("batch_id <= '2024-01-15'"), path)
+    append_table(log.where("batch_id > '2024-01-15'"), path)
+    return read_table(spark, path).groupBy("tabla").agg(F.count("*").alias("corridas"), F.sum("registros").alias("registros"))

@@ -56,9 +56,10 @@ SLICE = "_mes"
 class Run:
     """What a run has to know: its date and stamp, its id, where the rows come from.
 
-    ``partitions`` names output partition columns of model tables, for example
-    ``{"fact_ventas": ["fec_trans"]}``: trailing-window and slicer filters then
-    read only the days they need.
+    Sales and their daily aggregate are stored by month; ``partitions`` names
+    other output partition columns of model tables, for example
+    ``{"kpi_ventas_semanales": ["anio"]}``. ``settle_after`` is the number of
+    batches beyond which the older ones are settled.
     """
 
     as_of: dt.date
@@ -99,19 +100,27 @@ def read_silver(spark: SparkSession, layers: Layers, spec: TableSpec) -> DataFra
 
 
 def read_gold(spark: SparkSession, layers: Layers, table: str) -> DataFrame:
-    return read_table(spark, layers.path("gold", table), layers.fmt)
+    return read_table(spark, layers.path("gold", table), layers.fmt).drop(SLICE)
 
 
 def read_sales(spark: SparkSession, layers: Layers, since: Column | None = None) -> DataFrame:
     """The sales facts, or those after a day: the months before it are not opened."""
-    sales = read_gold(spark, layers, "fact_ventas")
-    if SLICE not in sales.columns:
-        return sales if since is None else sales.where(F.col("fec_trans") > since)
+    sales = read_table(spark, layers.path("gold", "fact_ventas"), layers.fmt)
     if since is not None:
-        sales = sales.where((F.col(SLICE) >= F.trunc(since, "MM")) & (F.col("fec_trans") > since))
+        if SLICE in sales.columns:
+            sales = sales.where(F.col(SLICE) >= F.trunc(since, "MM"))
+        sales = sales.where(F.col("fec_trans") > since)
     return sales.drop(SLICE)
 
 
+def last_sale(spark: SparkSession, layers: Layers) -> Column:
+    """The reference date, from the last month that holds sales."""
+    sales = read_table(spark, layers.path("gold", "fact_ventas"), layers.fmt)
+    if SLICE in sales.columns:
+        sales = sales.where(F.col(SLICE) == latest_date(sales.select(SLICE).distinct(), SLICE))
+    return latest_date(sales, "fec_trans")
+
+
 def _prints(spark: SparkSession, layers: Layers, spec: TableSpec, loaded: DataFrame, run: Run) -> DataFrame:
     """What was loaded per day, as the runs before have written it down; counted anew where they have not."""
     path = layers.path("bronze", f"_huellas/{spec.name}")
@@ -280,16 +289,24 @@ def _clean(
     return months
 
 
-def clean_all(spark: SparkSession, layers: Layers, run: Run) -> dict[str, list[dt.date] | None]:
+class Written(dict):
+    """Per table the months that a run has written (None: all of it), and the batches that it took in (None: all)."""
+
+    def __init__(self, batches: list[str] | None) -> None:
+        super().__init__()
+        self.batches = batches
+
+
+def clean_all(spark: SparkSession, layers: Layers, run: Run) -> Written:
     """Parents before children; each child is checked against the parent as written.
 
     A run on top of earlier ones cleans what its batches touch: the months of
     their rows, and the months of rows whose parents changed state, along the
-    references. Returns per table the months that were written, None for all.
+    references. Returns what it has written.
     """
     stamp_ts = F.lit(run.ts).cast("timestamp")
     progress = _begin(spark, layers, "silver", run)
-    written: dict[str, list[dt.date] | None] = {}
+    written = Written(progress.batches)
     changed: dict[str, DataFrame] = {}
 
     def clean(spec: TableSpec) -> None:
@@ -309,7 +326,26 @@ def clean_all(spark: SparkSession, layers: Layers, run: Run) -> dict[str, list[d
     return written
 
 
-def model_all(spark: SparkSession, layers: Layers, run: Run) -> None:
+def _differs(before: DataFrame | None, now: DataFrame, columns: Sequence[str]) -> bool:
+    if before is None:
+        return True
+    old, new = before.select(*columns), now.select(*columns)
+    return old.exceptAll(new).unionAll(new.exceptAll(old)).limit(1).count() > 0
+
+
+def model_all(spark: SparkSession, layers: Layers, run: Run, written: Written | None = None) -> None:
+    """Dimensions, facts and aggregates of the cleaned tables.
+
+    Sales and their daily aggregate are stored by month. With what the cleaning
+    has ``written`` only those months are made again, the files of all others
+    stay; the aggregate is made anew when a store changed its country or an
+    article its category. Trailing windows open the months that they cover.
+    """
+    progress = _begin(spark, layers, "gold", run)
+    months = None
+    if written is not None and progress.batches is not None and progress.batches == written.batches:
+        months = written["trans_ventas"]
+
     def clean(table: str) -> DataFrame:
         return read_silver(spark, layers, TABLES[table])
 
@@ -318,26 +354,61 @@ def model_all(spark: SparkSession, layers: Layers, run: Run) -> None:
         replace_table(df, layers.path("gold", table), by, gather=bool(by), fmt=layers.fmt)
         return read_gold(spark, layers, table)
 
-    sales = save(gold.fact_sales(clean("trans_ventas")), "fact_ventas")
-    ref = latest_date(sales, "fec_trans")
-    products, stores, returns, rfm, *_ = together(
+    def save_months(df: DataFrame, table: str, wanted: list[dt.date] | None) -> None:
+        if run.partitions.get(table):
+            save(df.drop(SLICE), table)
+        elif wanted is None or wanted:
+            overwrite_slices(df, layers.path("gold", table), SLICE, wanted, layers.fmt)
+
+    def sales_of(wanted: list[dt.date] | None) -> DataFrame:
+        marked = _read_marked(spark, layers, TABLES["trans_ventas"]).where(F.col(_STATE) == _VALID)
+        if wanted is not None and not run.partitions.get("fact_ventas"):
+            marked = marked.where(F.col(SLICE).isin(*wanted))
+        return gold.fact_sales(marked).withColumn(SLICE, month_of("fec_trans"))
+
+    def known(table: str) -> DataFrame | None:
+        return read_gold(spark, layers, table) if table_exists(spark, layers.path("gold", table)) else None
+
+    stores_before, products_before = known("dim_tiendas"), known("dim_productos")
+    products, stores, _ = together(
         lambda: save(gold.dim_products(clean("mstr_articulos"), clean("mstr_proveedores")), "dim_productos"),
         lambda: save(gold.dim_stores(clean("mstr_tiendas")), "dim_tiendas"),
+        lambda: save_months(sales_of(months), "fact_ventas", months),
+    )
+    sales, ref = read_sales(spark, layers), last_sale(spark, layers)
+
+    def recent(days: int) -> DataFrame:
+        return read_sales(spark, layers, F.date_sub(ref, days))
+
+    returns, rfm, *_ = together(
         lambda: save(gold.fact_returns(clean("post_devoluciones"), sales), "fact_devoluciones"),
-        lambda: save(gold.fact_rfm(sales, ref), "fact_rfm_clientes"),
+        lambda: save(gold.fact_rfm(recent(gold.RFM_ACTIVE_DAYS), ref), "fact_rfm_clientes"),
         lambda: save(gold.dim_customers(clean("crm_miembros"), ref), "dim_clientes"),
-        lambda: save(gold.fact_inventory(clean("inv_stock_diario"), sales, ref), "fact_inventario"),
+        lambda: save(gold.fact_inventory(clean("inv_stock_diario"), recent(gold.CONSUMPTION_DAYS), ref), "fact_inventario"),
         lambda: save(gold.calendar(sales), "dim_calendario"),
     )
+    if months is not None and (
+        _differs(stores_before, stores, ["id_tienda", "id_pais"]) or _differs(products_before, products, ["art_id", "categoria_n1"])
+    ):
+        months = None
     star = Star(sales, {"id_tienda": stores, "art_id": products}, unique_lines=is_unique(sales, "id_trans"))
+
+    def daily() -> None:
+        if months == []:
+            return
+        touched = star if months is None else star.where(in_months("fec_trans", months))
+        rows = kpis.agg_daily_sales(touched).withColumn(SLICE, month_of("fec_trans"))
+        save_months(rows, "agg_ventas_diarias", months)
+
     together(
-        lambda: save(kpis.agg_daily_sales(star), "agg_ventas_diarias"),
+        daily,
         lambda: save(kpis.return_rate(star, returns), "agg_tasa_devolucion"),
         lambda: save(kpis.agg_rfm_segments(rfm), "agg_segmentos_rfm"),
         lambda: save(kpis.kpi_country_channel(star), "kpi_ventas_pais_canal"),
         lambda: save(kpis.top_products(star), "kpi_top_productos"),
         lambda: save(kpis.weekly_sales(star), "kpi_ventas_semanales"),
     )
+    _note(spark, layers, "gold", run, "terminada")
 
 
 def check_all(spark: SparkSession, layers: Layers, run: Run) -> DataFrame:
@@ -368,6 +439,5 @@ def refresh(
 ) -> DataFrame:
     """All layers in order; returns the run report."""
     ingest_all(spark, layers, sources, run)
-    clean_all(spark, layers, run)
-    model_all(spark, layers, run)
+    model_all(spark, layers, run, clean_all(spark, layers, run))
     return check_all(spark, layers, run)

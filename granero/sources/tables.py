@@ -249,6 +249,74 @@ def put_batch(
     return read_table(df.sparkSession, folder, fmt, df.schema)
 
 
+def save_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> DataFrame:
+    """Store a frame by buckets of ``key``, each sorted, and return it as read back.
+
+    A join on the key then moves the other side only. Buckets are known to the
+    catalog, not to the files, so the table is registered; its rows are brought
+    together first, one file per bucket.
+    """
+    rows = df.repartition(buckets, key)
+    rows.write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
+#: Types that hold every value of another one.
+_WIDER = {
+    "byte": ("short", "integer", "long", "double"),
+    "short": ("integer", "long", "double"),
+    "integer": ("long", "double"),
+    "float": ("double",),
+    "date": ("timestamp_ntz",),
+}
+
+
+def widest(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    """The one of two types that holds the values of both; None if neither does."""
+    if a == b:
+        return a
+    if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType):
+        whole, scale = max(a.precision - a.scale, b.precision - b.scale), max(a.scale, b.scale)
+        return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else None
+    if b.typeName() in _WIDER.get(a.typeName(), ()):
+        return b
+    return a if a.typeName() in _WIDER.get(b.typeName(), ()) else None
+
+
+def reconciled(schemas: Sequence[T.StructType]) -> T.StructType:
+    """One schema for batches that were stored one after the other, oldest first.
+
+    Columns stand in the order in which they first appeared; one that came later
+    or was dropped is null where it is missing. A type may grow. One that shrinks
+    or changes its kind is refused, as the rows stored before would not fit.
+    """
+    types: dict[str, T.DataType] = {}
+    for schema in schemas:
+        for field in schema.fields:
+            known = types.get(field.name, field.dataType)
+            wide = widest(known, field.dataType)
+            if wide != field.dataType:
+                raise ValueError(f"{field.name} was stored as {known.simpleString()} and cannot become {field.dataType.simpleString()}")
+            types[field.name] = wide
+    return T.StructType([T.StructField(name, kind, True) for name, kind in types.items()])
+
+
+def read_reconciled(spark: SparkSession, path: str, order: Sequence[str], fmt: str = "parquet") -> DataFrame:
+    """All batches of a table whose schema has changed between them; ``order`` names the batches, oldest first.
+
+    Each batch is read with the columns it has, from its own footers, and cast to
+    the common schema; which columns are asked for still reaches every scan.
+    """
+    _, batches = live_batches(spark, path)
+    stored = [batches[batch_folder(b)] for b in order if batch_folder(b) in batches]
+    frames = [spark.read.format(fmt).option("basePath", folder).load(folder) for folder in stored]
+    target = reconciled([f.schema for f in frames])
+    return union_all(
+        f.select(*[(F.col(c.name) if c.name in f.columns else F.lit(None)).cast(c.dataType).alias(c.name) for c in target.fields])
+        for f in frames
+    )
+
+
 def merge_into_catalog(changes: DataFrame, table: str, key: str) -> None:
     """The same upsert for a catalog table whose format has row-level merge."""
     check_upsert_keys(changes, key)

@@ -452,6 +452,55 @@ FROM ventas_enr
 WHERE fec_trans BETWEEN DATE '1997-01-01' AND DATE '1999-12-31' AND id_pais IN ('CO', 'MX', 'CL')
   AND canal_venta IN ('TIENDA', 'WEB')
   AND categoria_n1 IN ('Alimentos y bebidas', 'Hogar y limpieza', 'Ropa y calzado basico')""",
+    "late_rows_by_day": f"""
+SELECT canal_venta, count(*) AS filas_tardias, min(fec_trans) AS desde, max(fec_trans) AS hasta FROM trans_ventas
+WHERE canal_venta = 'APP'
+  AND fec_trans <= (SELECT max(fec_trans) FROM trans_ventas WHERE fec_trans <= {SPLIT} AND canal_venta <> 'APP')
+GROUP BY canal_venta""",
+    "silver_incremental": """
+SELECT tabla_origen, motivo, count(*) AS registros, CAST(sum(CAST(id AS HUGEINT)) AS VARCHAR) AS suma_claves FROM (
+  SELECT 'mstr_proveedores' AS tabla_origen, 'valido' AS motivo, id_proveedor AS id FROM mstr_proveedores
+  UNION ALL SELECT 'mstr_tiendas', 'valido', id_tienda FROM mstr_tiendas
+  UNION ALL SELECT 'mstr_articulos', 'valido', art_id FROM mstr_articulos
+  UNION ALL SELECT 'crm_miembros', 'valido', id_miembro FROM crm_miembros
+  UNION ALL SELECT 'inv_stock_diario', 'valido', id_snapshot FROM inv_stock_diario
+  UNION ALL SELECT 'trans_ventas', coalesce(motivo, 'valido'), id_trans FROM ventas_marcadas
+  UNION ALL SELECT 'post_devoluciones', coalesce(motivo, 'valido'), id_devolucion FROM devoluciones_marcadas
+) t GROUP BY tabla_origen, motivo""",
+    "aggregates_by_month": f"""
+SELECT fec_trans, id_pais, id_tienda, canal_venta, categoria_n1, {_KPI}
+FROM ventas_enr GROUP BY fec_trans, id_pais, id_tienda, canal_venta, categoria_n1""",
+    "matrix_subtotals": """
+SELECT id_pais, canal_venta, categoria_n1, CAST(GROUPING(id_pais, canal_venta, categoria_n1) AS INTEGER) AS nivel,
+       CAST(sum(vr_venta_neto) AS DOUBLE) AS ventas_netas, CAST(sum(qty_vendida) AS BIGINT) AS unidades,
+       count(DISTINCT id_trans) AS transacciones,
+       CAST(sum(vr_venta_neto) AS DOUBLE) / CAST(count(DISTINCT id_trans) AS DOUBLE) AS ticket_promedio,
+       CAST(sum(descuento_aplicado) AS DOUBLE) / NULLIF(CAST(sum(vr_venta_bruto) AS DOUBLE), 0) AS tasa_descuento
+FROM ventas_enr
+GROUP BY GROUPING SETS ((id_pais, canal_venta, categoria_n1), (id_pais, canal_venta), (id_pais), ())""",
+    "transactions_sketched": """
+SELECT id_pais, canal_venta, CAST(sum(qty_vendida) AS BIGINT) AS unidades,
+       count(DISTINCT id_trans // 1000000) AS transacciones, TRUE AS dentro_del_margen
+FROM ventas_enr GROUP BY id_pais, canal_venta""",
+    "returns_to_bucketed_sales": """
+SELECT * REPLACE (CAST(vr_reembolso AS DOUBLE) AS vr_reembolso, CAST(precio_venta_original AS DOUBLE) AS precio_venta_original)
+FROM fact_devoluciones""",
+    "schema_generations": """
+SELECT id_tienda, CASE WHEN id_tienda % 3 <> 0 THEN nom_tienda END AS nom_tienda, CAST(id_ciudad AS BIGINT) AS id_ciudad, id_pais,
+       CASE WHEN id_tienda % 2 = 0 OR id_tienda % 3 = 0 THEN metros_cuadrados END AS metros_cuadrados,
+       CASE WHEN id_tienda % 3 = 0 THEN 'lote-3' WHEN id_tienda % 2 = 0 THEN 'lote-2' ELSE 'lote-1' END AS _batch_id
+FROM mstr_tiendas""",
+    "load_metadata": """
+SELECT 'mstr_tiendas' AS tabla, count(*) AS filas_cargadas, '2002-01-01 02:00:00' AS fecha_carga, CAST(8 AS BIGINT) AS columnas,
+       'activo boolean, fec_apertura date, id_ciudad int, id_pais string, id_tienda bigint, metros_cuadrados int, '
+       || 'nom_tienda string, tipo_tienda string' AS tipos FROM mstr_tiendas
+UNION ALL
+SELECT 'mstr_articulos', count(*), '2002-01-01 02:00:00', 12,
+       'activo boolean, art_id bigint, cod_barra string, desc_art string, fec_alta date, id_categ_n1 int, id_categ_n2 int, '
+       || 'id_categ_n3 int, id_proveedor bigint, peso_kg decimal(8,3), precio_lista decimal(12,2), unid_medida string'
+FROM mstr_articulos""",
+    "append_runs": """
+SELECT tabla, count(*) AS corridas, CAST(sum(registros) AS BIGINT) AS registros FROM log_ingesta GROUP BY tabla""",
 }
 
 
