@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -56,37 +57,75 @@ class Postings:
         return out
 
 
-@dataclass
 class Index:
-    weights: Postings  # terms x examples
-    maxima: Postings  # terms x blocks
-    begin: np.ndarray  # postings begin[i]:begin[i + 1] of the weights are entry i of the maxima
+    """Weights of terms x examples; what is found in them by sorting is made once in each process that searches."""
+
+    def __init__(self, weights: Postings):
+        self.weights = weights
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if not isinstance(getattr(type(self), k, None), cached_property)}
+
+    @cached_property
+    def blocks(self) -> tuple[Postings, np.ndarray]:
+        """Largest weight per term and block of examples; postings begin[i]:begin[i + 1] of the weights are its entry i."""
+        first, example, value, (n_terms, n_examples) = (self.weights.first, self.weights.column, self.weights.value, self.weights.shape)
+        block = example // BLOCK
+        fresh = np.ones(len(block), bool)
+        fresh[1:] = block[1:] != block[:-1]
+        fresh[first[:-1][first[:-1] < len(block)]] = True
+        begin = np.flatnonzero(fresh)
+        most = np.maximum.reduceat(value, begin) if len(begin) else value
+        maxima = Postings(np.searchsorted(begin, first), block[begin], most, (n_terms, -(-n_examples // BLOCK)))
+        return maxima, np.append(begin, len(block))
+
+    @property
+    def maxima(self) -> Postings:
+        return self.blocks[0]
+
+    @property
+    def begin(self) -> np.ndarray:
+        return self.blocks[1]
 
 
-@dataclass
 class Model(Index):
-    terms: np.ndarray  # sorted hashes
-    idf: np.ndarray
-    unseen: float  # idf of a term of no example
-    common: np.ndarray  # numbers of the DENSE terms
-    telling: Index  # the same vectors, with nothing but terms that tell the labels apart
-    toxic: np.ndarray
-    counts_for: np.ndarray  # labelled rows an example stands for
-    ids: np.ndarray
-    curve: np.ndarray  # of logit(score) = curve . votes
-    base: float
-
-
-def _index(term: np.ndarray, example: np.ndarray, value: np.ndarray, n_terms: int, n_examples: int) -> Index:
-    order = np.lexsort((example, term))
-    term, example, value = term[order], example[order].astype(np.int32), value[order].astype(np.float32)
-    rows = np.arange(n_terms + 1)
-    weights = Postings(np.searchsorted(term, rows), example, value, (n_terms, n_examples))
-    block = example // BLOCK
-    begin = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])][: len(term)])
-    most = np.maximum.reduceat(value, begin) if len(begin) else value
-    maxima = Postings(np.searchsorted(term[begin], rows), block[begin], most, (n_terms, -(-n_examples // BLOCK)))
-    return Index(weights, maxima, np.append(begin, len(term)))
+    """The index and what scores are made of; pickled it is the postings, 8 bytes each, and some bytes per term and example."""
+
+    def __init__(self, weights: Postings, terms, idf, unseen, marks, toxic, counts_for, ids, curve, base):
+        super().__init__(weights)
+        self.terms = terms  # sorted hashes
+        self.idf = idf
+        self.unseen = unseen  # idf of a term of no example
+        self.marks = marks  # which terms tell the labels apart
+        self.toxic = toxic
+        self.counts_for = counts_for  # labelled rows an example stands for
+        self.ids = ids
+        self.curve = curve  # of logit(score) = curve . votes
+        self.base = base
+
+    @cached_property
+    def common(self) -> np.ndarray:
+        """Numbers of the DENSE terms."""
+        return np.sort(np.argsort(-np.diff(self.weights.first), kind="stable")[:DENSE])
+
+    @cached_property
+    def dense(self) -> np.ndarray:
+        return self.weights[self.common]
+
+    @cached_property
+    def place(self) -> np.ndarray:
+        """Row of each term in the dense matrix, -1 for the others."""
+        place = np.full(len(self.terms), -1, np.int32)
+        place[self.common] = np.arange(len(self.common))
+        return place
+
+    @cached_property
+    def telling(self) -> Index:
+        """The same vectors, with nothing but terms that tell the labels apart."""
+        sizes = np.diff(self.weights.first) * self.marks
+        at, _ = tx.ragged(self.weights.first[:-1][self.marks], self.weights.first[1:][self.marks])
+        first = np.concatenate([[0], np.cumsum(sizes)])
+        return Index(Postings(first, self.weights.column[at], self.weights.value[at], self.weights.shape))
 
 
 def _term_counts(data, offsets) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -230,28 +269,26 @@ def _votes(model: Model, best: np.ndarray, similarity: np.ndarray) -> np.ndarray
 
 
 def _neighbours(
-    model: Model, owner: np.ndarray, at: np.ndarray, weights: np.ndarray, leave_out: bool = False
+    model: Model, owner: np.ndarray, at: np.ndarray, weights: np.ndarray, without: dict[int, int] | None = None
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """Documents of sorted ``owner`` with their votes, their neighbours by telling terms, then by whole vectors, each once, and
-    the similarities. With ``leave_out`` the documents are the examples, which are not their own neighbours."""
-    place = np.full(len(model.terms), -1)
-    place[model.common] = np.arange(len(model.common))
-    dense, place = model.weights[model.common], place[at]
+    the similarities. ``without`` names an example that is no neighbour of a document."""
+    place = model.place[at]
     rows, starts = np.unique(owner, return_index=True)
     ends = np.append(starts, len(owner))[1:]
     for low in range(0, len(rows), TOGETHER):
         some = rows[low : low + TOGETHER]
         part = slice(starts[low], ends[low + len(some) - 1])
         hit = place[part] >= 0
-        query = np.zeros((len(some), len(dense)), np.float32)
+        query = np.zeros((len(some), len(model.dense)), np.float32)
         query[np.searchsorted(some, owner[part][hit]), place[part][hit]] = weights[part][hit]
-        known = query @ dense
+        known = query @ model.dense
         for i, row in enumerate(some.tolist()):
             own = slice(starts[low + i], ends[low + i])
             rare = place[own] < 0
-            without = row if leave_out else -1
-            told, share, _ = nearest(model.telling, at[own], weights[own], NEIGHBOURS, without)
-            whole, similarity, _ = nearest(model, at[own][rare], weights[own][rare], NEIGHBOURS, without, known[i])
+            left_out = -1 if without is None else without[row]
+            told, share, _ = nearest(model.telling, at[own], weights[own], NEIGHBOURS, left_out)
+            whole, similarity, _ = nearest(model, at[own][rare], weights[own][rare], NEIGHBOURS, left_out, known[i])
             votes = np.concatenate([_votes(model, told, share), _votes(model, whole, similarity)[1:]])
             other = ~np.isin(whole, told)
             yield row, votes, np.concatenate([told, whole[other]]), np.concatenate([share, similarity[other]])
@@ -273,21 +310,121 @@ def _curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return beta
 
 
+_WEIGHED = "doc_id long, label int, number long, at array<int>, weight array<float>"
+
+
+def _weighed(examples: DataFrame, terms: np.ndarray, idf: np.ndarray) -> DataFrame:
+    """Examples as unit vectors: doc_id, label, number (a hash of the row), numbers of their terms and weights."""
+    shared = examples.sparkSession.sparkContext.broadcast((terms, idf))  # 16 bytes per term of the examples
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, idf = shared.value
+        for batch in batches:
+            found = batch.column(3).flatten().to_numpy().view(np.uint64)
+            sizes = pc.list_value_length(batch.column(3)).to_numpy()
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            at = np.searchsorted(terms, found)
+            weight = (1 + np.log(batch.column(4).flatten().to_numpy())) * idf[at]
+            weight /= np.sqrt(np.bincount(owner, weight**2, len(sizes)))[owner]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], tx.list_array(pa.array(at, pa.int32()), sizes), tx.list_array(pa.array(weight, pa.float32()), sizes)],
+                names=["doc_id", "label", "number", "at", "weight"],
+            )
+
+    number = F.xxhash64("doc_id", "label", "n_words", "terms", "counts").alias("number")
+    return examples.dropDuplicates().select("doc_id", "label", number, "terms", "counts").mapInArrow(run, _WEIGHED)
+
+
+def _heaviest(weighed: DataFrame) -> pa.Table:
+    """doc_id, label, number and heaviest term of every example."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, weight = batch.column(3).flatten().to_numpy(), batch.column(4).flatten().to_numpy()
+            sizes = pc.list_value_length(batch.column(3)).to_numpy()
+            order = np.lexsort((at, -weight, np.repeat(np.arange(len(sizes)), sizes)))
+            most = np.full(len(sizes), -1)
+            most[sizes > 0] = at[order[(np.cumsum(sizes) - sizes)[sizes > 0]]]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(most)], names=["doc_id", "label", "number", "most"])
+
+    return weighed.mapInArrow(run, "doc_id long, label int, number long, most long").toArrow()  # 2 EXAMPLES rows
+
+
+def _postings(weighed: DataFrame, row_of: dict[int, int], n_terms: int, parts: int = 16) -> Postings:
+    """The weights of all terms; tasks sort the postings of a range of terms each, what comes back is 8 bytes per posting."""
+    step = -(-n_terms // parts)
+    shared = weighed.sparkSession.sparkContext.broadcast(row_of)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+        for batch in batches:
+            for part, number, at, weight in zip(*[batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)], strict=True):
+                held.setdefault(int(part), []).append((np.full(len(at), shared.value[number], np.int32), at, weight))
+        for part, rows in held.items():
+            row, at, weight = (np.concatenate(c) for c in zip(*rows, strict=True))
+            order = np.lexsort((row, at))
+            sizes = np.bincount(at - part * step, minlength=min(step, n_terms - part * step)).astype(np.int32)
+            blobs = [x.tobytes() for x in (sizes, row[order], weight[order].astype(np.float32))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), *(pa.array([x], pa.binary()) for x in blobs)], names=["part", "sizes", "row", "weight"]
+            )
+
+    each = weighed.select("number", F.posexplode(F.arrays_zip("at", "weight")).alias("_", "x"))
+    part = F.floor(F.col("x.at") / step).cast("int").alias("part")
+    by_part = each.groupBy(part, "number").agg(F.collect_list("x").alias("x")).select("part", "number", F.col("x.at").alias("at"), F.col("x.weight").alias("weight"))
+    found = sorted(by_part.repartition(parts, "part").mapInArrow(run, "part int, sizes binary, row binary, weight binary").collect())
+    by_number = {r["part"]: r for r in found}
+    sizes = [
+        np.frombuffer(by_number[p]["sizes"], np.int32) if p in by_number else np.zeros(max(min(step, n_terms - p * step), 0), np.int32)
+        for p in range(parts)
+    ]
+    first = np.concatenate([[0], np.cumsum(np.concatenate(sizes), dtype=np.int64)])
+    row = np.concatenate([np.frombuffer(r["row"], np.int32) for r in found])
+    return Postings(first, row, np.concatenate([np.frombuffer(r["weight"], np.float32) for r in found]), (n_terms, len(row_of)))
+
+
+def _leave_one_out(weighed: DataFrame, row_of: dict[int, int], model: Model) -> np.ndarray:
+    """The votes of every example's neighbours but itself, seven numbers each; an example without a term has none."""
+    shared = weighed.sparkSession.sparkContext.broadcast((row_of, model))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row_of, model = shared.value
+        for batch in batches:
+            rows = [row_of[n] for n in batch.column(2).to_pylist()]
+            sizes = pc.list_value_length(batch.column(3)).to_numpy()
+            owner = np.repeat(np.arange(len(rows)), sizes)
+            at, weight = batch.column(3).flatten().to_numpy(), batch.column(4).flatten().to_numpy()
+            done = [(rows[i], votes.tolist()) for i, votes, _, _ in _neighbours(model, owner, at, weight, dict(enumerate(rows)))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r for r, _ in done], pa.int64()), pa.array([v for _, v in done], pa.list_(pa.float64()))], names=["row", "votes"]
+            )
+
+    x = np.tile([1.0, 0, 0, 0, 0, 0, 0], (len(row_of), 1))
+    for row, votes in weighed.mapInArrow(run, "row long, votes array<double>").collect():  # 2 EXAMPLES rows
+        x[row] = votes
+    shared.destroy()
+    return x
+
+
 def fit(documents: DataFrame, labelled: DataFrame, size: int = EXAMPLES, vocabulary: int = VOCABULARY) -> Model:
     """A model from ``labelled`` (doc_id, label 0/1) and the texts of ``documents`` (doc_id, text).
 
     Null ids and labels are passed over; an id with both labels counts as 1.
     ``size`` bounds the examples of each label, ``vocabulary`` the telling terms. With
-    no rows of one label every score is the share of label 1.
+    no rows of one label every score is the share of label 1. Repeated rows of an
+    example count once.
+
+    Vectors, postings and the examples' own votes are made in tasks; the driver
+    holds the finished model, about 8 bytes for each different term of an example.
     """
     labels = labelled.where("doc_id IS NOT NULL AND label IN (0, 1)").groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
     labels = stage(labels, "labels")
     totals = {int(r[0]): r[1] for r in labels.groupBy("label").count().collect()}
     n_rows = sum(totals.values())
     base = totals.get(1, 0) / n_rows if n_rows else 0.0
-    no_index = _index(*[np.zeros(0, np.int64)] * 3, 0, 0)
     none = np.zeros(0, np.int64)
-    empty = Model(no_index.weights, no_index.maxima, no_index.begin, none.view(np.uint64), none, 0.0, none, no_index, none, none, none, none, base)
+    no_weights = Postings(np.zeros(1, np.int64), none.astype(np.int32), none.astype(np.float32), (0, 0))
+    empty = Model(no_weights, none.view(np.uint64), none, 0.0, none.astype(bool), none, none, none, none, base)
     if len(totals) < 2:
         return empty
     by_hash = F.xxhash64("doc_id")
@@ -299,40 +436,26 @@ def fit(documents: DataFrame, labelled: DataFrame, size: int = EXAMPLES, vocabul
     seen = {int(r[0]): r[1] for r in examples.groupBy("label").count().collect()}
     if len(seen) < 2:
         return empty
-    n1, n0 = seen[1], seen[0]
-    telling = _vocabulary(examples, n1, n0, vocabulary)
-    rows = examples.dropDuplicates().toArrow().combine_chunks().sort_by([("label", "ascending"), ("doc_id", "ascending"), ("n_words", "ascending")])
-    toxic = rows["label"].to_numpy().astype(np.int64)
-    n1, n0 = int(toxic.sum()), int((1 - toxic).sum())
-    sizes = pc.list_value_length(rows["terms"]).to_numpy()
-    found = pc.list_flatten(rows["terms"]).to_numpy().view(np.uint64)
-    if not len(found):
+    telling = _vocabulary(examples, seen[1], seen[0], vocabulary)
+    terms = examples.select(F.explode("terms").alias("term")).distinct().toArrow()["term"].to_numpy()
+    if not len(terms):
         return empty
-    terms, term = np.unique(found, return_inverse=True)
-    example = np.repeat(np.arange(len(toxic)), sizes)
+    terms = np.sort(terms.view(np.uint64))
     held, n = _document_counts(documents, terms)
     idf = np.log((1 + n) / (1 + held)) + 1
-    weights = (1 + np.log(pc.list_flatten(rows["counts"]).to_numpy())) * idf[term]
-    weights /= np.sqrt(np.bincount(example, weights**2, len(toxic)))[example]
+    weighed = stage(_weighed(examples, terms, idf), "weighed")
     # Neighbours in the index share terms: sort by the heaviest term, so that block maxima are tight.
-    by_weight = np.lexsort((-weights, example))
-    heaviest = np.zeros(len(toxic), np.int64)
-    heaviest[sizes > 0] = term[by_weight[(np.cumsum(sizes) - sizes)[sizes > 0]]]
-    order = np.lexsort((np.arange(len(toxic)), heaviest, -toxic))
-    example = np.argsort(order)[example]
-    toxic, ids = toxic[order], rows["doc_id"].to_numpy()[order]
-    whole = _index(term, example, weights, len(terms), len(ids))
-    marks = np.isin(terms, telling)[term]
-    part = _index(term[marks], example[marks], weights[marks], len(terms), len(ids))
-    counts_for = np.where(toxic == 1, totals[1] / n1, totals[0] / n0)
+    told = _heaviest(weighed)
+    label = told["label"].to_numpy().astype(np.int64)
+    order = np.lexsort((told["number"].to_numpy(), told["doc_id"].to_numpy(), told["most"].to_numpy(), -label))
+    toxic, ids = label[order], told["doc_id"].to_numpy()[order]
+    row_of = {n: i for i, n in enumerate(told["number"].to_numpy()[order].tolist())}
+    n1 = int(toxic.sum())
+    counts_for = np.where(toxic == 1, totals[1] / n1, totals[0] / (len(toxic) - n1))
     unseen = float(np.log((1 + n) / 2) + 1)
-    common = np.sort(np.argsort(-np.diff(whole.weights.first), kind="stable")[:DENSE])
-    model = Model(whole.weights, whole.maxima, whole.begin, terms, idf, unseen, common, part, toxic, counts_for, ids, np.zeros(7), base)
-    by_example = np.argsort(example, kind="stable")
-    x = np.tile([1.0, 0, 0, 0, 0, 0, 0], (len(ids), 1))  # an example without a term has no votes
-    for row, votes, _, _ in _neighbours(model, example[by_example], term[by_example], weights[by_example], leave_out=True):
-        x[row] = votes
-    model.curve = _curve(x, toxic.astype(float), counts_for)
+    weights = _postings(weighed, row_of, len(terms))
+    model = Model(weights, terms, idf, unseen, np.isin(terms, telling), toxic, counts_for, ids, np.zeros(7), base)
+    model.curve = _curve(_leave_one_out(weighed, row_of, model), toxic.astype(float), counts_for)
     return model
 
 
