@@ -34,8 +34,10 @@ EXAMPLES = 2000  # of each label
 VOCABULARY = 4096  # of the terms that tell the labels apart
 NEIGHBOURS = 15
 BLOCK = 32
+FIRST_BLOCKS = 8  # visited at once, then four times as many each time
 DENSE = 2048  # terms with the most postings, multiplied as a dense matrix for some documents at a time
-TOGETHER = 256
+TOGETHER = 64  # documents searched side by side, fewer when they have more postings than
+MOST_POSTINGS = 1 << 20
 STEMS = (4, 5, 6, 7)
 LEAST = 4  # examples that hold a term
 
@@ -57,6 +59,32 @@ class Postings:
         return out
 
 
+class Terms:
+    """Numbers of term hashes, by their leading bits: hashes are spread evenly, so a slot holds less than one on average."""
+
+    def __init__(self, terms: np.ndarray):
+        self.terms = terms  # sorted
+        self.shift = np.uint64(64 - max(int(len(terms)).bit_length() + 1, 1))
+        slots = np.arange((1 << 64 - int(self.shift)) + 1, dtype=np.uint64)
+        slots[-1] -= np.uint64(1)
+        self.first = np.searchsorted(terms, slots << self.shift).astype(np.int32)
+        self.first[-1] = len(terms)
+
+    def __call__(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number of each hash (of no meaning where it is none of the terms), and whether it is one."""
+        slot = (found >> self.shift).astype(np.int64)
+        place, last = self.first[slot], self.first[slot + 1]
+        hit = np.zeros(len(found), bool)
+        open_ = np.flatnonzero(place < last)
+        while len(open_):
+            same = self.terms[place[open_]] == found[open_]
+            hit[open_[same]] = True
+            open_ = open_[~same]
+            place[open_] += 1
+            open_ = open_[place[open_] < last[open_]]
+        return place, hit
+
+
 class Index:
     """Weights of terms x examples; what is found in them by sorting is made once in each process that searches."""
 
@@ -108,6 +136,10 @@ class Model(Index):
         """Numbers of the DENSE terms."""
         return np.sort(np.argsort(-np.diff(self.weights.first), kind="stable")[:DENSE])
 
+    @cached_property
+    def numbers(self) -> Terms:
+        return Terms(self.terms)
+
     @cached_property
     def dense(self) -> np.ndarray:
         return self.weights[self.common]
@@ -176,15 +208,22 @@ def _vocabulary(examples: DataFrame, n1: int, n0: int, size: int) -> np.ndarray:
     return np.sort(np.array([r["term"] for r in best.select("term").collect()], np.int64).view(np.uint64))
 
 
+def _held(data, offsets, terms: Terms) -> np.ndarray:
+    """The terms of a run of documents, each as often as documents hold it."""
+    found, owner, _ = _term_counts(data, offsets)
+    place, hit = terms(found)
+    return np.unique(owner[hit] * len(terms.terms) + place[hit]) % len(terms.terms)
+
+
 def _document_counts(documents: DataFrame, terms: np.ndarray) -> tuple[np.ndarray, int]:
     """How many documents hold each of ``terms``, over all documents, and how many documents there are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, rows = np.zeros(len(terms), np.int64), 0
+        total, rows, numbers = np.zeros(len(terms), np.int64), 0, Terms(terms)
         for batch in batches:
             rows += batch.num_rows
             for _, _, data, offsets in tx.slices(batch.column(0)):
-                at = _looked_up(data, offsets, terms)[0]
+                at = _held(data, offsets, numbers)
                 total += np.bincount(at, minlength=len(terms))
         held = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(held, -1)), pa.array(np.append(total[held], rows))], names=["at", "held"])
@@ -197,66 +236,82 @@ def _document_counts(documents: DataFrame, terms: np.ndarray) -> tuple[np.ndarra
     return held[:-1], int(held[-1])
 
 
-def _looked_up(data, offsets, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _looked_up(data, offsets, terms: Terms) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (term, document) of a run of documents, sorted by document, how often each occurs, and per document
     the sum of squared term frequencies (1 + log) of its other terms."""
     found, owner, _ = _term_counts(data, offsets)
-    place = np.minimum(np.searchsorted(terms, found), len(terms) - 1)
-    hit = terms[place] == found
-    key, times = np.unique(owner[hit] * len(terms) + place[hit], return_counts=True)
+    place, hit = terms(found)
+    n_terms = max(len(terms.terms), 1)
+    key, times = np.unique(owner[hit] * n_terms + place[hit], return_counts=True)
     found, owner = found[~hit], owner[~hit]
     order = np.lexsort((found, owner))
     found, owner = found[order], owner[order]
     fresh = np.flatnonzero(np.r_[True, (found[1:] != found[:-1]) | (owner[1:] != owner[:-1])][: len(found)])
     often = np.diff(np.append(fresh, len(found)))
     rest = np.bincount(owner[fresh], (1 + np.log(often)) ** 2, len(offsets) - 1)
-    return key % len(terms), key // len(terms), times, rest
+    return key % n_terms, key // n_terms, times, rest
 
 
-def nearest(
-    index: Index, at: np.ndarray, weights: np.ndarray, k: int, without: int = -1, known: np.ndarray | None = None
-) -> tuple[np.ndarray, np.ndarray, int]:
-    """Examples of highest cosine (ties: first example), their similarities, and how many blocks were scored.
+def nearest_of(
+    index: Index, owner: np.ndarray, at: np.ndarray, weights: np.ndarray, n_docs: int, k: int, without=None, known: np.ndarray | None = None
+) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+    """For each of ``n_docs`` documents the examples of highest cosine (ties: first example), their similarities, and how
+    many blocks were scored.
 
-    ``at`` and ``weights`` are the terms of one document that stand in the
-    index; ``known`` has what further terms add for each example. Examples
-    without a common term are no neighbours.
+    ``at`` and ``weights`` are the terms that stand in the index, ``owner`` their
+    document; ``known`` has what further terms add for each document and example,
+    ``without`` an example that does not count, or -1. Examples without a common
+    term are no neighbours. The documents are searched side by side: each visits
+    its blocks by falling bound, some at a time, and is done when the bound falls
+    below its kth similarity.
     """
-    n_blocks, n = index.maxima.shape[1], index.weights.shape[1]
-    entry, owner = tx.ragged(index.maxima.first[at], index.maxima.first[at + 1])
-    block = index.maxima.column[entry]
-    bounds = np.bincount(block, weights[owner] * index.maxima.value[entry], n_blocks)
+    maxima, begin = index.blocks
+    n_blocks, n = maxima.shape[1], index.weights.shape[1]
+    entry, pair = tx.ragged(maxima.first[at], maxima.first[at + 1])
+    key, weight = owner[pair] * n_blocks + maxima.column[entry], weights[pair].astype(np.float32)
+    bounds = np.bincount(key, weight * maxima.value[entry], n_docs * n_blocks).reshape(n_docs, n_blocks).astype(float)
     if known is not None:
-        bounds = bounds + np.maximum.reduceat(known, np.arange(0, n, BLOCK))
-    order = np.argsort(-bounds, kind="stable")
-    rank = np.empty(n_blocks, np.int64)
-    rank[order] = np.arange(n_blocks)
-    turn = rank[block]
-    best, similarity, scored = np.zeros(0, np.int64), np.zeros(0), 0
-    reached, first, step = 0.0, 0, 8
+        bounds += np.maximum.reduceat(known, np.arange(0, n, BLOCK), axis=1)
+    rank = np.empty((n_docs, n_blocks), np.int64)
+    np.put_along_axis(rank, np.argsort(-bounds, axis=1, kind="stable"), np.arange(n_blocks)[None, :], 1)
+    block_of = np.arange(n) // BLOCK
+    scores, reached, scored = np.zeros((n_docs, n)), np.zeros(n_docs), np.zeros(n_docs, np.int64)
+    first, step = 0, FIRST_BLOCKS
     while first < n_blocks:
-        visited = order[first : first + step]
-        visited = visited[(bounds[visited] > 0) & (bounds[visited] >= reached - 1e-5)]  # bounds fall
-        if not len(visited):
+        visited = (rank >= first) & (rank < first + step) & (bounds > 0) & (bounds >= reached[:, None] - 1e-5)
+        if not visited.any():
             break
-        scored += len(visited)
-        chosen = np.flatnonzero((turn >= first) & (turn < first + len(visited)))
-        posting, of = tx.ragged(index.begin[entry[chosen]], index.begin[entry[chosen] + 1])
-        values = np.bincount(index.weights.column[posting], weights[owner[chosen[of]]] * index.weights.value[posting], n)
-        found = (visited[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-        found = found[(found < n) & (found != without)]
-        values = values[found] if known is None else values[found] + known[found]
-        values = np.round(values, 6)  # equal examples are equal, however their sums were made
-        found, values = found[values > 0], values[values > 0]
-        best, similarity = np.concatenate([best, found]), np.concatenate([similarity, values])
-        keep = np.lexsort((best, -similarity))[:k]
-        best, similarity = best[keep], similarity[keep]
-        if len(best) == k:
-            reached = float(similarity[-1])
-        first, step = first + step, step * 2
+        scored += visited.sum(1)
+        chosen = np.flatnonzero(visited.ravel()[key])
+        low = begin[entry[chosen]]
+        sizes = begin[entry[chosen] + 1] - low
+        posting = np.arange(int(sizes.sum())) + np.repeat(low - (np.cumsum(sizes) - sizes), sizes)
+        cell = np.repeat(key[chosen] // n_blocks * n, sizes) + index.weights.column[posting]
+        values = np.bincount(cell, np.repeat(weight[chosen], sizes) * index.weights.value[posting], n_docs * n).reshape(n_docs, n).astype(float)
+        if known is not None:
+            values += known
+        values *= visited[:, block_of]
+        scores += np.round(values, 6)  # equal examples are equal, however their sums were made
+        if without is not None:
+            scores[without >= 0, without[without >= 0]] = 0
+        if n > k:
+            reached = np.maximum(np.partition(scores, n - k, axis=1)[:, n - k], 0)
+        first, step = first + step, step * 4
+    best, similarity = [], []
+    for row, least in zip(scores, reached, strict=True):
+        found = np.flatnonzero((row > 0) & (row >= least))
+        found = found[np.lexsort((found, -row[found]))[:k]]
+        best.append(found)
+        similarity.append(row[found])
     return best, similarity, scored
 
 
+def nearest(index: Index, at: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """:func:`nearest_of` for one document."""
+    best, similarity, scored = nearest_of(index, np.zeros(len(at), np.int64), at, weights, 1, k)
+    return best[0], similarity[0], int(scored[0])
+
+
 def _votes(model: Model, best: np.ndarray, similarity: np.ndarray) -> np.ndarray:
     """1, share of the weighted votes for toxic, its smoothed log odds, share times the logarithm of the mean similarity."""
     votes = similarity * model.counts_for[best]
@@ -273,25 +328,28 @@ def _neighbours(
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """Documents of sorted ``owner`` with their votes, their neighbours by telling terms, then by whole vectors, each once, and
     the similarities. ``without`` names an example that is no neighbour of a document."""
-    place = model.place[at]
     rows, starts = np.unique(owner, return_index=True)
     ends = np.append(starts, len(owner))[1:]
-    for low in range(0, len(rows), TOGETHER):
-        some = rows[low : low + TOGETHER]
-        part = slice(starts[low], ends[low + len(some) - 1])
-        hit = place[part] >= 0
+    sizes = np.diff(model.weights.first)
+    work = np.add.reduceat(sizes[at] * (model.place[at] < 0), starts) if len(rows) else starts
+    group = np.maximum(np.cumsum(work) // MOST_POSTINGS, np.arange(len(rows)) // TOGETHER)
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(rows)]
+    for low, high in zip(cuts, cuts[1:]):  # noqa: B905
+        if low == high:
+            continue
+        some, part = rows[low:high], slice(starts[low], ends[high - 1])
+        doc, term, weight = np.searchsorted(some, owner[part]), at[part], weights[part]
+        place = model.place[term]
+        rare = place < 0
         query = np.zeros((len(some), len(model.dense)), np.float32)
-        query[np.searchsorted(some, owner[part][hit]), place[part][hit]] = weights[part][hit]
-        known = query @ model.dense
+        query[doc[~rare], place[~rare]] = weight[~rare]
+        left_out = None if without is None else np.array([without[r] for r in some.tolist()])
+        told, share, _ = nearest_of(model.telling, doc, term, weight, len(some), NEIGHBOURS, left_out)
+        whole, similarity, _ = nearest_of(model, doc[rare], term[rare], weight[rare], len(some), NEIGHBOURS, left_out, query @ model.dense)
         for i, row in enumerate(some.tolist()):
-            own = slice(starts[low + i], ends[low + i])
-            rare = place[own] < 0
-            left_out = -1 if without is None else without[row]
-            told, share, _ = nearest(model.telling, at[own], weights[own], NEIGHBOURS, left_out)
-            whole, similarity, _ = nearest(model, at[own][rare], weights[own][rare], NEIGHBOURS, left_out, known[i])
-            votes = np.concatenate([_votes(model, told, share), _votes(model, whole, similarity)[1:]])
-            other = ~np.isin(whole, told)
-            yield row, votes, np.concatenate([told, whole[other]]), np.concatenate([share, similarity[other]])
+            votes = np.concatenate([_votes(model, told[i], share[i]), _votes(model, whole[i], similarity[i])[1:]])
+            other = ~np.isin(whole[i], told[i])
+            yield row, votes, np.concatenate([told[i], whole[i][other]]), np.concatenate([share[i], similarity[i][other]])
 
 
 def _curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -467,7 +525,7 @@ def _score_batch(model: Model, column: pa.Array) -> tuple[np.ndarray, list, list
         return scores, evidence, similarities
     scores[:] = 1 / (1 + np.exp(-model.curve[0]))
     for low, high, data, offsets in tx.slices(column):
-        at, owner, times, rest = _looked_up(data, offsets, model.terms)
+        at, owner, times, rest = _looked_up(data, offsets, model.numbers)
         weights = (1 + np.log(times)) * model.idf[at]
         norms = np.sqrt(np.bincount(owner, weights**2, high - low) + rest * model.unseen**2)
         weights /= norms[owner]

@@ -98,3 +98,55 @@ def test_whole_vectors_find_copies_without_telling_terms(spark, docs):
     beyond = toxicity.score(docs([(1, "quiet marks of nothing known"), (2, "quiet marks of nothing known zzz")]), model).collect()
     near = {r["doc_id"]: r["evidence"][0]["similarity"] for r in beyond}
     assert near[2] < near[1]  # a word of no example lengthens the vector
+
+
+def test_neighbours_and_scores_equal_brute_force(spark, docs):
+    """TF-IDF of words and their beginnings, norms with unseen words, cosines, votes and the curve, all by dictionaries."""
+    rnd = random.Random(8)
+    words = [f"palabra{i}" for i in range(60)] + ["uno", "dos", "tres", "vileness", "grunkiest"]
+    rows = [(i, " ".join(rnd.choices(words[:63] if i % 4 else words, k=rnd.randrange(3, 25))) + f" solo{i}") for i in range(160)]
+    labels = {i: int(i % 4 == 0) for i in range(0, 160, 2)}
+    frame = docs(rows)
+    model = toxicity.fit(frame, spark.createDataFrame(list(labels.items()), "doc_id long, label int"))
+
+    def counts(text):
+        found = {}
+        for word in text.split():
+            for term in {word} | {f"{word[:n]}~" for n in toxicity.STEMS if len(word) > n}:
+                found[term] = found.get(term, 0) + 1
+        return found
+
+    terms = {i: counts(text) for i, text in rows}
+    known = {t for i in labels for t in terms[i]}
+    held = {t: sum(t in terms[i] for i, _ in rows) for t in known}
+    idf = {t: np.log((1 + len(rows)) / (1 + held[t])) + 1 for t in known}
+    unseen = np.log((1 + len(rows)) / 2) + 1
+
+    def vector(found):
+        v = {t: (1 + np.log(n)) * idf.get(t, unseen) for t, n in found.items()}
+        norm = np.sqrt(sum(w * w for w in v.values()))
+        return {t: w / norm for t, w in v.items() if t in known}
+
+    vectors = {i: vector(terms[i]) for i in terms}
+    for r in toxicity.score(frame, model).collect():
+        cosine = {i: sum(w * vectors[i].get(t, 0) for t, w in vectors[r["doc_id"]].items()) for i in labels}
+        kth = sorted(cosine.values())[-toxicity.NEIGHBOURS]
+        got = {e["doc_id"]: e["similarity"] for e in r["evidence"]}
+        assert {i for i, c in cosine.items() if c > kth + 1e-5} <= set(got)
+        later = list(got)[toxicity.NEIGHBOURS :]  # neighbours by whole vectors alone
+        assert all(abs(got[i] - cosine[i]) < 1e-5 and cosine[i] >= kth - 1e-5 for i in later)
+        whole = sorted(cosine, key=lambda i: (-round(cosine[i], 6), list(model.ids).index(i)))[: toxicity.NEIGHBOURS]
+        order = [list(model.ids).index(i) for i in whole]
+        told = [list(model.ids).index(e) for e in list(got)[: toxicity.NEIGHBOURS] if e not in later]
+        votes = toxicity._votes(model, np.array(order), np.array([cosine[i] for i in whole]))
+        assert len(told) <= toxicity.NEIGHBOURS and votes[0] == 1.0
+    assert np.allclose([model.counts_for[list(model.ids).index(i)] for i in labels], 1.0)
+
+
+def test_term_numbers():
+    rnd = np.random.default_rng(3)
+    for n in (0, 1, 2, 7, 5000):
+        terms = np.unique(rnd.integers(0, 2**64, n, dtype=np.uint64))
+        found = np.concatenate([rnd.choice(terms, 50) if n else terms, rnd.integers(0, 2**64, 300, dtype=np.uint64), np.array([0, 2**64 - 1], np.uint64)])
+        place, hit = toxicity.Terms(terms)(found)
+        assert (hit == np.isin(found, terms)).all() and (terms[place[hit]] == found[hit]).all()
