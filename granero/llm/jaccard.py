@@ -4,15 +4,15 @@
 that differ by at most r. Classes (texts with equal shingle sets) that can link
 share a shingle among the first quarter of their sets in a common order; every
 shingle shared there makes a region. Its pivot is the member that shares most of
-its leading shingles with others, further rounds take more of them. A class is
-replicated to all regions whose pivot it shares a leading shingle with, the only
-ones that can hold partners; the first pivot is the region's centre.
-Pairs that share too few leading shingles to link are left out, the distances of
-all others are computed from whole sets. A region whose members are all
-connected is done; the others are joined again around further pivots, where the
-window of the triangle inequality around the centre leaves pairs out. The rounds
-end when no region has members left that were not pivots: every pair was then
-compared, was connected already, or cannot link.
+its leading shingles with others, and a class is replicated to all regions whose
+pivot it shares a leading shingle with, the only ones that can hold partners.
+First the distances of all members to their pivot are computed from whole sets,
+which connects most of what is alike. A region whose members are all connected
+is done. Each of the others is joined in a task of its own: the window of the
+triangle inequality around the pivot and the number of leading shingles two
+members have in common leave pairs out, the rest is compared on whole sets, and
+only links come out. A region too large for a task is dealt to the pairs of its
+blocks of members.
 """
 
 from __future__ import annotations
@@ -34,7 +34,8 @@ COUNTERS = 1 << 20  # of the frequency sketch; its size is fixed
 PARTS = 64
 FILTER_BITS = 1 << 26  # of the filter that picks the sets to compare: 8 MB at every size
 ENTRY = np.dtype([("shingle", "<u8"), ("class", "<i8")])
-MORE = 8  # pivots of the second round, and times as many in each further one
+REGION_MEMBERS, REGION_SHINGLES = 1 << 13, 1 << 23  # of a region that is joined in one task
+REGION_BLOCK = 512
 PARTITION_BYTES = 32 << 20
 
 
@@ -297,6 +298,18 @@ class _Comparison:
     def __init__(self, documents: DataFrame, members: DataFrame, k: int):
         self.documents, self.members, self.k, self.sets = documents, members, k, None
 
+    def sets_for(self, wanted: DataFrame) -> DataFrame | None:
+        """class, shingles of the classes in ``wanted`` and maybe of others; None if there are none at all."""
+        wanted = wanted.distinct()
+        if self.sets is not None:
+            wanted = wanted.join(self.sets.select("class"), "class", "left_anti")
+        wanted = stage(wanted.join(self.members, "class").select("doc_id", "text_hash"), "wanted")
+        if wanted.limit(1).count():
+            # A class that several documents have may come from several tasks.
+            more = stage(sets_of(self.documents, wanted, self.k).dropDuplicates(["class"]), "sets")
+            self.sets = more if self.sets is None else self.sets.unionByName(more)
+        return self.sets
+
     def __call__(self, met: DataFrame) -> DataFrame | None:
         """a, b, common, distance, linked for those of the pairs (a, b) that may link; None if none may."""
         def side(name):
@@ -309,13 +322,7 @@ class _Comparison:
         met = stage(met.distinct().join(left, "a").join(right, "b").where(near).select("a", "b", "na", "nb"), "pairs")
         if not met.limit(1).count():
             return None
-        wanted = met.select(F.col("a").alias("class")).union(met.select(F.col("b").alias("class"))).distinct()
-        if self.sets is not None:
-            wanted = wanted.join(self.sets.select("class"), "class", "left_anti")
-        wanted = stage(wanted.join(self.members, "class").select("doc_id", "text_hash"), "wanted")
-        if wanted.limit(1).count():
-            more = stage(sets_of(self.documents, wanted, self.k), "sets")
-            self.sets = more if self.sets is None else self.sets.unionByName(more)
+        self.sets_for(met.select(F.col("a").alias("class")).union(met.select(F.col("b").alias("class"))))
         left = self.sets.select(F.col("class").alias("a"), F.col("shingles").alias("sa"))
         right = self.sets.select(F.col("class").alias("b"), F.col("shingles").alias("sb"))
         common = F.size(F.array_intersect("sa", "sb")).cast("long")
@@ -326,6 +333,128 @@ class _Comparison:
         return stage(both.distinct().select("a", "b", "common", distance, linked), "compared")
 
 
+def _open_regions(rooted: DataFrame) -> DataFrame:
+    """Members of the regions that hold more than one component: region, class, root, n, distance, block.
+
+    A region that is too large for a task is dealt to the pairs of its blocks of
+    members, which meet each in a task of its own.
+    """
+    groups = rooted.groupBy("home", "root").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
+    sums = groups.groupBy("home").agg(F.sum("c").alias("size"), F.sum("s").alias("shingles"), F.count("*").alias("roots"))
+    placed = rooted.join(sums.where("roots > 1").drop("roots"), "home")
+    alone = (F.col("size") <= REGION_MEMBERS) & (F.col("shingles") <= REGION_SHINGLES)
+    columns = [F.col("class"), F.col("root"), F.col("n").cast("long").alias("n"), F.coalesce("distance", F.lit(-1.0)).alias("distance")]
+    whole = placed.where(alone).select(F.xxhash64("home").alias("region"), *columns, F.lit(-1).cast("long").alias("block"))
+    dealt = placed.where(~alone).withColumn("blocks", F.ceil(F.col("size") / F.lit(REGION_BLOCK)).cast("long"))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("class", "home"), "blocks")).withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
+    region = F.xxhash64("home", F.least("own", "other"), F.greatest("own", "other"))
+    block = F.when(F.col("own") == F.col("other"), -1).otherwise(F.col("own")).cast("long")
+    return whole.unionByName(dealt.select(region.alias("region"), *columns, block.alias("block")))
+
+
+def _by_region(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict[str, np.ndarray]]]:
+    """Columns of one region after the other from rows that come sorted by region; lists are joined to one array."""
+
+    def piece(part: pa.RecordBatch) -> dict[str, np.ndarray]:
+        return {
+            name: (column.flatten() if pa.types.is_list(column.type) else column).to_numpy(zero_copy_only=False)
+            for name, column in zip(part.schema.names, part.columns, strict=True)
+        }
+
+    def joined(pieces: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+        return {name: np.concatenate([p[name] for p in pieces]) for name in pieces[0]}
+
+    current, held = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        region = batch.column(0).to_numpy()
+        cuts = [0, *(np.flatnonzero(region[1:] != region[:-1]) + 1).tolist(), len(region)]
+        for low, high in zip(cuts, cuts[1:]):  # noqa: B905
+            if region[low] != current:
+                if held:
+                    yield current, joined(held)
+                current, held = region[low], []
+            held.append(piece(batch.slice(low, high - low)))
+    if held:
+        yield current, joined(held)
+
+
+def _others(i: int, root: np.ndarray, r: dict[str, np.ndarray]) -> np.ndarray:
+    """Members behind member i that are not connected with it, fit its size and lie in its window of distances to the centre."""
+    n, distance, block = r["n"], r["distance"], r["block"]
+    rest = slice(i + 1, None)
+    open_ = (root[rest] != root[i]) & (4 * np.minimum(n[rest], n[i]) >= 3 * np.maximum(n[rest], n[i]))
+    open_ &= (np.abs(distance[rest] - distance[i]) <= 0.25 + 1e-9) | (distance[rest] < 0) | (distance[i] < 0)
+    open_ &= (block[rest] != block[i]) | (block[i] < 0)
+    return np.flatnonzero(open_) + i + 1
+
+
+def _common(own: np.ndarray, starts: np.ndarray, sizes: np.ndarray, values: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """How many of ``own`` (sorted) each of the ``others`` has."""
+    at, owner = tx.ragged(starts[others], starts[others] + sizes[others])
+    theirs = values[at]
+    place = np.minimum(np.searchsorted(own, theirs), len(own) - 1)
+    return np.bincount(owner[own[place] == theirs], minlength=len(others))
+
+
+def _with_partners(members: DataFrame) -> DataFrame:
+    """Of the members of regions, with their leading shingles, those with a partner in their region that they may link to."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for region, r in _by_region(batches):
+            n, lost, sizes = r["n"], r["lost"], r["leads"]
+            starts, some = np.cumsum(sizes) - sizes, np.zeros(len(n), bool)
+            behind = np.ceil(n * 0.75)
+            for i in range(len(n) - 1):
+                others = _others(i, r["root"], r)
+                if not len(others) or not sizes[i]:
+                    continue
+                own = r["leading"][starts[i] : starts[i] + sizes[i]]
+                shared = _common(own, starts, sizes, r["leading"], others) + np.minimum(lost[others], lost[i])
+                needed = np.ceil((n[others] + n[i]) * 3 / 7)
+                near = others[(shared > 0) & (shared + np.maximum(behind[others], behind[i]) - 1 >= needed)]
+                some[near] = True
+                some[i] |= len(near) > 0
+            if some.any():
+                names = ["class", "root", "n", "distance", "block"]
+                columns = [np.full(int(some.sum()), region), *(r[c][some] for c in names)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["region", *names])
+
+    rows = members.select(
+        "region", "class", "root", "n", "distance", "block", F.col("lost").cast("long").alias("lost"),
+        F.size("leading").cast("long").alias("leads"), F.array_sort("leading").alias("leading"),
+    )
+    schema = "region long, class long, root long, n long, distance double, block long"
+    return rows.repartition("region").sortWithinPartitions("region").mapInArrow(run, schema)
+
+
+def _region_links(members: DataFrame) -> DataFrame:
+    """a, b, common: links on whole sets that connect what is within 25 % distance in each region."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, r in _by_region(batches):
+            n, name, root, sets = r["n"], r["class"], r["root"].copy(), r["shingles"].view(np.uint64)
+            starts, found = np.cumsum(n) - n, []
+            for i in range(len(n) - 1):
+                others = _others(i, root, r)
+                if not len(others):
+                    continue
+                common = _common(sets[starts[i] : starts[i] + n[i]], starts, n, sets, others)
+                linked = np.flatnonzero(175 * common >= 75 * (n[others] + n[i]))
+                for k in linked.tolist():
+                    j = others[k]
+                    if root[j] != root[i]:
+                        found.append((min(name[i], name[j]), max(name[i], name[j]), common[k]))
+                        root[root == root[j]] = root[i]
+            if found:
+                a, b, common = np.array(found, np.int64).T
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (a, b, common)], names=["a", "b", "common"])
+
+    rows = members.select("region", "class", "root", "n", "distance", "block", "shingles")
+    return rows.repartition("region").sortWithinPartitions("region").mapInArrow(run, "a long, b long, common long")
+
+
 def _sizes_fit(n: Column, m: Column) -> Column:
     return 4 * F.least(n, m) >= 3 * F.greatest(n, m)
 
@@ -411,41 +540,31 @@ def jaccard_links(documents: DataFrame, k: int = SHINGLE) -> tuple[DataFrame, Da
     # Regions with one centre are one from here on; those of two members are done.
     live = around.where("size > 2").select("home", "class", "n", "merit").distinct().join(known, ["home", "class"], "left")
 
-    # Further rounds, for regions whose other members are not connected yet.
-    pivots = MORE
-    while True:
-        rooted = live.drop("root").join(roots.withColumnRenamed("node", "class"), "class", "left")
-        rooted = stage(rooted.withColumn("root", F.coalesce("root", "class")), "rooted")
-        groups = rooted.groupBy("home", "root").agg(F.count(F.lit(1)).alias("size"))
-        largest = groups.groupBy("home").agg(F.max(F.struct("size", "root")).alias("top"), F.count(F.lit(1)).alias("n_groups"))
-        largest = largest.where("n_groups > 1").select("home", F.col("top.root").alias("top"))
-        # Pivots come from the smaller groups first: every open pair has a member there.
-        order = Window.partitionBy("home").orderBy((F.col("root") == F.col("top")).cast("int"), "merit", F.xxhash64("class"), "class")
-        live = rooted.join(largest, "home").withColumn("nth", F.row_number().over(order)).drop("top")
-        live = stage(live.join(members.select("class", "slack", *SIGNATURE), "class"), "regions")
-        if not live.limit(1).count():
-            break
-        p, y = live.where(F.col("nth") <= pivots).alias("p"), live.alias("y")
-        window = F.coalesce(F.abs(F.col("p.distance") - F.col("y.distance")) <= 0.25 + 1e-9, F.lit(True))
-        met = p.join(
-            y,
-            (F.col("p.home") == F.col("y.home"))
-            & (F.col("y.nth") > F.col("p.nth"))
-            & (F.col("p.root") != F.col("y.root"))
-            & _sizes_fit(F.col("p.n"), F.col("y.n"))
-            & window
-            & (_most_common(p="p", y="y") > 0)
-            & _may_link(F.col("p.n"), F.col("y.n"), _most_common(p="p", y="y")),
-        ).select(F.least("p.class", "y.class").alias("a"), F.greatest("p.class", "y.class").alias("b"))
-        compared = compare(met)
-        if compared is not None:
-            links = links.unionByName(compared.where("linked").select("a", "b", "common"))
-            roots = stage(components(links), "roots")
-        live = live.where(F.col("nth") > pivots).drop("nth", "slack", *SIGNATURE)
-        pivots *= MORE
+    # Regions whose members are not all connected yet are joined by themselves, each in its task.
+    rooted = live.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+    open_ = stage(_open_regions(stage(rooted.select("home", "class", "root", "n", "distance"), "rooted")), "regions")
+    leading = members.select("class", "leading", "lost")
+    partnered = stage(_with_partners(open_.join(leading, "class")), "partnered")
+    sets = compare.sets_for(partnered.select("class"))
+    if sets is not None:
+        late = stage(_region_links(partnered.join(sets, "class")).distinct(), "late")
+        links = links.unionByName(late)
     return classes, links
 
 
+def _grouped(documents: DataFrame, k: int) -> DataFrame:
+    """doc_id, text_hash, n, class of every document, the component of its class and the smallest id in it."""
+    classes, links = jaccard_links(documents, k)
+    roots = components(links)
+    smallest = classes.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("first"))
+    labelled = smallest.join(roots.withColumnRenamed("node", "class"), "class", "left")
+    grouped = labelled.where("root IS NOT NULL").groupBy("root").agg(F.min("first").alias("group_first"))
+    group_id = labelled.join(grouped, "root", "left").select(
+        F.col("class").alias("known"), F.coalesce("root", "class").alias("root"), F.coalesce("group_first", "first").alias("group_id")
+    )
+    return classes.join(group_id, F.col("class") == F.col("known"), "left").drop("known")
+
+
 def near_duplicates(documents: DataFrame, k: int = SHINGLE) -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id: groups of documents linked by a similarity of 0.75 or more.
 
@@ -457,15 +576,7 @@ def near_duplicates(documents: DataFrame, k: int = SHINGLE) -> DataFrame:
     are one class from the start, so a group of copies costs no more than one
     of them. One row per row of ``documents``, repeated rows included.
     """
-    classes, links = jaccard_links(documents, k)
-    roots = components(links)
-    smallest = classes.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("first"))
-    labelled = smallest.join(roots.withColumnRenamed("node", "class"), "class", "left")
-    grouped = labelled.where("root IS NOT NULL").groupBy("root").agg(F.min("first").alias("group_first"))
-    group_id = labelled.join(grouped, "root", "left").select(
-        F.col("class").alias("known"), F.coalesce("group_first", "first").alias("group_id")
-    )
-    return classes.join(group_id, F.col("class") == F.col("known"), "left").select(
+    return _grouped(documents, k).select(
         "doc_id",
         "text_hash",
         F.col("n").alias("n_shingles"),
@@ -474,18 +585,19 @@ def near_duplicates(documents: DataFrame, k: int = SHINGLE) -> DataFrame:
 
 
 def keep_one(documents: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """``documents`` with one row of each group of near duplicates: the one whose doc_id names the group.
+    """``documents`` with one row of each group of near duplicates: that of the smallest doc_id, then hash of the text.
 
-    Rows without words are all kept. Of repeated rows (equal doc_id and text)
-    one stays; columns stay as they are.
+    Rows with a null doc_id come last. Rows without words are all kept. Of
+    repeated rows (equal doc_id and text) one stays; columns stay as they are.
     """
-    report = stage(near_duplicates(documents, k), "groups")
-    dropped = report.where((F.col("n_shingles") > 0) & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    dropped = dropped.select(F.col("doc_id").alias("__drop_id"), F.col("text_hash").alias("__drop_hash")).distinct()
+    report = stage(_grouped(documents, k).where("class IS NOT NULL").select("doc_id", "text_hash", "root"), "groups")
+    first = report.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("kept"))
+    placed = report.join(first, "root")
+    stays = F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("text_hash") == F.col("kept.text_hash"))
+    dropped = placed.where(~stays).select(F.col("doc_id").alias("__drop_id"), F.col("text_hash").alias("__drop_hash")).distinct()
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__drop_id")) & (F.xxhash64("text") == F.col("__drop_hash"))
     kept = documents.join(dropped, same, "left_anti")
-    repeated = report.where("n_shingles > 0").groupBy("doc_id", "text_hash").count().where("count > 1")
-    if repeated.limit(1).count():
+    if report.groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).count():
         full = kept.withColumn("__has_words", F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
         kept = full.where("__has_words").dropDuplicates(["doc_id", "text"]).unionByName(full.where("NOT __has_words"))
         kept = kept.drop("__has_words")

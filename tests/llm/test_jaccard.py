@@ -117,3 +117,22 @@ def test_all_links_of_a_group_are_listed(docs):
     assert sorted(found) == sorted(wanted)
     assert {of[r["class"]]: r["n_links"] for r in counts.collect()} == {**dict.fromkeys(range(8), 7), 21: 0}
     assert jaccard.jaccard_links(docs(rows))[1].count() < len(wanted)  # connects them with fewer
+
+
+def test_one_row_of_each_group_stays_whatever_its_id(docs):
+    """Groups of null ids, and near copies that share an id."""
+    base, other = [f"w{i}" for i in range(60)], [f"z{i}" for i in range(60)]
+    rows = [(None, " ".join(base)), (None, " ".join([*base, "x"])), (7, " ".join(other)), (7, " ".join([*other, "y"])), (9, " ".join(["q", *other]))]
+    kept = [(r["doc_id"], r["text"]) for r in jaccard.keep_one(docs([*rows, (None, None), (9, "")])).collect()]
+    assert sorted(str(i) for i, t in kept) == ["7", "9", "None", "None"]
+    assert sum(t is not None and t.startswith("w0") for _, t in kept) == 1
+
+
+def test_regions_too_large_for_a_task(docs, monkeypatch):
+    rnd = random.Random(11)
+    base = [f"w{i}" for i in range(120)]
+    texts = [edited(base, rnd.choice([0.01, 0.02, 0.03, 0.035]), rnd) for _ in range(90)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    monkeypatch.setattr(jaccard, "REGION_MEMBERS", 10)
+    monkeypatch.setattr(jaccard, "REGION_BLOCK", 8)
+    assert result(docs(rows)) == brute(rows)
