@@ -68,8 +68,8 @@ def dedup_lines(documents: DataFrame, width: int = WINDOW) -> DataFrame:
     """``documents`` without passages that stand in an earlier document or earlier in the same one.
 
     ``text`` loses every line that a later occurrence of a repeated window
-    covers; ``n_lines`` and ``n_removed`` are added, other columns stay as they
-    are. Documents are ordered by (doc_id, hash of the text), null ids first; rows
+    covers; ``n_lines`` and ``n_removed`` are added (in place of columns that are
+    called so), other columns stay as they are. Documents are ordered by (doc_id, hash of the text), null ids first; rows
     with the same doc_id and text are one document listed twice and are cut
     alike. A text of fewer than ``width`` lines is one window. Windows of blank
     lines are never repeats. A text that loses all lines becomes empty; a null

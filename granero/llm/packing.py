@@ -31,6 +31,7 @@ DIMENSIONS = 3
 BITS = 16  # of each dimension
 SEQUENCE = 2048
 END_ID = 1
+RANGE_BYTES = 32 << 20
 _PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, curve_key long"
 )
@@ -201,13 +202,17 @@ def pack(documents: DataFrame, vocabulary: str | None = None, size: int = SEQUEN
 
     The ids are written once, as range bounds are sampled from them. Equal
     curve keys (copies) are spread by a hash of the id, so a large group of
-    copies becomes several neighbouring ranges.
+    copies becomes several neighbouring ranges. There are as many ranges as the
+    ids have times ``RANGE_BYTES``, so a task's share does not grow with the input.
     """
     rows = stage(tokenized(documents, vocabulary or default_vocabulary()), "tokens")
+    spark = documents.sparkSession
+    held = rows.agg(F.sum(F.length("ids"))).first()[0] or 0
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-held // RANGE_BYTES))
     spread = F.xxhash64("doc_id", F.crc32("ids"))
     ordered = (
         rows.withColumn("_spread", spread)
-        .repartitionByRange("curve_key", "_spread")
+        .repartitionByRange(ranges, "curve_key", "_spread")
         .sortWithinPartitions("curve_key", "_spread", "doc_id")
         .select("doc_id", "curve_key", "ids", "wide")
     )
