@@ -25,18 +25,26 @@ from urllib.parse import quote
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from granero.session import scratch_path, stage
 
 MAGIC = b"\x1f\x8b\x08"
 RANGE = 16 << 20
+MOST_TASKS = 20_000
 CHUNK = 1 << 20
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme that Spark would open it by, so that tasks write where Spark reads."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(conf).makeQualified(hadoop_path).toString()
+
+
 def store(path: str) -> tuple[fs.FileSystem, str]:
     if re.match(r"file:/(?!/)", path):
         path = "file://" + path[5:]
@@ -119,9 +127,11 @@ def write_archives(pages: DataFrame, folder: str | None = None, least: int = 0,
 
     ``pages`` has page_id, url and html. The archives of a task carry its attempt
     in their name and only those of finished tasks are listed, so a lost
-    executor leaves files that nobody reads.
+    executor leaves files that nobody reads. A folder without a scheme is one of
+    Spark's default file system; of the schemes that Spark knows pyarrow opens
+    file, hdfs, viewfs, s3, gs and abfs.
     """
-    folder = folder or scratch_path(pages.sparkSession, "warc")
+    folder = qualified(pages.sparkSession, folder or scratch_path(pages.sparkSession, "warc"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
@@ -237,12 +247,16 @@ _SCHEMA = pa.schema([
 def read_archives(archives: DataFrame, payloads: bool = True, size: int = RANGE) -> DataFrame:
     """One row per record of the archives (path, bytes): page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload.
 
-    Ranges of ``size`` bytes are dealt over all tasks. Without archives, no rows.
+    Ranges of ``size`` bytes are dealt evenly, each to a task of its own up to
+    ``MOST_TASKS`` of them: a row that names a range is small, so Spark would
+    merge them by their bytes. Without archives, no rows.
     A damaged stretch is passed over up to the next valid member; a payload
     that does not match its digest is an error. ``payloads`` False leaves them out.
     """
     starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(size).cast("long"))
-    ranges = archives.select("path", "bytes", F.explode(starts).alias("low")).repartition("path", "low")
+    ranges = archives.select("path", "bytes", F.explode(starts).alias("low"))
+    n_ranges = archives.agg(F.sum(F.greatest(F.ceil(F.col("bytes") / size), F.lit(1)))).first()[0] or 1
+    ranges = ranges.repartition(min(int(n_ranges), MOST_TASKS))
     schema = _SCHEMA if payloads else _SCHEMA.remove(_SCHEMA.get_field_index("payload"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

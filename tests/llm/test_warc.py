@@ -5,6 +5,7 @@ import io
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from granero.llm import warc
 
@@ -89,3 +90,13 @@ def test_magic_number_across_two_chunks(monkeypatch):
         monkeypatch.setattr(warc, "CHUNK", size)
         found = [warc.parsed(r)["page_id"] for r in warc.records_in(io.BytesIO(data), len(data), 1, len(data))]
         assert found == [1], size
+
+
+def test_ranges_are_read_by_more_than_one_task(spark):
+    pages = spark.range(3000).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.concat(F.lit("page "), F.col("id")).alias("html"))
+    archives = warc.write_archives(pages.repartition(4))
+    read = warc.read_archives(archives, payloads=False, size=4096)
+    n_ranges = archives.agg(F.sum(F.ceil(F.col("bytes") / 4096))).first()[0]
+    assert n_ranges > 100 and read.rdd.getNumPartitions() > 50
+    assert read.select("page_id").distinct().count() == read.count() == 3000
+    assert warc.qualified(spark, "/tmp/x").startswith("file:/")
