@@ -397,4 +397,8 @@ def describe(spark: SparkSession, database: str | None = None) -> DataFrame:
         for n in names
         for f in spark.table(f"{database}.{n}" if database else n).schema.fields
     ]
-    return spark.createDataFrame(rows, "tabla string, columna string, tipo string")
+    names = ("tabla", "columna", "tipo")
+    if not rows:
+        return spark.range(0).select(*[F.lit("").alias(c) for c in names])
+    listed = F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in zip(names, row, strict=True)]) for row in rows])
+    return spark.range(1).select(F.inline(listed))
