@@ -186,6 +186,28 @@ def merged_sketches(parts: DataFrame, by: Sequence[str], sums: Sequence[str] = (
     return parts.groupBy(*by).agg(*[F.sum(p).alias(p) for p in sums], merged)
 
 
+def _first(i: int) -> str:
+    return f"_primeras_{i}"
+
+
+def _cells_with_firsts(star: Star, by: Sequence[str], sets: Sequence[Sequence[str]], parts: Sequence[str]) -> DataFrame:
+    """Additive parts per cell of the finest grain, and for each set how many ids have their first row of a cell there.
+
+    Summed to the cells of its set, that is the number of distinct ids. Sales
+    are brought together by id, once for all sets, and summed where they lie.
+    """
+    sums = [_PARTS[p]().alias(p) for p in dict.fromkeys([*parts, "_lineas"])]
+    of_id = star.enriched(by).repartition("id_trans").groupBy("id_trans", *by).agg(*sums)
+    firsts = {}
+    for i, s in enumerate(sets):
+        first, rest = F.col("id_trans").isNotNull(), [c for c in by if c not in s]
+        if rest:  # else an id has one row in the cell
+            same = [c for c in by if c in s]
+            first = first & (F.row_number().over(Window.partitionBy("id_trans", *same).orderBy(*rest)) == 1)
+        firsts[_first(i)] = first.cast("bigint")
+    return of_id.withColumns(firsts).groupBy(*by).agg(*[F.sum(c).alias(c) for c in [*parts, *firsts]])
+
+
 def measures_by_sets(star: Star, sets: Sequence[Sequence[str]], names: Sequence[str]) -> DataFrame:
     """Measures of several grains from one scan of the sales: the cells of a matrix, its subtotals and its total.
 
@@ -193,17 +215,20 @@ def measures_by_sets(star: Star, sets: Sequence[Sequence[str]], names: Sequence[
     values that are null: bit i, counted from the last column, is set when the
     column is summed over. Ratios come from the sums of their own grain. Where
     transaction ids are unique, sales are summed per dimension key first, so that
-    what is repeated for every set is one row per key; distinct ids cannot be
-    summed and are counted per set.
+    what is repeated for every set is one row per key. Distinct ids cannot be
+    summed; but the rows of an id that come first in a cell of a set can, see
+    :func:`_cells_with_firsts`. What is repeated is one row per cell there too.
     """
     by = list(dict.fromkeys(c for s in sets for c in s))
     parts = list(dict.fromkeys(p for n in names for p in MEASURES[n][0]))
     columns = [[F.col(c) for c in s] for s in sets]
+    aggs = {p: F.sum(p) for p in parts}
     if "_transacciones" in parts and not star.unique_lines:
-        aggs = {p: _PARTS[p]() for p in parts} | {"_transacciones": F.count_distinct("id_trans")}
-        rows = star.enriched(by)
+        rows = _cells_with_firsts(star, by, sets, [p for p in parts if p != "_transacciones"])
+        levels = [sum(1 << i for i, c in enumerate(reversed(by)) if c not in s) for s in sets]
+        firsts = [F.when(F.grouping_id() == level, F.sum(_first(i))) for i, level in enumerate(levels)]
+        aggs["_transacciones"] = F.coalesce(*firsts)
     else:
-        aggs = {p: F.sum(p) for p in parts}
         rows = parts_by(star, by, parts)
     grouped = rows.groupingSets(columns, *by).agg(*[a.alias(p) for p, a in aggs.items()], F.grouping_id().cast("int").alias("nivel"))
     return grouped.select(*by, "nivel", *[MEASURES[n][1]().alias(n) for n in names])
