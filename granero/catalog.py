@@ -58,6 +58,9 @@ class TableSpec:
     #: Date column by whose months the cleaned table is stored, so that a run cleans only the months it touches.
     #: Rows that are compared with each other (a business key) have to lie in one month.
     sliced_by: str | None = None
+    #: Reference by which rows are brought together to find copies, so that they are in place when the reference is
+    #: checked. For tables with few copies in which no value of it can hold a large part of the rows.
+    gathered_by: str | None = None
 
     def __post_init__(self) -> None:
         if self.sliced_by and self.business_key and self.sliced_by not in self.business_key:
@@ -194,6 +197,7 @@ STOCK = TableSpec(
     key="id_snapshot",
     watermark="fec_snapshot",
     sliced_by="fec_snapshot",
+    gathered_by="art_id",
     columns=(
         Column("id_snapshot", _ID),
         Column("art_id", _ID),

@@ -57,6 +57,8 @@ def deduplicate(df: DataFrame, spec: TableSpec, keyed: bool = False, copies: str
         if copies is not None:
             return first_and_count(df, spec.business_key, [spec.key], copies)
         return first_per_key(df, spec.business_key, [F.col(spec.key).asc_nulls_first()], unique=keyed)
+    if spec.gathered_by and not keyed:  # copies share it; combining them before rows move would only spill
+        df = df.repartition(spec.gathered_by)
     if keyed:
         return df if copies is None else df.withColumn(copies, F.lit(1).cast("bigint"))
     return drop_exact(df, copies)

@@ -154,8 +154,9 @@ def ingest_table(
         mark = mark_of(prints, cap)
     rows = after(arrived, spec.watermark, mark)
     counted = Observation()
-    batch = stamp(rows.select(*spec.column_names), run.ts, run.system, run.batch_id)
-    batch = batch.observe(counted, F.count(F.lit(1)).alias("n"))
+    # counted before the stamps are added: Spark then sees that the partition columns are constant and does not sort
+    seen = rows.select(*spec.column_names).observe(counted, F.count(F.lit(1)).alias("n"))
+    batch = stamp(seen, run.ts, run.system, run.batch_id)
     stored = put_batch(batch, path, run.batch_id, INGEST_PARTITIONS, layers.fmt)
     if spec.watermark is not None:
         put_batch(day_prints(stored, spec), layers.path("bronze", f"_huellas/{spec.name}"), run.batch_id, fmt=layers.fmt)

@@ -124,6 +124,7 @@ def read_newest(
 ) -> DataFrame:
     """The valid rows of a table made of batches: settled rows stay where they are, batches beyond them are ranked.
 
+    The rows of one batch are those of one run and replace none of each other, so a single batch is read as it is.
     ``only`` reads nothing but these batches.
     """
     path = path.rstrip("/")
@@ -133,7 +134,7 @@ def read_newest(
     empty = spark.createDataFrame([], schema)
     later = _load(spark, path, list(batches.values()), fmt, schema) if batches else empty
     if base is None:
-        return newest(later, key, by)
+        return later if len(batches) < 2 else newest(later, key, by)
     settled = _load(spark, path, [base], fmt, schema)
     return newest(later, key, by, settled) if batches else settled
 

@@ -5,11 +5,16 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from granero.plans import lake
+from granero.catalog import STOCK, STORES
+from granero.operators.dedup import deduplicate
+from granero.operators.ingest import stamp
+from granero.plans import lake, refresh
 from granero.plans.measures import Star, measures_by_sets
 from granero.plans.queries import QUERIES
+from granero.sources import retail
+from granero.sources.tables import Layers, put_batch, read_newest
 
-from tests.conftest import plan
+from tests.conftest import plan, rows
 
 
 @pytest.fixture(scope="module")
@@ -70,3 +75,35 @@ def test_only_columns_in_use_are_staged(spark, small, monkeypatch, name, unused)
     QUERIES[name](spark, small)
     sales = dict(written)["trans_ventas"]
     assert "id_trans" in sales and "motivo" in sales and not set(unused) & set(sales)
+
+
+def test_copies_are_found_where_the_reference_is_checked(spark, small):
+    stock = retail.stock(spark, small)
+    twice = stock.unionByName(stock.where("id_snapshot % 3 = 0"))
+    once = deduplicate(twice, STOCK, copies="n")
+    assert "hashpartitioning(art_id" in plan(once, "simple") and "hashpartitioning(id_snapshot" not in plan(once, "simple")
+    assert rows(once.groupBy("n").count()) == rows(stock.groupBy(((stock.id_snapshot % 3 == 0).cast("bigint") + 1).alias("n")).count())
+
+
+def test_a_single_batch_is_not_ranked(spark, tmp_path):
+    batch = stamp(spark.sql("select 1L id union all select 1L union all select null"), "2002-01-01 02:00:00", "x", "b1")
+    path = str(tmp_path / "t")
+    put_batch(batch, path, "b1")
+    only = read_newest(spark, path, "id", batch.schema)
+    assert rows(only, "id") == [(1,), (1,), (None,)] and "Window" not in plan(only, "simple")
+
+
+def test_a_batch_is_stored_without_sorting_it(spark, small, tmp_path, monkeypatch):
+    stored = []
+    put = refresh.put_batch
+
+    def noted(df, *args, **kwargs):
+        stored.append(df)
+        return put(df, *args, **kwargs)
+
+    monkeypatch.setattr(refresh, "put_batch", noted)
+    run = refresh.Run(retail.AS_OF, retail.RUN_TS, "b1", "x")
+    got = refresh.ingest_table(spark, Layers(str(tmp_path)), STORES, lambda: retail.stores(spark, small), run)
+    assert got["registros"] == retail.stores(spark, small).count()
+    text = plan(stored[0], "simple")
+    assert text.index("Project") < text.index("CollectMetrics")  # the stamps are on top, so their columns are constants
