@@ -61,6 +61,8 @@ class TableSpec:
     #: Reference by which rows are brought together to find copies, so that they are in place when the reference is
     #: checked. For tables with few copies in which no value of it can hold a large part of the rows.
     gathered_by: str | None = None
+    #: Keys are numbered in a row, so that those of 64 rows are kept in one when children are checked.
+    dense_key: bool = False
 
     def __post_init__(self) -> None:
         if self.sliced_by and self.business_key and self.sliced_by not in self.business_key:
@@ -116,6 +118,7 @@ SUPPLIERS = TableSpec(
 STORES = TableSpec(
     name="mstr_tiendas",
     key="id_tienda",
+    dense_key=True,
     watermark="fec_apertura",
     columns=(
         Column("id_tienda", _ID),
@@ -132,6 +135,7 @@ STORES = TableSpec(
 ARTICLES = TableSpec(
     name="mstr_articulos",
     key="art_id",
+    dense_key=True,
     watermark="fec_alta",
     columns=(
         Column("art_id", _ID),

@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from granero.catalog import TABLES, TableSpec
-from granero.operators.references import with_match_flag
+from granero.operators.references import PackedKeys, with_match_flag
 
 REASON = "motivo"
 
@@ -26,7 +26,7 @@ def tag(
     df: DataFrame,
     spec: TableSpec,
     as_of: dt.date,
-    parents: Mapping[str, DataFrame] | None = None,
+    parents: Mapping[str, DataFrame | PackedKeys] | None = None,
     report_nulls: bool = True,
 ) -> DataFrame:
     """Add ``motivo``: the first failing check in declared order, null for a valid row.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -29,15 +30,41 @@ def _keys(parent: DataFrame, key: str, name: str) -> DataFrame:
     return parent.select(F.col(key).alias(name)).where(F.col(name).isNotNull()).distinct()
 
 
+@dataclass(frozen=True)
+class PackedKeys:
+    """Whole-number keys of a parent as (_palabra, _bits): bit b of word w stands for key 64 w + b."""
+
+    words: DataFrame
+
+
+def packed_keys(parent: DataFrame, key: str) -> PackedKeys:
+    """The keys, 64 of them in a row where they are numbered in a row; scattered ones take a row each."""
+    keys = parent.select(F.col(key).cast("bigint").alias("_clave")).where(F.col("_clave").isNotNull())
+    bit = F.expr("shiftleft(1L, cast(_clave & 63 as int))")
+    return PackedKeys(keys.groupBy(F.shiftright("_clave", 6).alias("_palabra")).agg(F.bit_or(bit).alias("_bits")))
+
+
+def _with_packed_flag(child: DataFrame, fk: str, parent: PackedKeys, flag: str, spread_nulls_by: str | None) -> DataFrame:
+    probe = child.withColumn("_palabra", F.shiftright(F.col(fk).cast("bigint"), 6))
+    place = F.col(fk).cast("bigint").bitwiseAND(F.lit(63)).cast("int")
+    hit = F.coalesce(F.getbit("_bits", place) == 1, F.lit(False)).alias(flag)
+    columns = child.columns if spread_nulls_by else [fk, *[c for c in child.columns if c != fk]]  # as a join by name has them
+    return left_lookup(probe, parent.words, "_palabra", spread_nulls_by).select(*columns, hit)
+
+
 def with_match_flag(
-    child: DataFrame, fk: str, parent: DataFrame, key: str, flag: str, spread_nulls_by: str | None = None
+    child: DataFrame, fk: str, parent: DataFrame | PackedKeys, key: str, flag: str, spread_nulls_by: str | None = None
 ) -> DataFrame:
     """Add ``flag``: does the foreign key exist in the parent? A null key does not.
 
     A left join rather than a semi plus an anti join: one pass yields both sides
     of the split, and a hot foreign key can be split between tasks. With
-    ``spread_nulls_by`` null keys are scattered as in :func:`left_lookup`.
+    ``spread_nulls_by`` null keys are scattered as in :func:`left_lookup`. The
+    parent may be given as its packed keys: Spark then broadcasts those of a
+    table 64 times as large, and the child stays where it is.
     """
+    if isinstance(parent, PackedKeys):
+        return _with_packed_flag(child, fk, parent, flag, spread_nulls_by)
     keys = _keys(parent, key, fk).withColumn("_hit", F.lit(True))
     return left_lookup(child, keys, fk, spread_nulls_by).withColumn(flag, F.coalesce("_hit", F.lit(False))).drop("_hit")
 

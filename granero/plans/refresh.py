@@ -20,7 +20,7 @@ from granero.catalog import TABLES, TableSpec
 from granero.functions.dates import in_months, latest_date, month_of
 from granero.operators.ingest import INGEST_PARTITIONS, after, day_prints, late_by_day, mark_of, stamp
 from granero.operators.quarantine import REASON, quality_counted, rejected
-from granero.operators.references import union_all
+from granero.operators.references import PackedKeys, packed_keys, union_all
 from granero.operators.volume import volume_alert
 from granero.plans import checks, gold, kpis
 from granero.plans.measures import Star, is_unique
@@ -257,6 +257,12 @@ def _touched(
     return sorted(r[SLICE] for r in union_all(f.distinct() for f in found).distinct().collect())  # a row per month
 
 
+def _parent(spark: SparkSession, layers: Layers, spec: TableSpec) -> DataFrame | PackedKeys:
+    """What a foreign key is checked against; dense keys are written packed, so that their size is known beforehand."""
+    rows = read_silver(spark, layers, spec)
+    return PackedKeys(stage(packed_keys(rows, spec.key).words, f"{spec.name}-claves")) if spec.dense_key else rows
+
+
 def _clean(
     spark: SparkSession, layers: Layers, spec: TableSpec, run: Run, done: Progress, changed: dict[str, DataFrame]
 ) -> list[dt.date] | None:
@@ -266,13 +272,13 @@ def _clean(
     """
     path = layers.path("silver", spec.name)
     months = None
-    parents = {ref.parent: read_silver(spark, layers, TABLES[ref.parent]) for ref in spec.references}
     raw = read_bronze(spark, layers, spec)
     if done.batches is not None and spec.sliced_by:
         months = _touched(spark, layers, spec, run, done, changed)
         if not months:
             return []
         raw = raw.where(in_months(spec.sliced_by, months))
+    parents = {ref.parent: _parent(spark, layers, TABLES[ref.parent]) for ref in spec.references}
     tagged = cleaned(raw, spec, run.as_of, parents, copies=COPIES)
     state = F.when(F.col(REASON).isNull(), _VALID).otherwise(_REJECTED)
     marked = tagged.withColumns({"_ts_silver": F.lit(run.ts).cast("timestamp"), _STATE: state})

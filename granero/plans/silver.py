@@ -12,13 +12,14 @@ from granero.functions.columns import masked
 from granero.operators.dedup import deduplicate
 from granero.operators.ingest import drop_audit
 from granero.operators.quarantine import tag
+from granero.operators.references import PackedKeys
 
 
 def cleaned(
     raw: DataFrame,
     spec: TableSpec,
     as_of: dt.date,
-    parents: Mapping[str, DataFrame],
+    parents: Mapping[str, DataFrame | PackedKeys],
     report_nulls: bool = True,
     keyed: bool = False,
     copies: str | None = None,

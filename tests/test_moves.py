@@ -3,10 +3,11 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from granero.catalog import STOCK, STORES
 from granero.operators.dedup import deduplicate
+from granero.operators import references
 from granero.operators.ingest import stamp
 from granero.plans import lake, refresh
 from granero.plans.measures import Star, measures_by_sets
@@ -107,3 +108,47 @@ def test_a_batch_is_stored_without_sorting_it(spark, small, tmp_path, monkeypatc
     assert got["registros"] == retail.stores(spark, small).count()
     text = plan(stored[0], "simple")
     assert text.index("Project") < text.index("CollectMetrics")  # the stamps are on top, so their columns are constants
+
+
+def test_dense_parents_are_checked_where_the_sales_are(spark, small):
+    """The articles are too many to be broadcast as keys: 64 keys go in a row, so the sales are not moved by article."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4096")  # 200 articles here, so the limit is small too
+    try:
+        text = plan(QUERIES["silver_sales"](spark, small), "simple")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(art_id" not in text and "hashpartitioning(_palabra" not in text
+
+
+def test_packed_keys_decide_like_keys(spark):
+    """Negative, repeated, missing and far ids, on both sides; a null child matches nothing, with and without spreading."""
+    parent = spark.sql("select explode(array(0, 1, 63, 64, 64, -1, -64, -65, 99999999, 9223372036854775807, null)) k")
+    ids = "array(0, 1, 2, 62, 63, 64, 65, -1, -2, -64, -65, -66, 99999999, 99999998, 9223372036854775807, null, null)"
+    child = spark.sql(f"select posexplode({ids}) as (n, k)").select("n", "k")
+    for spread in (None, "n"):
+        plain = references.with_match_flag(child, "k", parent, "k", "ok", spread)
+        packed = references.with_match_flag(child, "k", references.packed_keys(parent, "k"), "k", "ok", spread)
+        assert packed.columns == plain.columns and rows(packed, "n", "k", "ok") == rows(plain, "n", "k", "ok")
+
+
+def test_lines_are_numbered_with_what_a_sale_holds(spark, small, tmp_path):
+    """Columns that cannot tell two sales apart are not moved; lines that only differ by them give the same sales and returns."""
+    sales, returns = (plan(t(spark, small), "simple") for t in (retail.sales, retail.returns))
+    assert not any(c in sales for c in ("l_tax", "l_linestatus", "l_shipdate", "l_returnflag"))
+    assert "l_tax" in returns and "l_shipdate" not in returns
+    lines = spark.read.parquet(f"{small}/lineitem.parquet").where("l_orderkey < 40")
+    marks = lines.withColumn("l_returnflag", F.lit("R")).withColumn("l_tax", F.col("l_tax") - 1)
+    lines.unionByName(marks).unionByName(marks.withColumn("l_shipdate", F.lit(None).cast("timestamp_ntz"))).write.parquet(
+        f"{tmp_path}/lineitem.parquet"
+    )
+    spark.read.parquet(f"{small}/orders.parquet").write.parquet(f"{tmp_path}/orders.parquet")
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag"]
+    whole = Window.partitionBy("l_orderkey").orderBy(*order, "l_linestatus", "l_shipdate")
+    numbered = spark.read.parquet(f"{tmp_path}/lineitem.parquet").withColumn("rn", F.row_number().over(whole))
+    key = (F.col("l_orderkey") * 1_000_000 + F.col("rn")).alias("id")
+    joined = numbered.join(spark.read.parquet(f"{tmp_path}/orders.parquet"), F.col("l_orderkey") == F.col("o_orderkey"))
+    want = rows(joined.where("l_returnflag = 'R'").select(key, "l_partkey", "l_suppkey"))
+    assert want and rows(retail.returns(spark, str(tmp_path)), "id_devolucion", "art_id", "id_tienda") == want
+    assert rows(retail.sales(spark, str(tmp_path)).where("id_trans < 1000000000000000000"), "id_trans", "id_tienda") == rows(
+        joined.select(key, "l_suppkey")
+    )
