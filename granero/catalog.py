@@ -221,6 +221,7 @@ RETURNS = TableSpec(
     key="id_devolucion",
     watermark="fec_devolucion",
     sliced_by="fec_devolucion",
+    gathered_by="id_trans_origen",
     columns=(
         Column("id_devolucion", _ID),
         Column("id_trans_origen", _ID),

@@ -152,3 +152,20 @@ def test_lines_are_numbered_with_what_a_sale_holds(spark, small, tmp_path):
     assert rows(retail.sales(spark, str(tmp_path)).where("id_trans < 1000000000000000000"), "id_trans", "id_tienda") == rows(
         joined.select(key, "l_suppkey")
     )
+
+
+def test_returns_move_once_to_their_sale(spark, small):
+    """Copies are dropped where the sale and its price are looked up."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4096")
+    try:
+        text = plan(QUERIES["fact_returns"](spark, small), "simple")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(id_devolucion" not in text and text.count("hashpartitioning(id_trans_origen") == 3
+
+
+@pytest.mark.parametrize("name", ["sales_enriched", "agg_daily_sales"])
+def test_stores_are_looked_up_where_the_sales_are(spark, small, name):
+    """Their size is known when the join is planned, so it does not depend on which side is ready first."""
+    text = plan(QUERIES[name](spark, small), "simple")
+    assert "hashpartitioning(id_tienda" not in text
