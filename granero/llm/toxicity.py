@@ -5,14 +5,16 @@ bounded, labelled sample; all their terms are indexed, and how many documents
 hold each of them is counted over the whole table. Examples and documents are
 whole TF-IDF vectors; a word that stands in no example adds to the norm of its
 document as a term of one document. For every document the ``NEIGHBOURS``
-examples of highest cosine are found exactly: a term's postings lie in blocks of
-examples with the largest weight per block, the blocks of a document are visited
-by falling sum of query weight times block maximum, and the search ends when
-that bound falls below the similarity already reached. A second search of the
-same kind counts only the terms that tell the labels apart best, in the same
-vectors. Neighbours of each search vote with their similarity, weighted by how
-many labelled rows an example stands for; the votes of both become probabilities
-by a logistic curve fitted to the examples' own leave-one-out votes.
+examples of highest cosine are found exactly: the terms with most postings are
+multiplied as a dense matrix for many documents at a time, all postings of the
+others are added up. A second search counts only the terms that tell the labels
+apart best, in the same vectors: a term's postings lie in blocks of examples with
+the largest weight per block, the blocks of a document are visited by falling sum
+of query weight times block maximum, and the search ends when that bound falls
+below the similarity already reached. Neighbours of each search vote with their
+similarity, weighted by how many labelled rows an example stands for; the votes
+of both become probabilities by a logistic curve fitted to the examples' own
+leave-one-out votes.
 """
 
 from __future__ import annotations
@@ -36,8 +38,9 @@ NEIGHBOURS = 15
 BLOCK = 32
 FIRST_BLOCKS = 8  # visited at once, then four times as many each time
 DENSE = 2048  # terms with the most postings, multiplied as a dense matrix for some documents at a time
-TOGETHER = 64  # documents searched side by side, fewer when they have more postings than
+TOGETHER = 256  # documents searched side by side, fewer when their telling terms have more postings than
 MOST_POSTINGS = 1 << 20
+ADDED = 1 << 17  # postings added up at once: what they need stays in a core's cache
 STEMS = (4, 5, 6, 7)
 LEAST = 4  # examples that hold a term
 
@@ -107,6 +110,11 @@ class Index:
         maxima = Postings(np.searchsorted(begin, first), block[begin], most, (n_terms, -(-n_examples // BLOCK)))
         return maxima, np.append(begin, len(block))
 
+    @cached_property
+    def pairs(self) -> np.ndarray:
+        """Example and weight of each posting in 8 bytes, to be fetched together."""
+        return np.stack([self.weights.column.astype(np.int32), self.weights.value.view(np.int32)], 1).view(np.int64).ravel()
+
     @property
     def maxima(self) -> Postings:
         return self.blocks[0]
@@ -212,7 +220,8 @@ def _held(data, offsets, terms: Terms) -> np.ndarray:
     """The terms of a run of documents, each as often as documents hold it."""
     found, owner, _ = _term_counts(data, offsets)
     place, hit = terms(found)
-    return np.unique(owner[hit] * len(terms.terms) + place[hit]) % len(terms.terms)
+    key = np.sort(owner[hit] * len(terms.terms) + place[hit])  # np.unique would hash, which takes several times as long
+    return key[np.flatnonzero(np.diff(key, prepend=-1))] % len(terms.terms)
 
 
 def _document_counts(documents: DataFrame, terms: np.ndarray) -> tuple[np.ndarray, int]:
@@ -252,26 +261,40 @@ def _looked_up(data, offsets, terms: Terms) -> tuple[np.ndarray, np.ndarray, np.
     return key % n_terms, key // n_terms, times, rest
 
 
+def _kth(scores: np.ndarray, k: int) -> np.ndarray:
+    """The kth largest score of each row, 0 at least."""
+    n = scores.shape[1]
+    return np.maximum(np.partition(scores, n - k, axis=1)[:, n - k], 0) if n > k else np.zeros(len(scores))
+
+
+def _best(scores: np.ndarray, least: np.ndarray, k: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The ``k`` examples of highest score above 0 of each row (ties: first example) and their scores; ``least`` is the kth."""
+    best, similarity = [], []
+    for row, reached in zip(scores, least, strict=True):
+        found = np.flatnonzero((row > 0) & (row >= reached))
+        found = found[np.lexsort((found, -row[found]))[:k]]
+        best.append(found)
+        similarity.append(row[found])
+    return best, similarity
+
+
 def nearest_of(
-    index: Index, owner: np.ndarray, at: np.ndarray, weights: np.ndarray, n_docs: int, k: int, without=None, known: np.ndarray | None = None
+    index: Index, owner: np.ndarray, at: np.ndarray, weights: np.ndarray, n_docs: int, k: int, without=None
 ) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
     """For each of ``n_docs`` documents the examples of highest cosine (ties: first example), their similarities, and how
     many blocks were scored.
 
     ``at`` and ``weights`` are the terms that stand in the index, ``owner`` their
-    document; ``known`` has what further terms add for each document and example,
-    ``without`` an example that does not count, or -1. Examples without a common
-    term are no neighbours. The documents are searched side by side: each visits
-    its blocks by falling bound, some at a time, and is done when the bound falls
-    below its kth similarity.
+    document; ``without`` is an example that does not count, or -1. Examples
+    without a common term are no neighbours. The documents are searched side by
+    side: each visits its blocks by falling bound, some at a time, and is done
+    when the bound falls below its kth similarity.
     """
     maxima, begin = index.blocks
     n_blocks, n = maxima.shape[1], index.weights.shape[1]
     entry, pair = tx.ragged(maxima.first[at], maxima.first[at + 1])
     key, weight = owner[pair] * n_blocks + maxima.column[entry], weights[pair].astype(np.float32)
     bounds = np.bincount(key, weight * maxima.value[entry], n_docs * n_blocks).reshape(n_docs, n_blocks).astype(float)
-    if known is not None:
-        bounds += np.maximum.reduceat(known, np.arange(0, n, BLOCK), axis=1)
     rank = np.empty((n_docs, n_blocks), np.int64)
     np.put_along_axis(rank, np.argsort(-bounds, axis=1, kind="stable"), np.arange(n_blocks)[None, :], 1)
     block_of = np.arange(n) // BLOCK
@@ -288,22 +311,32 @@ def nearest_of(
         posting = np.arange(int(sizes.sum())) + np.repeat(low - (np.cumsum(sizes) - sizes), sizes)
         cell = np.repeat(key[chosen] // n_blocks * n, sizes) + index.weights.column[posting]
         values = np.bincount(cell, np.repeat(weight[chosen], sizes) * index.weights.value[posting], n_docs * n).reshape(n_docs, n).astype(float)
-        if known is not None:
-            values += known
         values *= visited[:, block_of]
         scores += np.round(values, 6)  # equal examples are equal, however their sums were made
         if without is not None:
             scores[without >= 0, without[without >= 0]] = 0
-        if n > k:
-            reached = np.maximum(np.partition(scores, n - k, axis=1)[:, n - k], 0)
+        reached = _kth(scores, k)
         first, step = first + step, step * 4
-    best, similarity = [], []
-    for row, least in zip(scores, reached, strict=True):
-        found = np.flatnonzero((row > 0) & (row >= least))
-        found = found[np.lexsort((found, -row[found]))[:k]]
-        best.append(found)
-        similarity.append(row[found])
-    return best, similarity, scored
+    return *_best(scores, reached, k), scored
+
+
+def _all_of(
+    index: Index, owner: np.ndarray, at: np.ndarray, weights: np.ndarray, known: np.ndarray, k: int, without=None
+) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """:func:`nearest_of` by adding up all postings: whole vectors share terms with nearly every block, so that bounds
+    cost as much as they save. ``known`` has what further terms add for each document and example."""
+    first, (n_docs, n) = index.weights.first, known.shape
+    low = first[at]
+    sizes = first[at + 1] - low
+    ends = np.cumsum(sizes)
+    pair = index.pairs[np.arange(int(sizes.sum())) + np.repeat(low - (ends - sizes), sizes)].view(np.int32).reshape(-1, 2)
+    cell, value = np.repeat(owner * n, sizes), np.repeat(weights.astype(np.float32), sizes)
+    cell += pair[:, 0]
+    value *= pair.view(np.float32)[:, 1]
+    scores = np.round(np.bincount(cell, value, n_docs * n).reshape(n_docs, n) + known.astype(float), 6)
+    if without is not None:
+        scores[without >= 0, without[without >= 0]] = 0
+    return _best(scores, _kth(scores, k), k)
 
 
 def nearest(index: Index, at: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -323,33 +356,48 @@ def _votes(model: Model, best: np.ndarray, similarity: np.ndarray) -> np.ndarray
     return np.array([1.0, share, odds, share * float(np.log(100 * similarity.mean() + 1))])
 
 
+def _runs(group: np.ndarray) -> Iterator[tuple[int, int]]:
+    """First and end of each run of equal, rising numbers."""
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)]
+    return ((low, high) for low, high in zip(cuts, cuts[1:]) if low < high)  # noqa: B905
+
+
 def _neighbours(
     model: Model, owner: np.ndarray, at: np.ndarray, weights: np.ndarray, without: dict[int, int] | None = None
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """Documents of sorted ``owner`` with their votes, their neighbours by telling terms, then by whole vectors, each once, and
     the similarities. ``without`` names an example that is no neighbour of a document."""
     rows, starts = np.unique(owner, return_index=True)
+    if not len(rows):
+        return
     ends = np.append(starts, len(owner))[1:]
-    sizes = np.diff(model.weights.first)
-    work = np.add.reduceat(sizes[at] * (model.place[at] < 0), starts) if len(rows) else starts
-    group = np.maximum(np.cumsum(work) // MOST_POSTINGS, np.arange(len(rows)) // TOGETHER)
-    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(rows)]
-    for low, high in zip(cuts, cuts[1:]):  # noqa: B905
-        if low == high:
-            continue
+    sizes = np.diff(model.weights.first)[at]
+    told_work = np.cumsum(np.add.reduceat(sizes * model.marks[at], starts))
+    rare_work = np.cumsum(np.add.reduceat(sizes * (model.place[at] < 0), starts))
+    for low, high in _runs(np.maximum(told_work // MOST_POSTINGS, np.arange(len(rows)) // TOGETHER)):
         some, part = rows[low:high], slice(starts[low], ends[high - 1])
         doc, term, weight = np.searchsorted(some, owner[part]), at[part], weights[part]
+        left_out = None if without is None else np.array([without[r] for r in some.tolist()])
+        marked = model.marks[term]
+        having, number = np.unique(doc[marked], return_inverse=True)
+        some_out = None if left_out is None else left_out[having]
+        found = nearest_of(model.telling, number, term[marked], weight[marked], len(having), NEIGHBOURS, some_out)[:2]
+        told = dict(zip(having.tolist(), zip(*found, strict=True), strict=True))
+        nothing = np.zeros(0, np.int64), np.zeros(0)
         place = model.place[term]
-        rare = place < 0
         query = np.zeros((len(some), len(model.dense)), np.float32)
-        query[doc[~rare], place[~rare]] = weight[~rare]
-        left_out = None if without is None else np.array([without[r] for r in some.tolist()])
-        told, share, _ = nearest_of(model.telling, doc, term, weight, len(some), NEIGHBOURS, left_out)
-        whole, similarity, _ = nearest_of(model, doc[rare], term[rare], weight[rare], len(some), NEIGHBOURS, left_out, query @ model.dense)
-        for i, row in enumerate(some.tolist()):
-            votes = np.concatenate([_votes(model, told[i], share[i]), _votes(model, whole[i], similarity[i])[1:]])
-            other = ~np.isin(whole[i], told[i])
-            yield row, votes, np.concatenate([told[i], whole[i][other]]), np.concatenate([share[i], similarity[i][other]])
+        query[doc[place >= 0], place[place >= 0]] = weight[place >= 0]
+        known = query @ model.dense
+        rare = np.flatnonzero(place < 0)
+        for a, b in _runs(rare_work[low:high] // ADDED):
+            own = rare[slice(*np.searchsorted(doc[rare], [a, b]))]
+            some_out = None if left_out is None else left_out[a:b]
+            whole = _all_of(model, doc[own] - a, term[own], weight[own], known[a:b], NEIGHBOURS, some_out)
+            for i, best, similarity in zip(range(a, b), *whole, strict=True):
+                first, share = told.get(i, nothing)
+                votes = np.concatenate([_votes(model, first, share), _votes(model, best, similarity)[1:]])
+                other = ~(best[:, None] == first).any(1)
+                yield int(some[i]), votes, np.concatenate([first, best[other]]), np.concatenate([share, similarity[other]])
 
 
 def _curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -517,10 +565,10 @@ def fit(documents: DataFrame, labelled: DataFrame, size: int = EXAMPLES, vocabul
     return model
 
 
-def _score_batch(model: Model, column: pa.Array) -> tuple[np.ndarray, list, list]:
+def _score_batch(model: Model, column: pa.Array) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
     scores = np.full(len(column), model.base)
-    evidence: list[list[int]] = [[] for _ in range(len(column))]
-    similarities: list[list[float]] = [[] for _ in range(len(column))]
+    evidence = [np.zeros(0, np.int64)] * len(column)
+    similarities = [np.zeros(0)] * len(column)
     if not len(model.terms):
         return scores, evidence, similarities
     scores[:] = 1 / (1 + np.exp(-model.curve[0]))
@@ -531,8 +579,8 @@ def _score_batch(model: Model, column: pa.Array) -> tuple[np.ndarray, list, list
         weights /= norms[owner]
         for row, votes, best, values in _neighbours(model, owner, at, weights):
             scores[low + row] = 1 / (1 + np.exp(-np.clip(model.curve @ votes, -30, 30)))
-            evidence[low + row] = model.ids[best].tolist()
-            similarities[low + row] = values.tolist()
+            evidence[low + row] = model.ids[best]
+            similarities[low + row] = values
     return scores, evidence, similarities
 
 
@@ -547,13 +595,11 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(model)  # the terms of at most 2 EXAMPLES documents
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64())]))
         for batch in batches:
             scores, ids, values = _score_batch(shared.value, batch.column(1))
-            evidence = [[{"doc_id": i, "similarity": v} for i, v in zip(a, b, strict=True)] for a, b in zip(ids, values, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(scores), pa.array(evidence, kind)], names=["doc_id", "score", "evidence"]
-            )
+            flat = [pa.array(np.concatenate(x) if x else np.zeros(0), t) for x, t in ((ids, pa.int64()), (values, pa.float64()))]
+            evidence = tx.list_array(pa.StructArray.from_arrays(flat, ["doc_id", "similarity"]), np.array([len(x) for x in ids], np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores), evidence], names=["doc_id", "score", "evidence"])
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(run, "doc_id long, score double, evidence array<struct<doc_id:long,similarity:double>>")

@@ -1,9 +1,10 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from granero.llm import toxicity
+from granero.llm import text as tx, toxicity
 
 
 @pytest.fixture(scope="module")
@@ -150,3 +151,42 @@ def test_term_numbers():
         found = np.concatenate([rnd.choice(terms, 50) if n else terms, rnd.integers(0, 2**64, 300, dtype=np.uint64), np.array([0, 2**64 - 1], np.uint64)])
         place, hit = toxicity.Terms(terms)(found)
         assert (hit == np.isin(found, terms)).all() and (terms[place[hit]] == found[hit]).all()
+
+
+def test_whole_vectors_are_searched_without_bounds(spark, docs):
+    """More documents than are multiplied at once, with rare and dense terms; bounds per block are made for telling terms alone."""
+    rnd = random.Random(12)
+    words = [" ".join(f"palabra{min(int(rnd.paretovariate(0.6)), 3000)} raro{rnd.randrange(5000)}" for _ in range(20)) for _ in range(640)]
+    rows = [(i, text + (" vileness grunk" if i % 5 == 0 else "")) for i, text in enumerate(words)]
+    model = toxicity.fit(docs(rows), spark.createDataFrame([(i, int(i % 5 == 0)) for i, _ in rows[:400]], "doc_id long, label int"))
+    texts = pa.array([None, ""] + [t for _, t in rows] + ["unknown"], pa.string())
+    scores, ids, values = toxicity._score_batch(model, texts)
+    assert "blocks" not in vars(model) and "blocks" in vars(model.telling)
+    assert len(texts) > 2 * toxicity.TOGETHER and len(model.terms) > toxicity.DENSE  # several products, and terms beyond them
+    dense = model.weights[np.arange(len(model.terms))]
+    _, _, data, offsets = next(tx.slices(texts))
+    at, owner, times, rest = toxicity._looked_up(data, offsets, model.numbers)
+    weights = (1 + np.log(times)) * model.idf[at]
+    weights /= np.sqrt(np.bincount(owner, weights**2, len(texts)) + rest * model.unseen**2)[owner]
+    for doc in range(2, len(texts) - 1):
+        own = owner == doc
+        cosine = weights[own] @ dense[at[own]]
+        kth = np.sort(cosine)[-toxicity.NEIGHBOURS]
+        found = dict(zip(ids[doc].tolist(), values[doc].tolist(), strict=True))
+        at_least = {int(model.ids[e]) for e in np.flatnonzero(cosine > kth + 2e-6)}
+        assert at_least <= set(found)
+        told = weights[own] @ (dense[at[own]] * model.marks[at[own]][:, None])
+        by_id = {int(i): (c, t) for i, c, t in zip(model.ids, cosine, told, strict=True)}
+        assert all(min(abs(v - c) for c in by_id[i]) < 2e-6 for i, v in found.items())
+    assert not any(len(ids[i]) for i in (0, 1, -1)) and scores[0] == scores[1] == scores[-1]
+
+
+def test_documents_that_hold_a_term_count_once():
+    terms = np.unique(toxicity._term_counts(*tx.buffers(pa.array(["alfa beta gamma alfabeto"])))[0])
+    texts = pa.array(["alfa alfa beta", None, "nada", "alfabeto alfabet alfa", "gamma"])
+    data, offsets = tx.buffers(texts)
+    found, owner, _ = toxicity._term_counts(data, offsets)
+    wanted = np.array([len({int(d) for t, d in zip(found, owner, strict=True) if t == term}) for term in terms])
+    at = toxicity._held(data, offsets, toxicity.Terms(terms))
+    assert (np.bincount(at, minlength=len(terms)) == wanted).all() and wanted.max() == 2
+    assert not len(toxicity._held(*tx.buffers(pa.array([None, "nada"], pa.string())), toxicity.Terms(terms)))
