@@ -149,7 +149,15 @@ def _first_rank(rows: DataFrame, by: Sequence[str], *partition: Column | str) ->
     return rows.withColumn("_orden", F.rank().over(ranking)).where("_orden = 1").drop("_orden")
 
 
-def newest(rows: DataFrame, key: str, by: Sequence[str] = NEWEST, settled: DataFrame | None = None) -> DataFrame:
+def keys_in_both(rows: DataFrame, settled: DataFrame, key: str) -> DataFrame:
+    """The keys of ``rows`` that stand in ``settled`` too, each once; of both nothing but the keys moves."""
+    known, arrived = (df.select(key).where(F.col(key).isNotNull()) for df in (settled, rows))
+    return known.join(arrived, key, "left_semi").distinct()
+
+
+def newest(
+    rows: DataFrame, key: str, by: Sequence[str] = NEWEST, settled: DataFrame | None = None, keys: DataFrame | None = None
+) -> DataFrame:
     """Of a table made of batches the valid rows: per key those with the largest ``by``.
 
     Rows of a key that tie all stay, so copies within a batch are still there to
@@ -161,7 +169,10 @@ def newest(rows: DataFrame, key: str, by: Sequence[str] = NEWEST, settled: DataF
 
     ``settled`` holds rows that were brought down to the valid ones before. Of
     these only the rows whose key occurs in ``rows`` are ranked again: the
-    others stay where they are, and what moves follows ``rows``.
+    others stay where they are, and what moves follows ``rows``. That holds as
+    long as the keys of ``rows`` can be broadcast; ``keys`` are those of them that
+    :func:`keys_in_both` has found and that were written before, mostly few: their
+    size is known when the join is planned.
     """
     audit = set(AUDIT_COLUMNS)
     same = F.xxhash64(*[c for c in rows.columns if c not in audit])
@@ -170,7 +181,7 @@ def newest(rows: DataFrame, key: str, by: Sequence[str] = NEWEST, settled: DataF
     if settled is None:
         return _first_rank(keyed, by, key).unionByName(_first_rank(lost, by, same))
     settled = settled.select(*rows.columns)
-    keys = keyed.select(key).distinct()
+    keys = keyed.select(key).distinct() if keys is None else keys
     again = keyed.unionByName(settled.where(with_key).join(keys, key, "left_semi").select(*rows.columns))
     still = settled.where(with_key).join(keys, key, "left_anti").select(*rows.columns)
     lost = _first_rank(lost.unionByName(settled.where(without)), by, same)

@@ -79,11 +79,16 @@ def _audited(spec: TableSpec) -> T.StructType:
 
 
 def read_bronze(
-    spark: SparkSession, layers: Layers, spec: TableSpec, without: Sequence[str] = (), only: Sequence[str] | None = None
+    spark: SparkSession,
+    layers: Layers,
+    spec: TableSpec,
+    without: Sequence[str] = (),
+    only: Sequence[str] | None = None,
+    keys_first: bool = True,
 ) -> DataFrame:
     """The valid rows of all batches but those in ``without``, or of the batches in ``only``: per key those of the latest run."""
     path = layers.path("bronze", spec.name)
-    return read_newest(spark, path, spec.key, _audited(spec), fmt=layers.fmt, without=without, only=only)
+    return read_newest(spark, path, spec.key, _audited(spec), fmt=layers.fmt, without=without, only=only, keys_first=keys_first)
 
 
 def _read_marked(spark: SparkSession, layers: Layers, spec: TableSpec) -> DataFrame:
@@ -146,7 +151,7 @@ def ingest_table(
     started = time.monotonic()
     path = layers.path("bronze", spec.name)
     before = live_paths(spark, path, [run.batch_id])
-    loaded = read_bronze(spark, layers, spec, [run.batch_id]) if before else None
+    loaded = read_bronze(spark, layers, spec, [run.batch_id], keys_first=False) if before else None
     cap = run.as_of if run.watermark_cap else None
     arrived, mark, prints = source(), None, None
     if run.incremental and loaded is not None and spec.watermark is not None:

@@ -12,8 +12,9 @@ from urllib.parse import quote
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from granero.catalog import TableSpec
-from granero.operators.ingest import NEWEST, check_upsert_keys, newest
+from granero.operators.ingest import NEWEST, check_upsert_keys, keys_in_both, newest
 from granero.operators.references import union_all
+from granero.session import stage
 
 
 @dataclass(frozen=True)
@@ -121,11 +122,14 @@ def read_newest(
     fmt: str = "parquet",
     without: Sequence[str] = (),
     only: Sequence[str] | None = None,
+    keys_first: bool = True,
 ) -> DataFrame:
     """The valid rows of a table made of batches: settled rows stay where they are, batches beyond them are ranked.
 
     The rows of one batch are those of one run and replace none of each other, so a single batch is read as it is.
-    ``only`` reads nothing but these batches.
+    ``only`` reads nothing but these batches. Which keys of the batches are settled too is looked for at once and written
+    in the shared folder, so that whole rows need not move to find it; ``keys_first`` switches that off for who may not
+    read the rows, or of few days and columns.
     """
     path = path.rstrip("/")
     base, batches = live_batches(spark, path, without)
@@ -136,7 +140,9 @@ def read_newest(
     if base is None:
         return later if len(batches) < 2 else newest(later, key, by)
     settled = _load(spark, path, [base], fmt, schema)
-    return newest(later, key, by, settled) if batches else settled
+    if not batches:
+        return settled
+    return newest(later, key, by, settled, stage(keys_in_both(later, settled, key), "claves") if keys_first else None)
 
 
 def settle(

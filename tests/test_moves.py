@@ -8,12 +8,12 @@ from pyspark.sql import Window, functions as F
 from granero.catalog import STOCK, STORES
 from granero.operators.dedup import deduplicate
 from granero.operators import references
-from granero.operators.ingest import stamp
+from granero.operators.ingest import newest, stamp
 from granero.plans import lake, refresh
 from granero.plans.measures import Star, measures_by_sets
 from granero.plans.queries import QUERIES
 from granero.sources import retail
-from granero.sources.tables import Layers, put_batch, read_newest
+from granero.sources.tables import Layers, put_batch, read_newest, read_table, settle
 
 from tests.conftest import plan, rows
 
@@ -169,3 +169,28 @@ def test_stores_are_looked_up_where_the_sales_are(spark, small, name):
     """Their size is known when the join is planned, so it does not depend on which side is ready first."""
     text = plan(QUERIES[name](spark, small), "simple")
     assert "hashpartitioning(id_tienda" not in text
+
+
+def test_settled_rows_stay_where_they_are(spark, tmp_path):
+    """However many keys a batch brings: only those that are settled too make rows move."""
+    path, plain = str(tmp_path / "t"), str(tmp_path / "plain")
+    n = F.col("id")
+    old = spark.range(3000).select(F.when(n % 50 != 0, n).alias("id"), (n % 7).alias("d"), F.lit("a").alias("v"))
+    new = spark.range(2990, 6000).select(F.when(n % 40 != 0, n).alias("id"), (n % 7).alias("d"), F.lit("b").alias("v"))
+    again = old.where("id % 2 = 1").unionByName(new.where("id % 3 = 1"))  # a key may come twice in a run
+    first, second = stamp(old, "2002-01-01 02:00:00", "x", "b1"), stamp(again.unionByName(new), "2002-01-02 02:00:00", "x", "b2")
+    few = stamp(new, "2002-01-02 02:00:00", "x", "b2")
+    for batch, moved in ((few, False), (second, True)):
+        for to in (path, plain):
+            put_batch(first, f"{to}{moved}", "b1")
+            put_batch(batch, f"{to}{moved}", "b2")
+        settle(spark, f"{path}{moved}", "id", batch.schema, ["b2"])
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2048")  # as with many more keys
+        try:
+            got = read_newest(spark, f"{path}{moved}", "id", batch.schema)
+            text = plan(got, "simple")
+            found = rows(got)
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert found == rows(newest(read_table(spark, f"{plain}{moved}", schema=batch.schema), "id"))
+        assert moved or "SortMergeJoin" not in text
