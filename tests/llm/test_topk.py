@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from granero.llm import topk
+from tests.conftest import plan
 
 
 def brute(rows, k=10):
@@ -52,6 +53,27 @@ def test_empty_and_few(spark):
     assert result(spark, [(100, [1.0])]) == []
 
 
+def test_groups_of_queries_meet_all_cells_without_a_join(spark, monkeypatch):
+    for name, value in (("RANGE", 100), ("CELL", 150), ("QUERIES", 20), ("GROUP_BYTES", 30 * 8 * 8)):
+        monkeypatch.setattr(topk, name, value, raising=False)
+    rnd = np.random.default_rng(1)
+    rows = [(i, [float(x) for x in rnd.integers(-3, 4, 8)]) for i in range(0, 9000, 20)]  # many ties, 90 queries
+    assert result(spark, rows) == brute(rows)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    shown = plan(topk.top_k(frame, frame.where("vec_id % 100 = 0")))
+    assert "Broadcast" not in shown and "Join" not in shown  # queries times ranges would come to the driver
+
+
+def test_products_beyond_64_bits_are_held_at_the_limits(spark):
+    rnd = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in rnd.normal(0, 1e13, 4)]) for i in range(300)]
+    held = lambda s: max(-(2**63), min(2**63 - 1, s))
+    whole = {i: [math.floor(1024 * x) for x in v] for i, v in rows}
+    for q in (0, 100, 200):
+        best = sorted((-held(sum(a * b for a, b in zip(whole[q], v))), i) for i, v in whole.items() if i != q)[:10]
+        assert [r for r in result(spark, rows, "double") if r[0] == q] == [(q, n, i, -s) for n, (s, i) in enumerate(best, 1)]
+
+
 def test_blocks_are_pruned_and_the_result_stays():
     rnd = np.random.default_rng(3)
     rows = np.repeat(rnd.integers(-900, 900, (40, 6)), 64, axis=0) + rnd.integers(-30, 30, (2560, 6))
