@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, funct
 
 from granero.catalog import TABLES, TableSpec
 from granero.functions.dates import in_months, latest_date, month_of
+from granero.operators.dedup import MOST_WORDS, repeated_words
 from granero.operators.ingest import INGEST_PARTITIONS, after, day_prints, late_by_day, mark_of, stamp
 from granero.operators.quarantine import REASON, quality_counted, rejected
 from granero.operators.references import PackedKeys, packed_keys, union_all
@@ -268,6 +269,24 @@ def _parent(spark: SparkSession, layers: Layers, spec: TableSpec) -> DataFrame |
     return PackedKeys(stage(packed_keys(rows, spec.key).words, f"{spec.name}-claves")) if spec.dense_key else rows
 
 
+def _repeated(raw: DataFrame, spec: TableSpec) -> DataFrame | None:
+    """Where copies can stand, so that other rows need not move; None if rows move anyway or too many keys are repeated.
+
+    Rows move anyway to be compared by a business key, or to meet a parent that is not checked by packed keys.
+    """
+    if not any(ref.column == spec.gathered_by and TABLES[ref.parent].dense_key for ref in spec.references) or spec.business_key:
+        return None
+    found = stage(repeated_words(raw, spec.key).limit(MOST_WORDS + 1), f"{spec.name}-repetidas")
+    return found if found.count() <= MOST_WORDS else None
+
+
+def _only_month(raw: DataFrame, spec: TableSpec, months: Sequence[dt.date] | None) -> dt.date | None:
+    """The month of all rows, if they lie in one."""
+    if months is None:
+        months = [r[0] for r in raw.select(month_of(spec.sliced_by)).distinct().limit(2).collect()]
+    return months[0] if len(months) == 1 else None
+
+
 def _clean(
     spark: SparkSession, layers: Layers, spec: TableSpec, run: Run, done: Progress, changed: dict[str, DataFrame]
 ) -> list[dt.date] | None:
@@ -284,7 +303,9 @@ def _clean(
             return []
         raw = raw.where(in_months(spec.sliced_by, months))
     parents = {ref.parent: _parent(spark, layers, TABLES[ref.parent]) for ref in spec.references}
-    tagged = cleaned(raw, spec, run.as_of, parents, copies=COPIES)
+    repeated = _repeated(raw, spec)
+    month = _only_month(raw, spec, months) if spec.sliced_by and repeated is not None else None
+    tagged = cleaned(raw, spec, run.as_of, parents, copies=COPIES, repeated=repeated)
     state = F.when(F.col(REASON).isNull(), _VALID).otherwise(_REJECTED)
     marked = tagged.withColumns({"_ts_silver": F.lit(run.ts).cast("timestamp"), _STATE: state})
     has_children = any(ref.parent == spec.name for child in TABLES.values() for ref in child.references)
@@ -299,7 +320,9 @@ def _clean(
         marked = marked.withColumn(SLICE, month_of(spec.sliced_by))
         if months is not None:
             marked = stage(marked, f"{spec.name}-meses")
-        overwrite_slices(marked, path, SLICE, months, layers.fmt)
+        if month is not None:  # a constant: nothing is sorted or moved to write by month
+            marked = marked.withColumn(SLICE, F.lit(month))
+        overwrite_slices(marked, path, SLICE, months, layers.fmt, gather=month is None)
     else:
         replace_table(marked, path, [_STATE], fmt=layers.fmt)
     if before is not None:

@@ -23,14 +23,15 @@ def cleaned(
     report_nulls: bool = True,
     keyed: bool = False,
     copies: str | None = None,
+    repeated: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of a raw table without duplicates, masked, with ``motivo`` on the rejected ones.
 
     Valid and rejected rows come out of the same pass; ``parents`` are the
     cleaned parent tables, so a rejected parent rejects its children too.
     ``keyed``: the raw table was written by the keyed load. ``copies`` names a
-    column for the number of raw rows that each row stands for.
+    column for the number of raw rows that each row stands for. ``repeated``: where copies can stand.
     """
-    unique = deduplicate(drop_audit(raw), spec, keyed, copies)
+    unique = deduplicate(drop_audit(raw), spec, keyed, copies, repeated)
     tagged = tag(unique, spec, as_of, parents, report_nulls)
     return tagged.withColumns({c: masked(c) for c in spec.masked}) if spec.masked else tagged

@@ -213,15 +213,18 @@ def replace_table(
             fs.delete(old, True)
 
 
-def overwrite_slices(df: DataFrame, path: str, by: str, slices: Sequence | None = None, fmt: str = "parquet") -> None:
+def overwrite_slices(
+    df: DataFrame, path: str, by: str, slices: Sequence | None = None, fmt: str = "parquet", gather: bool = True
+) -> None:
     """Write the partitions in ``slices`` anew and leave the files of all others alone; without ``slices`` the whole table.
 
     ``df`` holds all rows of these partitions and must not read ``path``. One
     that has no rows any more is removed. A run that breaks off between two
-    partitions is repeated by its caller; one writer per table.
+    partitions is repeated by its caller; one writer per table. Without ``gather``
+    rows are written where they are, for those of a single partition.
     """
     mode = "static" if slices is None else "dynamic"
-    rows = df.hint("rebalance", by)
+    rows = df.hint("rebalance", by) if gather else df
     rows.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(by).save(path)
     if slices is not None:
         filled = {r[0] for r in df.select(by).distinct().collect()}  # at most one row per slice

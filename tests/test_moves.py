@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from granero.catalog import STOCK, STORES
+from granero.operators import dedup, references
 from granero.operators.dedup import deduplicate
-from granero.operators import references
 from granero.operators.ingest import newest, stamp
 from granero.plans import lake, refresh
 from granero.plans.measures import Star, measures_by_sets
@@ -194,3 +194,49 @@ def test_settled_rows_stay_where_they_are(spark, tmp_path):
             spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         assert found == rows(newest(read_table(spark, f"{plain}{moved}", schema=batch.schema), "id"))
         assert moved or "SortMergeJoin" not in text
+
+
+@pytest.mark.parametrize("keys", [40, 5000])
+def test_copies_found_by_packed_keys_are_those_found_by_rows(spark, keys):
+    n = F.xxhash64("id")
+    rows_ = spark.range(600).select(F.when(F.pmod(n, F.lit(9)) > 0, n % keys).alias("k"), (F.pmod(n, F.lit(3))).alias("a"), F.lit("x").alias("b"))
+    words = dedup.repeated_words(rows_, "k")
+    assert 0 < words.count() and words.where("_repetida IS NULL").count() == 1
+    got = dedup.drop_exact_among(rows_, "k", words, "n")
+    assert rows(got) == rows(dedup.drop_exact(rows_, "n"))
+    unique = spark.range(-100, 300, 3).select(F.col("id").alias("k"))
+    assert dedup.repeated_words(unique, "k").count() == 0
+
+
+@pytest.mark.parametrize("case, moved", [("unique", False), ("copies", False), ("many copies", True), ("two months", True)])
+def test_stock_is_cleaned_where_it_is_stored(spark, small, tmp_path, monkeypatch, case, moved):
+    """Whole rows of one month move neither for copies nor to be written; what is kept does not depend on it."""
+    layers, noted = Layers(str(tmp_path)), []
+    sources = {name: retail.source(spark, small, name) for name in ("mstr_articulos", "mstr_tiendas")}
+    stock = retail.stock(spark, small).where("art_id % 20 = 1")
+    again = stock.where("id_snapshot % 7 = 0")
+    if case == "many copies":
+        monkeypatch.setattr(refresh, "MOST_WORDS", 3, raising=False)
+    if case in ("copies", "many copies"):
+        stock = stock.unionByName(again).unionByName(again.withColumn("id_snapshot", F.lit(None).cast("bigint")))
+    if case == "two months":
+        stock = stock.withColumn("fec_snapshot", F.when(F.col("art_id") % 3 == 0, F.date_add("fec_snapshot", 31)).otherwise(F.col("fec_snapshot")))
+    put_batch(stamp(stock, "2002-01-01 02:00:00", "retail", "lote-1"), layers.path("bronze", STOCK.name), "lote-1")
+    for name, source in sources.items():
+        marked = source.select("*", F.lit("valido").alias("_estado"), *[F.lit(None).cast(t).alias(c) for c, t in (("motivo", "string"), ("_ts_silver", "timestamp"), ("_copias", "bigint"))])
+        marked.write.partitionBy("_estado").parquet(layers.path("silver", name))
+
+    def written(df, *args, **options):
+        noted.append(plan(df.hint("rebalance", "_mes") if options.get("gather", True) else df, "simple"))
+        return store(df, *args, **options)
+
+    store = refresh.overwrite_slices
+    monkeypatch.setattr(refresh, "overwrite_slices", written)
+    run = refresh.Run(retail.AS_OF, "2002-01-01 02:00:00", "lote-1", "retail")
+    refresh._clean(spark, layers, STOCK, run, refresh.Progress(None), {})
+    assert ("REBALANCE_PARTITIONS" in noted[0] or "hashpartitioning(art_id" in noted[0]) == moved
+    kept = refresh._read_marked(spark, layers, STOCK)
+    assert rows(kept.select(*STOCK.column_names, "_copias")) == rows(dedup.drop_exact(stock.select(*STOCK.column_names), "_copias"))
+    assert kept.where("_estado = 'rechazado' AND motivo = 'pk_nula'").count() == kept.where("id_snapshot IS NULL").count()
+    months = sorted(str(r[0]) for r in stock.select(F.trunc("fec_snapshot", "MM")).distinct().collect())
+    assert sorted(str(r[0]) for r in kept.select("_mes").distinct().collect()) == months
